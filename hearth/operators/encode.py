@@ -126,11 +126,11 @@ def target_encode_oof(df: DataFrame, fold: str = "fold", cols: Sequence[str] = C
     out = join_small(df, prior_t, fold, "left")
     for c in cols:
         by = df.groupBy(F.col(c).alias(f"_v_{c}"), F.col(fold).alias(f"_f_{c}")).agg(
-            F.count(target).alias("_n"), F.sum(target).alias("_s"))
-        totals = by.groupBy(f"_v_{c}").agg(F.sum("_n").alias("_N"), F.sum("_s").alias("_S"))
+            F.count(target).alias("_fold_n"), F.sum(target).alias("_fold_s"))
+        totals = by.groupBy(f"_v_{c}").agg(F.sum("_fold_n").alias("_all_n"), F.sum("_fold_s").alias("_all_s"))
         t = by.join(totals, f"_v_{c}").select(
-            f"_v_{c}", f"_f_{c}", (F.col("_N") - F.col("_n")).alias("_on"),
-            (F.col("_S") - F.col("_s")).alias("_os"))
+            f"_v_{c}", f"_f_{c}", (F.col("_all_n") - F.col("_fold_n")).alias("_on"),
+            (F.col("_all_s") - F.col("_fold_s")).alias("_os"))
         out = join_small(out, t, (F.col(c) == F.col(f"_v_{c}")) & (F.col(fold) == F.col(f"_f_{c}")), "left")
         enc = F.when(F.coalesce(F.col("_on"), F.lit(0)) > 0,
                      (F.col("_os") + F.lit(smoothing) * F.col("_oof_prior")) / (F.col("_on") + F.lit(smoothing))) \

@@ -30,3 +30,13 @@ def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     return big.join(bounded(small, max_rows), on, how)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate table reused by several later steps: a
+    reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
+    executor loss, unlike a local checkpoint), so later actions read it
+    instead of recomputing the upstream plan."""
+    from hearth.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.constants import RANK_SLICES
-from hearth.operators.joins import join_small
+from hearth.operators.joins import cut_lineage, join_small
 
 _ALL = "_all"
 
@@ -44,7 +44,7 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | No
     """
     df, gk = _group_keys(df.filter(F.col(value).isNotNull()), keys)
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    vc = df.groupBy(*gk, value).agg(F.sum(w).alias("cnt"))
+    vc = cut_lineage(df.groupBy(*gk, value).agg(F.sum(w).alias("cnt")))
     if slices > 1:
         probs = [i / slices for i in range(1, slices)]
         cuts = vc.groupBy(*gk).agg(

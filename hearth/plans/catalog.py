@@ -301,3 +301,171 @@ def q_category_values(spark, sf_dir):
     """Sorted distinct values of each categorical column (with position)."""
     from hearth.operators.encode import fit_vocabulary
     return fit_vocabulary(listings(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Profiles and audit aggregates
+# ---------------------------------------------------------------------------
+from hearth.operators import profile as pf  # noqa: E402
+from hearth.operators import sets  # noqa: E402
+
+COLLISION_FEATURES = ["Location", "Type", "Furnishing", "Beds", "Baths", "Area_in_sqft"]
+LISTING_COLUMNS = [*LISTING_KEY, "Location", "Type", "Furnishing", "Beds", "Baths", "Area_in_sqft", "Rent"]
+
+
+def train_features(spark, sf_dir):
+    return featured_listings(spark, sf_dir).where(F.col("split") == "train")
+
+
+@query("target_summary")
+def q_target_summary(spark, sf_dir):
+    out = pf.target_summary(listings(spark, sf_dir))
+    return out.select("n", r("mean").alias("mean"), r("median").alias("median"), "min", "max")
+
+
+@query("category_cardinality")
+def q_category_cardinality(spark, sf_dir):
+    return pf.category_cardinality(listings(spark, sf_dir), ["Location", "Type", "Furnishing"])
+
+
+@query("null_counts")
+def q_null_counts(spark, sf_dir):
+    return pf.null_counts(listings(spark, sf_dir), LISTING_COLUMNS, keep_zero=True)
+
+
+@query("non_finite_counts")
+def q_non_finite_counts(spark, sf_dir):
+    return pf.non_finite_counts(featured_listings(spark, sf_dir), NUMERIC_FEATURES)
+
+
+@query("baseline_profile")
+def q_baseline_profile(spark, sf_dir):
+    out = pf.baseline_profile(train_features(spark, sf_dir), NUMERIC_FEATURES)
+    return out.select("column", *[r(c).alias(c) for c in ("mean", "std", "min", "max", "q25", "q50", "q75")])
+
+
+@query("split_shares")
+def q_split_shares(spark, sf_dir):
+    return pf.split_shares(split_listings(spark, sf_dir))
+
+
+@query("split_mean_ratio")
+def q_split_mean_ratio(spark, sf_dir):
+    out = pf.split_mean_ratio(split_listings(spark, sf_dir))
+    return out.select("split", r("mean").alias("mean"), r("ratio_to_train").alias("ratio_to_train"),
+                      "within_tolerance")
+
+
+@query("split_union")
+def q_split_union(spark, sf_dir):
+    """G1: train and test unioned by name (the serving table), rows per split."""
+    df = split_listings(spark, sf_dir)
+    both = sets.union_splits(df.where("split = 'train'"), df.where("split = 'test'"))
+    return both.groupBy("split").agg(F.count("*").alias("rows"), r(F.avg("Rent")).alias("mean_rent"))
+
+
+@query("split_overlap")
+def q_split_overlap(spark, sf_dir):
+    out = sets.split_overlap(split_listings(spark, sf_dir))
+    return out.select("left", "right", "left_tuples", "overlap", r("share").alias("share"), "ok")
+
+
+@query("feature_target_corr")
+def q_feature_target_corr(spark, sf_dir):
+    out = pf.feature_target_corr(train_features(spark, sf_dir), NUMERIC_FEATURES)
+    return out.select("feature", r("corr").alias("corr"), "low_signal")
+
+
+@query("pairwise_corr")
+def q_pairwise_corr(spark, sf_dir):
+    out = pf.pairwise_corr(train_features(spark, sf_dir), NUMERIC_FEATURES)
+    return out.select("feature_a", "feature_b", r("corr").alias("corr"), "above_bound")
+
+
+@query("top_correlated")
+def q_top_correlated(spark, sf_dir):
+    """The three features most correlated with the target."""
+    out = pf.feature_target_corr(train_features(spark, sf_dir), NUMERIC_FEATURES)
+    return out.orderBy(F.col("corr").desc(), "feature").limit(3).select("feature", r("corr").alias("corr"))
+
+
+@query("samples_per_feature")
+def q_samples_per_feature(spark, sf_dir):
+    return pf.samples_per_feature(split_listings(spark, sf_dir).where("split = 'train'"), len(ALL_FEATURES))
+
+
+@query("feature_collision")
+def q_feature_collision(spark, sf_dir):
+    return pf.feature_collision(listings(spark, sf_dir), COLLISION_FEATURES)
+
+
+@query("contamination_check")
+def q_contamination_check(spark, sf_dir):
+    out = pf.contamination_check(split_listings(spark, sf_dir))
+    return out.select("Location", *[r(c).alias(c) for c in
+                      ("median_all", "median_train", "median_val", "median_test")])
+
+
+# ---------------------------------------------------------------------------
+# Splits, folds, samples, encodings
+# ---------------------------------------------------------------------------
+from hearth.operators import encode as enc  # noqa: E402
+from hearth.operators import split as sp  # noqa: E402
+
+FOLD_SEED = 43   # folds hash with their own seed, independent of the split hash
+
+
+@query("split_assign")
+def q_split_assign(spark, sf_dir):
+    """M1 + W2: strata (location class x target quartile), exact quotas per stratum."""
+    df = sp.strata(listings(spark, sf_dir))
+    out = sp.quota_split(df, LISTING_KEY)
+    return out.select(*LISTING_KEY, "stratum", "split")
+
+
+@query("fold_assign")
+def q_fold_assign(spark, sf_dir):
+    """M3 on the orders table (unique key)."""
+    return sp.fold_assign(read_table(spark, sf_dir, "orders").select("o_orderkey"),
+                          ["o_orderkey"], seed=FOLD_SEED)
+
+
+@query("seeded_sample")
+def q_seeded_sample(spark, sf_dir):
+    """A 100-row seeded sample of the listing table (the sample is the feature)."""
+    return sp.seeded_sample(listings(spark, sf_dir), LISTING_KEY, 100).select(*LISTING_KEY)
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    """E1 sparse: vocabulary fitted on train rows; every row's non-zero slots."""
+    df = split_listings(spark, sf_dir)
+    vocab = enc.fit_vocabulary(df.where("split = 'train'"))
+    return enc.one_hot_long(df, vocab, LISTING_KEY)
+
+
+@query("encoded_columns")
+def q_encoded_columns(spark, sf_dir):
+    """Encoded column names in model order (numeric first)."""
+    df = split_listings(spark, sf_dir)
+    names = enc.encoded_names(enc.fit_vocabulary(df.where("split = 'train'")))
+    order = F.array_position(F.array(*[F.lit(c) for c in ("Location", "Type", "Furnishing")]), F.col("column"))
+    return names.select("encoded_column", order.cast("int").alias("column_order"), "position")
+
+
+@query("target_encode")
+def q_target_encode(spark, sf_dir):
+    """Smoothed target encoding fitted on train, applied to all rows."""
+    df = split_listings(spark, sf_dir)
+    table, prior = enc.fit_target_encoding(df.where("split = 'train'"))
+    out = enc.apply_target_encoding(df, table, prior)
+    return out.select(*LISTING_KEY, *[r(f"{c}_te").alias(f"{c}_te") for c in ("Location", "Type", "Furnishing")])
+
+
+@query("target_encode_oof")
+def q_target_encode_oof(spark, sf_dir):
+    """E2 out-of-fold on train rows."""
+    tr = sp.fold_assign(split_listings(spark, sf_dir).where("split = 'train'"), LISTING_KEY, seed=FOLD_SEED)
+    out = enc.target_encode_oof(tr)
+    return out.select(*LISTING_KEY, "fold",
+                      *[r(f"{c}_te").alias(f"{c}_te") for c in ("Location", "Type", "Furnishing")])

@@ -226,3 +226,162 @@ v AS (SELECT DISTINCT 'Location' AS "column", Location AS value FROM listings
 SELECT "column", value,
        CAST(row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS INTEGER) AS position
 FROM v"""
+
+
+NUMERIC = ["Beds", "Baths", "Area_in_sqft", *DERIVED]
+CATS = ["Location", "Type", "Furnishing"]
+LISTING_COLUMNS = [*LISTING_KEY, "Location", "Type", "Furnishing", "Beds", "Baths", "Area_in_sqft", "Rent"]
+COLLISION = ["Location", "Type", "Furnishing", "Beds", "Baths", "Area_in_sqft"]
+TRF = "(SELECT * FROM feat WHERE split = 'train')"
+
+
+def union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE["target_summary"] = f"""{BASE}
+SELECT count(Rent) AS n, {rd('avg(Rent)', 'mean')}, {rd('quantile_cont(Rent, 0.5)', 'median')},
+       min(Rent) AS min, max(Rent) AS max FROM listings"""
+
+ORACLE["category_cardinality"] = BASE + "\n" + union(
+    [f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_unique FROM listings" for c in CATS])
+
+ORACLE["null_counts"] = BASE + "\n" + union(
+    [f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM listings"
+     for c in LISTING_COLUMNS])
+
+ORACLE["non_finite_counts"] = FEAT + "\n" + union(
+    [f"SELECT '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, "
+     f"CAST(count_if(isnan({c})) AS BIGINT) AS nans, CAST(count_if(isinf({c})) AS BIGINT) AS infs FROM feat" for c in NUMERIC])
+
+ORACLE["baseline_profile"] = FEAT + "\n" + union(
+    [f"SELECT '{c}' AS \"column\", {rd(f'avg({c})', 'mean')}, {rd(f'stddev_samp({c})', 'std')}, "
+     f"{rd(f'min({c})', 'min')}, {rd(f'max({c})', 'max')}, {rd(f'quantile_cont({c}, 0.25)', 'q25')}, "
+     f"{rd(f'quantile_cont({c}, 0.5)', 'q50')}, {rd(f'quantile_cont({c}, 0.75)', 'q75')} FROM {TRF}"
+     for c in NUMERIC])
+
+ORACLE["split_shares"] = f"""{BASE}
+SELECT split, count(*) AS rows, count(*) / sum(count(*)) OVER () AS share FROM split_rows GROUP BY split"""
+
+ORACLE["split_mean_ratio"] = f"""{BASE},
+m AS (SELECT split, avg(Rent) AS mean FROM split_rows GROUP BY split),
+b AS (SELECT mean AS bm FROM m WHERE split = 'train')
+SELECT split, {rd('mean')}, {rd('mean / bm', 'ratio_to_train')},
+       mean / bm >= 0.9 AND mean / bm <= 1.1 AS within_tolerance FROM m CROSS JOIN b"""
+
+ORACLE["split_union"] = f"""{BASE}
+SELECT split, count(*) AS rows, {rd('avg(Rent)', 'mean_rent')} FROM split_rows
+WHERE split IN ('train', 'test') GROUP BY split"""
+
+OV = ", ".join(["Location", "Type", "Beds", "Baths", "Area_in_sqft", "Rent"])
+ORACLE["split_overlap"] = f"""{BASE},
+t AS (SELECT {OV}, max(CAST(split = 'train' AS INTEGER)) AS a, max(CAST(split = 'val' AS INTEGER)) AS v,
+             max(CAST(split = 'test' AS INTEGER)) AS te FROM split_rows GROUP BY {OV}),
+w AS (SELECT sum(a) AS na, sum(v) AS nv, sum(te) AS nte, sum(a * v) AS oav, sum(a * te) AS oat,
+             sum(v * te) AS ovt FROM t),
+p AS (SELECT 'train' AS "left", 'val' AS "right", na AS lt, oav AS ov FROM w
+      UNION ALL SELECT 'train', 'test', na, oat FROM w
+      UNION ALL SELECT 'val', 'test', nv, ovt FROM w)
+SELECT "left", "right", CAST(lt AS BIGINT) AS left_tuples, CAST(ov AS BIGINT) AS overlap,
+       {rd('ov / lt', 'share')}, ov / lt < 0.3 AS ok FROM p"""
+
+ORACLE["feature_target_corr"] = FEAT + "\n" + union(
+    [f"SELECT '{c}' AS feature, {rd(f'corr({c}, Rent)', 'corr')}, abs(corr({c}, Rent)) < 0.1 AS low_signal "
+     f"FROM {TRF}" for c in NUMERIC])
+
+PAIRS = [(a, b) for i, a in enumerate(NUMERIC) for b in NUMERIC[i + 1:]]
+ORACLE["pairwise_corr"] = FEAT + "\n" + union(
+    [f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {rd(f'corr({a}, {b})', 'corr')}, "
+     f"abs(corr({a}, {b})) >= 0.9 AS above_bound FROM {TRF}" for a, b in PAIRS])
+
+ORACLE["top_correlated"] = FEAT + ",\nc AS (" + union(
+    [f"SELECT '{c}' AS feature, corr({c}, Rent) AS corr FROM {TRF}" for c in NUMERIC]) + \
+    f")\nSELECT feature, {rd('corr')} FROM c ORDER BY corr DESC, feature LIMIT 3"
+
+ORACLE["samples_per_feature"] = f"""{BASE}
+SELECT count(*) AS rows, count(*) / 14.0 AS samples_per_feature FROM tr"""
+
+CF = ", ".join(COLLISION)
+ORACLE["feature_collision"] = f"""{BASE},
+bt AS (SELECT {CF}, Rent, count(*) AS c FROM listings GROUP BY {CF}, Rent),
+bf AS (SELECT {CF}, sum(c) AS r, count(*) AS targets, sum(c - 1) AS d FROM bt GROUP BY {CF})
+SELECT CAST(sum(r) AS BIGINT) AS rows, count(*) AS feature_tuples, CAST(sum(d) AS BIGINT) AS duplicate_rows,
+       CAST(sum(CASE WHEN targets > 1 THEN r ELSE 0 END) AS BIGINT) AS conflicting_rows,
+       CAST(count_if(targets > 1) AS BIGINT) AS conflicting_tuples FROM bf"""
+
+ORACLE["contamination_check"] = f"""{BASE}
+SELECT Location, {rd('quantile_cont(Area_in_sqft, 0.5)', 'median_all')},
+       {rd("quantile_cont(Area_in_sqft, 0.5) FILTER (WHERE split = 'train')", 'median_train')},
+       {rd("quantile_cont(Area_in_sqft, 0.5) FILTER (WHERE split = 'val')", 'median_val')},
+       {rd("quantile_cont(Area_in_sqft, 0.5) FILTER (WHERE split = 'test')", 'median_test')}
+FROM split_rows GROUP BY Location"""
+
+ORACLE["split_assign"] = f"""{BASE},
+lc AS (SELECT Location, count(*) AS n FROM listings GROUP BY Location),
+cuts AS (SELECT quantile_cont(Rent, 0.25) AS c25, quantile_cont(Rent, 0.5) AS c50,
+                quantile_cont(Rent, 0.75) AS c75 FROM listings),
+st AS (SELECT l.*, concat_ws('#', CASE WHEN lc.n >= 10 THEN l.Location ELSE '__rare__' END,
+              CAST(1 + CAST(Rent > c25 AS INTEGER) + CAST(Rent > c50 AS INTEGER) + CAST(Rent > c75 AS INTEGER)
+                   AS VARCHAR)) AS stratum, {H} AS h
+       FROM listings l JOIN lc ON lc.Location = l.Location CROSS JOIN cuts),
+rk AS (SELECT *, (rank() OVER (PARTITION BY stratum ORDER BY h) - 1)
+                 / count(*) OVER (PARTITION BY stratum) AS pos FROM st)
+SELECT {KEYS}, stratum, CASE WHEN pos < 0.7 THEN 'train' WHEN pos < {0.7 + 0.15!r} THEN 'val'
+                             ELSE 'test' END AS split FROM rk"""
+
+HF = sql_bucket32(["o_orderkey"], 43)
+ORACLE["fold_assign"] = f"SELECT o_orderkey, CAST({HF} % 5 AS INTEGER) AS fold FROM orders"
+
+ORACLE["seeded_sample"] = f"""{BASE}
+SELECT {KEYS} FROM listings ORDER BY {H}, {KEYS} LIMIT 100"""
+
+VOCAB_SQL = """
+vocab AS (SELECT "column", value, row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS position
+          FROM (SELECT DISTINCT 'Location' AS "column", Location AS value FROM tr
+                UNION SELECT DISTINCT 'Type', Type FROM tr
+                UNION SELECT DISTINCT 'Furnishing', Furnishing FROM tr))"""
+
+ORACLE["one_hot"] = f"""{BASE},{VOCAB_SQL},
+melt AS (SELECT {KEYS}, 'Location' AS "column", Location AS value FROM split_rows
+         UNION ALL SELECT {KEYS}, 'Type', Type FROM split_rows
+         UNION ALL SELECT {KEYS}, 'Furnishing', Furnishing FROM split_rows)
+SELECT {', '.join('m.' + k for k in LISTING_KEY)}, m."column" || '_' || m.value AS encoded_column
+FROM melt m JOIN vocab v ON v."column" = m."column" AND v.value = m.value WHERE v.position > 0"""
+
+ORACLE["encoded_columns"] = f"""{BASE},{VOCAB_SQL}
+SELECT "column" || '_' || value AS encoded_column,
+       CAST(CASE "column" WHEN 'Location' THEN 1 WHEN 'Type' THEN 2 ELSE 3 END AS INTEGER) AS column_order,
+       CAST(position AS INTEGER) AS position
+FROM vocab WHERE position > 0"""
+
+
+def te_sql(src: str, c: str) -> str:
+    return (f"te_{c} AS (SELECT {c} AS v, (count(Rent) * avg(Rent) + 10.0 * (SELECT avg(Rent) FROM tr))"
+            f" / (count(Rent) + 10.0) AS e FROM {src} GROUP BY {c})")
+
+
+ORACLE["target_encode"] = f"""{BASE},
+{',\n'.join(te_sql('tr', c) for c in CATS)}
+SELECT {', '.join('s.' + k for k in LISTING_KEY)},
+       {', '.join(rd(f'coalesce(te_{c}.e, (SELECT avg(Rent) FROM tr))', f'{c}_te') for c in CATS)}
+FROM split_rows s {' '.join(f'LEFT JOIN te_{c} ON te_{c}.v = s.{c}' for c in CATS)}"""
+
+HFOLD = sql_bucket32(LISTING_KEY, 43)
+
+
+def oof_sql(c: str) -> str:
+    return f"""by_{c} AS (SELECT {c} AS v, fold, count(Rent) AS n, sum(Rent) AS s FROM trf GROUP BY {c}, fold),
+tot_{c} AS (SELECT v, sum(n) AS nn, sum(s) AS ss FROM by_{c} GROUP BY v),
+oof_{c} AS (SELECT b.v, b.fold, t.nn - b.n AS o_n, t.ss - b.s AS o_s FROM by_{c} b JOIN tot_{c} t ON t.v = b.v)"""
+
+
+ORACLE["target_encode_oof"] = f"""{BASE},
+trf AS (SELECT *, CAST({HFOLD} % 5 AS INTEGER) AS fold FROM tr),
+tot AS (SELECT count(Rent) AS tn, sum(Rent) AS ts FROM trf),
+fp AS (SELECT fold, (max(tot.ts) - sum(Rent)) / (max(tot.tn) - count(Rent)) AS prior
+       FROM trf CROSS JOIN tot GROUP BY fold),
+{',\n'.join(oof_sql(c) for c in CATS)}
+SELECT {', '.join('r.' + k for k in LISTING_KEY)}, r.fold,
+       {', '.join(rd(f'CASE WHEN coalesce(oof_{c}.o_n, 0) > 0 THEN (oof_{c}.o_s + 10.0 * fp.prior) / (oof_{c}.o_n + 10.0) ELSE fp.prior END', f'{c}_te') for c in CATS)}
+FROM trf r JOIN fp ON fp.fold = r.fold
+{' '.join(f'LEFT JOIN oof_{c} ON oof_{c}.v = r.{c} AND oof_{c}.fold = r.fold' for c in CATS)}"""
