@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.constants import PERFORMANCE_TARGETS
+from hearth.functions.features import safe_corr
 
 
 def long_predictions(df: DataFrame, preds: Sequence[str], target: str = "Rent",
@@ -32,7 +33,7 @@ def metric_aggs(target: str = "Rent", prediction: str = "prediction") -> list:
         F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.lit(1.0) - F.try_divide(F.sum(e * e), F.when(sst > 0, sst))).alias("r2"),
         (F.avg(F.abs(F.try_divide(e, y))) * 100).alias("mape"),
-        F.corr(p, y).alias("corr"),
+        safe_corr(p, y).alias("corr"),
     ]
 
 

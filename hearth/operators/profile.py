@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.constants import BASELINE_QUANTILES, LOW_SIGNAL_MIN, MULTICOLLINEARITY_MAX
+from hearth.functions.features import safe_corr
 from hearth.operators.ranks import quantiles
 
 
@@ -102,8 +103,7 @@ def split_mean_ratio(df: DataFrame, target: str = "Rent", split: str = "split",
 # A12-A15 ---------------------------------------------------------------------
 def feature_target_corr(df: DataFrame, features: Sequence[str], target: str = "Rent",
                         low_signal: float = LOW_SIGNAL_MIN) -> DataFrame:
-    wide = df.agg(*[F.corr(F.col(f).cast("double"), F.col(target).cast("double")).alias(f)
-                    for f in features])
+    wide = df.agg(*[safe_corr(f, target).alias(f) for f in features])
     out = wide.unpivot([], list(features), "feature", "corr")
     return out.withColumn("low_signal", F.abs("corr") < low_signal)
 
@@ -112,8 +112,7 @@ def pairwise_corr(df: DataFrame, features: Sequence[str],
                   bound: float = MULTICOLLINEARITY_MAX) -> DataFrame:
     """All feature pairs (a < b in list order) in ONE aggregate."""
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                    for a, b in pairs])
+    wide = df.agg(*[safe_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     out = wide.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                  F.col(f"`{a}|{b}`").alias("corr")) for a, b in pairs])).alias("s")).select("s.*")

@@ -247,7 +247,8 @@ def scored_listings(spark, sf_dir):
              .drop("_loc")
              .join(s.loc_type, (F.col("Location") == F.col("_loc")) & (F.col("Type") == F.col("_typ")), "left")
              .drop("_loc", "_typ")
-             .join(s.typ, F.col("Type") == F.col("_typ"), "left").drop("_typ"))
+             .join(s.typ, F.col("Type") == F.col("_typ"), "left").drop("_typ")
+             .join(s.furn, F.col("Furnishing") == F.col("_furn"), "left").drop("_furn"))
     g = F.lit(s.global_mean)
     lt = F.when(F.col("lt_mean_rent").isNull() | (F.col("lt_mean_rent") == 0), F.col("loc_mean_rent")) \
           .otherwise(F.col("lt_mean_rent"))
@@ -255,10 +256,11 @@ def scored_listings(spark, sf_dir):
         "pred_location_type": F.coalesce(lt, g),
         "pred_type": F.coalesce(F.col("type_mean_rent"), g),
         "pred_global": g.cast("double"),
+        "pred_furnishing": F.coalesce(F.col("furn_mean_rent"), g),
     })
     out = out.withColumn("pred_blend", (F.col("pred_location_type") + F.col("pred_type")
                                         + F.col("pred_global")) / 3)
-    return out.drop("loc_mean_rent", "lt_mean_rent", "type_mean_rent"), s
+    return out.drop("loc_mean_rent", "lt_mean_rent", "type_mean_rent", "furn_mean_rent"), s
 
 
 @query("market_comparison")
@@ -469,3 +471,206 @@ def q_target_encode_oof(spark, sf_dir):
     out = enc.target_encode_oof(tr)
     return out.select(*LISTING_KEY, "fold",
                       *[r(f"{c}_te").alias(f"{c}_te") for c in ("Location", "Type", "Furnishing")])
+
+
+# ---------------------------------------------------------------------------
+# Evaluation and audits
+# ---------------------------------------------------------------------------
+from hearth.constants import FEATURE_RANGES, PREDICTION_RANGE, VALIDATION_RULES  # noqa: E402
+from hearth.operators import audit as au  # noqa: E402
+from hearth.operators import evaluate as ev  # noqa: E402
+
+BASE_MODELS = ["pred_location_type", "pred_type", "pred_furnishing", "pred_global"]
+ENSEMBLE = "pred_blend"
+METRIC_COLS = ["mae", "rmse", "r2", "mape", "corr"]
+
+
+def scored(spark, sf_dir):
+    return scored_listings(spark, sf_dir)[0]
+
+
+@query("metrics_overall")
+def q_metrics_overall(spark, sf_dir):
+    """Q1 + Q2 + Q4: every stand-in model x split in one aggregate."""
+    m = ev.metrics(scored(spark, sf_dir), BASE_MODELS + [ENSEMBLE])
+    return m.select("model", "split", "n", *[r(c).alias(c) for c in METRIC_COLS])
+
+
+def segments(spark, sf_dir):
+    return ev.segment_metrics(scored(spark, sf_dir), BASE_MODELS + [ENSEMBLE], ["Type", "Location"])
+
+
+@query("metrics_by_segment")
+def q_metrics_by_segment(spark, sf_dir):
+    """Q3: metrics per Type and per Location."""
+    return segments(spark, sf_dir).select("model", "split", "segment_kind", "segment", "n",
+                                          *[r(c).alias(c) for c in METRIC_COLS])
+
+
+@query("top_segments")
+def q_top_segments(spark, sf_dir):
+    """The ten best segments (lowest MAE) of the ensemble on test rows."""
+    seg = segments(spark, sf_dir).where(f"model = '{ENSEMBLE}' AND split = 'test'")
+    return ev.top_segments(seg, 10).select("segment_kind", "segment", "n", r("mae").alias("mae"))
+
+
+def test_metrics(spark, sf_dir):
+    m = ev.metrics(scored(spark, sf_dir), BASE_MODELS + [ENSEMBLE])
+    return ev.rank_models(m, BASE_MODELS + [ENSEMBLE])
+
+
+@query("best_model")
+def q_best_model(spark, sf_dir):
+    """Base model with the lowest test MAE (first in list order on ties)."""
+    m = test_metrics(spark, sf_dir).where(f"split = 'test' AND model != '{ENSEMBLE}'")
+    return ev.best_model(m).select("model", r("mae").alias("mae"))
+
+
+@query("improvement")
+def q_improvement(spark, sf_dir):
+    """ensemble vs best base model on test rows."""
+    m = ev.metrics(scored(spark, sf_dir), BASE_MODELS + [ENSEMBLE])
+    out = ev.improvement_row(m, BASE_MODELS, ENSEMBLE)
+    return out.select("best_base_model", *[r(c).alias(c) for c in
+                      ("best_base_mae", "ensemble_mae", "improvement", "improvement_pct")], "verdict")
+
+
+@query("acceptance")
+def q_acceptance(spark, sf_dir):
+    """Q5: ensemble metrics against the performance targets."""
+    m = ev.metrics(scored(spark, sf_dir), [ENSEMBLE])
+    vals = m.select(F.explode(F.array(
+        F.struct(F.concat(F.col("split"), F.lit("_mae")).alias("metric"), F.col("mae").alias("value")),
+        F.struct(F.concat(F.col("split"), F.lit("_r2")).alias("metric"), F.col("r2").alias("value")),
+        F.struct(F.concat(F.col("split"), F.lit("_rmse")).alias("metric"), F.col("rmse").alias("value")),
+    )).alias("s")).select("s.*")
+    out = ev.acceptance(spark, vals)
+    return out.select("metric", r("value").alias("value"), "bound", "direction", "passed")
+
+
+@query("error_bands")
+def q_error_bands(spark, sf_dir):
+    """F16: absolute error, error % and EXCELLENT/GOOD/WARNING band, per split."""
+    e = fx.error_columns(scored(spark, sf_dir).withColumnRenamed(ENSEMBLE, "prediction"))
+    out = ev.error_band_summary(e)
+    return out.select("split", "band", "rows", r("mean_error_pct").alias("mean_error_pct"))
+
+
+@query("prediction_sanity")
+def q_prediction_sanity(spark, sf_dir):
+    """Q11: predictions inside the sanity range and finite."""
+    lo, hi = PREDICTION_RANGE
+    out = au.range_rules(scored(spark, sf_dir), [(c, lo, hi) for c in BASE_MODELS + [ENSEMBLE]])
+    nf = pf.non_finite_counts(scored(spark, sf_dir), BASE_MODELS + [ENSEMBLE])
+    return out.join(nf, "column").select("column", "violations", "rows", "nulls", "nans", "infs")
+
+
+@query("range_rules")
+def q_range_rules(spark, sf_dir):
+    """Q7 on the modelling table."""
+    return au.range_rules(featured_listings(spark, sf_dir), FEATURE_RANGES)
+
+
+@query("validation_rules")
+def q_validation_rules(spark, sf_dir):
+    """Q7 hard/expected bounds on the raw-shaped table (annual rent as price)."""
+    df = listings(spark, sf_dir).select(
+        F.col("Rent").alias("price"), F.col("Area_in_sqft").alias("size"),
+        F.col("Beds").alias("bedrooms"), F.col("Baths").alias("bathrooms"),
+        fx.ratio("Rent", "Area_in_sqft").alias("price_per_sqft"))
+    return au.validation_rules(df, VALIDATION_RULES)
+
+
+@query("formula_check")
+def q_formula_check(spark, sf_dir):
+    """Q9: stored features re-derived, rtol 1e-5."""
+    df = featured_listings(spark, sf_dir)
+    return au.formula_check(df, {
+        "log_area": F.log1p(F.col("Area_in_sqft")),
+        "bath_bed_ratio": F.col("Baths") / (F.col("Beds") + 1),
+        "area_per_bedroom": F.col("Area_in_sqft") / (F.col("Beds") + 1),
+    })
+
+
+@query("drift_check")
+def q_drift_check(spark, sf_dir):
+    """Q13: test-split feature means against the train baseline profile."""
+    df = featured_listings(spark, sf_dir)
+    base = pf.baseline_profile(df.where("split = 'train'"), NUMERIC_FEATURES)
+    cur = pf.baseline_profile(df.where("split = 'test'"), NUMERIC_FEATURES)
+    out = au.drift_check(base, cur)
+    return out.select("column", *[r(c).alias(c) for c in ("base_mean", "base_std", "current_mean", "shift")],
+                      "drift")
+
+
+@query("audit_report")
+def q_audit_report(spark, sf_dir):
+    """Q12: (check, status, value) rows: missing values, feature mismatch,
+    encoder width, share of rows with prediction error above 10 %."""
+    df = featured_listings(spark, sf_dir)
+    nulls = pf.null_counts(df, ALL_FEATURES + [TARGET], keep_zero=True).agg(
+        F.sum("nulls").cast("double").alias("value")).select(
+        F.lit("missing_values").alias("check"),
+        F.when(F.col("value") > 0, "FAIL").otherwise("PASS").alias("status"), "value")
+    missing = [c for c in ALL_FEATURES if c not in df.columns]
+    mismatch = spark.createDataFrame([("feature_mismatch", "FAIL" if missing else "PASS", float(len(missing)))],
+                                     "check STRING, status STRING, value DOUBLE")
+    width = spark.createDataFrame([("encoder_width", "PASS" if len(CATEGORICAL) == 3 else "FAIL",
+                                    float(len(CATEGORICAL)))], "check STRING, status STRING, value DOUBLE")
+    e = fx.error_columns(scored(spark, sf_dir).withColumnRenamed(ENSEMBLE, "prediction"))
+    high = e.agg((F.avg((F.col("error_pct") > 10).cast("double"))).alias("value")).select(
+        F.lit("high_error_share").alias("check"),
+        F.when(F.col("value") > 0, "WARN").otherwise("PASS").alias("status"), r("value").alias("value"))
+    return au.audit_report([nulls, mismatch, width, high])
+
+
+from hearth.constants import CATEGORICAL_FEATURES as CATEGORICAL  # noqa: E402
+
+
+@query("leak_check")
+def q_leak_check(spark, sf_dir):
+    """Q6 (schema check): forbidden target-derived columns in the model table."""
+    return au.forbidden_columns(spark, project.select_features(featured_listings(spark, sf_dir), ALL_FEATURES))
+
+
+@query("type_check")
+def q_type_check(spark, sf_dir):
+    """Q10 (schema check)."""
+    return au.type_conformance(spark, featured_listings(spark, sf_dir), NUMERIC_FEATURES, CATEGORICAL)
+
+
+@query("schema_diff")
+def q_schema_diff(spark, sf_dir):
+    """G3 (schema check): listing table vs modelling manifest columns."""
+    return sets.schema_diff(spark, listings(spark, sf_dir),
+                            project.select_features(featured_listings(spark, sf_dir), ALL_FEATURES))
+
+
+@query("removed_columns")
+def q_removed_columns(spark, sf_dir):
+    """P11 (schema check): columns the manifest projection removes."""
+    df = featured_listings(spark, sf_dir)
+    return project.removed_columns(spark, df.columns, [TARGET] + ALL_FEATURES)
+
+
+# ---------------------------------------------------------------------------
+# Prediction log
+# ---------------------------------------------------------------------------
+from hearth.streaming import hourly  # noqa: E402
+
+
+@query("prediction_hourly")
+def q_prediction_hourly(spark, sf_dir):
+    """Q14 batch: the events table as a prediction log, per hour and type."""
+    out = hourly.hourly_summary(read_table(spark, sf_dir, "events"))
+    return out.select("window_start", "event_type", "requests",
+                      *[r(c).alias(c) for c in ("mean_prediction", "min_prediction", "max_prediction")])
+
+
+@query("prediction_hourly_stream")
+def q_prediction_hourly_stream(spark, sf_dir):
+    """Q14 stream: same summary via Structured Streaming (watermark, append)."""
+    import os
+    path = os.path.join(sf_dir, "events*.parquet")
+    schema = read_table(spark, sf_dir, "events").schema
+    return hourly.hourly_stream(spark, path, schema)

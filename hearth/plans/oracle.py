@@ -68,7 +68,8 @@ DERIVED = ["log_area", "property_rank_in_location", "area_deviation_from_locatio
 
 
 def rd(expr: str, alias: str | None = None, places: int = ROUND) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {places}) AS {alias or expr}"
+    # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding gives.
+    return f"round(CAST({expr} AS DOUBLE), {places}) + 0.0 AS {alias or expr}"
 
 
 ORACLE["listing_features"] = f"""{FEAT}
@@ -175,13 +176,13 @@ ORACLE["market_means"] = f"""{BASE}
 SELECT 'location_type' AS level, Location, Type, CAST(NULL AS VARCHAR) AS Furnishing,
        count(*) AS n, {rd('avg(Rent)', 'mean_rent')} FROM tr GROUP BY Location, Type
 UNION ALL
-SELECT 'location', Location, NULL, NULL, count(*), round(avg(Rent), {ROUND}) FROM tr GROUP BY Location
+SELECT 'location', Location, NULL, NULL, count(*), round(avg(Rent), {ROUND}) + 0.0 FROM tr GROUP BY Location
 UNION ALL
-SELECT 'furnishing', NULL, NULL, Furnishing, count(*), round(avg(Rent), {ROUND}) FROM tr GROUP BY Furnishing
+SELECT 'furnishing', NULL, NULL, Furnishing, count(*), round(avg(Rent), {ROUND}) + 0.0 FROM tr GROUP BY Furnishing
 UNION ALL
-SELECT 'type', NULL, Type, NULL, count(*), round(avg(Rent), {ROUND}) FROM tr GROUP BY Type
+SELECT 'type', NULL, Type, NULL, count(*), round(avg(Rent), {ROUND}) + 0.0 FROM tr GROUP BY Type
 UNION ALL
-SELECT 'global', NULL, NULL, NULL, count(*), round(avg(Rent), {ROUND}) FROM tr"""
+SELECT 'global', NULL, NULL, NULL, count(*), round(avg(Rent), {ROUND}) + 0.0 FROM tr"""
 
 SCORED_SQL = """
 sc AS (
@@ -198,9 +199,9 @@ scored AS (SELECT *, (pred_location_type + pred_type + pred_global) / 3 AS pred_
 ORACLE["market_comparison"] = f"""{FEAT},{SCORED_SQL}
 SELECT {KEYS}, 'Location Average' AS Category, {rd('loc_mr', 'Price')} FROM scored WHERE split = 'test'
 UNION ALL
-SELECT {KEYS}, 'Property Type Average', round(ty_mr, {ROUND}) FROM scored WHERE split = 'test'
+SELECT {KEYS}, 'Property Type Average', round(ty_mr, {ROUND}) + 0.0 FROM scored WHERE split = 'test'
 UNION ALL
-SELECT {KEYS}, 'Your Prediction', round(pred_blend, {ROUND}) FROM scored WHERE split = 'test'"""
+SELECT {KEYS}, 'Your Prediction', round(pred_blend, {ROUND}) + 0.0 FROM scored WHERE split = 'test'"""
 
 ORACLE["location_rank"] = f"""{BASE},
 h AS (SELECT Location, Area_in_sqft, count(*) AS c FROM listings GROUP BY Location, Area_in_sqft),
@@ -385,3 +386,143 @@ SELECT {', '.join('r.' + k for k in LISTING_KEY)}, r.fold,
        {', '.join(rd(f'CASE WHEN coalesce(oof_{c}.o_n, 0) > 0 THEN (oof_{c}.o_s + 10.0 * fp.prior) / (oof_{c}.o_n + 10.0) ELSE fp.prior END', f'{c}_te') for c in CATS)}
 FROM trf r JOIN fp ON fp.fold = r.fold
 {' '.join(f'LEFT JOIN oof_{c} ON oof_{c}.v = r.{c} AND oof_{c}.fold = r.fold' for c in CATS)}"""
+
+
+MODELS = ["pred_location_type", "pred_type", "pred_furnishing", "pred_global", "pred_blend"]
+SCORED2_SQL = SCORED_SQL.replace("coalesce(ty.mr, g.gm) AS pred_type, g.gm AS pred_global",
+                                 "coalesce(ty.mr, g.gm) AS pred_type, g.gm AS pred_global, "
+                                 "coalesce(fu.mr, g.gm) AS pred_furnishing") \
+                        .replace("LEFT JOIN ty ON ty.Type = s.Type\n)",
+                                 "LEFT JOIN ty ON ty.Type = s.Type\n  LEFT JOIN fu ON fu.Furnishing = s.Furnishing\n)")
+SC = f"{FEAT},{SCORED2_SQL}"
+LONG_SQL = ",\nlong AS (" + union(
+    [f"SELECT '{m}' AS model, split, Type, Location, Rent, CAST({m} AS DOUBLE) AS prediction FROM scored"
+     for m in MODELS]) + ")"
+
+
+def metric_sql(p: str = "prediction", y: str = "Rent") -> str:
+    return (f"count(*) AS n, {rd(f'avg(abs({p} - {y}))', 'mae')}, "
+            f"{rd(f'sqrt(avg(({p} - {y}) * ({p} - {y})))', 'rmse')}, "
+            f"{rd(f'CASE WHEN var_pop({y}) > 0 THEN 1 - sum(({p} - {y}) * ({p} - {y})) / (var_pop({y}) * count(*)) END', 'r2')}, "
+            f"{rd(f'avg(abs(({p} - {y}) / {y})) * 100', 'mape')}, "
+            f"{rd(f'CASE WHEN var_pop({p}) > 0 AND var_pop({y}) > 0 THEN corr({p}, {y}) END', 'corr')}")
+
+
+ORACLE["metrics_overall"] = f"""{SC}{LONG_SQL}
+SELECT model, split, {metric_sql()} FROM long GROUP BY model, split"""
+
+SEG_SQL = f"""{SC}{LONG_SQL},
+seg AS (SELECT model, split, 'Type' AS segment_kind, Type AS segment, Rent, prediction FROM long
+        UNION ALL SELECT model, split, 'Location', Location, Rent, prediction FROM long),
+segm AS (SELECT model, split, segment_kind, segment, {metric_sql()},
+                avg(abs(prediction - Rent)) AS raw_mae FROM seg GROUP BY model, split, segment_kind, segment)"""
+
+ORACLE["metrics_by_segment"] = f"""{SEG_SQL}
+SELECT model, split, segment_kind, segment, n, mae, rmse, r2, mape, corr FROM segm"""
+
+ORACLE["top_segments"] = f"""{SEG_SQL}
+SELECT segment_kind, segment, n, mae FROM segm WHERE model = 'pred_blend' AND split = 'test'
+ORDER BY raw_mae, segment_kind, segment LIMIT 10"""
+
+MT_SQL = f"""{SC}{LONG_SQL},
+mt AS (SELECT model, split, avg(abs(prediction - Rent)) AS mae,
+              sqrt(avg((prediction - Rent) * (prediction - Rent))) AS rmse,
+              CASE WHEN var_pop(Rent) > 0 THEN 1 - sum((prediction - Rent) * (prediction - Rent))
+                   / (var_pop(Rent) * count(*)) END AS r2,
+              list_position({MODELS!r}, model) AS ordinal
+       FROM long GROUP BY model, split)"""
+
+ORACLE["best_model"] = f"""{MT_SQL}
+SELECT model, {rd('mae')} FROM mt WHERE split = 'test' AND model != 'pred_blend'
+ORDER BY mae, ordinal LIMIT 1"""
+
+ORACLE["improvement"] = f"""{MT_SQL},
+b AS (SELECT model AS best_base_model, mae AS bm FROM mt WHERE split = 'test' AND model != 'pred_blend'
+      ORDER BY mae, ordinal LIMIT 1),
+e AS (SELECT mae AS em FROM mt WHERE split = 'test' AND model = 'pred_blend')
+SELECT best_base_model, {rd('bm', 'best_base_mae')}, {rd('em', 'ensemble_mae')},
+       {rd('bm - em', 'improvement')}, {rd('(bm - em) * 100.0 / bm', 'improvement_pct')},
+       CASE WHEN bm - em > 0 THEN 'IMPROVED' WHEN bm - em < 0 THEN 'WORSE' ELSE 'EQUAL' END AS verdict
+FROM b CROSS JOIN e"""
+
+ORACLE["acceptance"] = f"""{MT_SQL},
+v AS (SELECT split || '_mae' AS metric, mae AS value FROM mt WHERE model = 'pred_blend'
+      UNION ALL SELECT split || '_r2', r2 FROM mt WHERE model = 'pred_blend'
+      UNION ALL SELECT split || '_rmse', rmse FROM mt WHERE model = 'pred_blend'),
+t AS (SELECT * FROM (VALUES ('test_mae', 15000.0, 'max'), ('test_r2', 0.85, 'min'),
+                            ('test_rmse', 25000.0, 'max'), ('val_mae', 15500.0, 'max'))
+      AS t(metric, bound, direction))
+SELECT v.metric, {rd('v.value', 'value')}, CAST(t.bound AS DOUBLE) AS bound, t.direction,
+       CASE WHEN t.direction = 'max' THEN v.value <= t.bound ELSE v.value >= t.bound END AS passed
+FROM v JOIN t ON t.metric = v.metric"""
+
+ERR_SQL = """
+err AS (SELECT split, abs(pred_blend - Rent) * 100.0 / Rent AS error_pct FROM scored),
+band AS (SELECT split, error_pct, CASE WHEN error_pct < 5 THEN 'EXCELLENT' WHEN error_pct < 10 THEN 'GOOD'
+                                       ELSE 'WARNING' END AS band FROM err)"""
+
+ORACLE["error_bands"] = f"""{SC},{ERR_SQL}
+SELECT split, band, count(*) AS rows, {rd('avg(error_pct)', 'mean_error_pct')} FROM band GROUP BY split, band"""
+
+ORACLE["prediction_sanity"] = SC + "\n" + union(
+    [f"SELECT '{m}' AS \"column\", CAST(count_if({m} < 10000 OR {m} > 1000000) AS BIGINT) AS violations, "
+     f"count(*) AS rows, CAST(count_if({m} IS NULL) AS BIGINT) AS nulls, "
+     f"CAST(count_if(isnan({m})) AS BIGINT) AS nans, CAST(count_if(isinf({m})) AS BIGINT) AS infs FROM scored"
+     for m in MODELS])
+
+RANGES = [("Beds", 0, 10), ("Baths", 1, 10), ("Area_in_sqft", 100, 20000), ("log_area", 0, None),
+          ("bath_bed_ratio", 0, 10), ("area_per_bedroom", 50, 10000), ("Rent", 10000, 10000000)]
+
+
+def range_sql(c, lo, hi) -> str:
+    conds = ([f"{c} < {lo}"] if lo is not None else []) + ([f"{c} > {hi}"] if hi is not None else [])
+    lo_s = "NULL" if lo is None else f"{float(lo)!r}"
+    hi_s = "NULL" if hi is None else f"{float(hi)!r}"
+    return (f"SELECT '{c}' AS \"column\", CAST({lo_s} AS DOUBLE) AS min, CAST({hi_s} AS DOUBLE) AS max, "
+            f"CAST(count_if({' OR '.join(conds)}) AS BIGINT) AS violations, count(*) AS rows, "
+            f"count_if({' OR '.join(conds)}) = 0 AS passed FROM feat")
+
+
+ORACLE["range_rules"] = FEAT + "\n" + union([range_sql(*x) for x in RANGES])
+
+VR = [("price", 10000, 1000000, 25000, 450000), ("size", 100, 10000, 250, 5000),
+      ("bedrooms", 0, 10, None, None), ("bathrooms", 1, 10, None, None), ("price_per_sqft", 40, 300, None, None)]
+
+
+def vr_sql(c, hmin, hmax, emin, emax) -> str:
+    exp = " OR ".join(([f"{c} < {emin}"] if emin is not None else []) + ([f"{c} > {emax}"] if emax is not None else [])) or "false"
+    return (f"SELECT '{c}' AS \"column\", CAST(count_if({c} < {hmin} OR {c} > {hmax}) AS BIGINT) AS hard_violations, "
+            f"CAST(count_if({exp}) AS BIGINT) AS outside_expected FROM raw")
+
+
+ORACLE["validation_rules"] = f"""{BASE},
+raw AS (SELECT Rent AS price, Area_in_sqft AS size, Beds AS bedrooms, Baths AS bathrooms,
+               Rent / Area_in_sqft AS price_per_sqft FROM listings)
+""" + union([vr_sql(*x) for x in VR])
+
+ORACLE["formula_check"] = FEAT + "\n" + union([
+    f"SELECT '{n}' AS feature, CAST(count_if(abs({n} - ({e})) > 1e-5 * abs({e})) AS BIGINT) AS mismatches FROM feat"
+    for n, e in [("log_area", "ln(1 + Area_in_sqft)"), ("bath_bed_ratio", "Baths / (Beds + 1)"),
+                 ("area_per_bedroom", "Area_in_sqft / (Beds + 1)")]])
+
+ORACLE["drift_check"] = FEAT + "\n" + union([
+    f"SELECT '{c}' AS \"column\", {rd(f'avg({c}) FILTER (WHERE split = {chr(39)}train{chr(39)})', 'base_mean')}, "
+    f"{rd(f'stddev_samp({c}) FILTER (WHERE split = {chr(39)}train{chr(39)})', 'base_std')}, "
+    f"{rd(f'avg({c}) FILTER (WHERE split = {chr(39)}test{chr(39)})', 'current_mean')}, "
+    f"{rd(f'abs(avg({c}) FILTER (WHERE split = {chr(39)}test{chr(39)}) - avg({c}) FILTER (WHERE split = {chr(39)}train{chr(39)})) / nullif(stddev_samp({c}) FILTER (WHERE split = {chr(39)}train{chr(39)}), 0)', 'shift')}, "
+    f"coalesce(abs(avg({c}) FILTER (WHERE split = 'test') - avg({c}) FILTER (WHERE split = 'train')) "
+    f"/ nullif(stddev_samp({c}) FILTER (WHERE split = 'train'), 0) > 0.1, false) AS drift FROM feat"
+    for c in NUMERIC])
+
+ORACLE["audit_report"] = f"""{SC},{ERR_SQL}
+SELECT 'missing_values' AS "check", 'PASS' AS status, 0.0 AS value
+UNION ALL SELECT 'feature_mismatch', 'PASS', 0.0
+UNION ALL SELECT 'encoder_width', 'PASS', 3.0
+UNION ALL SELECT 'high_error_share', CASE WHEN avg(CAST(error_pct > 10 AS DOUBLE)) > 0 THEN 'WARN' ELSE 'PASS' END,
+                 round(avg(CAST(error_pct > 10 AS DOUBLE)), {ROUND}) + 0.0 FROM err"""
+
+ORACLE["prediction_hourly"] = f"""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,
+       count(*) AS requests, {rd('avg(value)', 'mean_prediction')}, {rd('min(value)', 'min_prediction')},
+       {rd('max(value)', 'max_prediction')}
+FROM events GROUP BY 1, 2"""
