@@ -674,3 +674,119 @@ def q_prediction_hourly_stream(spark, sf_dir):
     path = os.path.join(sf_dir, "events*.parquet")
     schema = read_table(spark, sf_dir, "events").schema
     return hourly.hourly_stream(spark, path, schema)
+
+
+# ---------------------------------------------------------------------------
+# Modelling (M4-M10, M6 sums) and run artefacts
+# ---------------------------------------------------------------------------
+from hearth.plans import stacking  # noqa: E402
+
+META_XS = ["pred_location_type", "pred_type", "pred_furnishing"]
+
+
+def stand_in_meta(spark, sf_dir):
+    """Train rows with the stand-in predictions as meta-features and folds."""
+    tr = scored(spark, sf_dir).where("split = 'train'")
+    tr = sp.fold_assign(tr, LISTING_KEY, seed=FOLD_SEED, name="fold")
+    return sp.fold_assign(tr, LISTING_KEY, seed=FOLD_SEED + 1, name="cv_fold")
+
+
+@query("ridge_sums")
+def q_ridge_sums(spark, sf_dir):
+    """M6 sufficient statistics per fold: n and means of x, y, x*x', x*y, with
+    rents in thousands (so the compared products stay within double precision)."""
+    meta = stand_in_meta(spark, sf_dir).select(
+        "fold", *[(F.col(c) / 1000).alias(c) for c in META_XS + [TARGET]])
+    sums = stacking.moment_sums(meta, META_XS, TARGET, "fold")
+    means = [r(F.col(c) / F.col("n")).alias(c.replace("s_", "mean_", 1)) for c in sums.columns if c.startswith("s_")]
+    return sums.select("fold", "n", *means)
+
+
+@query("ridge_fit")
+def q_ridge_fit(spark, sf_dir):
+    """M7 + M6: alpha by CV MAE, coefficients on all train rows (stand-in meta)."""
+    rd_ = stacking.fit_ridge(stand_in_meta(spark, sf_dir), META_XS)
+    rows = [(float(a), float(m), float(a) == rd_.alpha) for a, m in sorted(rd_.cv_mae.items())]
+    cv = spark.createDataFrame(rows, "alpha DOUBLE, cv_mae DOUBLE, chosen BOOLEAN")
+    coef = spark.createDataFrame([("intercept", rd_.intercept)] + list(zip(rd_.xs, rd_.coef)),
+                                 "term STRING, weight DOUBLE")
+    return cv.withColumn("_k", F.lit(1)).join(F.broadcast(coef.withColumn("_k", F.lit(1))), "_k").drop("_k")
+
+
+def _stacked(spark, sf_dir):
+    return stacking.train_stacked(split_listings(spark, sf_dir), LISTING_KEY)
+
+
+@query("oof_stack")
+def q_oof_stack(spark, sf_dir):
+    """M5: out-of-fold predictions of the three Spark ML learners (train rows)."""
+    learners = stacking.base_learners()
+    df = split_listings(spark, sf_dir)
+    tr_raw = df.where("split = 'train'")
+    s = st.fit_listing_stats(tr_raw)
+    tr = st.listing_features(tr_raw, s)
+    encoder = stacking.fit_encoder(tr)
+    tr = sp.fold_assign(encoder.transform(tr), LISTING_KEY, seed=FOLD_SEED)
+    meta = stacking.oof_meta_features(tr, learners)
+    return meta.select(*LISTING_KEY, "fold", "Rent", *[e.getPredictionCol() for e in learners.values()])
+
+
+@query("stacked_metrics")
+def q_stacked_metrics(spark, sf_dir):
+    """M9 + Q1: base learners and the stacked ridge on val/test rows."""
+    model, _ = _stacked(spark, sf_dir)
+    df = split_listings(spark, sf_dir).where("split != 'train'")
+    out = model.score(df)
+    preds = [*[e for e in model.ridge.xs], "prediction"]
+    return ev.metrics(out, preds)
+
+
+@query("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Raw request rows (the test split) scored end to end, with the
+    market comparison columns."""
+    model, _ = _stacked(spark, sf_dir)
+    req = split_listings(spark, sf_dir).where("split = 'test'").drop("Rent")
+    out = model.score(req)
+    return out.select(*LISTING_KEY, "Location", "Type", "Furnishing", "prediction",
+                      (F.col("prediction") / 12).alias("monthly_prediction"))
+
+
+@query("grid_search")
+def q_grid_search(spark, sf_dir):
+    """M8: parameter grid fitted on train, scored on val (MAE), all fits in one
+    ``fitMultiple`` call."""
+    from pyspark.ml.tuning import ParamGridBuilder
+    df = split_listings(spark, sf_dir)
+    tr_raw = df.where("split = 'train'")
+    s = st.fit_listing_stats(tr_raw)
+    encoder = stacking.fit_encoder(st.listing_features(tr_raw, s))
+    tr = encoder.transform(st.listing_features(tr_raw, s)).persist()
+    va = encoder.transform(st.listing_features(df.where("split = 'val'"), s))
+    est = stacking.base_learners()["gbt_deep"]
+    grid = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).addGrid(est.stepSize, [0.05, 0.1]).build()
+    rows = []
+    for i, m in est.fitMultiple(tr, grid):
+        mae = m.transform(va).agg(F.avg(F.abs(F.col("pred_gbt_deep") - F.col("Rent")))).first()[0]
+        rows.append((int(grid[i][est.maxDepth]), float(grid[i][est.stepSize]), float(mae)))
+    tr.unpersist()
+    return spark.createDataFrame(rows, "max_depth INT, step_size DOUBLE, val_mae DOUBLE")
+
+
+@query("run_metadata")
+def q_run_metadata(spark, sf_dir):
+    """One run-metadata row (counts per split, manifest, removed columns, metrics)."""
+    from hearth.sources.sinks import run_metadata
+    df = featured_listings(spark, sf_dir)
+    counts = df.groupBy("split").agg(F.count("*").alias("rows"))
+    removed = sorted(set(df.columns) - set([TARGET] + ALL_FEATURES))
+    m = ev.metrics(scored(spark, sf_dir), [ENSEMBLE]).where("split = 'test'").first()
+    return run_metadata(counts, ALL_FEATURES, removed, {"test_mae": m["mae"], "test_r2": m["r2"]})
+
+
+@query("prediction_log")
+def q_prediction_log(spark, sf_dir):
+    """Scored test rows as prediction-log rows (stand-in ensemble)."""
+    from hearth.sources.sinks import prediction_log
+    sc = scored(spark, sf_dir).where("split = 'test'").withColumnRenamed(ENSEMBLE, "prediction")
+    return prediction_log(sc, ["Location", "Type", "Area_in_sqft", "Beds"])

@@ -526,3 +526,18 @@ SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, ev
        count(*) AS requests, {rd('avg(value)', 'mean_prediction')}, {rd('min(value)', 'min_prediction')},
        {rd('max(value)', 'max_prediction')}
 FROM events GROUP BY 1, 2"""
+
+
+XS = ["pred_location_type", "pred_type", "pred_furnishing"]
+HF1 = sql_bucket32(LISTING_KEY, 43)
+RS_TERMS = [(f"mean_{c}", c) for c in [*XS, "Rent"]]
+for i, a in enumerate(XS):
+    for b in XS[i:]:
+        RS_TERMS.append((f"mean_{a}__{b}", f"{a} * {b}"))
+    RS_TERMS.append((f"mean_{a}__Rent", f"{a} * Rent"))
+
+ORACLE["ridge_sums"] = f"""{SC},
+m AS (SELECT CAST({HF1} % 5 AS INTEGER) AS fold, {', '.join(f'{c} / 1000 AS {c}' for c in [*XS, 'Rent'])}
+      FROM scored WHERE split = 'train')
+SELECT fold, count(*) AS n, {', '.join(rd(f'sum({e}) / count(*)', n) for n, e in RS_TERMS)}
+FROM m GROUP BY fold"""
