@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from hearth.constants import (BROADCAST_MAX_ROWS, DEGENERATE_PREMIUM, UNKNOWN_RANK,
                               UNKNOWN_REGION_MEAN)
 from hearth.functions.features import ratio
-from hearth.operators.joins import bounded, join_small, materialise
+from hearth.operators.joins import join_small, materialise
 from hearth.operators.ranks import quantiles, value_ranks
 
 
@@ -41,30 +41,34 @@ class ListingStats:
 
 def fit_listing_stats(train: DataFrame, loc: str = "Location", typ: str = "Type",
                       furn: str = "Furnishing", area: str = "Area_in_sqft",
-                      target: str = "Rent") -> ListingStats:
-    g = (train.groupingSets([[loc, typ], [loc], [furn], [typ], []], loc, typ, furn)
+                      target: str = "Rent", max_rows: int = BROADCAST_MAX_ROWS) -> ListingStats:
+    """ONE pass over the training rows: grouping sets give the five target-mean
+    levels, the location area moments and the (location, area) histogram."""
+    g = (train.groupingSets([[loc, typ], [loc], [furn], [typ], [], [loc, area]], loc, typ, furn, area)
          .agg(F.grouping_id().alias("_gid"), F.count("*").alias("_n"),
               F.avg(target).alias("_mean_rent"), F.avg(area).alias("_mean_area"),
               F.stddev_samp(area).alias("_std_area")))
     g, _ = materialise(g)
-    # grouping_id bits follow (loc, typ, furn): 1 = column aggregated away.
-    loc_t = g.filter("_gid = 3").select(
-        F.col(loc).alias("_loc"), F.col("_n").alias("loc_n"),
-        F.col("_mean_area").alias("loc_mean_area"), F.col("_std_area").alias("loc_std_area"),
-        F.col("_mean_rent").alias("loc_mean_rent"))
-    lt_t = g.filter("_gid = 1").select(F.col(loc).alias("_loc"), F.col(typ).alias("_typ"),
-                                       F.col("_mean_rent").alias("lt_mean_rent"))
-    furn_t = g.filter("_gid = 6").select(F.col(furn).alias("_furn"),
-                                         F.col("_mean_rent").alias("furn_mean_rent"))
-    typ_t = g.filter("_gid = 5").select(F.col(typ).alias("_typ"),
-                                        F.col("_mean_rent").alias("type_mean_rent"))
-    glob = g.filter("_gid = 7").select("_mean_rent").first()
-    loc_t, lt_t, furn_t, typ_t = (bounded(t) for t in (loc_t, lt_t, furn_t, typ_t))
-    hist, _ = materialise(train.filter(F.col(area).isNotNull())
-                          .groupBy(F.col(loc).alias("_loc"), F.col(area).alias("_area"))
-                          .agg(F.count("*").alias("cnt")))
-    return ListingStats(loc_t, lt_t, furn_t, typ_t, hist,
-                        None if glob is None else glob[0],
+    # grouping_id bits follow (loc, typ, furn, area) = (8, 4, 2, 1); 1 = aggregated away.
+    levels = {r["_gid"]: (r["_n_rows"], r["_g_mean"])
+              for r in g.groupBy("_gid").agg(F.count("*").alias("_n_rows"),
+                                             F.first("_mean_rent").alias("_g_mean")).collect()}
+
+    def fitted(gid: int, *cols) -> DataFrame:
+        t = g.filter(F.col("_gid") == gid).select(*cols)
+        return F.broadcast(t) if levels.get(gid, (0, None))[0] <= max_rows else t
+
+    loc_t = fitted(7, F.col(loc).alias("_loc"), F.col("_n").alias("loc_n"),
+                   F.col("_mean_area").alias("loc_mean_area"), F.col("_std_area").alias("loc_std_area"),
+                   F.col("_mean_rent").alias("loc_mean_rent"))
+    lt_t = fitted(3, F.col(loc).alias("_loc"), F.col(typ).alias("_typ"),
+                  F.col("_mean_rent").alias("lt_mean_rent"))
+    furn_t = fitted(13, F.col(furn).alias("_furn"), F.col("_mean_rent").alias("furn_mean_rent"))
+    typ_t = fitted(11, F.col(typ).alias("_typ"), F.col("_mean_rent").alias("type_mean_rent"))
+    hist = g.filter((F.col("_gid") == 6) & F.col(area).isNotNull()).select(
+        F.col(loc).alias("_loc"), F.col(area).alias("_area"), F.col("_n").alias("cnt"))
+    glob = levels.get(15, (0, None))[1]
+    return ListingStats(loc_t, lt_t, furn_t, typ_t, hist, glob,
                         dict(loc=loc, typ=typ, furn=furn, area=area, target=target))
 
 

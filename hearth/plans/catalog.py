@@ -186,8 +186,7 @@ def customer_requests(spark, sf_dir):
     """Request batch derived from the customer table (location = nation name)."""
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    from hearth.operators.joins import join_small
-    c = join_small(cust, nation, cust.c_nationkey == nation.n_nationkey, "left")
+    c = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left")  # 25 rows, fixed
     return c.select(
         "c_custkey",
         F.pmod("c_custkey", F.lit(7)).cast("int").alias("bedrooms"),
