@@ -108,3 +108,27 @@ def audit_report(checks: Sequence[DataFrame]) -> DataFrame:
     for c in checks[1:]:
         out = out.unionByName(c)
     return out
+
+
+def psi(base: DataFrame, current: DataFrame, cols: Sequence[str], eps: float = 1e-4) -> DataFrame:
+    """Q13 option: population stability index per column over the baseline's
+    quartile bins: sum((cur - base) * ln(cur / base)) of bin shares, shares
+    floored at ``eps``.  Cut points are exact baseline quartiles; the cut table
+    has one row per column (fixed size), so it is broadcast."""
+    from hearth.operators.profile import melt
+    from hearth.operators.ranks import quantiles
+    cuts = quantiles(melt(base, cols), ["column"], "value", [0.25, 0.5, 0.75], ["c1", "c2", "c3"]).drop("n")
+
+    def shares(df: DataFrame, side: str) -> DataFrame:
+        b = melt(df, cols).join(F.broadcast(cuts), "column").select(
+            "column", (F.lit(1) + (F.col("value") > F.col("c1")).cast("int") + (F.col("value") > F.col("c2")).cast("int")
+                       + (F.col("value") > F.col("c3")).cast("int")).alias("bin"))
+        c = b.groupBy("column", "bin").agg(F.count("*").alias("_n"))
+        from pyspark.sql import Window
+        # over the <= 4 bin rows of each column, not over data rows
+        return c.select("column", "bin", (F.col("_n") / F.sum("_n").over(Window.partitionBy("column"))).alias(side))
+
+    j = shares(base, "base_share").join(shares(current, "current_share"), ["column", "bin"], "full")
+    bs = F.greatest(F.coalesce("base_share", F.lit(0.0)), F.lit(eps))
+    cs = F.greatest(F.coalesce("current_share", F.lit(0.0)), F.lit(eps))
+    return j.groupBy("column").agg(F.sum((cs - bs) * F.log(cs / bs)).alias("psi"))

@@ -33,10 +33,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate table reused by several later steps: a
-    reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
-    executor loss, unlike a local checkpoint), so later actions read it
-    instead of recomputing the upstream plan."""
+    """Materialise an intermediate table reused by several later steps as a
+    parquet table in the shared ``spark.checkpoint.dir``: it survives executor
+    loss (unlike a local checkpoint), later actions read it instead of
+    recomputing the upstream plan, and, being columnar, each later pass reads
+    only the columns it needs."""
+    import os
+    import uuid
     from hearth.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = os.path.join(checkpoint_dir(df.sparkSession), f"table-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -108,14 +108,26 @@ def feature_target_corr(df: DataFrame, features: Sequence[str], target: str = "R
     return out.withColumn("low_signal", F.abs("corr") < low_signal)
 
 
+def corr_matrix(df: DataFrame, cols: Sequence[str]) -> list[list[float | None]]:
+    """Pearson correlation matrix of ``cols`` in ONE distributed pass (Spark ML
+    ``Correlation``: a tree-aggregated Gramian).  The result is |cols|^2 numbers,
+    bounded by the feature count, not by the data.  Rows with a NULL in any
+    column are skipped; a constant column gives NULL correlations."""
+    import math
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    return [[None if math.isnan(x) else float(x) for x in row] for row in m]
+
+
 def pairwise_corr(df: DataFrame, features: Sequence[str],
                   bound: float = MULTICOLLINEARITY_MAX) -> DataFrame:
-    """All feature pairs (a < b in list order) in ONE aggregate."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    wide = df.agg(*[safe_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    out = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                 F.col(f"`{a}|{b}`").alias("corr")) for a, b in pairs])).alias("s")).select("s.*")
+    """All feature pairs (a < b in list order) from one correlation-matrix pass."""
+    m = corr_matrix(df, features)
+    rows = [(a, b, m[i][j]) for i, a in enumerate(features) for j, b in enumerate(features) if j > i]
+    out = df.sparkSession.createDataFrame(rows, "feature_a STRING, feature_b STRING, corr DOUBLE")
     return out.withColumn("above_bound", F.abs("corr") >= bound)
 
 

@@ -91,8 +91,18 @@ def quantiles_from_ranks(ranks: DataFrame, keys: Sequence[str], value: str,
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-              names: Sequence[str] | None = None, slices: int = RANK_SLICES) -> DataFrame:
-    return quantiles_from_ranks(value_ranks(df, keys, value, slices=slices), keys, value, probs, names)
+              names: Sequence[str] | None = None, slices: int = RANK_SLICES,
+              exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """Exact linear-interpolation quantiles by default; ``exact=False`` uses the
+    bounded-memory ``percentile_approx`` sketch in one aggregate instead."""
+    if exact:
+        return quantiles_from_ranks(value_ranks(df, keys, value, slices=slices), keys, value, probs, names)
+    names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
+    df, gk = _group_keys(df.filter(F.col(value).isNotNull()), keys)
+    q = F.percentile_approx(F.col(value).cast("double"), list(probs), accuracy)
+    out = df.groupBy(*gk).agg(F.count("*").alias("n"), q.alias("_q"))
+    out = out.select(*gk, "n", *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
+    return out if keys else out.drop(_ALL)
 
 
 def median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",

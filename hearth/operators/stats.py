@@ -142,20 +142,26 @@ def listing_features(df: DataFrame, stats: ListingStats, beds: str = "Beds",
 def region_features(df: DataFrame, region: str = "address_region", price: str = "price",
                     max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """region_price_mean/median/std per region joined back (left); groups
-    without a value (e.g. a one-row std) are filled with the global value."""
-    moments = df.groupBy(region).agg(F.avg(price).alias("region_price_mean"),
-                                     F.stddev_samp(price).alias("region_price_std"))
-    med = quantiles(df, [region], price, [0.5], ["region_price_median"]).drop("n")
-    stats = moments.join(med, region, "left")
-    # Global fill values: one aggregate row (mean, std) and one exact median.
-    g = df.agg(F.avg(price).alias("g_mean"), F.stddev_samp(price).alias("g_std")).first()
-    gmed = quantiles(df, [], price, [0.5], ["g_median"]).first()
-    g_median = None if gmed is None else gmed["g_median"]
-    out = join_small(df, stats, region, "left", max_rows)
+    without a value (e.g. a one-row std) are filled with the global value.
+    Per-region and global statistics come from the same passes: a rollup for
+    the moments and one exact-quantile run over (region rows + an 'all' copy)."""
+    mom = df.rollup(region).agg(F.grouping_id().alias("_gid"), F.avg(price).alias("_m"),
+                                F.stddev_samp(price).alias("_s"))
+    tagged = df.select(F.lit(0).alias("_lvl"), F.col(region).alias("_r"), price).unionByName(
+        df.select(F.lit(1).alias("_lvl"), F.lit(None).cast(df.schema[region].dataType).alias("_r"), price))
+    med = quantiles(tagged, ["_lvl", "_r"], price, [0.5], ["_md"]).drop("n")
+    stats, _ = materialise(
+        mom.select((F.col("_gid") > 0).cast("int").alias("_lvl"), F.col(region).alias("_r"), "_m", "_s")
+           .join(med, ["_lvl", "_r"], "left"))
+    g = stats.where("_lvl = 1").first()
+    per = stats.where("_lvl = 0").select(F.col("_r").alias(region), F.col("_m").alias("region_price_mean"),
+                                         F.col("_md").alias("region_price_median"),
+                                         F.col("_s").alias("region_price_std"))
+    out = join_small(df, per, region, "left", max_rows)
     return out.withColumns({
-        "region_price_mean": F.coalesce("region_price_mean", F.lit(g["g_mean"])),
-        "region_price_median": F.coalesce("region_price_median", F.lit(g_median)),
-        "region_price_std": F.coalesce("region_price_std", F.lit(g["g_std"])),
+        "region_price_mean": F.coalesce("region_price_mean", F.lit(g["_m"] if g else None)),
+        "region_price_median": F.coalesce("region_price_median", F.lit(g["_md"] if g else None)),
+        "region_price_std": F.coalesce("region_price_std", F.lit(g["_s"] if g else None)),
     })
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.constants import NUMERIC_FEATURES, ROUND
+from hearth.operators.joins import cut_lineage
 from hearth.operators.split import hash_split
 from hearth.operators.stats import fit_listing_stats, listing_features as add_listing_features
 from hearth.sources.tables import LISTING_KEY, listings
@@ -34,16 +35,24 @@ def r(c, places: int = ROUND):
     return F.round(F.col(c).cast("double"), places) if isinstance(c, str) else F.round(c, places)
 
 
-def split_listings(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    """The listing view with the default hash split column."""
-    return hash_split(listings(spark, sf_dir, **kw), LISTING_KEY)
+def split_listings(spark: SparkSession, sf_dir: str, materialise: bool = False, **kw) -> DataFrame:
+    """The listing view with the default hash split column.  ``materialise``
+    writes it once as parquet for flows that pass over it several times
+    (fit on train, rank probes, apply), as a stored split table would be."""
+    df = hash_split(listings(spark, sf_dir, **kw), LISTING_KEY)
+    return cut_lineage(df) if materialise else df
 
 
-def featured_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split -> fit statistics on train rows -> apply to every row (M2)."""
-    df = split_listings(spark, sf_dir)
+def featured_listings(spark: SparkSession, sf_dir: str, materialise: bool = False) -> DataFrame:
+    """Split -> fit statistics on train rows -> apply to every row (M2).
+
+    ``materialise`` writes the feature table once (reliable checkpoint) for
+    queries that make several passes over it, instead of recomputing the
+    scan, joins and feature joins for every pass."""
+    df = split_listings(spark, sf_dir, materialise=True)
     stats = fit_listing_stats(df.filter(F.col("split") == "train"))
-    return add_listing_features(df, stats)
+    out = add_listing_features(df, stats)
+    return cut_lineage(out) if materialise else out
 
 
 DERIVED = [c for c in NUMERIC_FEATURES if c not in ("Beds", "Baths", "Area_in_sqft")]
@@ -177,7 +186,7 @@ from hearth.operators import stats as st  # noqa: E402
 @query("region_stats")
 def q_region_stats(spark, sf_dir):
     """A1 + A2 + J1 in-table: per-location mean/median/std of rent joined back."""
-    out = st.region_features(listings(spark, sf_dir), region="Location", price="Rent")
+    out = st.region_features(cut_lineage(listings(spark, sf_dir)), region="Location", price="Rent")
     return out.select(*LISTING_KEY, "Location", *[r(c).alias(c) for c in
                       ("region_price_mean", "region_price_median", "region_price_std")])
 
@@ -240,7 +249,7 @@ def scored_listings(spark, sf_dir):
     """Listings with deterministic stand-in predictions from train statistics:
     location x type mean (-> location mean -> global), type mean, global mean,
     and their average as the 'blend'."""
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, materialise=True)
     s = st.fit_listing_stats(df.filter(F.col("split") == "train"))
     out = (df.join(s.loc.select("_loc", "loc_mean_rent"), F.col("Location") == F.col("_loc"), "left")
              .drop("_loc")
@@ -259,7 +268,7 @@ def scored_listings(spark, sf_dir):
     })
     out = out.withColumn("pred_blend", (F.col("pred_location_type") + F.col("pred_type")
                                         + F.col("pred_global")) / 3)
-    return out.drop("loc_mean_rent", "lt_mean_rent", "type_mean_rent", "furn_mean_rent"), s
+    return cut_lineage(out.drop("loc_mean_rent", "lt_mean_rent", "type_mean_rent", "furn_mean_rent")), s
 
 
 @query("market_comparison")
@@ -315,7 +324,7 @@ LISTING_COLUMNS = [*LISTING_KEY, "Location", "Type", "Furnishing", "Beds", "Bath
 
 
 def train_features(spark, sf_dir):
-    return featured_listings(spark, sf_dir).where(F.col("split") == "train")
+    return featured_listings(spark, sf_dir, materialise=True).where(F.col("split") == "train")
 
 
 @query("target_summary")
@@ -419,7 +428,7 @@ FOLD_SEED = 43   # folds hash with their own seed, independent of the split hash
 @query("split_assign")
 def q_split_assign(spark, sf_dir):
     """M1 + W2: strata (location class x target quartile), exact quotas per stratum."""
-    df = sp.strata(listings(spark, sf_dir))
+    df = sp.strata(cut_lineage(listings(spark, sf_dir)))
     out = sp.quota_split(df, LISTING_KEY)
     return out.select(*LISTING_KEY, "stratum", "split")
 
@@ -594,7 +603,7 @@ def q_formula_check(spark, sf_dir):
 @query("drift_check")
 def q_drift_check(spark, sf_dir):
     """Q13: test-split feature means against the train baseline profile."""
-    df = featured_listings(spark, sf_dir)
+    df = featured_listings(spark, sf_dir, materialise=True)
     base = pf.baseline_profile(df.where("split = 'train'"), NUMERIC_FEATURES)
     cur = pf.baseline_profile(df.where("split = 'test'"), NUMERIC_FEATURES)
     out = au.drift_check(base, cur)
@@ -602,6 +611,14 @@ def q_drift_check(spark, sf_dir):
                       "drift")
 
 
+@query("drift_psi")
+def q_drift_psi(spark, sf_dir):
+    """Q13 (PSI form): test-split feature distribution vs train quartile bins."""
+    df = featured_listings(spark, sf_dir, materialise=True)
+    out = au.psi(df.where("split = 'train'"), df.where("split = 'test'"), NUMERIC_FEATURES)
+    return out.select("column", r("psi").alias("psi"))
+
+
 @query("audit_report")
 def q_audit_report(spark, sf_dir):
     """Q12: (check, status, value) rows: missing values, feature mismatch,
@@ -703,13 +720,13 @@ def q_ridge_sums(spark, sf_dir):
 
 @query("ridge_fit")
 def q_ridge_fit(spark, sf_dir):
-    """M7 + M6: alpha by CV MAE, coefficients on all train rows (stand-in meta)."""
+    """M7 + M6: alpha by CV MAE, coefficients on all train rows (stand-in meta).
+    Long form: (section, name, value, chosen) for cv scores and coefficients."""
     rd_ = stacking.fit_ridge(stand_in_meta(spark, sf_dir), META_XS)
-    rows = [(float(a), float(m), float(a) == rd_.alpha) for a, m in sorted(rd_.cv_mae.items())]
-    cv = spark.createDataFrame(rows, "alpha DOUBLE, cv_mae DOUBLE, chosen BOOLEAN")
-    coef = spark.createDataFrame([("intercept", rd_.intercept)] + list(zip(rd_.xs, rd_.coef)),
-                                 "term STRING, weight DOUBLE")
-    return cv.withColumn("_k", F.lit(1)).join(F.broadcast(coef.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    rows = [("cv_mae", f"alpha={a}", float(m), float(a) == rd_.alpha) for a, m in sorted(rd_.cv_mae.items())]
+    rows += [("coef", "intercept", rd_.intercept, True)]
+    rows += [("coef", x, float(w), True) for x, w in zip(rd_.xs, rd_.coef)]
+    return spark.createDataFrame(rows, "section STRING, name STRING, value DOUBLE, chosen BOOLEAN")
 
 
 def _stacked(spark, sf_dir):

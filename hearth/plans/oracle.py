@@ -541,3 +541,18 @@ m AS (SELECT CAST({HF1} % 5 AS INTEGER) AS fold, {', '.join(f'{c} / 1000 AS {c}'
       FROM scored WHERE split = 'train')
 SELECT fold, count(*) AS n, {', '.join(rd(f'sum({e}) / count(*)', n) for n, e in RS_TERMS)}
 FROM m GROUP BY fold"""
+
+
+ORACLE["drift_psi"] = FEAT + ",\ncuts AS (" + union(
+    [f"SELECT '{c}' AS c, quantile_cont({c}, 0.25) AS c1, quantile_cont({c}, 0.5) AS c2, "
+     f"quantile_cont({c}, 0.75) AS c3 FROM {TRF}" for c in NUMERIC]) + "),\nbinned AS (" + union(
+    [f"SELECT '{c}' AS c, split, 1 + CAST({c} > c1 AS INTEGER) + CAST({c} > c2 AS INTEGER) "
+     f"+ CAST({c} > c3 AS INTEGER) AS bin FROM feat JOIN cuts ON cuts.c = '{c}' "
+     f"WHERE split IN ('train', 'test')" for c in NUMERIC]) + """),
+shares AS (SELECT c, split, bin, count(*) / sum(count(*)) OVER (PARTITION BY c, split) AS share
+           FROM binned GROUP BY c, split, bin),
+pairs AS (SELECT coalesce(b.c, t.c) AS c, greatest(coalesce(b.share, 0), 1e-4) AS bs,
+                 greatest(coalesce(t.share, 0), 1e-4) AS ts
+          FROM (SELECT * FROM shares WHERE split = 'train') b
+          FULL JOIN (SELECT * FROM shares WHERE split = 'test') t ON b.c = t.c AND b.bin = t.bin)
+SELECT c AS "column", """ + rd("sum((ts - bs) * ln(ts / bs))", "psi") + " FROM pairs GROUP BY c"
