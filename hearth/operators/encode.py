@@ -20,14 +20,16 @@ from hearth.operators.joins import bounded, join_small
 
 
 # E1 --------------------------------------------------------------------------
+def melt_categories(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., column, value) for every categorical column in ONE scan."""
+    return df.select(*keep, *[F.col(c).cast("string").alias(c) for c in cols]) \
+             .unpivot(list(keep), list(cols), "column", "value")
+
+
 def fit_vocabulary(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """(column, value, position): sorted distinct non-null values per column,
     position 0 is the dropped first category.  Size = total distinct values."""
-    vals = None
-    for c in cols:
-        part = train.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) \
-                    .where(F.col(c).isNotNull()).distinct()
-        vals = part if vals is None else vals.unionByName(part)
+    vals = melt_categories(train, cols).where(F.col("value").isNotNull()).distinct()
     # One row per distinct value: this window holds a column's vocabulary, not its rows.
     pos = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
     return bounded(vals.withColumn("position", pos))
@@ -43,10 +45,7 @@ def encoded_names(vocab: DataFrame) -> DataFrame:
 def one_hot_long(df: DataFrame, vocab: DataFrame, keys: Sequence[str],
                  cols: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """Sparse one-hot: one row ``(keys..., encoded_column)`` per value 1."""
-    melted = None
-    for c in cols:
-        part = df.select(*keys, F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-        melted = part if melted is None else melted.unionByName(part)
+    melted = melt_categories(df, cols, keys)
     names = encoded_names(vocab)
     return melted.join(names, ["column", "value"]).select(*keys, "encoded_column")
 
@@ -93,11 +92,8 @@ def fit_target_encoding(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEAT
                         target: str = "Rent", smoothing: float = TARGET_SMOOTHING) -> tuple[DataFrame, float]:
     """(column, value, encoding) with m-estimate (n*mean + m*prior)/(n + m)."""
     prior = train.agg(F.avg(target)).first()[0]
-    stats = None
-    for c in cols:
-        part = train.groupBy(F.col(c).cast("string").alias("value")).agg(
-            F.count(target).alias("n"), F.avg(target).alias("mean")).withColumn("column", F.lit(c))
-        stats = part if stats is None else stats.unionByName(part)
+    stats = melt_categories(train, cols, [target]).groupBy("column", "value").agg(
+        F.count(target).alias("n"), F.avg(target).alias("mean"))
     enc = (F.col("n") * F.col("mean") + F.lit(smoothing * prior)) / (F.col("n") + F.lit(smoothing))
     return bounded(stats.where("value IS NOT NULL").select("column", "value", enc.alias("encoding"))), prior
 
@@ -118,20 +114,25 @@ def target_encode_oof(df: DataFrame, fold: str = "fold", cols: Sequence[str] = C
                       target: str = "Rent", smoothing: float = TARGET_SMOOTHING,
                       suffix: str = "_te") -> DataFrame:
     """Out-of-fold encoding of training rows: each row's encoding uses only the
-    other folds.  One aggregate per column over (value, fold) and the totals;
+    other folds.  ONE aggregate over (column, value, fold) for all columns;
     out-of-fold sums are total minus own fold, so no k separate fits."""
     folds = df.groupBy(fold).agg(F.count(target).alias("_fn"), F.sum(target).alias("_fs"))
     tot = df.agg(F.count(target).alias("_tn"), F.sum(target).alias("_ts"))
     prior_t = bounded(_prior_by_fold(folds, tot, fold))
     out = join_small(df, prior_t, fold, "left")
+    by = melt_categories(df, cols, [fold, target]).groupBy("column", "value", fold).agg(
+        F.count(target).alias("_fold_n"), F.sum(target).alias("_fold_s"))
+    from pyspark.sql import Window
+    # one row per (column, value, fold): at most k rows per window partition
+    per_value = Window.partitionBy("column", "value")
+    oof = bounded(by.select(
+        "column", "value", fold,
+        (F.sum("_fold_n").over(per_value) - F.col("_fold_n")).alias("_on"),
+        (F.sum("_fold_s").over(per_value) - F.col("_fold_s")).alias("_os")))
     for c in cols:
-        by = df.groupBy(F.col(c).alias(f"_v_{c}"), F.col(fold).alias(f"_f_{c}")).agg(
-            F.count(target).alias("_fold_n"), F.sum(target).alias("_fold_s"))
-        totals = by.groupBy(f"_v_{c}").agg(F.sum("_fold_n").alias("_all_n"), F.sum("_fold_s").alias("_all_s"))
-        t = by.join(totals, f"_v_{c}").select(
-            f"_v_{c}", f"_f_{c}", (F.col("_all_n") - F.col("_fold_n")).alias("_on"),
-            (F.col("_all_s") - F.col("_fold_s")).alias("_os"))
-        out = join_small(out, t, (F.col(c) == F.col(f"_v_{c}")) & (F.col(fold) == F.col(f"_f_{c}")), "left")
+        t = oof.where(F.col("column") == c).select(
+            F.col("value").alias(f"_v_{c}"), F.col(fold).alias(f"_f_{c}"), "_on", "_os")
+        out = out.join(t, (F.col(c).cast("string") == F.col(f"_v_{c}")) & (F.col(fold) == F.col(f"_f_{c}")), "left")
         enc = F.when(F.coalesce(F.col("_on"), F.lit(0)) > 0,
                      (F.col("_os") + F.lit(smoothing) * F.col("_oof_prior")) / (F.col("_on") + F.lit(smoothing))) \
                .otherwise(F.col("_oof_prior"))

@@ -31,7 +31,7 @@ def metric_aggs(target: str = "Rent", prediction: str = "prediction") -> list:
         F.count("*").alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.when(sst > 0, sst))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.when(F.max(y) > F.min(y), sst))).alias("r2"),
         (F.avg(F.abs(F.try_divide(e, y))) * 100).alias("mape"),
         safe_corr(p, y).alias("corr"),
     ]

@@ -449,7 +449,7 @@ def q_seeded_sample(spark, sf_dir):
 @query("one_hot")
 def q_one_hot(spark, sf_dir):
     """E1 sparse: vocabulary fitted on train rows; every row's non-zero slots."""
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, materialise=True)
     vocab = enc.fit_vocabulary(df.where("split = 'train'"))
     return enc.one_hot_long(df, vocab, LISTING_KEY)
 
@@ -466,7 +466,7 @@ def q_encoded_columns(spark, sf_dir):
 @query("target_encode")
 def q_target_encode(spark, sf_dir):
     """Smoothed target encoding fitted on train, applied to all rows."""
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, materialise=True)
     table, prior = enc.fit_target_encoding(df.where("split = 'train'"))
     out = enc.apply_target_encoding(df, table, prior)
     return out.select(*LISTING_KEY, *[r(f"{c}_te").alias(f"{c}_te") for c in ("Location", "Type", "Furnishing")])
@@ -475,7 +475,7 @@ def q_target_encode(spark, sf_dir):
 @query("target_encode_oof")
 def q_target_encode_oof(spark, sf_dir):
     """E2 out-of-fold on train rows."""
-    tr = sp.fold_assign(split_listings(spark, sf_dir).where("split = 'train'"), LISTING_KEY, seed=FOLD_SEED)
+    tr = sp.fold_assign(split_listings(spark, sf_dir, materialise=True).where("split = 'train'"), LISTING_KEY, seed=FOLD_SEED)
     out = enc.target_encode_oof(tr)
     return out.select(*LISTING_KEY, "fold",
                       *[r(f"{c}_te").alias(f"{c}_te") for c in ("Location", "Type", "Furnishing")])
@@ -730,14 +730,14 @@ def q_ridge_fit(spark, sf_dir):
 
 
 def _stacked(spark, sf_dir):
-    return stacking.train_stacked(split_listings(spark, sf_dir), LISTING_KEY)
+    return stacking.train_stacked(split_listings(spark, sf_dir, materialise=True), LISTING_KEY)
 
 
 @query("oof_stack")
 def q_oof_stack(spark, sf_dir):
     """M5: out-of-fold predictions of the three Spark ML learners (train rows)."""
     learners = stacking.base_learners()
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, materialise=True)
     tr_raw = df.where("split = 'train'")
     s = st.fit_listing_stats(tr_raw)
     tr = st.listing_features(tr_raw, s)
@@ -751,7 +751,7 @@ def q_oof_stack(spark, sf_dir):
 def q_stacked_metrics(spark, sf_dir):
     """M9 + Q1: base learners and the stacked ridge on val/test rows."""
     model, _ = _stacked(spark, sf_dir)
-    df = split_listings(spark, sf_dir).where("split != 'train'")
+    df = split_listings(spark, sf_dir, materialise=True).where("split != 'train'")
     out = model.score(df)
     preds = [*[e for e in model.ridge.xs], "prediction"]
     return ev.metrics(out, preds)
@@ -762,7 +762,7 @@ def q_batch_score(spark, sf_dir):
     """Raw request rows (the test split) scored end to end, with the
     market comparison columns."""
     model, _ = _stacked(spark, sf_dir)
-    req = split_listings(spark, sf_dir).where("split = 'test'").drop("Rent")
+    req = split_listings(spark, sf_dir, materialise=True).where("split = 'test'").drop("Rent")
     out = model.score(req)
     return out.select(*LISTING_KEY, "Location", "Type", "Furnishing", "prediction",
                       (F.col("prediction") / 12).alias("monthly_prediction"))
@@ -773,7 +773,7 @@ def q_grid_search(spark, sf_dir):
     """M8: parameter grid fitted on train, scored on val (MAE), all fits in one
     ``fitMultiple`` call."""
     from pyspark.ml.tuning import ParamGridBuilder
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, materialise=True)
     tr_raw = df.where("split = 'train'")
     s = st.fit_listing_stats(tr_raw)
     encoder = stacking.fit_encoder(st.listing_features(tr_raw, s))

@@ -403,9 +403,9 @@ LONG_SQL = ",\nlong AS (" + union(
 def metric_sql(p: str = "prediction", y: str = "Rent") -> str:
     return (f"count(*) AS n, {rd(f'avg(abs({p} - {y}))', 'mae')}, "
             f"{rd(f'sqrt(avg(({p} - {y}) * ({p} - {y})))', 'rmse')}, "
-            f"{rd(f'CASE WHEN var_pop({y}) > 0 THEN 1 - sum(({p} - {y}) * ({p} - {y})) / (var_pop({y}) * count(*)) END', 'r2')}, "
+            f"{rd(f'CASE WHEN max({y}) > min({y}) THEN 1 - sum(({p} - {y}) * ({p} - {y})) / (var_pop({y}) * count(*)) END', 'r2')}, "
             f"{rd(f'avg(abs(({p} - {y}) / {y})) * 100', 'mape')}, "
-            f"{rd(f'CASE WHEN var_pop({p}) > 0 AND var_pop({y}) > 0 THEN corr({p}, {y}) END', 'corr')}")
+            f"{rd(f'CASE WHEN min({p}) < max({p}) AND min({y}) < max({y}) THEN corr({p}, {y}) END', 'corr')}")
 
 
 ORACLE["metrics_overall"] = f"""{SC}{LONG_SQL}
@@ -427,7 +427,7 @@ ORDER BY raw_mae, segment_kind, segment LIMIT 10"""
 MT_SQL = f"""{SC}{LONG_SQL},
 mt AS (SELECT model, split, avg(abs(prediction - Rent)) AS mae,
               sqrt(avg((prediction - Rent) * (prediction - Rent))) AS rmse,
-              CASE WHEN var_pop(Rent) > 0 THEN 1 - sum((prediction - Rent) * (prediction - Rent))
+              CASE WHEN max(Rent) > min(Rent) THEN 1 - sum((prediction - Rent) * (prediction - Rent))
                    / (var_pop(Rent) * count(*)) END AS r2,
               list_position({MODELS!r}, model) AS ordinal
        FROM long GROUP BY model, split)"""
