@@ -115,7 +115,9 @@ V62_FLAGS = ["has_water_view", "has_parking", "has_pool", "has_gym", "has_balcon
 
 # Largest fitted table we broadcast; beyond it a shuffle join is used.
 BROADCAST_MAX_ROWS = 2_000_000
-# Value slices per group in the distributed exact rank operator.
-RANK_SLICES = 32
+# Distributed exact rank operator: at most this many distinct values per
+# (group, slice) window partition, and at most this many slices per group.
+RANK_SLICE_ROWS = 1_000_000
+RANK_MAX_SLICES = 4096
 # Decimal places of floating outputs that are compared with the SQL oracle.
 ROUND = 6

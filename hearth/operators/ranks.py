@@ -6,8 +6,10 @@ task would hold a third of the data.  Here a group never meets one task:
 
 1. pre-aggregate to distinct ``(group, value) -> cnt`` (shuffle on group AND
    value, so a hot group spreads over all partitions; map-side combine first);
-2. cut every group into ``slices`` value ranges with ``percentile_approx``
-   (bounded-memory sketch, partial aggregation) over the distinct values;
+2. cut every group into value slices with ``percentile_approx`` (bounded-
+   memory sketch, partial aggregation) over the distinct values; the number
+   of slices is sized from the widest group so that no window partition holds
+   more than ``RANK_SLICE_ROWS`` distinct values (one slice when all fit);
 3. running counts inside each ``(group, slice)`` window, plus per-slice
    offsets from a small ``groups x slices`` table.
 
@@ -23,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.constants import RANK_SLICES
+from hearth.constants import RANK_MAX_SLICES, RANK_SLICE_ROWS
 from hearth.operators.joins import cut_lineage, join_small
 
 _ALL = "_all"
@@ -35,16 +37,27 @@ def _group_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str
     return df.withColumn(_ALL, F.lit(0)), [_ALL]
 
 
+def plan_slices(vc: DataFrame, gk: Sequence[str], slice_rows: int = RANK_SLICE_ROWS,
+                max_slices: int = RANK_MAX_SLICES) -> int:
+    """Slices so that no (group, slice) window holds more than ``slice_rows``
+    distinct values: one cheap aggregate over the distinct-value table."""
+    widest = vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
+    return int(min(max_slices, max(1, -(-widest // slice_rows))))
+
+
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None,
-                slices: int = RANK_SLICES, accuracy: int = 10000) -> DataFrame:
+                slices: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Distinct ``(keys..., value, cnt, below, n)``; NULL values are not ranked.
 
     ``weight`` (default 1 per row) lets callers add zero-weight probe values,
-    e.g. request rows ranked against a reference table.
+    e.g. request rows ranked against a reference table.  ``slices=None`` sizes
+    the value slices from the data (``plan_slices``); a fixed number forces it.
     """
     df, gk = _group_keys(df.filter(F.col(value).isNotNull()), keys)
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     vc = cut_lineage(df.groupBy(*gk, value).agg(F.sum(w).alias("cnt")))
+    if slices is None:
+        slices = plan_slices(vc, gk)
     if slices > 1:
         probs = [i / slices for i in range(1, slices)]
         cuts = vc.groupBy(*gk).agg(
@@ -91,7 +104,7 @@ def quantiles_from_ranks(ranks: DataFrame, keys: Sequence[str], value: str,
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-              names: Sequence[str] | None = None, slices: int = RANK_SLICES,
+              names: Sequence[str] | None = None, slices: int | None = None,
               exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Exact linear-interpolation quantiles by default; ``exact=False`` uses the
     bounded-memory ``percentile_approx`` sketch in one aggregate instead."""
@@ -106,5 +119,5 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
 
 
 def median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",
-           slices: int = RANK_SLICES) -> DataFrame:
+           slices: int | None = None) -> DataFrame:
     return quantiles(df, keys, value, [0.5], [name], slices)

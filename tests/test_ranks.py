@@ -51,3 +51,12 @@ def test_nulls_not_ranked(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 2.0)], "g STRING, v DOUBLE")
     got = sorted((r.v, r.below, r.n) for r in value_ranks(df, ["g"], "v").collect())
     assert got == [(1.0, 0, 2), (2.0, 1, 2)]
+
+
+def test_plan_slices_bounds_window_partitions(spark):
+    from hearth.operators.ranks import plan_slices
+    df, groups, vals = _data(spark)
+    vc = df.groupBy("g", "v").count()
+    widest = max(len(set(vals[groups == g])) for g in set(groups))
+    assert plan_slices(vc, ["g"], slice_rows=10) == -(-widest // 10)
+    assert plan_slices(vc, ["g"]) == 1
