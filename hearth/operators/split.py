@@ -72,7 +72,10 @@ def quota_split(df: DataFrame, keys: Sequence[str], stratum: str = "stratum",
     share = (rows with a smaller hash) / stratum rows decides the split."""
     h = df.withColumn("_h", bucket32(keys, seed))
     ranks = value_ranks(h, [stratum], "_h").select(stratum, "_h", "below", "n")
-    out = join_small(h, ranks, [stratum, "_h"], "left")
+    # One rank row per distinct hash, i.e. about one per input row: a table that
+    # grows with the data is never broadcast or persisted; a shuffle join on
+    # (stratum, hash) spreads evenly because the hash does.
+    out = h.join(ranks, [stratum, "_h"], "left")
     return out.withColumn(name, _split_of(F.col("below") / F.col("n"), ratios)) \
               .drop("_h", "below", "n")
 

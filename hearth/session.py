@@ -36,16 +36,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     without one (tests, bench) gets a scratch folder of its own; on a cluster
     a machine-local folder would not survive executor loss, so we refuse.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:          # Spark Connect: only the session conf is visible
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None and hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
-        if current:
+        if current and sc is not None:
             sc.setCheckpointDir(current)
     if current:
         return current
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
     scratch = tempfile.mkdtemp(prefix="hearth-ckpt-")
-    sc.setCheckpointDir(scratch)
+    if sc is not None:
+        sc.setCheckpointDir(scratch)
+    else:
+        spark.conf.set("spark.checkpoint.dir", scratch)
     return scratch

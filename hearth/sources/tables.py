@@ -42,10 +42,12 @@ def spread(df: DataFrame, keys: list[str]) -> DataFrame:
     cluster has cores (e.g. one file with one row group) is hash-partitioned
     on its key to ``defaultParallelism``; a big table already has many splits
     and is left alone (no extra shuffle at scale)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:          # e.g. a Spark Connect session: no RDD API; leave as is
         return df
-    return df.repartition(want, *keys)
+    return df if have >= want else df.repartition(want, *keys)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
