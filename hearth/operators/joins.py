@@ -22,9 +22,13 @@ def materialise(df: DataFrame) -> tuple[DataFrame, int]:
 
 
 def bounded(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``small`` with a broadcast hint if its checked size allows it."""
-    small, n = materialise(small)
-    return F.broadcast(small) if n <= max_rows else small
+    """``small`` with a broadcast hint if its checked size allows it.  A table
+    over the bound is released again and joined by shuffle (AQE splits skew)."""
+    kept, n = materialise(small)
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return small
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
