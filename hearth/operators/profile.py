@@ -67,15 +67,17 @@ def non_finite_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # A9 --------------------------------------------------------------------------
 def baseline_profile(df: DataFrame, cols: Sequence[str],
-                     probs: Sequence[float] = BASELINE_QUANTILES) -> DataFrame:
-    """mean, std, min, max and linear-interpolation quantiles per column."""
-    long = melt(df, cols)
-    moments = long.groupBy("column").agg(
+                     probs: Sequence[float] = BASELINE_QUANTILES, by: Sequence[str] = ()) -> DataFrame:
+    """mean, std, min, max and linear-interpolation quantiles per column (and
+    per ``by`` group, e.g. split, so several profiles come from one pass)."""
+    long = melt(df, cols, by)
+    keys = [*by, "column"]
+    moments = long.groupBy(*keys).agg(
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
     names = [f"q{int(round(p * 100))}" for p in probs]
-    q = quantiles(long, ["column"], "value", probs, names).drop("n")
-    return moments.join(q, "column", "left")
+    q = quantiles(long, keys, "value", probs, names).drop("n")
+    return moments.join(q, keys, "left")
 
 
 # A10 / A11 -------------------------------------------------------------------
