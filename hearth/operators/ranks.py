@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.constants import RANK_MAX_SLICES, RANK_SLICE_ROWS
-from hearth.operators.joins import cut_lineage, join_small
+from hearth.operators.joins import cut_lineage
 
 _ALL = "_all"
 
@@ -60,9 +60,8 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | No
         slices = plan_slices(vc, gk)
     if slices > 1:
         probs = [i / slices for i in range(1, slices)]
-        cuts = vc.groupBy(*gk).agg(
-            F.percentile_approx(value, probs, accuracy).alias("_cuts"))
-        vc = join_small(vc, cuts, gk).withColumn(
+        cuts = vc.groupBy(*gk).agg(F.percentile_approx(value, probs, accuracy).alias("_cuts"))
+        vc = _join_on_groups(vc, cuts, gk, small=True).withColumn(
             "_slice", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     else:
         vc = vc.withColumn("_slice", F.lit(0))
@@ -74,11 +73,24 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | No
         F.sum("_slice_cnt").over(by_group).alias("n"))
     in_slice = Window.partitionBy(*gk, "_slice").orderBy(value)
     vc = vc.withColumn("_below", F.sum("cnt").over(in_slice) - F.col("cnt"))
-    out = vc.join(per_slice, gk + ["_slice"]).select(
+    out = _join_on_groups(vc, per_slice, gk, extra=["_slice"], small=True).select(
         *gk, value, "cnt", (F.col("_offset") + F.col("_below")).alias("below"), "n")
     return out if keys else out.drop(_ALL)
 
 
+def _join_on_groups(left: DataFrame, right: DataFrame, gk: Sequence[str], extra: Sequence[str] = (),
+                    small: bool = False) -> DataFrame:
+    """Inner join on the group keys with NULL-safe equality (a NULL group is a
+    group, as in SQL GROUP BY) plus plain equality on ``extra`` columns."""
+    ren = {k: f"_r_{k}" for k in [*gk, *extra]}
+    r = right.withColumnsRenamed(ren)
+    cond = [F.col(k).eqNullSafe(F.col(ren[k])) for k in gk] + [F.col(k) == F.col(ren[k]) for k in extra]
+    if small:
+        from hearth.operators.joins import bounded
+        r = bounded(r)
+    return left.join(r, cond).drop(*ren.values())
+
+
 def _interp(lo_v: Column, hi_v: Column, frac: Column) -> Column:
     return lo_v + (hi_v - lo_v) * frac
 

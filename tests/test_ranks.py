@@ -60,3 +60,12 @@ def test_plan_slices_bounds_window_partitions(spark):
     widest = max(len(set(vals[groups == g])) for g in set(groups))
     assert plan_slices(vc, ["g"], slice_rows=10) == -(-widest // 10)
     assert plan_slices(vc, ["g"]) == 1
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_null_group_is_a_group(spark, slices):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0), (None, 2.0)], "g STRING, v DOUBLE")
+    got = sorted(((r.g or "-"), r.v, r.below, r.n) for r in value_ranks(df, ["g"], "v", slices=slices).collect())
+    assert got == [("-", 1.0, 0, 3), ("-", 2.0, 1, 3), ("-", 3.0, 2, 3), ("a", 2.0, 0, 1)]
+    q = {r.g: r.m for r in quantiles(df, ["g"], "v", [0.5], ["m"], slices=slices).collect()}
+    assert q == {None: 2.0, "a": 2.0}
