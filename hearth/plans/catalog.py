@@ -15,11 +15,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.constants import NUMERIC_FEATURES, ROUND
+from hearth.constants import (ALL_FEATURES, CATEGORICAL_FEATURES as CATEGORICAL, FEATURE_RANGES,
+                              NUMERIC_FEATURES, PREDICTION_RANGE, ROUND, TARGET, VALIDATION_RULES)
+from hearth.functions import features as fx
+from hearth.operators import audit as au
+from hearth.operators import clean, project, sets
+from hearth.operators import encode as enc
+from hearth.operators import evaluate as ev
+from hearth.operators import profile as pf
+from hearth.operators import split as sp
+from hearth.operators import stats as st
 from hearth.operators.joins import cut_lineage
 from hearth.operators.split import hash_split
 from hearth.operators.stats import fit_listing_stats, listing_features as add_listing_features
-from hearth.sources.tables import LISTING_KEY, listings
+from hearth.plans import stacking
+from hearth.sources.tables import LISTING_KEY, listings, read_table
+from hearth.streaming import hourly
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -68,10 +79,6 @@ def q_listing_features(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Projections, cleaning, scalar features
 # ---------------------------------------------------------------------------
-from hearth.constants import ALL_FEATURES, TARGET  # noqa: E402
-from hearth.functions import features as fx  # noqa: E402
-from hearth.operators import clean, project  # noqa: E402
-from hearth.sources.tables import read_table  # noqa: E402
 
 
 @query("feature_select")
@@ -180,7 +187,6 @@ def q_monthly_display(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Group statistics and lookups
 # ---------------------------------------------------------------------------
-from hearth.operators import stats as st  # noqa: E402
 
 
 @query("region_stats")
@@ -316,8 +322,6 @@ def q_category_values(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Profiles and audit aggregates
 # ---------------------------------------------------------------------------
-from hearth.operators import profile as pf  # noqa: E402
-from hearth.operators import sets  # noqa: E402
 
 COLLISION_FEATURES = ["Location", "Type", "Furnishing", "Beds", "Baths", "Area_in_sqft"]
 LISTING_COLUMNS = [*LISTING_KEY, "Location", "Type", "Furnishing", "Beds", "Baths", "Area_in_sqft", "Rent"]
@@ -419,8 +423,6 @@ def q_contamination_check(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Splits, folds, samples, encodings
 # ---------------------------------------------------------------------------
-from hearth.operators import encode as enc  # noqa: E402
-from hearth.operators import split as sp  # noqa: E402
 
 FOLD_SEED = 43   # folds hash with their own seed, independent of the split hash
 
@@ -484,9 +486,6 @@ def q_target_encode_oof(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Evaluation and audits
 # ---------------------------------------------------------------------------
-from hearth.constants import FEATURE_RANGES, PREDICTION_RANGE, VALIDATION_RULES  # noqa: E402
-from hearth.operators import audit as au  # noqa: E402
-from hearth.operators import evaluate as ev  # noqa: E402
 
 BASE_MODELS = ["pred_location_type", "pred_type", "pred_furnishing", "pred_global"]
 ENSEMBLE = "pred_blend"
@@ -639,7 +638,6 @@ def q_audit_report(spark, sf_dir):
     return au.audit_report([nulls, mismatch, width, high])
 
 
-from hearth.constants import CATEGORICAL_FEATURES as CATEGORICAL  # noqa: E402
 
 
 @query("leak_check")
@@ -671,7 +669,6 @@ def q_removed_columns(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Prediction log
 # ---------------------------------------------------------------------------
-from hearth.streaming import hourly  # noqa: E402
 
 
 @query("prediction_hourly")
@@ -694,7 +691,6 @@ def q_prediction_hourly_stream(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Modelling (M4-M10, M6 sums) and run artefacts
 # ---------------------------------------------------------------------------
-from hearth.plans import stacking  # noqa: E402
 
 META_XS = ["pred_location_type", "pred_type", "pred_furnishing"]
 
