@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.constants import RANK_MAX_SLICES, RANK_SLICE_ROWS
+from hearth.constants import BROADCAST_MAX_ROWS, RANK_MAX_SLICES, RANK_SLICE_ROWS
 from hearth.operators.joins import cut_lineage
 
 _ALL = "_all"
@@ -37,11 +37,19 @@ def _group_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str
     return df.withColumn(_ALL, F.lit(0)), [_ALL]
 
 
+def group_sizes(vc: DataFrame, gk: Sequence[str]) -> tuple[int, int]:
+    """(distinct values of the widest group, number of groups): one cheap
+    aggregate over the distinct-value table."""
+    r = vc.groupBy(*gk).count().agg(F.max("count"), F.count("*")).first()
+    return int(r[0] or 0), int(r[1] or 0)
+
+
 def plan_slices(vc: DataFrame, gk: Sequence[str], slice_rows: int = RANK_SLICE_ROWS,
-                max_slices: int = RANK_MAX_SLICES) -> int:
+                max_slices: int = RANK_MAX_SLICES, widest: int | None = None) -> int:
     """Slices so that no (group, slice) window holds more than ``slice_rows``
-    distinct values: one cheap aggregate over the distinct-value table."""
-    widest = vc.groupBy(*gk).count().agg(F.max("count")).first()[0] or 0
+    distinct values."""
+    if widest is None:
+        widest = group_sizes(vc, gk)[0]
     return int(min(max_slices, max(1, -(-widest // slice_rows))))
 
 
@@ -56,12 +64,15 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | No
     df, gk = _group_keys(df.filter(F.col(value).isNotNull()), keys)
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     vc = cut_lineage(df.groupBy(*gk, value).agg(F.sum(w).alias("cnt")))
+    widest, groups = group_sizes(vc, gk)
     if slices is None:
-        slices = plan_slices(vc, gk)
+        slices = plan_slices(vc, gk, widest=widest)
+    # The cut table has `groups` rows and the offset table groups x slices rows:
+    # counted sizes, so the broadcast decision needs no further job.
     if slices > 1:
         probs = [i / slices for i in range(1, slices)]
         cuts = vc.groupBy(*gk).agg(F.percentile_approx(value, probs, accuracy).alias("_cuts"))
-        vc = _join_on_groups(vc, cuts, gk, small=True).withColumn(
+        vc = _join_on_groups(vc, cuts, gk, broadcast=groups <= BROADCAST_MAX_ROWS).withColumn(
             "_slice", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
     else:
         vc = vc.withColumn("_slice", F.lit(0))
@@ -73,22 +84,21 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | No
         F.sum("_slice_cnt").over(by_group).alias("n"))
     in_slice = Window.partitionBy(*gk, "_slice").orderBy(value)
     vc = vc.withColumn("_below", F.sum("cnt").over(in_slice) - F.col("cnt"))
-    out = _join_on_groups(vc, per_slice, gk, extra=["_slice"], small=True).select(
+    out = _join_on_groups(vc, per_slice, gk, extra=["_slice"],
+                          broadcast=groups * slices <= BROADCAST_MAX_ROWS).select(
         *gk, value, "cnt", (F.col("_offset") + F.col("_below")).alias("below"), "n")
     return out if keys else out.drop(_ALL)
 
 
 def _join_on_groups(left: DataFrame, right: DataFrame, gk: Sequence[str], extra: Sequence[str] = (),
-                    small: bool = False) -> DataFrame:
+                    broadcast: bool = False) -> DataFrame:
     """Inner join on the group keys with NULL-safe equality (a NULL group is a
-    group, as in SQL GROUP BY) plus plain equality on ``extra`` columns."""
+    group, as in SQL GROUP BY) plus plain equality on ``extra`` columns.
+    ``broadcast`` only when the caller has counted the right side's size."""
     ren = {k: f"_r_{k}" for k in [*gk, *extra]}
     r = right.withColumnsRenamed(ren)
     cond = [F.col(k).eqNullSafe(F.col(ren[k])) for k in gk] + [F.col(k) == F.col(ren[k]) for k in extra]
-    if small:
-        from hearth.operators.joins import bounded
-        r = bounded(r)
-    return left.join(r, cond).drop(*ren.values())
+    return left.join(F.broadcast(r) if broadcast else r, cond).drop(*ren.values())
 
 
 def _interp(lo_v: Column, hi_v: Column, frac: Column) -> Column:
