@@ -791,8 +791,11 @@ def q_run_metadata(spark, sf_dir):
     df = featured_listings(spark, sf_dir)
     counts = df.groupBy("split").agg(F.count("*").alias("rows"))
     removed = sorted(set(df.columns) - set([TARGET] + ALL_FEATURES))
-    m = ev.metrics(scored(spark, sf_dir), [ENSEMBLE]).where("split = 'test'").first()
-    return run_metadata(counts, ALL_FEATURES, removed, {"test_mae": m["mae"], "test_r2": m["r2"]})
+    allm = ev.metrics(scored(spark, sf_dir), BASE_MODELS + [ENSEMBLE])
+    m = allm.where(f"split = 'test' AND model = '{ENSEMBLE}'").first()
+    imp = ev.improvement_row(allm, BASE_MODELS, ENSEMBLE).first().asDict()
+    return run_metadata(counts, ALL_FEATURES, removed, {"test_mae": m["mae"], "test_r2": m["r2"]},
+                        improvement=imp)
 
 
 @query("prediction_log")

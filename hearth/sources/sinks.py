@@ -43,9 +43,11 @@ def read_split(spark: SparkSession, path: str, name: str, split: str = "split")
 
 # S4 --------------------------------------------------------------------------
 def run_metadata(counts: DataFrame, features: Sequence[str], removed: Sequence[str],
-                 metrics: dict | None = None, split: str = "split") -> DataFrame:
-    """One row: stamp, feature list, removed list, row counts per split, flags
-    and metrics, built by one aggregate over the per-split counts."""
+                 metrics: dict | None = None, split: str = "split",
+                 improvement: dict | None = None) -> DataFrame:
+    """One row: stamp, feature list, removed list, row counts per split, flags,
+    metrics and the improvement over the best base model, built by one
+    aggregate over the per-split counts."""
     agg = counts.agg(*[F.sum(F.when(F.col(split) == s, F.col("rows")).otherwise(0)).alias(f"{s}_rows")
                        for s in ("train", "val", "test")])
     now = F.current_timestamp()
@@ -57,7 +59,9 @@ def run_metadata(counts: DataFrame, features: Sequence[str], removed: Sequence[s
         "train_rows", "val_rows", "test_rows",
         F.lit(True).alias("no_leakage"),
         F.create_map(*[x for k, v in (metrics or {}).items() for x in (F.lit(k), F.lit(float(v)))])
-         .cast("map<string,double>").alias("metrics"))
+         .cast("map<string,double>").alias("metrics"),
+        F.struct(*[F.lit(v).alias(k) for k, v in (improvement or {"best_base_model": None}).items()])
+         .alias("improvement_over_best_base"))
     return out
 
 
@@ -84,6 +88,14 @@ def save_stacked(model, path: str) -> None:
          .write.mode("overwrite").text(os.path.join(path, "meta"))
 
 
+def save_stacked_versions(model, root: str, stamp: str) -> tuple[str, str]:
+    """The bundle under ``root/<stamp>`` and again under ``root/latest``."""
+    stamped, latest = os.path.join(root, stamp), os.path.join(root, "latest")
+    save_stacked(model, stamped)
+    save_stacked(model, latest)
+    return stamped, latest
+
+
 def load_stacked(spark: SparkSession, path: str):
     from hearth.operators.joins import bounded
     from hearth.operators.stats import ListingStats

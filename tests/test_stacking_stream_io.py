@@ -64,10 +64,11 @@ def test_stacked_model_learns_known_signal(spark):
     p2 = np.array([r.prediction for r in model.score(df.where("split = 'test'")).select("prediction").collect()])
     assert np.array_equal(np.sort(p), np.sort(p2))
     # bundle round trip
-    path = tempfile.mkdtemp(prefix="hearth-model-")
-    from hearth.sources.sinks import load_stacked, save_stacked
-    save_stacked(model, path)
-    loaded = load_stacked(spark, path)
+    root = tempfile.mkdtemp(prefix="hearth-model-")
+    from hearth.sources.sinks import load_stacked, save_stacked_versions
+    stamped, latest = save_stacked_versions(model, root, "20250101_000000")
+    assert os.path.isdir(stamped) and os.path.isdir(latest)
+    loaded = load_stacked(spark, latest)
     p3 = np.array([r.prediction for r in loaded.score(df.where("split = 'test'")).select("prediction").collect()])
     assert np.allclose(np.sort(p), np.sort(p3))
 
