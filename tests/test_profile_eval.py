@@ -114,3 +114,21 @@ def test_forbidden_and_formula(spark):
     assert got["Rent_per_sqft"] and not got["Rent_category"]
     bad = au.formula_check(df, {"log_area": F.log1p(F.lit(1.0))}).first()
     assert bad.mismatches == 1
+
+
+def test_split_shares_and_mean_ratio(listing_rows):
+    shares = {r.split: (r.rows, r.share) for r in pf.split_shares(listing_rows).collect()}
+    assert shares["train"] == (9, 9 / 12) and shares["val"] == (1, 1 / 12)
+    ratio = {r.split: r for r in pf.split_mean_ratio(listing_rows).collect()}
+    train_mean = np.mean([r.Rent for r in listing_rows.collect() if r.split == "train"])
+    assert math.isclose(ratio["val"].ratio_to_train, 75000.0 / train_mean)
+    assert ratio["train"].within_tolerance and not ratio["test"].within_tolerance
+
+
+def test_cardinality_and_target_summary(listing_rows):
+    card = {r.column: r.n_unique for r in pf.category_cardinality(listing_rows, ["Location", "Furnishing"]).collect()}
+    assert card == {"Location": 5, "Furnishing": 3}
+    s = pf.target_summary(listing_rows).first()
+    rents = [r.Rent for r in listing_rows.collect()]
+    assert s.n == 12 and s.min == 0.0 and s.max == 999999.0 and s.median == float(np.median(rents))
+    assert math.isclose(s.mean, np.mean(rents))
