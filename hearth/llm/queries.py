@@ -5,9 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hearth.llm import byte_bpe, token_files
 from hearth.llm.common import documents
 from hearth.llm.ngram_join import ngram_components
+from hearth.llm.substring_dedup import dedup_passages
+from hearth.llm.token_counts import token_counts
+
+#: Id that ends each document in the token files.
+END_ID = 2
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def tokenizer_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_passages(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern())
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.digests(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), END_ID)
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +52,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_token_files": op8_token_files,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
