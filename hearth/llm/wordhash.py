@@ -75,6 +75,15 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     bounds: np.ndarray
+    #: Running sums of the byte names times the powers of the hash base.
+    total: np.ndarray
+
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(word, name) of the first ``size`` bytes of each longer word."""
+        at = np.flatnonzero(self.end - self.start > size)
+        first = self.start[at]
+        down = _POWERS.upto(len(self.total))[1]
+        return at, mix((self.total[first + size] - self.total[first]) * down[first] + _U(size) + (_U(1) << _U(32)))
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Names of all runs of ``k`` words and their bounds; a text of 1 to
@@ -139,4 +148,4 @@ def _words(data: np.ndarray, offsets: np.ndarray, names: np.ndarray, sep: np.nda
     total = np.zeros(size + 1, dtype=_U)
     np.cumsum(names[data] * up[:size], out=total[1:])
     name = mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
-    return Words(data, name, start, end, np.searchsorted(start, offsets))
+    return Words(data, name, start, end, np.searchsorted(start, offsets), total)
