@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from hearth.llm import byte_bpe, token_files
 from hearth.llm.common import documents
+from hearth.llm.decontaminate import contained_items
 from hearth.llm.ngram_join import ngram_components
 from hearth.llm.substring_dedup import dedup_passages
 from hearth.llm.token_counts import token_counts
+from hearth.llm.toxicity import toxicity
 
 #: Id that ends each document in the token files.
 END_ID = 2
@@ -34,11 +36,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_passages(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern())
 
@@ -53,7 +63,9 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_decontamination": op3_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_files": op8_token_files,
     "op10_ngram_jaccard": op10_ngram_jaccard,

@@ -31,7 +31,9 @@ CELLS = 1 << 18
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MAX_POSITIVE = 3_000
 MAX_UNLABELLED = 6_000
-#: Features kept for training: those whose shares in P and U differ most surely.
+#: Features kept for training: those whose shares in P and U differ by so many standard
+#: errors, at most so many, the surest first.
+SURE = 3.0
 FEATURES = 4_096
 STEPS = 300
 RATE = 0.05
@@ -82,7 +84,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
-           steps: int = STEPS, rate: float = RATE, decay: float = DECAY, features: int = FEATURES) -> Classifier:
+           steps: int = STEPS, rate: float = RATE, decay: float = DECAY, features: int = FEATURES, least: float = SURE) -> Classifier:
     """Fits the classifier to sets of cells.  Without positive or unlabelled sets it gives the
     prior to every text."""
     weight = np.zeros(CELLS)
@@ -95,7 +97,8 @@ def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
     spread = np.sqrt(share[0] * (1 - share[0]) / len(positive) + share[1] * (1 - share[1]) / len(unlabelled))
     sure = np.abs(share[0] - share[1]) / spread
     sure[hits[0] + hits[1] < 3] = 0
-    chosen = np.sort(np.argsort(-sure, kind="stable")[:features])
+    chosen = np.argsort(-sure, kind="stable")[:features]
+    chosen = np.sort(chosen[sure[chosen] >= least])
     slot = np.full(CELLS, -1)
     slot[chosen] = np.arange(len(chosen))
 
