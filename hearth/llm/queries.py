@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import byte_bpe, token_files
+from hearth.llm import byte_bpe, pii, token_files
 from hearth.llm.common import documents
 from hearth.llm.decontaminate import contained_items
+from hearth.llm.main_text import main_text
 from hearth.llm.ngram_join import ngram_components
 from hearth.llm.substring_dedup import dedup_passages
 from hearth.llm.token_counts import token_counts
@@ -36,6 +37,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(documents(spark, sf_dir))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -57,17 +62,23 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), END_ID)
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_files": op8_token_files,
+    "op9_main_text": op9_main_text,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 

@@ -77,6 +77,12 @@ class Words:
     bounds: np.ndarray
     #: Running sums of the byte names times the powers of the hash base.
     total: np.ndarray
+    #: Byte positions of the texts' ends.
+    offsets: np.ndarray
+
+    def text_start(self, d: int) -> int:
+        """Position of the first byte of text ``d``."""
+        return int(self.offsets[d])
 
     def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(word, name) of the first ``size`` bytes of each longer word."""
@@ -148,4 +154,4 @@ def _words(data: np.ndarray, offsets: np.ndarray, names: np.ndarray, sep: np.nda
     total = np.zeros(size + 1, dtype=_U)
     np.cumsum(names[data] * up[:size], out=total[1:])
     name = mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
-    return Words(data, name, start, end, np.searchsorted(start, offsets), total)
+    return Words(data, name, start, end, np.searchsorted(start, offsets), total, offsets)
