@@ -11,6 +11,7 @@ from hearth.llm import byte_bpe, pii, token_files
 from hearth.llm.common import documents
 from hearth.llm.decontaminate import contained_items
 from hearth.llm.main_text import main_text
+from hearth.llm.neighbours import nearest_neighbours
 from hearth.llm.ngram_join import ngram_components
 from hearth.llm.substring_dedup import dedup_passages
 from hearth.llm.token_counts import token_counts
@@ -18,6 +19,7 @@ from hearth.llm.toxicity import toxicity
 
 #: Id that ends each document in the token files.
 END_ID = 2
+NEIGHBOURS = 5
 
 
 def tokenizer_path(name: str) -> str:
@@ -45,6 +47,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"), NEIGHBOURS)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_passages(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -74,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_personal_data": op2_personal_data,
     "op3_decontamination": op3_decontamination,
+    "op4_neighbours": op4_neighbours,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
