@@ -32,10 +32,20 @@ class Scratch:
         return Written(self.spark, path)
 
 
+#: Rows of a table of a few numbers that may be broadcast: about 64 MB at most.
+BROADCAST_ROWS = 2_000_000
+
+
 class Written:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
 
+    def small(self) -> DataFrame:
+        """The table (of a few fixed-width columns) with a broadcast hint if its counted rows
+        allow it, so that a join leaves the texts where they are; else as it is, for a
+        shuffled join."""
+        return F.broadcast(self.df) if self.df.count() <= BROADCAST_ROWS else self.df
+
     @property
     def df(self) -> DataFrame:
         return self.spark.read.parquet(self.path)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Scratch, byte_slices, narrow
+from hearth.llm.common import Scratch, byte_slices, free_name, narrow
 from hearth.llm.components import components
 from hearth.llm.wordhash import chunks, mix, separators
 
@@ -60,16 +60,16 @@ def class_name(grams: np.ndarray) -> int:
 
 
 def set_sizes(docs: DataFrame, k: int = K) -> DataFrame:
-    """``doc_id, n_shingles, cls``: size and class (null if empty) of each text's set."""
+    """``doc_id, row, n_shingles, cls``: size and class (null if empty) of each text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = sets_of(batch.column(1), k)
             cls = np.array([class_name(g) for g in grams], dtype=np.int64)
-            yield pa.record_batch({"doc_id": batch.column(0), "n_shingles": pa.array([len(g) for g in grams], pa.int64()),
-                                   "cls": pa.array(cls, mask=cls == 0)})
+            yield pa.record_batch({"doc_id": batch.column(0), "row": batch.column(2),
+                                   "n_shingles": pa.array([len(g) for g in grams], pa.int64()), "cls": pa.array(cls, mask=cls == 0)})
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, cls long")
+    return docs.withColumn("row", F.xxhash64("text")).mapInArrow(run, "doc_id long, row long, n_shingles long, cls long")
 
 
 def _fragment_rows(cls: np.ndarray, grams: list[np.ndarray], percent: int, below: float) -> pa.RecordBatch:
@@ -231,9 +231,38 @@ def ngram_components(docs: DataFrame, k: int = K, percent: int = PERCENT, first_
     words has one n-gram, its whole sequence.  Repeated rows are rows of their own in one
     component; rows that share a key but not a text stand for themselves.
     """
+    return _components(narrow(docs, key, text), k, percent, first_fragment, block_bytes).drop("row")
+
+
+def one_per_group(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but one of each component: that of the smallest
+    key, and of several texts of that key one; of equal rows one stays.  Texts without words
+    and rows with a null key all stay."""
+    row = free_name(docs, "text_as_number")
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.write(_components(narrow(docs), k, percent, FIRST_FRAGMENT, BLOCK_BYTES).where(
+        "doc_id is not null and n_shingles > 0").groupBy("doc_id", "row", "component_id").count())
+    heads = found.df.where("doc_id = component_id").groupBy("component_id").agg(F.min("row").alias("head"))
+    gone = scratch.write(found.df.join(heads, "component_id").where("doc_id != component_id or row != head").select("doc_id", "row"))
+    again = scratch.write(found.df.where("count > 1").select("doc_id", "row"))
+    named = docs.withColumn(row, F.xxhash64("text"))
+
+    def among(few: DataFrame) -> F.Column:
+        return (named["doc_id"].cast("long") == few["doc_id"]) & (named[row] == few["row"])
+
+    few = gone.small()
+    kept = named.join(few, among(few), "left_anti")
+    if again.df.limit(1).count():
+        twice = again.small().withColumnsRenamed({"doc_id": "again_id", "row": "again_row"})
+        same = (kept["doc_id"].cast("long") == twice["again_id"]) & (kept[row] == twice["again_row"])
+        kept = kept.join(twice, same, "left_anti").union(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", row]))
+    return kept.drop(row)
+
+
+def _components(docs: DataFrame, k: int, percent: int, first_fragment: float, block_bytes: int) -> DataFrame:
+    """``doc_id, row, n_shingles, component_id`` of ``docs(doc_id, text)``; ``row`` is a number of the text."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    docs = narrow(docs, key, text)
     sizes = scratch.write(set_sizes(docs, k))
     classes = sizes.df.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
 
@@ -308,7 +337,7 @@ def ngram_components(docs: DataFrame, k: int = K, percent: int = PERCENT, first_
     lowest = comp.df.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_class = comp.df.join(lowest, "label").select("cls", "component_id")
     return sizes.df.join(by_class, "cls", "left").select(
-        "doc_id", "n_shingles", F.expr("if(cls is null or doc_id is null, doc_id, component_id)").alias("component_id"))
+        "doc_id", "row", "n_shingles", F.expr("if(cls is null or doc_id is null, doc_id, component_id)").alias("component_id"))
 
 
 def _across_chunks(placed: DataFrame, labels: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
