@@ -231,7 +231,7 @@ def ngram_components(docs: DataFrame, k: int = K, percent: int = PERCENT, first_
     words has one n-gram, its whole sequence.  Repeated rows are rows of their own in one
     component; rows that share a key but not a text stand for themselves.
     """
-    return _components(narrow(docs, key, text), k, percent, first_fragment, block_bytes).drop("row")
+    return _components(narrow(docs, key, text), k, percent, first_fragment, block_bytes).drop("row", "label")
 
 
 def one_per_group(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
@@ -241,9 +241,9 @@ def one_per_group(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFr
     row = free_name(docs, "text_as_number")
     scratch = Scratch(docs.sparkSession)
     found = scratch.write(_components(narrow(docs), k, percent, FIRST_FRAGMENT, BLOCK_BYTES).where(
-        "doc_id is not null and n_shingles > 0").groupBy("doc_id", "row", "component_id").count())
-    heads = found.df.where("doc_id = component_id").groupBy("component_id").agg(F.min("row").alias("head"))
-    gone = scratch.write(found.df.join(heads, "component_id").where("doc_id != component_id or row != head").select("doc_id", "row"))
+        "doc_id is not null and n_shingles > 0").groupBy("doc_id", "row", "label", "component_id").count())
+    heads = found.df.where("doc_id = component_id").groupBy("label").agg(F.min("row").alias("head"))
+    gone = scratch.write(found.df.join(heads, "label").where("doc_id != component_id or row != head").select("doc_id", "row"))
     again = scratch.write(found.df.where("count > 1").select("doc_id", "row"))
     named = docs.withColumn(row, F.xxhash64("text"))
 
@@ -260,7 +260,8 @@ def one_per_group(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFr
 
 
 def _components(docs: DataFrame, k: int, percent: int, first_fragment: float, block_bytes: int) -> DataFrame:
-    """``doc_id, row, n_shingles, component_id`` of ``docs(doc_id, text)``; ``row`` is a number of the text."""
+    """``doc_id, row, n_shingles, label, component_id`` of ``docs(doc_id, text)``; ``row`` is a number
+    of the text, ``label`` one of the component (null for texts without words)."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     sizes = scratch.write(set_sizes(docs, k))
@@ -335,9 +336,9 @@ def _components(docs: DataFrame, k: int, percent: int, first_fragment: float, bl
     comp = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     comp = scratch.write(comp)
     lowest = comp.df.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_class = comp.df.join(lowest, "label").select("cls", "component_id")
+    by_class = comp.df.join(lowest, "label").select("cls", "label", "component_id")
     return sizes.df.join(by_class, "cls", "left").select(
-        "doc_id", "row", "n_shingles", F.expr("if(cls is null or doc_id is null, doc_id, component_id)").alias("component_id"))
+        "doc_id", "row", "n_shingles", "label", F.expr("if(cls is null or doc_id is null, doc_id, component_id)").alias("component_id"))
 
 
 def _across_chunks(placed: DataFrame, labels: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
