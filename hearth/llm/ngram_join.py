@@ -285,7 +285,7 @@ def _components(docs: DataFrame, k: int, percent: int, first_fragment: float, bl
                                        "n": pa.array([len(grams[i]) for i in right], pa.int64()),
                                        "grams": pa.array([grams[i].tobytes() for i in right], pa.binary())})
 
-    texts = docs.join(likely.df.withColumnRenamed("rep", "doc_id"), "doc_id").select("cls", "text")
+    texts = docs.join(likely.small().withColumnRenamed("rep", "doc_id"), "doc_id").select("cls", "text")
     sets = scratch.write(texts.mapInArrow(fetch, "cls long, n long, grams binary"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
