@@ -29,14 +29,19 @@ def bucket32(keys: Sequence[str], seed: int | None = None) -> Column:
     return F.conv(F.substring(F.md5(key_string(keys, seed)), 1, 8), 16, 10).cast("bigint")
 
 
+def bucket60(keys: Sequence[str], seed: int | None = None) -> Column:
+    """60 bits of the same digest: ranks by it have no ties at any table size."""
+    return F.conv(F.substring(F.md5(key_string(keys, seed)), 1, 15), 16, 10).cast("bigint")
+
+
 def unit_hash(keys: Sequence[str], seed: int | None = None) -> Column:
     """Uniform value in [0, 1)."""
     return bucket32(keys, seed) / F.lit(TWO_32)
 
 
-def sql_bucket32(keys: Sequence[str], seed: int | None = None) -> str:
-    """The same hash in DuckDB SQL."""
+def sql_bucket32(keys: Sequence[str], seed: int | None = None, digits: int = 8) -> str:
+    """The same hash in DuckDB SQL (``digits=15``: ``bucket60``)."""
     parts = [f"CAST({k} AS VARCHAR)" for k in keys]
     if seed is not None:
         parts.append(f"'{seed}'")
-    return f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, {digits})) AS BIGINT)"

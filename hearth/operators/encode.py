@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from hearth.constants import CATEGORICAL_FEATURES, TARGET_SMOOTHING
 from hearth.operators.joins import bounded, join_small
+from hearth.operators.ranks import value_ranks
 
 
 # E1 --------------------------------------------------------------------------
@@ -30,9 +31,8 @@ def fit_vocabulary(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES)
     """(column, value, position): sorted distinct non-null values per column,
     position 0 is the dropped first category.  Size = total distinct values."""
     vals = melt_categories(train, cols).where(F.col("value").isNotNull()).distinct()
-    # One row per distinct value: this window holds a column's vocabulary, not its rows.
-    pos = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
-    return bounded(vals.withColumn("position", pos))
+    # Ranks over ranges of values, so that a wide column's vocabulary is no single task.
+    return bounded(value_ranks(vals, ["column"], "value").select("column", "value", F.col("below").cast("int").alias("position")))
 
 
 def encoded_names(vocab: DataFrame) -> DataFrame:

@@ -6,12 +6,11 @@ task would hold a third of the data.  Here a group never meets one task:
 
 1. pre-aggregate to distinct ``(group, value) -> cnt`` (shuffle on group AND
    value, so a hot group spreads over all partitions; map-side combine first);
-2. cut every group into value slices with ``percentile_approx`` (bounded-
-   memory sketch, partial aggregation) over the distinct values; the number
-   of slices is sized from the widest group so that no window partition holds
-   more than ``RANK_SLICE_ROWS`` distinct values (one slice when all fit);
-3. running counts inside each ``(group, slice)`` window, plus per-slice
-   offsets from a small ``groups x slices`` table.
+2. range-partition the distinct values by ``(group, value)`` and write them with
+   the number of their partition as their slice: slices are ranges of values, as
+   many as the table's size asks for, however wide one group is;
+3. running counts inside each ``(group, slice)`` window, plus offsets from the
+   table of counts per group and slice (at most groups + slices rows).
 
 The result is exact: ``below`` is the weight of strictly smaller values in the
 group, ``n`` the group's total weight.  Quantiles then need no join: each
@@ -25,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.constants import BROADCAST_MAX_ROWS, RANK_MAX_SLICES, RANK_SLICE_ROWS
+from hearth.constants import BROADCAST_MAX_ROWS
 from hearth.operators.joins import cut_lineage
 
 _ALL = "_all"
@@ -37,55 +36,30 @@ def _group_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str
     return df.withColumn(_ALL, F.lit(0)), [_ALL]
 
 
-def group_sizes(vc: DataFrame, gk: Sequence[str]) -> tuple[int, int]:
-    """(distinct values of the widest group, number of groups): one cheap
-    aggregate over the distinct-value table."""
-    r = vc.groupBy(*gk).count().agg(F.max("count"), F.count("*")).first()
-    return int(r[0] or 0), int(r[1] or 0)
-
-
-def plan_slices(vc: DataFrame, gk: Sequence[str], slice_rows: int = RANK_SLICE_ROWS,
-                max_slices: int = RANK_MAX_SLICES, widest: int | None = None) -> int:
-    """Slices so that no (group, slice) window holds more than ``slice_rows``
-    distinct values."""
-    if widest is None:
-        widest = group_sizes(vc, gk)[0]
-    return int(min(max_slices, max(1, -(-widest // slice_rows))))
-
-
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None,
-                slices: int | None = None, accuracy: int = 10000) -> DataFrame:
+                slices: int | None = None) -> DataFrame:
     """Distinct ``(keys..., value, cnt, below, n)``; NULL values are not ranked.
 
     ``weight`` (default 1 per row) lets callers add zero-weight probe values,
-    e.g. request rows ranked against a reference table.  ``slices=None`` sizes
-    the value slices from the data (``plan_slices``); a fixed number forces it.
+    e.g. request rows ranked against a reference table.  ``slices`` forces the
+    number of range partitions, which otherwise follows the session's settings.
     """
     df, gk = _group_keys(df.filter(F.col(value).isNotNull()), keys)
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    vc = cut_lineage(df.groupBy(*gk, value).agg(F.sum(w).alias("cnt")))
-    widest, groups = group_sizes(vc, gk)
-    if slices is None:
-        slices = plan_slices(vc, gk, widest=widest)
-    # The cut table has `groups` rows and the offset table groups x slices rows:
-    # counted sizes, so the broadcast decision needs no further job.
-    if slices > 1:
-        probs = [i / slices for i in range(1, slices)]
-        cuts = vc.groupBy(*gk).agg(F.percentile_approx(value, probs, accuracy).alias("_cuts"))
-        vc = _join_on_groups(vc, cuts, gk, broadcast=groups <= BROADCAST_MAX_ROWS).withColumn(
-            "_slice", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
-    else:
-        vc = vc.withColumn("_slice", F.lit(0))
-    per_slice = vc.groupBy(*gk, "_slice").agg(F.sum("cnt").alias("_slice_cnt"))
+    vc = df.groupBy(*gk, value).agg(F.sum(w).alias("cnt"))
+    vc = vc.repartitionByRange(slices, *gk, value) if slices else vc.repartitionByRange(*gk, value)
+    # Written, so that a repeated task can't deal the values out differently.
+    vc = cut_lineage(vc.withColumn("_slice", F.spark_partition_id()))
     by_group = Window.partitionBy(*gk)
-    per_slice = per_slice.select(
+    offsets = vc.groupBy(*gk, "_slice").agg(F.sum("cnt").alias("_slice_cnt"))
+    offsets = cut_lineage(offsets.select(
         *gk, "_slice",
         (F.sum("_slice_cnt").over(by_group.orderBy("_slice")) - F.col("_slice_cnt")).alias("_offset"),
-        F.sum("_slice_cnt").over(by_group).alias("n"))
+        F.sum("_slice_cnt").over(by_group).alias("n")))
     in_slice = Window.partitionBy(*gk, "_slice").orderBy(value)
     vc = vc.withColumn("_below", F.sum("cnt").over(in_slice) - F.col("cnt"))
-    out = _join_on_groups(vc, per_slice, gk, extra=["_slice"],
-                          broadcast=groups * slices <= BROADCAST_MAX_ROWS).select(
+    # Fixed-width rows, counted; group names can be long strings, so far under the bound for rows.
+    out = _join_on_groups(vc, offsets, gk, extra=["_slice"], broadcast=offsets.count() <= BROADCAST_MAX_ROWS // 10).select(
         *gk, value, "cnt", (F.col("_offset") + F.col("_below")).alias("below"), "n")
     return out if keys else out.drop(_ALL)
 
@@ -127,11 +101,11 @@ def quantiles_from_ranks(ranks: DataFrame, keys: Sequence[str], value: str,
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
               names: Sequence[str] | None = None, slices: int | None = None,
-              exact: bool = True, accuracy: int = 10000) -> DataFrame:
+              exact: bool = True, accuracy: int = 10000, weight: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles by default; ``exact=False`` uses the
     bounded-memory ``percentile_approx`` sketch in one aggregate instead."""
     if exact:
-        return quantiles_from_ranks(value_ranks(df, keys, value, slices=slices), keys, value, probs, names)
+        return quantiles_from_ranks(value_ranks(df, keys, value, weight, slices), keys, value, probs, names)
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
     df, gk = _group_keys(df.filter(F.col(value).isNotNull()), keys)
     q = F.percentile_approx(F.col(value).cast("double"), list(probs), accuracy)
@@ -139,7 +113,3 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
     out = out.select(*gk, "n", *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
     return out if keys else out.drop(_ALL)
 
-
-def median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",
-           slices: int | None = None) -> DataFrame:
-    return quantiles(df, keys, value, [0.5], [name], slices)

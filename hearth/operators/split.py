@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hearth.constants import N_FOLDS, RANDOM_STATE, SPLIT_RATIOS
 from hearth.functions.features import quartile_of
-from hearth.functions.hashing import bucket32, unit_hash
+from hearth.functions.hashing import bucket32, bucket60, unit_hash
 from hearth.operators.joins import join_small
 from hearth.operators.ranks import quantiles, value_ranks
 
@@ -70,7 +70,7 @@ def quota_split(df: DataFrame, keys: Sequence[str], stratum: str = "stratum",
                 name: str = "split") -> DataFrame:
     """M1 exact quotas: inside each stratum, rows ordered by key hash; position
     share = (rows with a smaller hash) / stratum rows decides the split."""
-    h = df.withColumn("_h", bucket32(keys, seed))
+    h = df.withColumn("_h", bucket60(keys, seed))
     ranks = value_ranks(h, [stratum], "_h").select(stratum, "_h", "below", "n")
     # One rank row per distinct hash, i.e. about one per input row: a table that
     # grows with the data is never broadcast or persisted; a shuffle join on

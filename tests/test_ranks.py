@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hearth.operators.ranks import quantiles, value_ranks
 
@@ -53,13 +54,20 @@ def test_nulls_not_ranked(spark):
     assert got == [(1.0, 0, 2), (2.0, 1, 2)]
 
 
-def test_plan_slices_bounds_window_partitions(spark):
-    from hearth.operators.ranks import plan_slices
-    df, groups, vals = _data(spark)
-    vc = df.groupBy("g", "v").count()
-    widest = max(len(set(vals[groups == g])) for g in set(groups))
-    assert plan_slices(vc, ["g"], slice_rows=10) == -(-widest // 10)
-    assert plan_slices(vc, ["g"]) == 1
+def test_one_hot_group_in_small_slices(spark):
+    """A single group far wider than a slice: ranges of values, none with more than its share."""
+    n, slices = 20_000, 50
+    df = spark.range(n).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % n).cast("double").alias("v"))
+    got = value_ranks(df, ["g"], "v", slices=slices)
+    assert got.where("below != v or n != 20000 or cnt != 1").count() == 0 and got.count() == n
+    placed = df.repartitionByRange(slices, "g", "v").groupBy(F.spark_partition_id()).count()
+    assert placed.agg(F.max("count")).first()[0] < 3 * n / slices
+
+
+def test_string_values_are_ranked(spark):
+    df = spark.createDataFrame([("c", "b"), ("c", "a"), ("d", "z"), ("c", "é")], "g STRING, v STRING")
+    got = sorted((r.g, r.v, r.below) for r in value_ranks(df, ["g"], "v", slices=3).collect())
+    assert got == [("c", "a", 0), ("c", "b", 1), ("c", "é", 2), ("d", "z", 0)]
 
 
 @pytest.mark.parametrize("slices", [1, 3])
