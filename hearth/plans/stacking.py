@@ -1,8 +1,9 @@
 """Base learners, out-of-fold stacking, ridge meta-learner, scoring.
 
-* Base learners are Spark ML tree ensembles (distributed training).  Their
-  parameters are mapped from the tuned booster settings and scaled down by
-  ``iterations``/``max_depth`` caps (parameters, not constants).
+* Base learners are Spark ML tree ensembles (distributed training) at the tuned
+  booster settings; tree count and depth are parameters for other sizes.
+* The feature joins run once: the training table is written with keys, folds,
+  label and vector only, and every fit reads that table.
 * Out-of-fold meta-features: for each fold, the three learners are fitted on
   the other folds and chained over the held-out rows, each adding its own
   prediction column; the k held-out frames are unioned.  No row ids and no
@@ -10,8 +11,8 @@
 * The ridge meta-learner is solved from sums of products: one aggregate per
   fold over the (small, 3-column) meta table, then a 4x4 solve per
   (alpha, fold) on the driver (a fixed-size system, not data).  Cross-
-  validated MAE for every alpha comes from ONE scoring pass with a broadcast
-  coefficient table of |alphas| x k rows.
+  validated MAE for every alpha is one column of ONE scoring aggregate with a
+  broadcast coefficient table of k rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -36,28 +36,29 @@ from hearth.operators.stats import ListingStats, fit_listing_stats, listing_feat
 
 
 # M4 --------------------------------------------------------------------------
-def base_learners(iterations: int = 10, max_depth: int = 5, label: str = TARGET,
+def base_learners(trees: int | None = None, max_depth: int | None = None, label: str = TARGET,
                   features: str = "features", tuned: dict = TUNED_PARAMS) -> dict:
-    """Three diverse tree ensembles; tuned settings mapped where Spark ML has an
+    """Three diverse tree ensembles at the tuned settings, where Spark ML has an
     equivalent (trees -> maxIter/numTrees, depth -> maxDepth, learning rate ->
     stepSize, subsample -> subsamplingRate, column sampling ->
-    featureSubsetStrategy, min child weight / leaf size -> minInstancesPerNode)."""
+    featureSubsetStrategy, min child weight / leaf size -> minInstancesPerNode,
+    gamma -> minInfoGain).  ``trees`` and ``max_depth`` replace the tuned ones."""
     a, b, c = tuned["XGBoost"], tuned["LightGBM"], tuned["CatBoost"]
     common = dict(labelCol=label, featuresCol=features, seed=RANDOM_STATE)
     return {
         "gbt_deep": GBTRegressor(
-            maxIter=min(iterations, a["n_estimators"]), maxDepth=min(max_depth, a["max_depth"]),
-            stepSize=max(a["learning_rate"], 0.1), subsamplingRate=a["subsample"],
-            featureSubsetStrategy=str(a["colsample_bytree"]),
+            maxIter=trees or a["n_estimators"], maxDepth=max_depth or a["max_depth"],
+            stepSize=a["learning_rate"], subsamplingRate=a["subsample"],
+            featureSubsetStrategy=str(a["colsample_bytree"]), minInfoGain=a["gamma"],
             minInstancesPerNode=int(a["min_child_weight"]), predictionCol="pred_gbt_deep", **common),
         "gbt_shallow": GBTRegressor(
-            maxIter=min(2 * iterations, b["n_estimators"]), maxDepth=max(2, min(max_depth, b["max_depth"]) - 2),
-            stepSize=max(b["learning_rate"], 0.1), subsamplingRate=b["subsample"],
+            maxIter=trees or b["n_estimators"], maxDepth=max_depth or b["max_depth"],
+            stepSize=b["learning_rate"], subsamplingRate=b["subsample"],
             featureSubsetStrategy=str(b["colsample_bytree"]),
             minInstancesPerNode=int(b["min_child_weight"]), predictionCol="pred_gbt_shallow", **common),
         "forest": RandomForestRegressor(
-            numTrees=min(2 * iterations, c["iterations"]), maxDepth=min(max_depth + 2, c["depth"]),
-            subsamplingRate=c["subsample"], featureSubsetStrategy="onethird",
+            numTrees=trees or c["iterations"], maxDepth=max_depth or c["depth"],
+            subsamplingRate=c["subsample"], featureSubsetStrategy=str(c["colsample_bylevel"]),
             minInstancesPerNode=int(c["min_data_in_leaf"]), predictionCol="pred_forest", **common),
     }
 
@@ -88,29 +89,27 @@ def fit_all(jobs: list, parallelism: int) -> list:
 def oof_meta_features(train: DataFrame, learners: dict, fold: str = "fold",
                       folds: int = N_FOLDS, parallelism: int = 4) -> DataFrame:
     """Out-of-fold predictions of every learner for every training row."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    jobs = [(est, train.where(F.col(fold) != i)) for i in range(folds) for est in learners.values()]
+    models = iter(fit_all(jobs, parallelism))
     parts = []
-    try:
-        jobs = [(est, train.where(F.col(fold) != i)) for i in range(folds) for est in learners.values()]
-        models = iter(fit_all(jobs, parallelism))
-        for i in range(folds):
-            held = train.where(F.col(fold) == i)
-            for _ in learners:
-                held = next(models).transform(held)
-            parts.append(held)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return cut_lineage(out)
-    finally:
-        train.unpersist()
+    for i in range(folds):
+        held = train.where(F.col(fold) == i)
+        for _ in learners:
+            held = next(models).transform(held)
+        parts.append(held.drop("features"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return cut_lineage(out)
 
 
 # M6 / M7 ---------------------------------------------------------------------
 def moment_sums(meta: DataFrame, xs: Sequence[str], y: str = TARGET, by: str | None = "fold",
                 shift: dict | None = None) -> DataFrame:
-    """Per group: n and sums of (shifted) x_j, y, x_j*x_k, x_j*y — one aggregate."""
+    """Per group: n and sums of (shifted) x_j, y, x_j*x_k, x_j*y — one aggregate
+    over the rows where all of them are known."""
     sh = shift or {}
+    meta = meta.dropna(subset=[*xs, y])
     v = {c: F.col(c).cast("double") - F.lit(float(sh.get(c, 0.0))) for c in [*xs, y]}
     aggs = [F.count("*").alias("n")]
     aggs += [F.sum(v[c]).alias(f"s_{c}") for c in [*xs, y]]
@@ -159,26 +158,30 @@ def fit_ridge(meta: DataFrame, xs: Sequence[str], y: str = TARGET, alphas: Seque
     then M6 on all rows.  ``meta`` must carry ``cv_fold``."""
     spark = meta.sparkSession
     xs = list(xs)
+    meta = meta.dropna(subset=[*xs, y])
     centre = meta.agg(*[F.avg(c).alias(c) for c in [*xs, y]]).first().asDict()
     per_fold = {r[cv_fold]: r.asDict() for r in moment_sums(meta, xs, y, cv_fold, centre).collect()}
     total = {k: sum(r[k] for r in per_fold.values()) for k in next(iter(per_fold.values())) if k != cv_fold}
     coef_rows = []
-    for a in alphas:
-        for f, fr in per_fold.items():
-            rest = {k: total[k] - fr[k] for k in total}
+    for f, fr in per_fold.items():
+        rest, row = {k: total[k] - fr[k] for k in total}, [int(f)]
+        for a in alphas:
             b, w = _solve(rest, xs, y, a)
             # back to raw coordinates: yhat = (sy + b - w.sx) + w.x
-            b_raw = centre[y] + b - float(np.dot(w, [centre[c] for c in xs]))
-            coef_rows.append((float(a), int(f), b_raw, *[float(v) for v in w]))
-    schema = f"alpha DOUBLE, {cv_fold} INT, b DOUBLE, " + ", ".join(f"w{i} DOUBLE" for i in range(len(xs)))
-    coefs = spark.createDataFrame(coef_rows, schema)      # |alphas| x k rows: fixed size
-    pred = F.col("b")
-    for i, c in enumerate(xs):
-        pred = pred + F.col(f"w{i}") * F.col(c)
-    scored = meta.join(F.broadcast(coefs), cv_fold)
-    cv = (scored.groupBy("alpha", cv_fold).agg(F.avg(F.abs(pred - F.col(y))).alias("mae"))
-          .groupBy("alpha").agg(F.avg("mae").alias("cv_mae")).collect())
-    cv_mae = {r["alpha"]: r["cv_mae"] for r in cv}
+            row.append([centre[y] + b - float(np.dot(w, [centre[c] for c in xs])), *[float(v) for v in w]])
+        coef_rows.append(row)
+    schema = f"{cv_fold} INT, " + ", ".join(f"_a{j} ARRAY<DOUBLE>" for j in range(len(alphas)))
+    scored = meta.join(F.broadcast(spark.createDataFrame(coef_rows, schema)), cv_fold)      # k rows
+
+    def error(j: int):
+        pred = F.col(f"_a{j}")[0]
+        for i, c in enumerate(xs):
+            pred = pred + F.col(f"_a{j}")[i + 1] * F.col(c)
+        return F.avg(F.abs(pred - F.col(y)))
+
+    cv = (scored.groupBy(cv_fold).agg(*[error(j).alias(f"m{j}") for j in range(len(alphas))])
+          .agg(*[F.avg(f"m{j}").alias(f"m{j}") for j in range(len(alphas))]).first())
+    cv_mae = {float(a): cv[f"m{j}"] for j, a in enumerate(alphas)}
     best = None
     for a in alphas:                                    # strict <: first wins ties
         if best is None or cv_mae[float(a)] < cv_mae[float(best)]:
@@ -205,8 +208,8 @@ class StackedModel:
         return self.ridge.predict(x)
 
 
-def train_stacked(df: DataFrame, keys: Sequence[str], split: str = "split", iterations: int = 10,
-                  max_depth: int = 5, folds: int = N_FOLDS, alphas: Sequence[float] = RIDGE_ALPHAS,
+def train_stacked(df: DataFrame, keys: Sequence[str], split: str = "split", trees: int | None = None,
+                  max_depth: int | None = None, folds: int = N_FOLDS, alphas: Sequence[float] = RIDGE_ALPHAS,
                   fold_seed: int = RANDOM_STATE + 1) -> tuple[StackedModel, DataFrame]:
     """Whole training run on the train split; returns the model and the OOF table."""
     train_raw = df.where(F.col(split) == "train")
@@ -215,13 +218,10 @@ def train_stacked(df: DataFrame, keys: Sequence[str], split: str = "split", iter
     encoder = fit_encoder(train)
     train = fold_assign(encoder.transform(train), keys, folds, fold_seed)
     train = fold_assign(train, keys, folds, fold_seed + 1, name="cv_fold")
-    learners = base_learners(iterations, max_depth)
+    train = cut_lineage(train.select(*keys, "fold", "cv_fold", TARGET, "features"))
+    learners = base_learners(trees, max_depth)
     meta = oof_meta_features(train, learners, folds=folds)
     xs = [est.getPredictionCol() for est in learners.values()]
     ridge = fit_ridge(meta, xs, alphas=alphas)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        base = dict(zip(learners, fit_all([(est, cached) for est in learners.values()], len(learners))))
-    finally:
-        cached.unpersist()
+    base = dict(zip(learners, fit_all([(est, train) for est in learners.values()], len(learners))))
     return StackedModel(stats, encoder, base, ridge), meta

@@ -15,6 +15,8 @@ from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionMode
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearth.constants import FORBIDDEN_COLUMNS
+
 
 # S2 --------------------------------------------------------------------------
 def read_manifest(spark: SparkSession, path: str) -> list[str]:
@@ -44,10 +46,15 @@ def read_split(spark: SparkSession, path: str, name: str, split: str = "split")
 # S4 --------------------------------------------------------------------------
 def run_metadata(counts: DataFrame, features: Sequence[str], removed: Sequence[str],
                  metrics: dict | None = None, split: str = "split",
-                 improvement: dict | None = None) -> DataFrame:
+                 improvement: dict | None = None, overlap: DataFrame | None = None,
+                 forbidden: Sequence[str] = FORBIDDEN_COLUMNS) -> DataFrame:
     """One row: stamp, feature list, removed list, row counts per split, flags,
     metrics and the improvement over the best base model, built by one
-    aggregate over the per-split counts."""
+    aggregate over the per-split counts.  ``no_leakage`` holds if no feature is a
+    target-derived column and all rows of ``overlap`` (``sets.split_overlap``) are ok;
+    without that table it is null."""
+    clean = not set(features) & set(forbidden)
+    flag = F.lit(None).cast("boolean") if overlap is None else F.lit(clean and overlap.where("not ok").limit(1).count() == 0)
     agg = counts.agg(*[F.sum(F.when(F.col(split) == s, F.col("rows")).otherwise(0)).alias(f"{s}_rows")
                        for s in ("train", "val", "test")])
     now = F.current_timestamp()
@@ -57,7 +64,7 @@ def run_metadata(counts: DataFrame, features: Sequence[str], removed: Sequence[s
         F.array(*[F.lit(f) for f in features]).alias("features"),
         F.array(*[F.lit(f) for f in removed]).cast("array<string>").alias("removed_features"),
         "train_rows", "val_rows", "test_rows",
-        F.lit(True).alias("no_leakage"),
+        flag.alias("no_leakage"),
         F.create_map(*[x for k, v in (metrics or {}).items() for x in (F.lit(k), F.lit(float(v)))])
          .cast("map<string,double>").alias("metrics"),
         F.struct(*[F.lit(v).alias(k) for k, v in (improvement or {"best_base_model": None}).items()])

@@ -8,6 +8,7 @@ import tempfile
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hearth.functions.hashing import unit_hash
@@ -53,7 +54,7 @@ def _generated_listings(spark, n=3000):
 def test_stacked_model_learns_known_signal(spark):
     df = _generated_listings(spark).withColumn(
         "split", F.when(unit_hash(["k"], 42) < 0.7, "train").otherwise("test"))
-    model, meta = stacking.train_stacked(df, ["k"], iterations=10, max_depth=4, folds=3)
+    model, meta = stacking.train_stacked(df, ["k"], trees=10, max_depth=4, folds=3)
     assert meta.count() == df.where("split = 'train'").count()       # every train row has OOF preds
     scored = model.score(df.where("split = 'test'"))
     y = np.array([r.Rent for r in scored.select("Rent").collect()])
@@ -73,15 +74,62 @@ def test_stacked_model_learns_known_signal(spark):
     assert np.allclose(np.sort(p), np.sort(p3))
 
 
-def test_stream_matches_batch_for_closed_windows(spark, sf_dir):
+def test_stream_equals_batch_and_resumes(spark, sf_dir):
+    """Files out of time order, one at a time, in two runs: the summary is the batch one."""
     from hearth.sources.tables import read_table
     from hearth.streaming import hourly
     events = read_table(spark, sf_dir, "events")
-    batch = {(r.window_start, r.event_type): r.requests for r in hourly.hourly_summary(events).collect()}
-    stream = hourly.hourly_stream(spark, os.path.join(sf_dir, "events*.parquet"), events.schema)
-    got = {(r.window_start, r.event_type): r.requests for r in stream.collect()}
-    assert got and all(batch[k] == v for k, v in got.items())
-    assert len(got) <= len(batch)
+    root = tempfile.mkdtemp(prefix="hearth-stream-")
+    ordered = events.withColumn("part", F.ntile(6).over(Window.partitionBy(F.lit(1)).orderBy("ts")))
+    write = lambda n: ordered.where(F.col("part") == n).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    summary = lambda df: {(r.window_start, r.event_type): (r.requests, round(r.mean_prediction, 6), r.min_prediction, r.max_prediction)
+                          for r in df.collect()}
+    run = lambda: hourly.hourly_stream(spark, f"{root}/in", events.schema, f"{root}/state", max_files_per_trigger=1)
+    for n in (5, 2, 6):
+        write(n)
+    assert summary(run()) == summary(hourly.hourly_summary(ordered.where("part in (2, 5, 6)").drop("part")))
+    for n in (1, 4, 3):
+        write(n)
+    assert summary(run()) == summary(run()) == summary(hourly.hourly_summary(events))
+
+
+def test_learners_take_the_tuned_values():
+    from hearth.constants import TUNED_PARAMS
+    from hearth.plans.stacking import base_learners
+    got = base_learners()
+    for name, key, trees, depth, leaf, columns in (
+            ("gbt_deep", "XGBoost", "n_estimators", "max_depth", "min_child_weight", "colsample_bytree"),
+            ("gbt_shallow", "LightGBM", "n_estimators", "max_depth", "min_child_weight", "colsample_bytree"),
+            ("forest", "CatBoost", "iterations", "depth", "min_data_in_leaf", "colsample_bylevel")):
+        est, want = got[name], TUNED_PARAMS[key]
+        value = lambda p: est.getOrDefault(p)
+        assert value("numTrees" if name == "forest" else "maxIter") == want[trees] == 500
+        assert value("maxDepth") == want[depth] and value("minInstancesPerNode") == want[leaf]
+        assert value("subsamplingRate") == want["subsample"] and value("featureSubsetStrategy") == str(want[columns])
+        if name != "forest":
+            assert value("stepSize") == want["learning_rate"] == 0.05
+    assert got["gbt_deep"].getMinInfoGain() == TUNED_PARAMS["XGBoost"]["gamma"]
+    assert base_learners(3, 2)["forest"].getNumTrees() == 3
+
+
+def test_ridge_skips_incomplete_rows(spark):
+    from hearth.plans.stacking import fit_ridge, moment_sums
+    rows = [(float(i), float(i * i % 7), 2.0 * i + 1 + (i * i % 7), i % 5) for i in range(40)]
+    df = spark.createDataFrame(rows + [(None, 1.0, 5.0, 0), (3.0, None, 7.0, 1), (3.0, 3.0, None, 2)], "a DOUBLE, b DOUBLE, Rent DOUBLE, cv_fold INT")
+    whole = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, Rent DOUBLE, cv_fold INT")
+    assert moment_sums(df, ["a", "b"], by=None).first().n == 40
+    got, want = fit_ridge(df, ["a", "b"]), fit_ridge(whole, ["a", "b"])
+    assert got.alpha == want.alpha and np.allclose(got.coef, want.coef) and np.isclose(got.intercept, want.intercept)
+
+
+def test_run_metadata_computes_leakage(spark):
+    from hearth.sources.sinks import run_metadata
+    counts = spark.createDataFrame([("train", 3), ("val", 1)], "split STRING, rows BIGINT")
+    overlap = spark.createDataFrame([(True,), (True,)], "ok BOOLEAN")
+    assert run_metadata(counts, ["Beds"], [], overlap=overlap).first().no_leakage is True
+    assert run_metadata(counts, ["Rent_category"], [], overlap=overlap).first().no_leakage is False
+    assert run_metadata(counts, ["Beds"], [], overlap=overlap.union(spark.createDataFrame([(False,)], "ok BOOLEAN"))).first().no_leakage is False
+    assert run_metadata(counts, ["Beds"], []).first().no_leakage is None
 
 
 def test_manifest_shapes(spark):
@@ -111,4 +159,3 @@ def test_entry_contract(spark):
     assert df.count() > 0 and "property_rank_in_location" in df.columns
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
-    assert not any(n.startswith("op") or "pipeline" in n for n in qs)
