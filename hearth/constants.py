@@ -74,14 +74,11 @@ UNKNOWN_REGION_MEAN = 100000.0
 UNKNOWN_RANK = 0.5
 DEGENERATE_PREMIUM = 1.0
 ERROR_BANDS = [(5.0, "EXCELLENT"), (10.0, "GOOD")]   # else WARNING
-ERROR_ALERT_PCT = 10.0
 DRIFT_THRESHOLD = 0.1
 MULTICOLLINEARITY_MAX = 0.90
 LOW_SIGNAL_MIN = 0.1
 BASELINE_QUANTILES = [0.25, 0.50, 0.75]
-SPLIT_MEAN_TOLERANCE = 0.10
 SHARE_BOUNDS = {"train": (0.60, 0.75), "val": (0.10, 0.20), "test": (0.15, 0.25)}
-ENCODER_WIDTH = 3
 R2_MIN = 0.70
 CORR_MIN = 0.85
 
@@ -93,6 +90,17 @@ PERFORMANCE_TARGETS = [
     ("val_mae", 15500.0, "max"),
 ]
 
+# Accepted ranges of the re-trained ensemble: (metric, min, max).
+ACCEPTED_RANGES = [
+    ("test_r2", 0.935, 0.940),
+    ("test_mae", 5400.0, 5650.0),
+    ("test_rmse", 25800.0, 26400.0),
+    ("val_mae", 5800.0, 6050.0),
+]
+
+# Labels of the market comparison.
+COMPARISON_LABELS = ["Location Average", "Property Type Average", "Your Prediction"]
+
 # Tuned booster parameters of the three base learners.
 TUNED_PARAMS = {
     "XGBoost": {"n_estimators": 500, "max_depth": 10, "learning_rate": 0.05,
@@ -115,9 +123,5 @@ V62_FLAGS = ["has_water_view", "has_parking", "has_pool", "has_gym", "has_balcon
 
 # Largest fitted table we broadcast; beyond it a shuffle join is used.
 BROADCAST_MAX_ROWS = 2_000_000
-# Distributed exact rank operator: at most this many distinct values per
-# (group, slice) window partition, and at most this many slices per group.
-RANK_SLICE_ROWS = 1_000_000
-RANK_MAX_SLICES = 4096
 # Decimal places of floating outputs that are compared with the SQL oracle.
 ROUND = 6

@@ -94,7 +94,7 @@ def type_conformance(spark: SparkSession, df: DataFrame, numeric: Sequence[str],
 def drift_check(baseline: DataFrame, current: DataFrame,
                 threshold: float = DRIFT_THRESHOLD) -> DataFrame:
     """Q13: standardised mean shift of each column against the baseline profile
-    (both from ``baseline_profile``)."""
+    (both from ``moment_profile`` or ``baseline_profile``)."""
     b = baseline.select("column", F.col("mean").alias("base_mean"), F.col("std").alias("base_std"))
     c = current.select("column", F.col("mean").alias("current_mean"))
     shift = F.try_divide(F.abs(F.col("current_mean") - F.col("base_mean")), F.col("base_std"))

@@ -1,30 +1,22 @@
 """Evaluation of predictions, in one aggregate pass.
 
-Predictions of several models sit side by side as columns; ``unpivot`` turns
-them into (model, prediction) rows so every model x split x segment metric
-comes out of the same aggregate (partial aggregation, no per-model job).
+Predictions of several models sit side by side as columns; one wide aggregate
+has every model's metrics per group, laid out as a row per model afterwards.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.constants import PERFORMANCE_TARGETS
+from hearth.constants import ACCEPTED_RANGES, CORR_MIN, PERFORMANCE_TARGETS, R2_MIN
 from hearth.functions.features import safe_corr
 
 
-def long_predictions(df: DataFrame, preds: Sequence[str], target: str = "Rent",
-                     ids: Sequence[str] = ()) -> DataFrame:
-    cols = [*ids, target]
-    return df.select(*cols, *[F.col(p).cast("double").alias(p) for p in preds]) \
-             .unpivot(cols, list(preds), "model", "prediction")
-
-
 def metric_aggs(target: str = "Rent", prediction: str = "prediction") -> list:
-    y, p = F.col(target).cast("double"), F.col(prediction)
+    y, p = F.col(target).cast("double"), F.col(prediction).cast("double")
     e = p - y
     sst = F.var_pop(y) * F.count("*")
     return [
@@ -41,18 +33,32 @@ def metrics(df: DataFrame, preds: Sequence[str], target: str = "Rent",
             by: Sequence[str] = ("split",)) -> DataFrame:
     """Q1/Q2/Q4: n, MAE, RMSE, R2, MAPE and prediction-actual correlation per
     model and group."""
-    long = long_predictions(df, preds, target, by)
-    return long.groupBy("model", *by).agg(*metric_aggs(target))
+    return _stacked_metrics(df.groupBy(*by), preds, target, by)
+
+
+def _stacked_metrics(grouped: GroupedData, preds: Sequence[str], target: str, keys: Sequence[str]) -> DataFrame:
+    """One wide aggregate for all models, laid out as a row per model."""
+    names = ["n", "mae", "rmse", "r2", "mape", "corr"]
+    wide = grouped.agg(*[a.alias(f"{p}__{n}") for p in preds for n, a in zip(names, metric_aggs(target, p))])
+    return wide.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(p).alias("model"), *[F.col(f"{p}__{n}").alias(n) for n in names]) for p in preds])))
 
 
 def segment_metrics(df: DataFrame, preds: Sequence[str], segments: Sequence[str],
                     target: str = "Rent", split: str = "split") -> DataFrame:
-    """Q3: metrics per segment value for each segment column (long form)."""
-    long = long_predictions(df, preds, target, [split, *segments])
-    seg = long.select("*", F.explode(F.array(*[
-        F.struct(F.lit(s).alias("segment_kind"), F.col(s).cast("string").alias("segment"))
-        for s in segments])).alias("_s")).select(split, "model", "_s.*", target, "prediction")
-    return seg.groupBy("model", split, "segment_kind", "segment").agg(*metric_aggs(target))
+    """Q3: metrics per segment value for each segment column (long form), from one
+    grouping-sets aggregate."""
+    names = ["n", "mae", "rmse", "r2", "mape", "corr"]
+    wide = df.groupingSets([[split, s] for s in segments], split, *segments).agg(
+        F.grouping_id().alias("_gid"), *[a.alias(f"{p}__{n}") for p in preds for n, a in zip(names, metric_aggs(target, p))])
+    kind, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, s in enumerate(segments):
+        # grouping_id has a bit for each key that is aggregated away; the last key is the lowest
+        mine = (1 << len(segments)) - 1 - (1 << (len(segments) - 1 - i))
+        kind = F.when(F.col("_gid") == mine, s).otherwise(kind)
+        value = F.when(F.col("_gid") == mine, F.col(s).cast("string")).otherwise(value)
+    return wide.select(split, kind.alias("segment_kind"), value.alias("segment"), F.inline(F.array(*[
+        F.struct(F.lit(p).alias("model"), *[F.col(f"{p}__{n}").alias(n) for n in names]) for p in preds])))
 
 
 def best_model(m: DataFrame, metric: str = "mae", order: str = "ordinal") -> DataFrame:
@@ -66,12 +72,22 @@ def top_segments(seg: DataFrame, n: int = 10, metric: str = "mae") -> DataFrame:
 
 
 def acceptance(spark: SparkSession, values: DataFrame,
-               targets: Sequence[tuple[str, float, str]] = PERFORMANCE_TARGETS) -> DataFrame:
-    """Q5: (metric, value) joined with the target table -> pass/fail rows."""
+               targets: Sequence[tuple[str, float, str]] = PERFORMANCE_TARGETS,
+               ranges: Sequence[tuple[str, float, float]] = ACCEPTED_RANGES) -> DataFrame:
+    """Q5: (metric, value) against its target (``passed``) and against the range
+    accepted of a re-training (``in_range``)."""
     t = spark.createDataFrame(list(targets), "metric STRING, bound DOUBLE, direction STRING")
     ok = F.when(F.col("direction") == "max", F.col("value") <= F.col("bound")) \
           .otherwise(F.col("value") >= F.col("bound"))
-    return values.join(F.broadcast(t), "metric").withColumn("passed", ok)
+    span = spark.createDataFrame(list(ranges), "metric STRING, range_min DOUBLE, range_max DOUBLE")
+    return (values.join(F.broadcast(t), "metric").join(F.broadcast(span), "metric", "left").withColumn("passed", ok)
+            .withColumn("in_range", F.col("value").between(F.col("range_min"), F.col("range_max"))))
+
+
+def meets_floors(m: DataFrame, r2_min: float = R2_MIN, corr_min: float = CORR_MIN) -> DataFrame:
+    """Whether each row's R2 and correlation reach their floors; unknown ones don't."""
+    return m.withColumns({"r2_ok": F.coalesce(F.col("r2") >= r2_min, F.lit(False)),
+                          "corr_ok": F.coalesce(F.col("corr") >= corr_min, F.lit(False))})
 
 
 def error_band_summary(df: DataFrame, by: Sequence[str] = ("split",)) -> DataFrame:

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.constants import BASELINE_QUANTILES, LOW_SIGNAL_MIN, MULTICOLLINEARITY_MAX
+from hearth.constants import BASELINE_QUANTILES, LOW_SIGNAL_MIN, MULTICOLLINEARITY_MAX, SHARE_BOUNDS
 from hearth.functions.features import safe_corr
+from hearth.operators.joins import cut_lineage
 from hearth.operators.ranks import quantiles
 
 
@@ -70,21 +71,39 @@ def baseline_profile(df: DataFrame, cols: Sequence[str],
                      probs: Sequence[float] = BASELINE_QUANTILES, by: Sequence[str] = ()) -> DataFrame:
     """mean, std, min, max and linear-interpolation quantiles per column (and
     per ``by`` group, e.g. split, so several profiles come from one pass)."""
-    long = melt(df, cols, by)
     keys = [*by, "column"]
-    moments = long.groupBy(*keys).agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
     names = [f"q{int(round(p * 100))}" for p in probs]
-    q = quantiles(long, keys, "value", probs, names).drop("n")
-    return moments.join(q, keys, "left")
+    q = quantiles(melt(df, cols, by), keys, "value", probs, names).drop("n")
+    return moment_profile(df, cols, by).join(q, keys, "left")
+
+
+def moment_profile(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """mean, std, min, max per column (and ``by`` group) from one wide aggregate."""
+    stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = df.groupBy(*by).agg(*[f(F.col(c).cast("double")).alias(f"{c}__{n}") for c in cols for n, f in stats.items()])
+    return wide.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{n}").alias(n) for n in stats]) for c in cols])))
 
 
 # A10 / A11 -------------------------------------------------------------------
-def split_shares(df: DataFrame, split: str = "split") -> DataFrame:
+def split_shares(df: DataFrame, split: str = "split", bounds: dict = SHARE_BOUNDS) -> DataFrame:
+    """Rows and share of each split, and whether the share is within its bounds
+    (null for a split without bounds)."""
     counts = df.groupBy(split).agg(F.count("*").alias("rows"))
     total = F.sum("rows").over(_whole())
-    return counts.withColumn("share", F.col("rows") / total)
+    within = F.lit(None).cast("boolean")
+    for name, (lo, hi) in bounds.items():
+        within = F.when(F.col(split) == name, F.col("share").between(lo, hi)).otherwise(within)
+    return counts.withColumn("share", F.col("rows") / total).withColumn("within_bounds", within)
+
+
+def stratum_shares(df: DataFrame, stratum: str = "stratum", split: str = "split") -> DataFrame:
+    """Rows of each stratum and the share of each split within it: the report of
+    a stratified split."""
+    names = ("train", "val", "test")
+    out = df.groupBy(stratum).agg(F.count("*").alias("rows"), *[
+        F.count_if(F.col(split) == n).alias(f"{n}_rows") for n in names])
+    return out.withColumns({f"{n}_share": F.col(f"{n}_rows") / F.col("rows") for n in names})
 
 
 def _whole():
@@ -110,26 +129,16 @@ def feature_target_corr(df: DataFrame, features: Sequence[str], target: str = "R
     return out.withColumn("low_signal", F.abs("corr") < low_signal)
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str]) -> list[list[float | None]]:
-    """Pearson correlation matrix of ``cols`` in ONE distributed pass (Spark ML
-    ``Correlation``: a tree-aggregated Gramian).  The result is |cols|^2 numbers,
-    bounded by the feature count, not by the data.  Rows with a NULL in any
-    column are skipped; a constant column gives NULL correlations."""
-    import math
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-    return [[None if math.isnan(x) else float(x) for x in row] for row in m]
-
-
 def pairwise_corr(df: DataFrame, features: Sequence[str],
                   bound: float = MULTICOLLINEARITY_MAX) -> DataFrame:
-    """All feature pairs (a < b in list order) from one correlation-matrix pass."""
-    m = corr_matrix(df, features)
-    rows = [(a, b, m[i][j]) for i, a in enumerate(features) for j, b in enumerate(features) if j > i]
-    out = df.sparkSession.createDataFrame(rows, "feature_a STRING, feature_b STRING, corr DOUBLE")
+    """All feature pairs (a < b in list order) from one wide aggregate, each over
+    the rows where both are known."""
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
+    wide = df.agg(*[safe_corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))).alias(f"c{i}")
+                    for i, (a, b) in enumerate(pairs)])
+    out = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("corr"))
+        for i, (a, b) in enumerate(pairs)])))
     return out.withColumn("above_bound", F.abs("corr") >= bound)
 
 
@@ -159,9 +168,9 @@ def contamination_check(df: DataFrame, group: str = "Location", value: str = "Ar
                         split: str = "split") -> DataFrame:
     """Per group: median over all rows vs over train rows vs over test rows.
     A feature built from the combined median proves test rows leaked."""
-    both = df.select(group, value, split).unionByName(
-        df.select(group, value, F.lit("all").alias(split)))
-    q = quantiles(both, [group, split], value, [0.5], ["median"]).drop("n")
+    counts = cut_lineage(df.groupBy(group, value, split).agg(F.count("*").alias("_c")))
+    whole = counts.groupBy(group, value).agg(F.sum("_c").alias("_c")).withColumn(split, F.lit("all"))
+    q = quantiles(counts.unionByName(whole), [group, split], value, [0.5], ["median"], weight="_c").drop("n")
     return q.groupBy(group).pivot(split, ["all", "train", "val", "test"]).agg(F.first("median")) \
             .withColumnsRenamed({"all": "median_all", "train": "median_train",
                                  "val": "median_val", "test": "median_test"})

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.constants import (BROADCAST_MAX_ROWS, DEGENERATE_PREMIUM, UNKNOWN_RANK,
+from hearth.constants import (BROADCAST_MAX_ROWS, COMPARISON_LABELS, DEGENERATE_PREMIUM, UNKNOWN_RANK,
                               UNKNOWN_REGION_MEAN)
 from hearth.functions.features import ratio
-from hearth.operators.joins import join_small, materialise
+from hearth.operators.joins import cut_lineage, join_small, materialise
 from hearth.operators.ranks import quantiles, value_ranks
 
 
@@ -33,10 +33,11 @@ class ListingStats:
     area_hist: DataFrame    # loc, area, cnt  (train histogram of areas per location)
     global_mean: float | None
     cols: dict
+    source: DataFrame | None = None     # the cached aggregate that the tables are cut from
 
     def unpersist(self) -> None:
-        for t in (self.loc, self.loc_type, self.furn, self.typ, self.area_hist):
-            t.unpersist()
+        if self.source is not None:
+            self.source.unpersist()
 
 
 def fit_listing_stats(train: DataFrame, loc: str = "Location", typ: str = "Type",
@@ -69,13 +70,14 @@ def fit_listing_stats(train: DataFrame, loc: str = "Location", typ: str = "Type"
         F.col(loc).alias("_loc"), F.col(area).alias("_area"), F.col("_n").alias("cnt"))
     glob = levels.get(15, (0, None))[1]
     return ListingStats(loc_t, lt_t, furn_t, typ_t, hist, glob,
-                        dict(loc=loc, typ=typ, furn=furn, area=area, target=target))
+                        dict(loc=loc, typ=typ, furn=furn, area=area, target=target), g)
 
 
 def area_rank_share(df: DataFrame, stats: ListingStats,
                     max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """W1 against the fitted histogram: share of training rows of the same
-    location with a strictly smaller area; UNKNOWN_RANK for unseen locations.
+    location with a strictly smaller area; UNKNOWN_RANK for unseen locations,
+    0 for a NULL area in a known one (no area compares smaller).
 
     Probe values enter the rank computation with weight 0, so no theta join
     and no per-location window over raw rows is needed."""
@@ -87,8 +89,11 @@ def area_rank_share(df: DataFrame, stats: ListingStats,
                                                  F.max("n").alias("_rn"))
     out = join_small(df, ranked, (F.col(c["loc"]) == F.col("_loc"))
                      & (F.col(c["area"]) == F.col("_area")), "left", max_rows)
-    share = F.when(F.col("_rn") > 0, F.col("_below") / F.col("_rn")).otherwise(F.lit(UNKNOWN_RANK))
-    return out.withColumn("property_rank_in_location", share).drop("_loc", "_area", "_below", "_rn")
+    out = out.drop("_loc", "_area")
+    out = out.join(stats.loc.select("_loc", "loc_n"), F.col(c["loc"]) == F.col("_loc"), "left")
+    share = (F.when(F.col("_rn") > 0, F.col("_below") / F.col("_rn"))
+             .when(F.col("loc_n").isNotNull() & F.col(c["area"]).isNull(), F.lit(0.0)).otherwise(F.lit(UNKNOWN_RANK)))
+    return out.withColumn("property_rank_in_location", share).drop("_loc", "loc_n", "_below", "_rn")
 
 
 def premium(mean: Column, global_mean: float | None, unknown: float) -> Column:
@@ -143,20 +148,19 @@ def region_features(df: DataFrame, region: str = "address_region", price: str =
                     max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """region_price_mean/median/std per region joined back (left); groups
     without a value (e.g. a one-row std) are filled with the global value.
-    Per-region and global statistics come from the same passes: a rollup for
-    the moments and one exact-quantile run over (region rows + an 'all' copy)."""
-    mom = df.rollup(region).agg(F.grouping_id().alias("_gid"), F.avg(price).alias("_m"),
-                                F.stddev_samp(price).alias("_s"))
-    tagged = df.select(F.lit(0).alias("_lvl"), F.col(region).alias("_r"), price).unionByName(
-        df.select(F.lit(1).alias("_lvl"), F.lit(None).cast(df.schema[region].dataType).alias("_r"), price))
-    med = quantiles(tagged, ["_lvl", "_r"], price, [0.5], ["_md"]).drop("n")
-    stats, _ = materialise(
-        mom.select((F.col("_gid") > 0).cast("int").alias("_lvl"), F.col(region).alias("_r"), "_m", "_s")
-           .join(med, ["_lvl", "_r"], "left"))
-    g = stats.where("_lvl = 1").first()
-    per = stats.where("_lvl = 0").select(F.col("_r").alias(region), F.col("_m").alias("region_price_mean"),
-                                         F.col("_md").alias("region_price_median"),
-                                         F.col("_s").alias("region_price_std"))
+    A row without a region gets the global values, too.  The table is read once
+    into counts of (region, price); medians of both levels come from those."""
+    counts = cut_lineage(df.groupBy(F.col(region).alias("_r"), F.col(price).alias("_p")).agg(F.count("*").alias("_c")))
+    mom = df.rollup(region).agg(F.grouping_id().alias("_gid"), F.avg(price).alias("_m"), F.stddev_samp(price).alias("_s"))
+    known = counts.where("_r is not null")
+    med = quantiles(known, ["_r"], "_p", [0.5], ["_md"], weight="_c").drop("n")
+    whole = counts.groupBy("_p").agg(F.sum("_c").alias("_c"))
+    g = mom.where("_gid > 0").first()
+    gm = quantiles(whole, [], "_p", [0.5], ["_md"], weight="_c").first()
+    g = {"_m": g["_m"], "_s": g["_s"], "_md": gm["_md"] if gm else None} if g else None
+    per = (mom.where(F.col(region).isNotNull()).select(F.col(region).alias("_r"), "_m", "_s").join(med, "_r", "left")
+           .select(F.col("_r").alias(region), F.col("_m").alias("region_price_mean"),
+                   F.col("_md").alias("region_price_median"), F.col("_s").alias("region_price_std")))
     out = join_small(df, per, region, "left", max_rows)
     return out.withColumns({
         "region_price_mean": F.coalesce("region_price_mean", F.lit(g["_m"] if g else None)),
@@ -206,6 +210,8 @@ def market_comparison(scored: DataFrame, stats: ListingStats, prediction: str =
                       F.col(c["loc"]) == F.col("_loc"), "left").drop("_loc")
     out = out.join(stats.typ, F.col(c["typ"]) == F.col("_typ"), "left").drop("_typ")
     keep = [x for x in scored.columns if x != prediction]
-    return out.select(*keep, F.expr(
-        f"stack(3, 'Location Average', loc_mean_rent, 'Property Type Average', type_mean_rent, "
-        f"'Your Prediction', CAST(`{prediction}` AS DOUBLE)) AS (Category, Price)"))
+    a, b, p = (F.lit(x) for x in COMPARISON_LABELS)
+    return out.select(*keep, F.inline(F.array(
+        F.struct(a.alias("Category"), F.col("loc_mean_rent").alias("Price")),
+        F.struct(b.alias("Category"), F.col("type_mean_rent").alias("Price")),
+        F.struct(p.alias("Category"), F.col(prediction).cast("double").alias("Price")))))

@@ -132,3 +132,21 @@ def test_cardinality_and_target_summary(listing_rows):
     rents = [r.Rent for r in listing_rows.collect()]
     assert s.n == 12 and s.min == 0.0 and s.max == 999999.0 and s.median == float(np.median(rents))
     assert math.isclose(s.mean, np.mean(rents))
+
+
+def test_correlations_use_the_rows_where_both_are_known(spark):
+    rows = [(1.0, 2.0, None), (2.0, 1.0, 5.0), (3.0, 5.0, None), (4.0, None, 1.0), (5.0, 6.0, 4.0), (6.0, 5.5, 9.0)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE")
+    got = {(r.feature_a, r.feature_b): r.corr for r in pf.pairwise_corr(df, ["a", "b", "c"]).collect()}
+    for (x, y), value in got.items():
+        i, j = "abc".index(x), "abc".index(y)
+        known = [(r[i], r[j]) for r in rows if None not in (r[i], r[j])]
+        assert math.isclose(value, np.corrcoef(*zip(*known))[0, 1])
+
+
+def test_shares_bounds_and_strata(spark):
+    df = spark.createDataFrame([("s", "train")] * 14 + [("s", "val")] * 2 + [("t", "test")] * 4 + [("t", "odd")], "stratum STRING, split STRING")
+    got = {r.split: (r.rows, r.within_bounds) for r in pf.split_shares(df).collect()}
+    assert got == {"train": (14, True), "val": (2, False), "test": (4, True), "odd": (1, None)}
+    strata = {r.stratum: (r.rows, r.train_share, r.val_share, r.test_share) for r in pf.stratum_shares(df).collect()}
+    assert strata["s"] == (16, 14 / 16, 2 / 16, 0.0) and strata["t"] == (5, 0.0, 0.0, 0.8)

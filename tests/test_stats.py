@@ -92,3 +92,25 @@ def test_v62_features(spark):
     r = st.v62_features(req, means).first()
     assert r.total_rooms == 3 and r.price_per_sqft_est == 100.0 and r.has_pool == 1 and r.has_gym == 0
     assert math.isclose(r.bed_size_interaction, 2 * math.log1p(999.0))
+
+
+def test_rows_without_region_get_the_global_values(spark):
+    from hearth.operators.stats import region_features
+    df = spark.createDataFrame([("a", 10.0), ("a", 30.0), ("a", 50.0), ("b", 20.0), (None, 40.0), ("c", None)],
+                               "address_region STRING, price DOUBLE")
+    got = {(r.address_region, r.price): (r.region_price_mean, r.region_price_median, round(r.region_price_std, 6)) for r in region_features(df).collect()}
+    everywhere = (30.0, 30.0, 15.811388)
+    assert got[(None, 40.0)] == got[("c", None)] == everywhere
+    assert got[("a", 10.0)] == (30.0, 30.0, 20.0)
+    assert got[("b", 20.0)] == (20.0, 20.0, 15.811388)
+
+
+def test_rank_of_unknown_area_and_location(spark, listing_rows):
+    from hearth.operators.stats import area_rank_share, fit_listing_stats
+    s = fit_listing_stats(listing_rows.where("split = 'train'"))
+    req = spark.createDataFrame([(1, "A", None), (2, "Z", 10.0), (3, "A", 700.0), (4, "Z", None), (5, None, 5.0)],
+                                "i INT, Location STRING, Area_in_sqft DOUBLE")
+    got = {r.i: r.property_rank_in_location for r in area_rank_share(req, s).collect()}
+    assert got == {1: 0.0, 2: 0.5, 3: 0.25, 4: 0.5, 5: 0.5}
+    s.unpersist()
+    assert not s.source.is_cached
