@@ -14,6 +14,7 @@ from hearth.sources.tables import LISTING_KEY, LISTINGS_SQL
 ORACLE: dict[str, str] = {}
 
 H = sql_bucket32(LISTING_KEY, 42)
+H60 = sql_bucket32(LISTING_KEY, 42, 15)
 
 SPLIT_SQL = f"""
 split_rows AS (
@@ -197,11 +198,11 @@ sc AS (
 scored AS (SELECT *, (pred_location_type + pred_type + pred_global) / 3 AS pred_blend FROM sc)"""
 
 ORACLE["market_comparison"] = f"""{FEAT},{SCORED_SQL}
-SELECT {KEYS}, 'Location Average' AS Category, {rd('loc_mr', 'Price')} FROM scored WHERE split = 'test'
+SELECT {KEYS}, 'Location Average' AS Category, {rd('loc_mr', 'Price')} FROM scored
 UNION ALL
-SELECT {KEYS}, 'Property Type Average', round(ty_mr, {ROUND}) + 0.0 FROM scored WHERE split = 'test'
+SELECT {KEYS}, 'Property Type Average', round(ty_mr, {ROUND}) + 0.0 FROM scored
 UNION ALL
-SELECT {KEYS}, 'Your Prediction', round(pred_blend, {ROUND}) + 0.0 FROM scored WHERE split = 'test'"""
+SELECT {KEYS}, 'Your Prediction', round(pred_blend, {ROUND}) + 0.0 FROM scored"""
 
 ORACLE["location_rank"] = f"""{BASE},
 h AS (SELECT Location, Area_in_sqft, count(*) AS c FROM listings GROUP BY Location, Area_in_sqft),
@@ -262,7 +263,22 @@ ORACLE["baseline_profile"] = FEAT + "\n" + union(
      for c in NUMERIC])
 
 ORACLE["split_shares"] = f"""{BASE}
-SELECT split, count(*) AS rows, count(*) / sum(count(*)) OVER () AS share FROM split_rows GROUP BY split"""
+SELECT split, count(*) AS rows, count(*) / sum(count(*)) OVER () AS share,
+       CASE split WHEN 'train' THEN count(*) / sum(count(*)) OVER () BETWEEN 0.60 AND 0.75
+                  WHEN 'val' THEN count(*) / sum(count(*)) OVER () BETWEEN 0.10 AND 0.20
+                  WHEN 'test' THEN count(*) / sum(count(*)) OVER () BETWEEN 0.15 AND 0.25 END AS within_bounds
+FROM split_rows GROUP BY split"""
+
+ORACLE["split_tables"] = f"""{BASE}
+SELECT split, count(*) AS rows, {rd('avg(Rent)', 'mean_rent')} FROM split_rows GROUP BY split"""
+
+ORACLE["csv_round_trip"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+ORACLE["category_filter"] = f"""{BASE}
+SELECT {KEYS}, Type, Rent FROM listings WHERE Location = 'FRANCE' AND Furnishing = 'O'"""
+
+ORACLE["model_inputs"] = f"""{BASE}
+SELECT Location, Type, Furnishing, Beds, Baths, Area_in_sqft FROM listings"""
 
 ORACLE["split_mean_ratio"] = f"""{BASE},
 m AS (SELECT split, avg(Rent) AS mean FROM split_rows GROUP BY split),
@@ -323,13 +339,30 @@ cuts AS (SELECT quantile_cont(Rent, 0.25) AS c25, quantile_cont(Rent, 0.5) AS c5
                 quantile_cont(Rent, 0.75) AS c75 FROM listings),
 st AS (SELECT l.*, concat_ws('#', CASE WHEN lc.n >= 10 THEN l.Location ELSE '__rare__' END,
               CAST(1 + CAST(Rent > c25 AS INTEGER) + CAST(Rent > c50 AS INTEGER) + CAST(Rent > c75 AS INTEGER)
-                   AS VARCHAR)) AS stratum, {H} AS h
+                   AS VARCHAR)) AS stratum, {H60} AS h
        FROM listings l JOIN lc ON lc.Location = l.Location CROSS JOIN cuts),
 rk AS (SELECT *, (rank() OVER (PARTITION BY stratum ORDER BY h) - 1)
                  / count(*) OVER (PARTITION BY stratum) AS pos FROM st)
 SELECT {KEYS}, stratum, CASE WHEN pos < 0.7 THEN 'train' WHEN pos < {0.7 + 0.15!r} THEN 'val'
                              ELSE 'test' END AS split FROM rk"""
 
+ORACLE["stratum_shares"] = f"""{BASE},
+lc AS (SELECT Location, count(*) AS n FROM listings GROUP BY Location),
+cuts AS (SELECT quantile_cont(Rent, 0.25) AS c25, quantile_cont(Rent, 0.5) AS c50,
+                quantile_cont(Rent, 0.75) AS c75 FROM listings),
+st AS (SELECT l.*, concat_ws('#', CASE WHEN lc.n >= 10 THEN l.Location ELSE '__rare__' END,
+              CAST(1 + CAST(Rent > c25 AS INTEGER) + CAST(Rent > c50 AS INTEGER) + CAST(Rent > c75 AS INTEGER)
+                   AS VARCHAR)) AS stratum, {H60} AS h
+       FROM listings l JOIN lc ON lc.Location = l.Location CROSS JOIN cuts),
+rk AS (SELECT *, (rank() OVER (PARTITION BY stratum ORDER BY h) - 1)
+                 / count(*) OVER (PARTITION BY stratum) AS pos FROM st),
+a AS (SELECT stratum, CASE WHEN pos < 0.7 THEN 'train' WHEN pos < {0.7 + 0.15!r} THEN 'val' ELSE 'test' END AS split FROM rk)
+SELECT stratum, count(*) AS rows, CAST(count_if(split = 'train') AS BIGINT) AS train_rows,
+       CAST(count_if(split = 'val') AS BIGINT) AS val_rows, CAST(count_if(split = 'test') AS BIGINT) AS test_rows,
+       {rd("count_if(split = 'train') / count(*)", 'train_share')}, {rd("count_if(split = 'val') / count(*)", 'val_share')},
+       {rd("count_if(split = 'test') / count(*)", 'test_share')}
+FROM a GROUP BY stratum"""
+
 HF = sql_bucket32(["o_orderkey"], 43)
 ORACLE["fold_assign"] = f"SELECT o_orderkey, CAST({HF} % 5 AS INTEGER) AS fold FROM orders"
 
@@ -409,7 +442,12 @@ def metric_sql(p: str = "prediction", y: str = "Rent") -> str:
 
 
 ORACLE["metrics_overall"] = f"""{SC}{LONG_SQL}
-SELECT model, split, {metric_sql()} FROM long GROUP BY model, split"""
+SELECT model, split, {metric_sql()},
+       coalesce(CASE WHEN max(Rent) > min(Rent) THEN 1 - sum((prediction - Rent) * (prediction - Rent))
+                / (var_pop(Rent) * count(*)) END >= 0.70, false) AS r2_ok,
+       coalesce(CASE WHEN min(prediction) < max(prediction) AND min(Rent) < max(Rent)
+                THEN corr(prediction, Rent) END >= 0.85, false) AS corr_ok
+FROM long GROUP BY model, split"""
 
 SEG_SQL = f"""{SC}{LONG_SQL},
 seg AS (SELECT model, split, 'Type' AS segment_kind, Type AS segment, Rent, prediction FROM long
@@ -451,10 +489,14 @@ v AS (SELECT split || '_mae' AS metric, mae AS value FROM mt WHERE model = 'pred
       UNION ALL SELECT split || '_rmse', rmse FROM mt WHERE model = 'pred_blend'),
 t AS (SELECT * FROM (VALUES ('test_mae', 15000.0, 'max'), ('test_r2', 0.85, 'min'),
                             ('test_rmse', 25000.0, 'max'), ('val_mae', 15500.0, 'max'))
-      AS t(metric, bound, direction))
+      AS t(metric, bound, direction)),
+a AS (SELECT * FROM (VALUES ('test_r2', 0.935, 0.940), ('test_mae', 5400.0, 5650.0), ('test_rmse', 25800.0, 26400.0),
+                            ('val_mae', 5800.0, 6050.0)) AS a(metric, range_min, range_max))
 SELECT v.metric, {rd('v.value', 'value')}, CAST(t.bound AS DOUBLE) AS bound, t.direction,
-       CASE WHEN t.direction = 'max' THEN v.value <= t.bound ELSE v.value >= t.bound END AS passed
-FROM v JOIN t ON t.metric = v.metric"""
+       CASE WHEN t.direction = 'max' THEN v.value <= t.bound ELSE v.value >= t.bound END AS passed,
+       CAST(a.range_min AS DOUBLE) AS range_min, CAST(a.range_max AS DOUBLE) AS range_max,
+       v.value BETWEEN a.range_min AND a.range_max AS in_range
+FROM v JOIN t ON t.metric = v.metric LEFT JOIN a ON a.metric = v.metric"""
 
 ERR_SQL = """
 err AS (SELECT split, abs(pred_blend - Rent) * 100.0 / Rent AS error_pct FROM scored),
@@ -514,10 +556,16 @@ ORACLE["drift_check"] = FEAT + "\n" + union([
     f"/ nullif(stddev_samp({c}) FILTER (WHERE split = 'train'), 0) > 0.1, false) AS drift FROM feat"
     for c in NUMERIC])
 
-ORACLE["audit_report"] = f"""{SC},{ERR_SQL}
-SELECT 'missing_values' AS "check", 'PASS' AS status, 0.0 AS value
-UNION ALL SELECT 'feature_mismatch', 'PASS', 0.0
-UNION ALL SELECT 'encoder_width', 'PASS', 3.0
+NULLS = " + ".join(f"count_if({c} IS NULL)" for c in [*NUMERIC, *CATS, "Rent"])
+SEEN = " UNION ".join(f"SELECT DISTINCT '{c}' AS \"column\", {c} AS value FROM split_rows" for c in CATS)
+ORACLE["audit_report"] = f"""{SC},{ERR_SQL},{VOCAB_SQL}
+SELECT 'missing_values' AS "check", CASE WHEN {NULLS} > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
+       CAST({NULLS} AS DOUBLE) AS value FROM feat
+UNION ALL SELECT 'unknown_categories', CASE WHEN count(*) > 0 THEN 'WARN' ELSE 'PASS' END, CAST(count(*) AS DOUBLE)
+          FROM (SELECT * FROM ({SEEN}) s WHERE NOT EXISTS
+                (SELECT 1 FROM vocab v WHERE v."column" = s."column" AND v.value = s.value))
+UNION ALL SELECT 'encoder_width', CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END, CAST(count(*) + {len(NUMERIC)} AS DOUBLE)
+          FROM vocab WHERE position > 0
 UNION ALL SELECT 'high_error_share', CASE WHEN avg(CAST(error_pct > 10 AS DOUBLE)) > 0 THEN 'WARN' ELSE 'PASS' END,
                  round(avg(CAST(error_pct > 10 AS DOUBLE)), {ROUND}) + 0.0 FROM err"""
 
@@ -526,6 +574,10 @@ SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, ev
        count(*) AS requests, {rd('avg(value)', 'mean_prediction')}, {rd('min(value)', 'min_prediction')},
        {rd('max(value)', 'max_prediction')}
 FROM events GROUP BY 1, 2"""
+ORACLE["prediction_hourly_stream"] = ORACLE["prediction_hourly"]
+
+ORACLE["prediction_log"] = f"""{SC}
+SELECT {rd('pred_blend', 'prediction')}, Location, Type, Area_in_sqft, Beds FROM scored"""
 
 
 XS = ["pred_location_type", "pred_type", "pred_furnishing"]
