@@ -8,9 +8,10 @@ most eight words, and a passage's symbols are the same wherever it stands, but f
 words at either end (1 + 2 + 4: a round can lose one symbol there).
 
 *Reveal.*  Each window of 50 words takes the smallest symbol that starts in its interior
-and ends there, which depends on the window's words only.  Windows in a row that take the
-same symbol (runs of it, too) form a segment, one row, named by its symbol and by all its
-words.  A symbol that only one document has reveals no repeat and is dropped.
+and ends there (the first of several), which depends on the window's words only.  Windows
+in a row that take the same symbol form a segment, one row.  It is named by the symbol with
+the words beside it that all windows around it have (22 words in all), and by all its words.
+A symbol so named that only one document has reveals no repeat and is dropped.
 
 *Verify.*  Equal segments are one class; documents after the class's first have all its
 windows removed.  Of each class only the first document's windows are compared, by the
@@ -36,6 +37,8 @@ WINDOW = 50
 ROUNDS = 3
 _U = np.uint64
 _NONE = _U(2**64 - 1)
+#: Low bits that hold a word's position where symbols are compared.
+_PLACE = 28
 
 
 def symbols(words: Words, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -75,12 +78,13 @@ def segments(words: Words, window: int, rounds: int = ROUNDS) -> tuple[np.ndarra
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, _U),) * 2
     at, name = symbols(words, rounds)
     value = np.full(n, _NONE)
-    value[at] = np.minimum(mix(name), _NONE - _U(1))
+    value[at] = mix(name) >> _U(_PLACE) << _U(_PLACE) | at.astype(_U)
     starts = window - 2 * lost - longest + 1
     chosen = _sliding_min(value[lost:], starts)[:n - window + 1]
+    around = named_runs(words.name, window - starts + 1)
     doc = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
     valid = np.flatnonzero(doc[:n - window + 1] == doc[window - 1:])
-    pick = chosen[valid]
+    pick = around[(chosen[valid] & _U((1 << _PLACE) - 1)).astype(np.int64) - lost]
     new = np.ones(len(valid), dtype=bool)
     new[1:] = (pick[1:] != pick[:-1]) | (valid[1:] != valid[:-1] + 1) | (doc[valid[1:]] != doc[valid[:-1]])
     first = np.flatnonzero(new)
