@@ -13,6 +13,7 @@ from hearth.llm.decontaminate import contained_items
 from hearth.llm.main_text import main_text
 from hearth.llm.neighbours import nearest_neighbours
 from hearth.llm.ngram_join import ngram_components
+from hearth.llm.oracle import ORACLE as ORACLE
 from hearth.llm.substring_dedup import dedup_passages
 from hearth.llm.token_counts import token_counts
 from hearth.llm.toxicity import toxicity
@@ -89,6 +90,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
-
-#: DuckDB SQL where it can express the result in reasonable time on whole tables.
-ORACLE: dict[str, str] = {}
