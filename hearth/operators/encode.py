@@ -90,11 +90,12 @@ def assemble(df: DataFrame, numeric: Sequence[str], vec_cols: Sequence[str],
 # E2 --------------------------------------------------------------------------
 def fit_target_encoding(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES,
                         target: str = "Rent", smoothing: float = TARGET_SMOOTHING) -> tuple[DataFrame, float]:
-    """(column, value, encoding) with m-estimate (n*mean + m*prior)/(n + m)."""
+    """(column, value, encoding) with m-estimate (n*mean + m*prior)/(n + m).  Without
+    any target the prior and all encodings are NULL."""
     prior = train.agg(F.avg(target)).first()[0]
     stats = melt_categories(train, cols, [target]).groupBy("column", "value").agg(
         F.count(target).alias("n"), F.avg(target).alias("mean"))
-    enc = (F.col("n") * F.col("mean") + F.lit(smoothing * prior)) / (F.col("n") + F.lit(smoothing))
+    enc = (F.col("n") * F.col("mean") + F.lit(None if prior is None else smoothing * prior).cast("double")) / (F.col("n") + F.lit(smoothing))
     return bounded(stats.where("value IS NOT NULL").select("column", "value", enc.alias("encoding"))), prior
 
 
@@ -106,7 +107,7 @@ def apply_target_encoding(df: DataFrame, table: DataFrame, prior: float,
         t = table.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),
                                                      F.col("encoding").alias(f"{c}{suffix}"))
         out = out.join(t, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
-        out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(prior)))
+        out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(prior).cast("double")))
     return out
 
 

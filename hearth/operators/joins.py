@@ -9,7 +9,7 @@ a plain shuffle join and AQE's skew-join splitting protects hot keys.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.constants import BROADCAST_MAX_ROWS
@@ -36,6 +36,18 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(bounded(small, max_rows), on, how)
 
 
+_TABLES: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Deletes the tables that ``cut_lineage`` has written so far; for the end of a job,
+    when no frame that reads them is used again."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    while _TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise an intermediate table reused by several later steps as a
     parquet table in the shared ``spark.checkpoint.dir``: it survives executor
@@ -47,4 +59,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     from hearth.session import checkpoint_dir
     path = os.path.join(checkpoint_dir(df.sparkSession), f"table-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _TABLES.append(path)
     return df.sparkSession.read.parquet(path)

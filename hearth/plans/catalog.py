@@ -620,8 +620,9 @@ def q_error_bands(spark, sf_dir):
 def q_prediction_sanity(spark, sf_dir):
     """Q11: predictions inside the sanity range and finite."""
     lo, hi = PREDICTION_RANGE
-    out = au.range_rules(scored(spark, sf_dir), [(c, lo, hi) for c in BASE_MODELS + [ENSEMBLE]])
-    nf = pf.non_finite_counts(scored(spark, sf_dir), BASE_MODELS + [ENSEMBLE])
+    rows = scored(spark, sf_dir)
+    out = au.range_rules(rows, [(c, lo, hi) for c in BASE_MODELS + [ENSEMBLE]])
+    nf = pf.non_finite_counts(rows, BASE_MODELS + [ENSEMBLE])
     return out.join(nf, "column").select("column", "violations", "rows", "nulls", "nans", "infs")
 
 
@@ -643,8 +644,8 @@ def q_validation_rules(spark, sf_dir):
 
 @query("formula_check")
 def q_formula_check(spark, sf_dir):
-    """Q9: stored features re-derived, rtol 1e-5."""
-    df = featured_listings(spark, sf_dir)
+    """Q9: the features of a stored table re-derived, rtol 1e-5."""
+    df = featured_listings(spark, sf_dir, materialise=True)
     return au.formula_check(df, {
         "log_area": F.log1p(F.col("Area_in_sqft")),
         "bath_bed_ratio": F.col("Baths") / (F.col("Beds") + 1),

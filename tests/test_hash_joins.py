@@ -27,3 +27,16 @@ def test_join_small_both_paths_agree(spark):
     plan = join_small(big, small, "k", max_rows=0)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
     assert "ResolvedHint" not in bounded(small, 0)._jdf.queryExecution().analyzed().toString()
+
+
+def test_written_tables_are_dropped(spark):
+    from hearth.operators.joins import _TABLES, cut_lineage, drop_tables
+    cut_lineage(spark.range(3))
+    path = _TABLES[-1]
+    assert spark.read.parquet(path).count() == 3
+    kept = _TABLES[:-1]
+    _TABLES[:] = [path]
+    drop_tables(spark)
+    _TABLES[:] = kept
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop)

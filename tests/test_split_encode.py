@@ -89,3 +89,11 @@ def test_target_encoding_oof_excludes_own_fold(spark):
     prior_f0 = (20.0 + 30.0) / 2                       # other-fold prior for fold 0
     assert math.isclose(out[("a", 0, 10.0)], (50.0 + 1.0 * prior_f0) / (2 + 1.0))
     assert out[("b", 0, 100.0)] == prior_f0           # value absent from other folds
+
+
+def test_target_encoding_without_targets(spark):
+    empty = spark.createDataFrame([], "Location STRING, Type STRING, Furnishing STRING, Rent DOUBLE")
+    table, prior = enc.fit_target_encoding(empty)
+    assert prior is None and table.count() == 0
+    rows = spark.createDataFrame([("a", "b", "c")], "Location STRING, Type STRING, Furnishing STRING")
+    assert enc.apply_target_encoding(rows, table, prior).first().Location_te is None
