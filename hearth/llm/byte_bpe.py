@@ -23,6 +23,10 @@ from hearth.llm.common import byte_slices, narrow
 from hearth.llm.units import SLICE_BYTES, UnitCache, bundles, units
 
 
+#: Units whose ids a worker keeps, in each of two generations.
+KEPT_UNITS = 200_000
+
+
 def byte_chars() -> list[str]:
     """The character that stands for each byte: printable Latin-1 as itself, the rest in
     order from code point 256 on."""
@@ -79,7 +83,7 @@ def _caches(path: str, pattern: str) -> tuple[UnitCache, UnitCache]:
         known = dict(zip(odd, first([" " + t for t in odd]))) | dict(zip(even := [t for t in texts if t not in odd], later(even)))
         return [known[t] for t in texts]
 
-    return UnitCache(first), UnitCache(safely)
+    return UnitCache(first, KEPT_UNITS), UnitCache(safely, KEPT_UNITS)
 
 
 @functools.lru_cache(maxsize=2)
@@ -114,9 +118,20 @@ def char_offsets(ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(begun[ends - lens + 1] - 1, 0), begun[ends]
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, offsets: bool = False,
+def _decoded(ids: pa.Array, ranks: str) -> pa.Array:
+    """The bytes that each binary of ids stands for; none for a null."""
+    raw = [x or b"" for x in ids.to_pylist()]
+    lens = np.array([len(x) // 4 for x in raw], np.int64)
+    data, size = token_bytes(np.frombuffer(b"".join(raw), "<u4"), ranks)
+    ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(lens)])]
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(lens), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def encode(docs: DataFrame, ranks: str, pattern: str, offsets: bool = False, decoded: bool = False,
            key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids`` (and ``starts, ends``: code point spans, if asked).
+    """``doc_id, n_tokens, ids`` (and, if asked, ``starts, ends``: code point spans, and
+    ``decoded``: what the ids decode to, as by ``decode``, without a second Python worker).
 
     Each match of ``pattern`` is encoded on its own, without special tokens; strings that
     look like them are ordinary text.  Null and empty texts have no ids; repeated rows and
@@ -136,10 +151,12 @@ def encode(docs: DataFrame, ranks: str, pattern: str, offsets: bool = False,
                 if offsets:
                     spans = [char_offsets(np.frombuffer(x, "<u4"), ranks) for x in ids]
                     out |= {n: pa.array([s[j] for s in spans], pa.list_(pa.int64())) for j, n in enumerate(("starts", "ends"))}
+                if decoded:
+                    out["decoded"] = _decoded(out["ids"], ranks)
                 yield pa.record_batch(out)
 
     return narrow(docs, key, text).mapInArrow(
-        run, "doc_id long, n_tokens long, ids binary" + ", starts array<long>, ends array<long>" * offsets)
+        run, "doc_id long, n_tokens long, ids binary" + ", starts array<long>, ends array<long>" * offsets + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
@@ -150,14 +167,8 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, "ids", SLICE_BYTES):
-                ids = part.column(2).fill_null(b"") if part.column(2).null_count else part.column(2)
-                lens = np.array([len(x) // 4 for x in ids.to_pylist()], np.int64)
-                data, size = token_bytes(np.frombuffer(b"".join(ids.to_pylist()), "<u4"), ranks)
-                ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(lens)])]
-                decoded = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(lens), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
                 yield pa.record_batch({"doc_id": part.column(0), "n_tokens": part.column(1), "ids": part.column(2),
-                                       "decoded": decoded.cast(pa.binary())})
+                                       "decoded": _decoded(part.column(2), ranks)})
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
         run, "doc_id long, n_tokens long, ids binary, decoded binary")
@@ -165,5 +176,5 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each row."""
-    return decode(encode(docs, ranks, pattern), ranks).select(
+    return encode(docs, ranks, pattern, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

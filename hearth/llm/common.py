@@ -56,10 +56,16 @@ class Written:
         at.getFileSystem(conf).delete(at, True)
 
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def reach_workers(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it was not installed or shipped
-    (``--py-files``) but lies beside the driver's script, as in tests."""
+    """Sets the session up for Arrow functions over texts, and lets Python workers import
+    this package where it was not installed or shipped (``--py-files``) but lies beside
+    the driver's script, as in tests."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    # Rows reach Python in batches by bytes; texts are long, so these are kept small.
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:

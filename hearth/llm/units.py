@@ -17,7 +17,7 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Units a worker keeps, in each of two generations.
 CACHE_UNITS = 400_000
 #: Bytes of text treated together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Characters of units given to a library at once.
 CALL_CHARS = 1 << 20
 #: Characters of the texts that several units are joined to, as one call for each costs more than its work.
