@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.constants import (N_FOLDS, NUMERIC_FEATURES, RANDOM_STATE, RIDGE_ALPHAS,
@@ -37,15 +37,17 @@ from hearth.operators.stats import ListingStats, fit_listing_stats, listing_feat
 
 # M4 --------------------------------------------------------------------------
 def base_learners(trees: int | None = None, max_depth: int | None = None, label: str = TARGET,
-                  features: str = "features", tuned: dict = TUNED_PARAMS) -> dict:
+                  features: str = "features", tuned: dict = TUNED_PARAMS, validation: str | None = None) -> dict:
     """Three diverse tree ensembles at the tuned settings, where Spark ML has an
     equivalent (trees -> maxIter/numTrees, depth -> maxDepth, learning rate ->
     stepSize, subsample -> subsamplingRate, column sampling ->
     featureSubsetStrategy, min child weight / leaf size -> minInstancesPerNode,
-    gamma -> minInfoGain).  ``trees`` and ``max_depth`` replace the tuned ones."""
+    gamma -> minInfoGain).  ``trees`` and ``max_depth`` replace the tuned ones.  With
+    ``validation``, the name of a boolean column, boosting stops early once the error on
+    the rows where it is true no longer falls; those rows aren't trained on."""
     a, b, c = tuned["XGBoost"], tuned["LightGBM"], tuned["CatBoost"]
     common = dict(labelCol=label, featuresCol=features, seed=RANDOM_STATE)
-    return {
+    learners = {
         "gbt_deep": GBTRegressor(
             maxIter=trees or a["n_estimators"], maxDepth=max_depth or a["max_depth"],
             stepSize=a["learning_rate"], subsamplingRate=a["subsample"],
@@ -61,6 +63,17 @@ def base_learners(trees: int | None = None, max_depth: int | None = None, label:
             subsamplingRate=c["subsample"], featureSubsetStrategy=str(c["colsample_bylevel"]),
             minInstancesPerNode=int(c["min_data_in_leaf"]), predictionCol="pred_forest", **common),
     }
+    if validation:
+        for name in ("gbt_deep", "gbt_shallow"):
+            learners[name].setParams(validationIndicatorCol=validation)
+    return learners
+
+
+def feature_importances(model: "StackedModel", spark: SparkSession) -> DataFrame:
+    """``model, position, importance``: each base learner's importance of each slot of the
+    feature vector (a row per model and slot, bounded by the encoder's width)."""
+    rows = [(name, i, float(v)) for name, m in model.base.items() for i, v in enumerate(m.featureImportances.toArray())]
+    return spark.createDataFrame(rows, "model STRING, position INT, importance DOUBLE")
 
 
 # Feature matrix (E1 + J4) -----------------------------------------------------

@@ -78,8 +78,8 @@ def append_json(df: DataFrame, path: str) -> None:
 
 # S5 --------------------------------------------------------------------------
 def save_stacked(model, path: str) -> None:
-    """Encoder and base models as Spark ML directories, statistics tables as
-    parquet, ridge + scalars as one JSON document."""
+    """Encoder and base models as Spark ML directories, statistics and feature
+    importances as parquet, ridge + scalars as one JSON document."""
     model.encoder.model.write().overwrite().save(os.path.join(path, "encoder"))
     for name, m in model.base.items():
         m.write().overwrite().save(os.path.join(path, "base", name))
@@ -91,6 +91,8 @@ def save_stacked(model, path: str) -> None:
             "global_mean": s.global_mean, "cols": s.cols, "numeric": model.encoder.numeric,
             "base": {n: type(m).__name__ for n, m in model.base.items()}}
     spark = s.loc.sparkSession
+    from hearth.plans.stacking import feature_importances
+    feature_importances(model, spark).write.mode("overwrite").parquet(os.path.join(path, "importances"))
     spark.createDataFrame([(json.dumps(meta),)], "meta STRING").coalesce(1) \
          .write.mode("overwrite").text(os.path.join(path, "meta"))
 

@@ -69,6 +69,8 @@ def test_stacked_model_learns_known_signal(spark):
     from hearth.sources.sinks import load_stacked, save_stacked_versions
     stamped, latest = save_stacked_versions(model, root, "20250101_000000")
     assert os.path.isdir(stamped) and os.path.isdir(latest)
+    importances = spark.read.parquet(os.path.join(latest, "importances")).groupBy("model").agg(F.sum("importance").alias("s")).collect()
+    assert {r.model for r in importances} == {"gbt_deep", "gbt_shallow", "forest"} and all(abs(r.s - 1) < 1e-6 for r in importances)
     loaded = load_stacked(spark, latest)
     p3 = np.array([r.prediction for r in loaded.score(df.where("split = 'test'")).select("prediction").collect()])
     assert np.allclose(np.sort(p), np.sort(p3))
@@ -110,6 +112,7 @@ def test_learners_take_the_tuned_values():
             assert value("stepSize") == want["learning_rate"] == 0.05
     assert got["gbt_deep"].getMinInfoGain() == TUNED_PARAMS["XGBoost"]["gamma"]
     assert base_learners(3, 2)["forest"].getNumTrees() == 3
+    assert base_learners(validation="held")["gbt_deep"].getValidationIndicatorCol() == "held"
 
 
 def test_ridge_skips_incomplete_rows(spark):
