@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import BROADCAST_ROWS, Scratch, free_name, narrow, reach_workers
+from hearth.llm.common import BROADCAST_ROWS, free_name, narrow, reach_workers, tidied, Scratch
 from hearth.llm.wordhash import Words, chunks, mix, separators
 
 KINDS = ("email", "ip", "card", "phone")
@@ -188,14 +188,25 @@ def revealing_terms(texts: DataFrame, least: int = LEAST, at: float = GENERALISE
     """``term, degree``: the names of the terms of ``texts(text)`` that reveal a protected
     entity to ``at`` or more, with the largest degree."""
     spark, scratch = texts.sparkSession, Scratch(texts.sparkSession)
+    reach_workers(spark)
     texts = texts.where("text is not null").select("text", F.xxhash64("text").alias("copy"))
-    seen = scratch.write(texts.mapInArrow(_evidence, "entity long, term long, edge long, copy long").distinct())
+    seen = scratch.write(texts.mapInArrow(tidied(_evidence), "entity long, term long, edge long, copy long").distinct())
     own = seen.df.select("entity", "copy").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
     per_edge = (seen.df.groupBy("entity", "term", "copy").agg(F.min("edge").alias("edge"))
                 .groupBy("entity", "term", "edge").agg(F.count("*").alias("n")))
     pairs = per_edge.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count("*").alias("edges")).where(
         (F.col("edges") >= least) & (F.col("edges") * 2 >= F.col("n_ct")))
-    pairs = scratch.write(pairs.join(own, "entity"))
+    total = texts.agg(F.count_distinct("copy")).first()[0]
+
+    def degree(n_t: str) -> F.Column:
+        pmi = F.log2(F.col("n_ct") * F.lit(float(total)) / (F.col("n_c") * F.col(n_t)))
+        return pmi / F.log2(F.lit(float(total)) / F.col("n_c"))
+
+    # The texts that have the term near any entity are some of those that have it at all, so
+    # this bounds the degree from above: common words leave before they are counted everywhere.
+    near = seen.df.select("term", "copy").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    pairs = pairs.join(own, "entity").where(F.col("n_c") < total).join(near, "term").where(degree("n_near") >= at)
+    pairs = scratch.write(pairs)
     seen.drop()
     counted = None
     for block in _blocks(pairs.df.select("term", F.lit(0.0)).distinct(), block_rows):
@@ -210,15 +221,13 @@ def revealing_terms(texts: DataFrame, least: int = LEAST, at: float = GENERALISE
                     pair = np.unique(np.stack([doc, place]), axis=1)
                     yield pa.record_batch({"term": pa.array(shared.value.terms[pair[1]].view(np.int64)), "copy": pa.array(copies[lo + pair[0]])})
 
-        part = texts.mapInArrow(count, "term long, copy long")
+        part = texts.mapInArrow(tidied(count), "term long, copy long")
         counted = part if counted is None else counted.union(part)
     if counted is None:
         return spark.createDataFrame([], "term long, degree double")
-    total = texts.agg(F.count_distinct("copy")).first()[0]
     often = counted.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    pmi = F.log2(F.col("n_ct") * F.lit(float(total)) / (F.col("n_c") * F.col("n_t")))
-    degree = pairs.df.join(often, "term").withColumn("ic", F.log2(F.lit(float(total)) / F.col("n_c"))).where("ic > 0")
-    return scratch.write(degree.groupBy("term").agg(F.max(pmi / F.col("ic")).alias("degree")).where(F.col("degree") >= at)).df
+    return scratch.write(pairs.df.join(often, "term").groupBy("term").agg(F.max(degree("n_t")).alias("degree"))
+                         .where(F.col("degree") >= at)).df
 
 
 def _added(words: Words, d: int, word: np.ndarray, degree: np.ndarray, remove_at: float) -> list[tuple[str, int, int]]:
@@ -277,7 +286,7 @@ def find_personal_data(docs: DataFrame, texts: bool = True, least: int = LEAST,
                             words, d, word[own], shared.value.degree[place[own]], remove_at)]
                 yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, _SPAN_TYPE)], names=["doc_id", "text", "found"])
 
-        marked = marked.mapInArrow(mark, out)
+        marked = marked.mapInArrow(tidied(mark), out)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,7 +304,7 @@ def find_personal_data(docs: DataFrame, texts: bool = True, least: int = LEAST,
             yield pa.record_batch({"doc_id": batch.column(0), "spans": pa.array(spans, _SPAN_TYPE)} | (
                 {"text": pa.array(clean, pa.string())} if texts else {}))
 
-    return marked.mapInArrow(finish, f"doc_id long, spans {SPANS}" + ", text string" * texts)
+    return marked.mapInArrow(tidied(finish), f"doc_id long, spans {SPANS}" + ", text string" * texts)
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -345,5 +354,5 @@ def _keyed(docs: DataFrame, row: str) -> DataFrame:
                     out.append(t if not own else _replaced(t, own))
                 yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], names=[row, "text"])
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.mapInArrow(tidied(clean), docs.schema)
     return docs
