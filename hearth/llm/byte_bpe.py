@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import byte_slices, narrow
+from hearth.llm.common import byte_slices, narrow, tidied
 from hearth.llm.units import SLICE_BYTES, UnitCache, bundles, units
 
 
@@ -155,8 +155,12 @@ def encode(docs: DataFrame, ranks: str, pattern: str, offsets: bool = False, dec
                     out["decoded"] = _decoded(out["ids"], ranks)
                 yield pa.record_batch(out)
 
+    def forget() -> None:
+        for cache in _caches(ranks, pattern):
+            cache.clear()
+
     return narrow(docs, key, text).mapInArrow(
-        run, "doc_id long, n_tokens long, ids binary" + ", starts array<long>, ends array<long>" * offsets + ", decoded binary" * decoded)
+        tidied(run, forget), "doc_id long, n_tokens long, ids binary" + ", starts array<long>, ends array<long>" * offsets + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
@@ -171,7 +175,7 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
                                        "decoded": _decoded(part.column(2), ranks)})
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
-        run, "doc_id long, n_tokens long, ids binary, decoded binary")
+        tidied(run), "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

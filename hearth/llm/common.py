@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -91,14 +93,22 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def arrow_map(fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]):
-    """A mapInArrow function from one that treats a batch at a time."""
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], after: Callable[[], None] | None = None):
+    """The mapInArrow function, which at the end of a task calls ``after`` and gives freed
+    memory back to the system: workers live on between tasks, and an executor's memory
+    limit counts what their allocators keep."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from fn(batch)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            if after:
+                after()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):      # another C library than glibc
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
 
-    return run
+    return whole
 
 
 def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:

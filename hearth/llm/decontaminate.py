@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import free_name, narrow, reach_workers
+from hearth.llm.common import narrow, reach_workers, tidied
 from hearth.llm.wordhash import chunks, mix, separators
 
 K = 5
@@ -169,7 +169,7 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = K, contained: fl
                     "n_shared": pa.array([h[2] for h in hits], pa.int64()),
                     "n_item": pa.array([len(index.sets[h[1]]) for h in hits], pa.int64())})
 
-        part = docs.mapInArrow(run, out)
+        part = docs.mapInArrow(tidied(run), out)
         found = part if found is None else found.union(part)
     found = spark.createDataFrame([], out) if found is None else found
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
@@ -180,9 +180,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, k: int = K, contained:
     """The rows of ``docs``, with all their columns, that hold no item to ``contained`` or more."""
     spark = docs.sparkSession
     reach_workers(spark)
-    mine = free_name(docs, "words_of")
-    rest = docs.withColumn(mine, F.col(text))
-    wide = rest.schema
+    rest, at = docs, docs.columns.index(text)
     items = items.select(F.lit(0).alias("item_id"), F.col(item_text).alias("text"))
     for index in item_blocks(items, k, contained, hashes, block_bytes):
         shared = spark.sparkContext.broadcast(index)
@@ -190,8 +188,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, k: int = K, contained:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, dtype=bool)
-                keep[[h[0] for h in shared.value.search(batch.column(batch.num_columns - 1))]] = False
+                keep[[h[0] for h in shared.value.search(batch.column(at))]] = False
                 yield batch.filter(pa.array(keep))
 
-        rest = rest.mapInArrow(run, wide)
-    return rest.drop(mine)
+        rest = rest.mapInArrow(tidied(run), docs.schema)
+    return rest

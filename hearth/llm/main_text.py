@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import reach_workers
+from hearth.llm.common import reach_workers, tidied
 
 CELLS = 4096
 WORD, TAG = 0.3, -0.8
@@ -138,7 +138,7 @@ def learn_weights(pages: DataFrame, column: str = "html") -> np.ndarray:
     """The weight of each cell, from all pages that mark their text (at most CELLS rows reach
     the driver).  Without such pages, usual names alone weigh."""
     reach_workers(pages.sparkSession)
-    rows = (pages.select(F.col(column).alias("html")).mapInArrow(_counts, "cell int, outside long, inside long")
+    rows = (pages.select(F.col(column).alias("html")).mapInArrow(tidied(_counts), "cell int, outside long, inside long")
             .groupBy("cell").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside")).collect())
     table = np.ones((CELLS, 2))
     for r in rows:
@@ -213,4 +213,4 @@ def main_text(pages: DataFrame, weight: np.ndarray | None = None) -> DataFrame:
                                    "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
-        run, "page_id long, url string, text string, n_chars long")
+        tidied(run), "page_id long, url string, text string, n_chars long")

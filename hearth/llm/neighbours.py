@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Scratch, reach_workers
+from hearth.llm.common import reach_workers, tidied, Scratch
 
 BITS = 64
 PIECE = 16
@@ -154,7 +154,7 @@ def _search(rows: DataFrame, ids: np.ndarray, vectors: np.ndarray, coder: Coder,
         if any(len(h[0]) for h in held):
             yield answer()
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score double")
+    return rows.mapInArrow(tidied(run), "query_id long, vec_id long, score double")
 
 
 def _query_blocks(queries: DataFrame, dims: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Scratch, byte_slices, free_name, narrow
+from hearth.llm.common import byte_slices, free_name, narrow, tidied, Scratch
 from hearth.llm.components import components
 from hearth.llm.wordhash import chunks, mix, separators
 
@@ -69,7 +69,7 @@ def set_sizes(docs: DataFrame, k: int = K) -> DataFrame:
             yield pa.record_batch({"doc_id": batch.column(0), "row": batch.column(2),
                                    "n_shingles": pa.array([len(g) for g in grams], pa.int64()), "cls": pa.array(cls, mask=cls == 0)})
 
-    return docs.withColumn("row", F.xxhash64("text")).mapInArrow(run, "doc_id long, row long, n_shingles long, cls long")
+    return docs.withColumn("row", F.xxhash64("text")).mapInArrow(tidied(run), "doc_id long, row long, n_shingles long, cls long")
 
 
 def _fragment_rows(cls: np.ndarray, grams: list[np.ndarray], percent: int, below: float) -> pa.RecordBatch:
@@ -133,7 +133,7 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _survivors(rows: DataFrame) -> DataFrame:
     """Classes whose shared n-grams suffice for a link."""
     counted = rows.repartition("h").sortWithinPartitions("h", "v").mapInArrow(
-        _count_shared, "cls long, have long, need long")
+        tidied(_count_shared), "cls long, have long, need long")
     return counted.groupBy("cls").agg(F.sum("have").alias("have"), F.sum("need").alias("need")) \
         .where("have >= need and have > 0").select("cls")
 
@@ -274,7 +274,7 @@ def _components(docs: DataFrame, k: int, percent: int, first_fragment: float, bl
                 cls = np.array([class_name(g) for g in grams], dtype=np.int64)
                 yield _fragment_rows(cls, grams, percent, first_fragment)
 
-    likely = scratch.write(_survivors(docs.where("doc_id is not null").mapInArrow(first, "h long, v long")).join(classes, "cls"))
+    likely = scratch.write(_survivors(docs.where("doc_id is not null").mapInArrow(tidied(first), "h long, v long")).join(classes, "cls"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,13 +286,13 @@ def _components(docs: DataFrame, k: int, percent: int, first_fragment: float, bl
                                        "grams": pa.array([grams[i].tobytes() for i in right], pa.binary())})
 
     texts = docs.join(likely.small().withColumnRenamed("rep", "doc_id"), "doc_id").select("cls", "text")
-    sets = scratch.write(texts.mapInArrow(fetch, "cls long, n long, grams binary"))
+    sets = scratch.write(texts.mapInArrow(tidied(fetch), "cls long, n long, grams binary"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield _fragment_rows(batch.column(0).to_numpy(), _read_blob(batch.column(1)), percent, 1.0)
 
-    kept = scratch.write(_survivors(sets.df.select("cls", "grams").mapInArrow(whole, "h long, v long")))
+    kept = scratch.write(_survivors(sets.df.select("cls", "grams").mapInArrow(tidied(whole), "h long, v long")))
     sets_kept = sets.df.join(kept.df, "cls")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +304,7 @@ def _components(docs: DataFrame, k: int, percent: int, first_fragment: float, bl
                 "cls": pa.array(np.repeat(batch.column(0).to_numpy(), lens)),
                 "n": pa.array(np.repeat(batch.column(1).to_numpy(), lens))})
 
-    rows = sets_kept.select("cls", "n", "grams").mapInArrow(explode, "h long, cls long, n long").distinct()
+    rows = sets_kept.select("cls", "n", "grams").mapInArrow(tidied(explode), "h long, cls long, n long").distinct()
     often = rows.groupBy("h").count().where("count > 1")
     # Rarest first: n-grams that no other text has head every order; a text sends those that
     # follow them within its prefix.

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Scratch, byte_slices, narrow
+from hearth.llm.common import byte_slices, narrow, tidied, Scratch
 from hearth.llm.wordhash import _POWERS, Words, chunks, mix, named_runs, separators
 
 WINDOW = 50
@@ -130,7 +130,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
                     "lo": pa.array(lo.astype(np.int32)), "n": pa.array(many.astype(np.int32))})
 
     ids = docs.where("doc_id is not null")
-    every = scratch.write(ids.mapInArrow(find, "sym long, seg long, doc_id long, row long, lo int, n int"))
+    every = scratch.write(ids.mapInArrow(tidied(find), "sym long, seg long, doc_id long, row long, lo int, n int"))
     shared = every.df.groupBy("sym").agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest")) \
         .where("lowest < highest").select("sym")
     seen = scratch.write(every.df.join(shared, "sym"))
@@ -158,7 +158,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
 
     open_ = told.df.where("not whole").groupBy("doc_id", "row").agg(F.collect_list(F.struct("lo", "n")).alias("parts"))
     windows = scratch.write(ids.join(open_, ["doc_id", "row"]).select("doc_id", "row", "text", "parts")
-                            .mapInArrow(_merged(spell), "w long, doc_id long, row long, lo int"))
+                            .mapInArrow(tidied(_merged(spell)), "w long, doc_id long, row long, lo int"))
     lowest = windows.df.groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
         .where("first < last").select("w", "first")
     late = windows.df.join(lowest, "w").where("doc_id > first").select("doc_id", "row", "lo", F.lit(1).alias("n"))
@@ -215,4 +215,4 @@ def dedup_passages(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
                     "n_removed": pa.array(size - np.diff(kept)), "kept": _joined(words, keep)})
 
     return docs.join(spans, ["doc_id", "row"], "left").select("doc_id", "text", "spans").mapInArrow(
-        cut, "doc_id long, n_words long, n_removed long, kept string")
+        tidied(cut), "doc_id long, n_words long, n_removed long, kept string")

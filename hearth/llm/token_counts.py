@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import byte_slices, narrow
+from hearth.llm.common import byte_slices, narrow, tidied
 from hearth.llm.units import SLICE_BYTES, UnitCache, bundles, units
 
 OVER = 4096
@@ -109,5 +109,5 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = OVER, key: str =
                 yield pa.record_batch({"doc_id": part.column(0), "n_bytes": part.column(2), "n_tokens": pa.array(counts, pa.int64())})
 
     return (narrow(docs, key, text).withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-            .mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+            .mapInArrow(tidied(run), "doc_id long, n_bytes long, n_tokens long")
             .withColumn("over_limit", F.col("n_tokens") > limit))

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import Scratch, byte_slices, narrow
+from hearth.llm.common import byte_slices, narrow, tidied, Scratch
 from hearth.llm.units import SLICE_BYTES, UnitCache, bundles, units
 from hearth.llm.wordhash import mix
 
@@ -179,7 +179,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int, scra
                                "lowest": [int(every[0])], "highest": [int(every[-1])]})
 
     spread = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return scratch.write(spread.mapInArrow(write, "shard long, docs long, ids long, lowest long, highest long")).df
+    return scratch.write(spread.mapInArrow(tidied(write), "shard long, docs long, ids long, lowest long, highest long")).df
 
 
 class Shard:
@@ -254,8 +254,8 @@ def read_documents(keys: DataFrame, folder: str, shards: DataFrame, ids: bool =
     keys = keys.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("doc_id")).distinct()
     if not listed:
         keys = keys.where("false")
-    found = (keys.mapInArrow(route, "shard long, doc_id long").repartition("shard").sortWithinPartitions("shard", "doc_id")
-             .mapInArrow(look, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids))
+    found = (keys.mapInArrow(tidied(route), "shard long, doc_id long").repartition("shard").sortWithinPartitions("shard", "doc_id")
+             .mapInArrow(tidied(look), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids))
     return found.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(NULL_KEY), F.col("doc_id")))
 
 

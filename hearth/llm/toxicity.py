@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import free_name, narrow, reach_workers
+from hearth.llm.common import narrow, reach_workers, tidied
 from hearth.llm.wordhash import Words, chunks, separators
 
 CELLS = 1 << 18
@@ -138,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     sample = (known.where("toxic").orderBy(*by).limit(max_positive).select("doc_id", F.lit(True).alias("positive"))
               .union(known.orderBy(*by).limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))))
     # at most max_positive + max_unlabelled rows of two small columns
-    rows = docs.join(F.broadcast(sample), "doc_id").select("positive", "text").mapInArrow(_sets, "positive boolean, cells binary").collect()
+    rows = docs.join(F.broadcast(sample), "doc_id").select("positive", "text").mapInArrow(tidied(_sets), "positive boolean, cells binary").collect()
     sets = {flag: [np.frombuffer(r.cells, "<u4") for r in rows if r.positive == flag] for flag in (True, False)}
     return fit_pu(sets[True], sets[False], prior)
 
@@ -160,7 +160,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, **sizes: int) -> DataFrame:
         for batch in batches:
             yield pa.record_batch({"doc_id": batch.column(0), "score": pa.array(model.value.scores(batch.column(1)))})
 
-    return docs.mapInArrow(run, "doc_id long, score double").select(
+    return docs.mapInArrow(tidied(run), "doc_id long, score double").select(
         "doc_id", F.coalesce(_crc_fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -169,11 +169,10 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, **sizes:
     """The rows of ``docs``, with all their columns, that score under ``limit``."""
     reach_workers(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(narrow(docs), labels.where(_crc_fold("doc_id") != 0), **sizes))
-    mine = free_name(docs, "words_of")
-    wide = docs.withColumn(mine, F.col("text"))
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(model.value.scores(batch.column(batch.num_columns - 1)) < limit))
+            yield batch.filter(pa.array(model.value.scores(batch.column(text)) < limit))
 
-    return wide.mapInArrow(run, wide.schema).drop(mine)
+    return docs.mapInArrow(tidied(run), docs.schema)

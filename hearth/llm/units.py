@@ -54,6 +54,9 @@ class UnitCache:
         self.now: dict[str, Any] = {}
         self.before: dict[str, Any] = {}
 
+    def clear(self) -> None:
+        self.now, self.before = {}, {}
+
     def holding(self, wanted: set[str]) -> dict[str, Any]:
         """A dict with at least the wanted units."""
         if len(self.now) > self.size:
