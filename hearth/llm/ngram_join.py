@@ -130,12 +130,13 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield done(h, v)
 
 
-def _survivors(rows: DataFrame) -> DataFrame:
-    """Classes whose shared n-grams suffice for a link."""
+def _survivors(rows: DataFrame, least: int = 0) -> DataFrame:
+    """Classes whose shared n-grams suffice for a link and are ``least`` or more.  In a
+    fragment none may suffice: all that two texts share can lie outside it."""
     counted = rows.repartition("h").sortWithinPartitions("h", "v").mapInArrow(
         tidied(_count_shared), "cls long, have long, need long")
     return counted.groupBy("cls").agg(F.sum("have").alias("have"), F.sum("need").alias("need")) \
-        .where("have >= need and have > 0").select("cls")
+        .where(f"have >= need and have >= {least}").select("cls")
 
 
 def link_block(cls: np.ndarray, grams: list[np.ndarray], percent: int, visitors: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -292,7 +293,7 @@ def _components(docs: DataFrame, k: int, percent: int, first_fragment: float, bl
         for batch in batches:
             yield _fragment_rows(batch.column(0).to_numpy(), _read_blob(batch.column(1)), percent, 1.0)
 
-    kept = scratch.write(_survivors(sets.df.select("cls", "grams").mapInArrow(tidied(whole), "h long, v long")))
+    kept = scratch.write(_survivors(sets.df.select("cls", "grams").mapInArrow(tidied(whole), "h long, v long"), 1))
     sets_kept = sets.df.join(kept.df, "cls")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

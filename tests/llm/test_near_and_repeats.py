@@ -71,6 +71,23 @@ def test_many_near_copies_in_small_blocks(spark, block_bytes):
     assert by_text([tuple(r) for r in got]) == by_text(plain_components(rows))
 
 
+def test_short_near_copies(spark):
+    """Pairs of 7 to 15 words that differ in one, with few shared n-grams that may all lie
+    outside the first fragment."""
+    rng, rows = np.random.default_rng(5), []
+    for i in range(300):
+        base = [f"w{i}x{j}" for j in range(7 + i % 9)]
+        other = base + ["more"] if i % 3 == 0 else ["more"] + base if i % 3 == 1 else list(base)
+        if i % 3 == 2:
+            other[rng.choice([0, 1, -2, -1])] = "changed"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_components(rows)
+    assert len({c for *_, c in want}) < 500
+    assert by_text([tuple(r) for r in ngram_components(docs).collect()]) == by_text(want)
+    assert sorted(r.doc_id for r in one_per_group(docs).collect()) == sorted({c for *_, c in want})
+
+
 def test_empty_tables(empty):
     assert ngram_components(empty).collect() == []
     assert one_per_group(empty).collect() == []
