@@ -8,8 +8,9 @@ texts, a term t (a word near an occurrence of c) reveals it to the degree
 
 which is 1 if all texts with t have c beside it.  Terms at ``remove_at`` or above are
 removed, those at ``generalise_at`` or above replaced by their kind, in every text.
-Evidence must be independent: ``least`` texts, in as many different surroundings and in
-half as many surroundings as texts, so that copies of one text prove nothing.
+Evidence must be independent: texts of ``least`` different classes, where near copies (by
+their whole word n-grams, as operator 10 links them) are one class, so that copies of one
+text prove nothing, but a line that different texts share does.
 
 Term tables are broadcast in blocks of counted size; all counts pre-aggregate.
 """
@@ -24,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import BROADCAST_ROWS, free_name, narrow, reach_workers, tidied, Scratch
-from hearth.llm.wordhash import Words, chunks, mix, separators
+from hearth.llm.common import BROADCAST_ROWS, free_name, narrow, reach_workers, tidied, Scratch, Written
+from hearth.llm.ngram_join import ngram_components
+from hearth.llm.wordhash import Words, chunks, separators
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("removed", "generalised")
@@ -33,8 +35,6 @@ REACH = 8
 LEAST = 3
 REMOVE_AT = 0.95
 GENERALISE_AT = 0.85
-#: Shorter words and longer ones, in bytes, are no terms.
-TERM_BYTES = (3, 64)
 _U = np.uint64
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -98,13 +98,6 @@ def _entity(kind: str, value: str) -> int:
     raise AssertionError
 
 
-def _terms(words: Words) -> np.ndarray:
-    """Whether each word can be a term: of the right length and not all digits."""
-    size = words.end - words.start
-    letters = np.concatenate([[0], np.cumsum(words.data >= 65)])
-    return (size >= TERM_BYTES[0]) & (size <= TERM_BYTES[1]) & (letters[words.end] > letters[words.start])
-
-
 def _byte_spans(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
     """Byte positions of spans, each stretch of the text encoded once."""
     marks = sorted({p for _, a, b in spans for p in (a, b)})
@@ -116,7 +109,7 @@ def _byte_spans(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
 
 
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entity, term, surroundings, text) for each term near a base span."""
+    """(entity, term, text) for each term near a base span."""
     for batch in batches:
         texts, copies = batch.column(0).to_pylist(), batch.column(1).to_numpy()
         spans = {i: s for i, t in enumerate(texts) if t and (s := base_spans(t))}
@@ -125,7 +118,6 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = sorted(spans)
         rows: list[tuple[np.ndarray, ...]] = []
         for lo, words in chunks(pa.array([texts[i] for i in at], pa.large_string()), True, separators(True)):
-            fit = _terms(words)
             offset = np.concatenate([[0], np.cumsum([len(texts[i].encode()) for i in at[lo:lo + len(words.bounds) - 1]])])
             inside = np.zeros(len(words.name), bool)
             placed = []
@@ -141,14 +133,12 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 near = np.concatenate([np.arange(a, left), np.arange(right, b)]).astype(np.int64)
                 if not len(near):
                     continue
-                edge = mix(words.name[near[:1]] * _U(0x9E3779B97F4A7C15) + words.name[near[-1:]])
-                near = near[fit[near] & ~inside[near]]
-                term = np.unique(words.name[near])
+                term = np.unique(words.name[near[~inside[near]]])
                 n = len(term)
-                rows.append((np.full(n, entity), term.view(np.int64), np.full(n, edge.view(np.int64)[0]), np.full(n, copies[i])))
+                rows.append((np.full(n, entity), term.view(np.int64), np.full(n, copies[i])))
         if rows:
             cols = [np.concatenate(c) for c in zip(*rows)]
-            yield pa.record_batch(dict(zip(("entity", "term", "edge", "copy"), map(pa.array, cols))))
+            yield pa.record_batch(dict(zip(("entity", "term", "copy"), map(pa.array, cols))))
 
 
 class _TermBlock:
@@ -184,18 +174,26 @@ def _blocks(table: DataFrame, rows: int) -> Iterator[_TermBlock]:
         yield _TermBlock(np.array(terms, np.int64).view(_U), np.array(degree))
 
 
+def _independent(texts: DataFrame, pairs: DataFrame, evidence: Written, least: int) -> DataFrame:
+    """``pairs`` whose ``evidence(entity, term, copy)`` has texts of ``least`` classes; near
+    copies are of one class."""
+    own = Scratch(texts.sparkSession).write(evidence.df.select("copy").distinct())
+    classes = ngram_components(texts.join(own.small(), "copy"), key="copy").select(
+        F.col("doc_id").alias("copy"), F.col("component_id").alias("class")).distinct()
+    enough = evidence.df.join(classes, "copy").select("entity", "term", "class").distinct() \
+        .groupBy("entity", "term").agg(F.count("*").alias("classes")).where(F.col("classes") >= least)
+    return pairs.join(enough.select("entity", "term"), ["entity", "term"])
+
+
 def revealing_terms(texts: DataFrame, least: int = LEAST, at: float = GENERALISE_AT, block_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``term, degree``: the names of the terms of ``texts(text)`` that reveal a protected
     entity to ``at`` or more, with the largest degree."""
     spark, scratch = texts.sparkSession, Scratch(texts.sparkSession)
     reach_workers(spark)
     texts = texts.where("text is not null").select("text", F.xxhash64("text").alias("copy"))
-    seen = scratch.write(texts.mapInArrow(tidied(_evidence), "entity long, term long, edge long, copy long").distinct())
+    seen = scratch.write(texts.mapInArrow(tidied(_evidence), "entity long, term long, copy long").distinct())
     own = seen.df.select("entity", "copy").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
-    per_edge = (seen.df.groupBy("entity", "term", "copy").agg(F.min("edge").alias("edge"))
-                .groupBy("entity", "term", "edge").agg(F.count("*").alias("n")))
-    pairs = per_edge.groupBy("entity", "term").agg(F.sum("n").alias("n_ct"), F.count("*").alias("edges")).where(
-        (F.col("edges") >= least) & (F.col("edges") * 2 >= F.col("n_ct")))
+    pairs = seen.df.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= least)
     total = texts.agg(F.count_distinct("copy")).first()[0]
 
     def degree(n_t: str) -> F.Column:
@@ -206,7 +204,11 @@ def revealing_terms(texts: DataFrame, least: int = LEAST, at: float = GENERALISE
     # this bounds the degree from above: common words leave before they are counted everywhere.
     near = seen.df.select("term", "copy").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
     pairs = pairs.join(own, "entity").where(F.col("n_c") < total).join(near, "term").where(degree("n_near") >= at)
-    pairs = scratch.write(pairs)
+    likely = scratch.write(pairs)
+    if not likely.df.limit(1).count():
+        return spark.createDataFrame([], "term long, degree double")
+    pairs = scratch.write(_independent(texts, likely.df, scratch.write(
+        seen.df.join(likely.df.select("entity", "term"), ["entity", "term"])), least))
     seen.drop()
     counted = None
     for block in _blocks(pairs.df.select("term", F.lit(0.0)).distinct(), block_rows):
@@ -259,19 +261,11 @@ SPANS = "array<struct<kind:string,start:long,end:long>>"
 _SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def find_personal_data(docs: DataFrame, texts: bool = True, least: int = LEAST, generalise_at: float = GENERALISE_AT,
-                       remove_at: float = REMOVE_AT, block_rows: int = BROADCAST_ROWS,
-                       key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, spans`` and, if asked, ``text`` (sanitised) of each row.
-
-    Spans are in code points, end exclusive, by kind (base kinds first) and start; terms inside
-    base spans aren't added.  Null texts stay null and have no spans; repeated rows and null
-    keys are kept; copies of a text count once in the statistics.
-    """
-    docs = narrow(docs, key, text)
+def _marked(docs: DataFrame, terms: DataFrame, remove_at: float, block_rows: int) -> DataFrame:
+    """``docs`` (a key of any type, ``text``) and ``found``: spans of the terms in the text."""
     marked = docs.withColumn("found", F.lit(None).cast(SPANS))
-    out = f"doc_id long, text string, found {SPANS}"
-    for block in _blocks(revealing_terms(docs.select("text"), least, generalise_at, block_rows), block_rows):
+    out = marked.schema
+    for block in _blocks(terms, block_rows):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def mark(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -284,20 +278,37 @@ def find_personal_data(docs: DataFrame, texts: bool = True, least: int = LEAST,
                         own = doc == d
                         found[lo + d] += [dict(zip(("kind", "start", "end"), s)) for s in _added(
                             words, d, word[own], shared.value.degree[place[own]], remove_at)]
-                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, _SPAN_TYPE)], names=["doc_id", "text", "found"])
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, _SPAN_TYPE)], names=out.names)
 
         marked = marked.mapInArrow(tidied(mark), out)
+    return marked
+
+
+def _all_spans(text: str | None, found: list[dict] | None) -> list[tuple[str, int, int]]:
+    """Base spans, and those of ``found`` that lie outside them."""
+    own = base_spans(text or "")
+    extra = sorted({(s["kind"], s["start"], s["end"]) for s in found or ()}, key=lambda s: (ADDED.index(s[0]), s[1]))
+    return own + [s for s in extra if not any(a < s[2] and s[1] < b for _, a, b in own)]
+
+
+def find_personal_data(docs: DataFrame, texts: bool = True, least: int = LEAST, generalise_at: float = GENERALISE_AT,
+                       remove_at: float = REMOVE_AT, block_rows: int = BROADCAST_ROWS,
+                       key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, spans`` and, if asked, ``text`` (sanitised) of each row.
+
+    Spans are in code points, end exclusive, by kind (base kinds first) and start; terms inside
+    base spans aren't added.  Null texts stay null and have no spans; repeated rows and null
+    keys are kept; copies of a text count once in the statistics.
+    """
+    docs = narrow(docs, key, text)
+    marked = _marked(docs, revealing_terms(docs.select("text"), least, generalise_at, block_rows), remove_at, block_rows)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, clean = [], []
             found = batch.column(2).to_pylist() if batch.column(2).null_count < batch.num_rows else [None] * batch.num_rows
             for t, more in zip(batch.column(1).to_pylist(), found):
-                own = base_spans(t or "")
-                if more:
-                    taken = [(a, b) for _, a, b in own]
-                    extra = sorted({(s["kind"], s["start"], s["end"]) for s in more}, key=lambda s: (ADDED.index(s[0]), s[1]))
-                    own += [s for s in extra if not any(a < s[2] and s[1] < b for a, b in taken)]
+                own = _all_spans(t, more)
                 spans.append([dict(zip(("kind", "start", "end"), s)) for s in own])
                 if texts:
                     clean.append(None if t is None else _replaced(t, own) if own else t)

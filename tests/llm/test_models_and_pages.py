@@ -71,6 +71,26 @@ def test_revealing_terms_are_sanitised(spark):
     assert {r.doc_id: r.spans for r in pii.find_personal_data(docs, texts=False, block_rows=2).collect()}.keys() == got.keys()
 
 
+def test_terms_of_a_fixed_line(spark):
+    """Different texts that share a long contact line are evidence, near copies with other words
+    at the reach's ends aren't; a customer number is a term."""
+    words = lambda i, n, key: " ".join(f"{key}{i}q{j}" for j in range(n))
+    line = "for any help with your order please write to Vornic 884213 at vk@shop.example or call us on every working day from nine until"
+    rows = [(i, f"{words(i, 30, 'own')} {line} {words(i, 12, 'end')}") for i in range(5)]
+    for i in range(6):
+        copy = (words(0, 40, "same") + " Brindle lives by bl@home.example here " + words(1, 40, "same")).split()
+        copy[35], copy[50] = f"left{i}", f"right{i}"
+        rows.append((20 + i, " ".join(copy)))
+    rows += [(40 + i, words(i, 9, "other") + " for any help with your order please write to us or call from nine until every working day") for i in range(60)]
+    rows += [(200, "customer 884213 of Vornic")]
+    got = {r.doc_id: (r.text, [s.kind for s in r.spans]) for r in pii.find_personal_data(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(5):
+        assert "removed" in got[i][1] and "Vornic" not in got[i][0] and "884213" not in got[i][0] and " your order please write to " in got[i][0]
+    assert "884213" not in got[200][0] and "Vornic" not in got[200][0] and got[200][0].startswith("customer [")
+    assert all(got[20 + i][1] == ["email"] for i in range(6)) and all(got[40 + i][1] == [] for i in range(60))
+
+
 def test_digests_and_sanitised_tables(spark, odd, empty):
     got = {(r.doc_id, r.n_email): r for r in pii.digests(spark.createDataFrame(private_rows(), "doc_id long, text string")).collect()}
     for key, text in private_rows():
