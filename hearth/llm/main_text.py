@@ -5,6 +5,7 @@ positive and tags negative, and each container around them (by tag name and by t
 of its class, id and role) adds its weight.  One linear scan finds the contiguous region
 with the largest sum; blocks that it touches belong to the text, except for what lies in
 containers that never hold main text (menus, footers, adverts, forms, reader comments...).
+A name alone doesn't drop a container that wraps the page's text (``wrappers``).
 
 The weights are learnt from labelled pages: those that mark their text themselves with
 ``article`` or ``main``.  Over all pages, a container's words and tags inside and outside
@@ -76,11 +77,23 @@ def names_of(tag: str, attributes: str) -> tuple[str, ...]:
     return (*own, *(f".{p}" for p in dict.fromkeys(found)))
 
 
-def walk(page: str, text: Callable[[str, list], None], tag: Callable[[str, list, bool], None]) -> None:
+def _drops(name: str) -> bool:
+    """Whether a name's word says that a container holds no main text."""
+    return name[1:] in DROPPED_NAMES or name.startswith(".comment")
+
+
+def _named_whole(attributes: str) -> bool:
+    """Whether such a word is a whole name (``sidebar``), not a part of one (``layout-sidebar-right``)."""
+    return any(_drops(f".{x}") and x.isalnum() for m in _NAMES.finditer(attributes) for x in (m[1] or m[2] or m[3] or "").lower().split())
+
+
+def walk(page: str, text: Callable[[str, list], None], tag: Callable[[str, list, bool], None], spared: frozenset[int] = frozenset()) -> None:
     """Calls ``text(raw text, open containers)`` and ``tag(name, open containers, ends a block)``
-    in page order.  An open container is (tag, names, dropped, in marked text)."""
-    stack: list[tuple[str, tuple[str, ...], bool, bool]] = []
-    at, size = 0, len(page)
+    in page order.  An open container is (tag, names, dropped, in marked text, number, dropped by
+    a tag, 0 or how its names drop it: 1 by a part of a name, 2 by a whole one).  Those numbered
+    in ``spared`` aren't dropped by their names, and such names don't weigh."""
+    stack: list[tuple[str, tuple[str, ...], bool, bool, int, bool, int]] = []
+    at, size, opened = 0, len(page), 0
     while at < size:
         m = _TAG.search(page, at)
         if not m:
@@ -102,15 +115,53 @@ def walk(page: str, text: Callable[[str, list], None], tag: Callable[[str, list,
                 end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else size
         elif name in CONTAINERS or name in DROPPED:
-            names = names_of(name, m[3])
-            above = stack[-1] if stack else ("", (), False, False)
-            marked = above[3] or name in TEXT_MARKS
-            dropped = above[2] or name in DROPPED or (name == "header" and not above[3]) or \
-                any(n[1:] in DROPPED_NAMES or n.startswith(".comment") for n in names if n[0] == ".") and name not in (*TEXT_MARKS, "body", "html")
-            stack.append((name, names, dropped, marked))
+            names, opened, named = names_of(name, m[3]), opened + 1, 0
+            above = stack[-1] if stack else ("", (), False, False, 0, False, 0)
+            if name not in (*TEXT_MARKS, "body", "html") and any(n[0] == "." and _drops(n) for n in names):
+                if opened in spared:
+                    names = tuple(n for n in names if not (n[0] == "." and _drops(n)))
+                else:
+                    named = 2 if _named_whole(m[3]) else 1
+            by_tag = above[5] or name in DROPPED or (name == "header" and not above[3])
+            stack.append((name, names, above[2] or by_tag or named > 0, above[3] or name in TEXT_MARKS, opened, by_tag, named))
         tag(name, stack, name not in INLINE)
 
 
+def wrappers(page: str) -> frozenset[int]:
+    """Numbers of the containers that their names don't drop, as they wrap the page's text: those
+    around the longest ``main`` or, if all of them lie in such containers, ``article``; in a page
+    without either, those of partly such names that hold more than half of its words."""
+    words: Counter = Counter()
+    named: dict[int, int] = {}
+    marks: dict[int, tuple[str, tuple[int, ...]]] = {}
+
+    def text(raw: str, stack: list) -> None:
+        n = len(raw.split())
+        if n and not (stack and stack[-1][5]):
+            words[0] += n
+            for s in stack:
+                if s[6] or s[0] in TEXT_MARKS:
+                    words[s[4]] += n
+
+    def tag(name: str, stack: list, ends: bool) -> None:
+        if stack and not stack[-1][5]:
+            last = stack[-1]
+            if last[6]:
+                named[last[4]] = last[6]
+            if last[0] in TEXT_MARKS and last[4] not in marks:
+                marks[last[4]] = last[0], tuple(s[4] for s in stack if s[6])
+
+    walk(page, text, tag)
+    if not named:
+        return frozenset()
+    if not marks:
+        return frozenset(k for k, how in named.items() if how == 1 and 2 * words[k] > words[0])
+    inside = {k: around for k, (name, around) in marks.items() if around and name == "main"}
+    if not inside and all(around for _, around in marks.values()):
+        inside = {k: around for k, (_, around) in marks.items()}
+    return frozenset(inside[max(inside, key=lambda k: words[k])] if inside else ())
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per cell: words inside and outside the marked text of labelled pages."""
     for batch in batches:
@@ -123,7 +174,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if n and stack:
                     own[tuple(dict.fromkeys(x for s in stack for x in s[1])), stack[-1][3] and not stack[-1][2]] += n
 
-            walk(page or "", text, lambda *_: None)
+            walk(page or "", text, lambda *_: None, wrappers(page or ""))
             if any(inside for _, inside in own):
                 seen.update(own)
         table = np.zeros((CELLS, 2), np.int64)
@@ -180,7 +231,7 @@ def extract(page: str, weight: np.ndarray) -> str:
         elif name == "br":
             blocks[-1].append(" ")
 
-    walk(page, text, tag)
+    walk(page, text, tag, wrappers(page))
     best, total, lo, region = 0.0, 0.0, 0, None
     for i, s in enumerate(scores):
         if total <= 0:

@@ -188,6 +188,26 @@ def test_main_text_of_a_page(spark, wrap):
     assert main_text.main_text(pages).first().text == WANTED
 
 
+@pytest.mark.parametrize("wrap", [
+    '<div class="content-sidebar-wrap"><main>%s</main><div class="related"><article>other</article></div></div>',
+    '<div class="layout-sidebar-right"><article>%s</article></div>', '<div class="post comments-open"><div>%s</div></div>',
+    '<div id="search"><main>%s</main></div>',
+    '<div class="content">%s</div><div id="comments" class="comments-area">' + "<p>words of readers</p>" * 60 + "</div>"])
+def test_names_of_wrappers_drop_no_text(spark, wrap):
+    pages = spark.createDataFrame([(1, "u", PAGE % (wrap % BODY))], "page_id long, url string, html string")
+    assert main_text.main_text(pages).first().text == WANTED
+
+
+@pytest.mark.parametrize("wrap", [
+    '<div class="layout-sidebar-right">%s</div>', '<div id="search-results">%s</div>',
+    '<article>%s</article><div class="related"><article>another card</article></div>'])
+def test_names_of_wrappers_without_marks(spark, wrap):
+    blocks = [f"block {i} " + "of many words " * 20 for i in range(4)]
+    body = "".join(f"<p>{b}</p>" for b in blocks) + '<div class="ad">buy it now</div>'
+    pages = spark.createDataFrame([(1, "u", PAGE % (wrap % body))], "page_id long, url string, html string")
+    assert main_text.main_text(pages).first().text == "\n\n".join(b.strip() for b in blocks)
+
+
 def test_odd_pages(spark):
     rows = [(1, "a", None), (2, "b", ""), (3, None, "<p>no closing"), (None, "d", "<script>x"), (5, "e", "plain words alone &amp more"),
             (5, "e", "plain words alone &amp more"), (6, "f", "<" * 5000), (7, "g", "<div" + ' a="' * 3000), (8, "h", "<p>" * 20_000 + "x"),
