@@ -223,12 +223,14 @@ def revealing_terms(texts: DataFrame, least: int = LEAST, at: float = GENERALISE
                     pair = np.unique(np.stack([doc, place]), axis=1)
                     yield pa.record_batch({"term": pa.array(shared.value.terms[pair[1]].view(np.int64)), "copy": pa.array(copies[lo + pair[0]])})
 
-        part = texts.mapInArrow(tidied(count), "term long, copy long")
-        counted = part if counted is None else counted.union(part)
+        # a term is in one block alone; what is written frees the block
+        part = scratch.write(texts.mapInArrow(tidied(count), "term long, copy long").distinct()
+                             .groupBy("term").agg(F.count("*").alias("n_t")))
+        shared.destroy()
+        counted = part.df if counted is None else counted.union(part.df)
     if counted is None:
         return spark.createDataFrame([], "term long, degree double")
-    often = counted.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    return scratch.write(pairs.df.join(often, "term").groupBy("term").agg(F.max(degree("n_t")).alias("degree"))
+    return scratch.write(pairs.df.join(counted, "term").groupBy("term").agg(F.max(degree("n_t")).alias("degree"))
                          .where(F.col("degree") >= at)).df
 
 
@@ -262,10 +264,18 @@ _SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), (
 
 
 def _marked(docs: DataFrame, terms: DataFrame, remove_at: float, block_rows: int) -> DataFrame:
-    """``docs`` (a key of any type, ``text``) and ``found``: spans of the terms in the text."""
+    """``docs`` (a key of any type, ``text``) and ``found``: spans of the terms in the text.  With
+    several blocks, each but the last is written, so that one is held at a time."""
+    scratch, before, shared = Scratch(docs.sparkSession), None, None
     marked = docs.withColumn("found", F.lit(None).cast(SPANS))
     out = marked.schema
     for block in _blocks(terms, block_rows):
+        if shared:
+            written = scratch.write(marked)
+            shared.destroy()
+            if before:
+                before.drop()
+            marked, before = written.df, written
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def mark(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -329,7 +339,7 @@ def digests(docs: DataFrame) -> DataFrame:
         F.expr(f"array_join(transform(spans, x -> {text}), ',')").alias("spans"))
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
+def sanitise(docs: DataFrame, block_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with sanitised texts, all other columns as they are, but for ``n_chars``, which
     follows the text where it is there."""
     reach_workers(docs.sparkSession)
@@ -337,33 +347,22 @@ def sanitise(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     # the other columns travel as the key, so that rows keep together without a join
     keyed = docs.select(F.struct(*others).alias(row), "text")
-    clean = _keyed(keyed, row)
+    clean = _keyed(keyed, row, block_rows)
     length = {"n_chars": F.when(F.col("text").isNotNull(), F.length("text")).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in others else {}
     return clean.select(*(F.col("text") if c == "text" else F.col(f"{row}.`{c}`").alias(c) for c in docs.columns)).withColumns(length)
 
 
-def _keyed(docs: DataFrame, row: str) -> DataFrame:
+def _keyed(docs: DataFrame, row: str, block_rows: int) -> DataFrame:
     """Sanitised texts beside an untouched column."""
-    terms = list(_blocks(revealing_terms(docs.select("text")), BROADCAST_ROWS))
-    for block in terms or [_TermBlock(np.empty(0, _U), np.empty(0))]:
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+    marked = _marked(docs, revealing_terms(docs.select("text"), block_rows=block_rows), REMOVE_AT, block_rows)
 
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = batch.column(1).to_pylist()
-                added: dict[int, list] = {}
-                for lo, words in chunks(batch.column(1), True, separators(True)):
-                    word, place = shared.value.find(words)
-                    doc = np.searchsorted(words.bounds, word, "right") - 1
-                    for d in np.unique(doc):
-                        own = doc == d
-                        added[lo + int(d)] = _added(words, d, word[own], shared.value.degree[place[own]], REMOVE_AT)
-                out = []
-                for i, t in enumerate(texts):
-                    own = base_spans(t or "")
-                    own += [s for s in added.get(i, ()) if not any(a < s[2] and s[1] < b for _, a, b in own)]
-                    out.append(t if not own else _replaced(t, own))
-                yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], names=[row, "text"])
-
-        docs = docs.mapInArrow(tidied(clean), docs.schema)
-    return docs
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            found = batch.column(2).to_pylist() if batch.column(2).null_count < batch.num_rows else [None] * batch.num_rows
+            for t, more in zip(batch.column(1).to_pylist(), found):
+                own = _all_spans(t, more)
+                out.append(t if not own else _replaced(t, own))
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], names=[row, "text"])
+
+    return marked.mapInArrow(tidied(clean), docs.schema)

@@ -103,6 +103,17 @@ def test_digests_and_sanitised_tables(spark, odd, empty):
     assert same.columns == odd.columns and sorted(map(str, (r.text for r in same.collect()))) == sorted(str(t) for _, t in odd_rows())
 
 
+def test_blocks_of_terms_dont_change_texts(spark):
+    """A term that is also a word of the marks, with terms in blocks of their own."""
+    rows = [(i, " ".join(f"a{i}q{j}" for j in range(12)) + " Zorblax removed name zq@corp.example " + " ".join(f"b{i}q{j}" for j in range(12)))
+            for i in range(5)] + [(9, "removed Zorblax name")] + [(10 + i, f"common text {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r.doc_id: r.text for r in pii.find_personal_data(docs).collect()}
+    assert "[REMOVED]" in want[0] + want[9] or "[NAME]" in want[9]
+    for size in (1, 2, 1000):
+        assert {r.doc_id: r.text for r in pii.sanitise(docs, size).collect()} == want
+
+
 # Operator 4 -------------------------------------------------------------------
 def test_neighbours_of_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (50, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [math.nan, 1.0]), (6, [1.0, None]), (7, [1.0]),
