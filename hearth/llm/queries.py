@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from hearth.llm import byte_bpe, pii, token_files
 from hearth.llm.common import documents
 from hearth.llm.decontaminate import contained_items
+from hearth.llm.filter_audit import audit
 from hearth.llm.main_text import main_text
 from hearth.llm.neighbours import nearest_neighbours
 from hearth.llm.ngram_join import ngram_components
 from hearth.llm.oracle import ORACLE as ORACLE
 from hearth.llm.substring_dedup import dedup_passages
 from hearth.llm.token_counts import token_counts
+from hearth.llm.topk_search import top_k
 from hearth.llm.toxicity import toxicity
+from hearth.llm.whitening import whiten
 
 #: Id that ends each document in the token files.
 END_ID = 2
@@ -78,6 +81,22 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interactions of five filters over all documents, for each source, order and step."""
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings, whitened along their first 16 principal axes."""
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best five rows by inner product for each embedding whose id is divisible by 50."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), NEIGHBOURS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_personal_data": op2_personal_data,
@@ -89,4 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_main_text": op9_main_text,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_whitening": op12_whitening,
+    "op13_topk_search": op13_topk_search,
 }
