@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from hearth.llm.common import byte_slices, narrow, tidied
 from hearth.llm.units import SLICE_BYTES, UnitCache, bundles, units
@@ -118,6 +118,10 @@ def char_offsets(ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(begun[ends - lens + 1] - 1, 0), begun[ends]
 
 
+def digest(data: bytes | memoryview) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
 def _decoded(ids: pa.Array, ranks: str) -> pa.Array:
     """The bytes that each binary of ids stands for; none for a null."""
     raw = [x or b"" for x in ids.to_pylist()]
@@ -128,10 +132,11 @@ def _decoded(ids: pa.Array, ranks: str) -> pa.Array:
         pa.large_binary(), len(lens), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, offsets: bool = False, decoded: bool = False,
+def encode(docs: DataFrame, ranks: str, pattern: str, ids: bool = True, offsets: bool = False, hashes: bool = False,
            key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids`` (and, if asked, ``starts, ends``: code point spans, and
-    ``decoded``: what the ids decode to, as by ``decode``, without a second Python worker).
+    """``doc_id, n_tokens`` and what is asked for: ``ids``; ``starts, ends``, code point spans; and
+    ``ids_sha256, decoded_sha256``, digests of the ids and of the bytes they decode to (both made where
+    the ids are, so neither travels for that).
 
     Each match of ``pattern`` is encoded on its own, without special tokens; strings that
     look like them are ordinary text.  Null and empty texts have no ids; repeated rows and
@@ -145,14 +150,16 @@ def encode(docs: DataFrame, ranks: str, pattern: str, offsets: bool = False, dec
                 cut = [units(t or "") for t in part.column(1).to_pylist()]
                 first = head.holding({u[0] for u in cut})
                 known = later.holding(set().union(*(u[1:] for u in cut)))
-                ids = [first[u[0]] + b"".join(map(known.__getitem__, u[1:])) for u in cut]
-                out = {"doc_id": part.column(0), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-                       "ids": pa.array(ids, pa.binary())}
+                raw = [first[u[0]] + b"".join(map(known.__getitem__, u[1:])) for u in cut]
+                out = {"doc_id": part.column(0), "n_tokens": pa.array([len(x) // 4 for x in raw], pa.int64())}
+                if ids:
+                    out["ids"] = pa.array(raw, pa.binary())
                 if offsets:
-                    spans = [char_offsets(np.frombuffer(x, "<u4"), ranks) for x in ids]
+                    spans = [char_offsets(np.frombuffer(x, "<u4"), ranks) for x in raw]
                     out |= {n: pa.array([s[j] for s in spans], pa.list_(pa.int64())) for j, n in enumerate(("starts", "ends"))}
-                if decoded:
-                    out["decoded"] = _decoded(out["ids"], ranks)
+                if hashes:
+                    out["ids_sha256"] = pa.array(map(digest, raw), pa.string())
+                    out["decoded_sha256"] = pa.array([digest(token_bytes(np.frombuffer(x, "<u4"), ranks)[0]) for x in raw], pa.string())
                 yield pa.record_batch(out)
 
     def forget() -> None:
@@ -160,7 +167,8 @@ def encode(docs: DataFrame, ranks: str, pattern: str, offsets: bool = False, dec
             cache.clear()
 
     return narrow(docs, key, text).mapInArrow(
-        tidied(run, forget), "doc_id long, n_tokens long, ids binary" + ", starts array<long>, ends array<long>" * offsets + ", decoded binary" * decoded)
+        tidied(run, forget), "doc_id long, n_tokens long" + ", ids binary" * ids + ", starts array<long>, ends array<long>" * offsets
+        + ", ids_sha256 string, decoded_sha256 string" * hashes)
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
@@ -180,5 +188,4 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of each row."""
-    return encode(docs, ranks, pattern, decoded=True).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode(docs, ranks, pattern, ids=False, hashes=True)

@@ -1,7 +1,8 @@
 """Operator 1: token counts of whole texts, in Arrow batches that return lengths only.
 
-Batches are sliced by bytes, long texts are cut at safe places (see ``units``), and the
-library is called on lists of distinct units of bounded total length.
+Batches are sliced by bytes; long texts are cut at single spaces between letters, after the
+vocabulary has shown that no entry reaches past one; the library counts the parts and their
+lengths are summed.
 """
 
 from __future__ import annotations
@@ -9,7 +10,8 @@ from __future__ import annotations
 import functools
 import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.common import byte_slices, narrow, tidied
-from hearth.llm.units import SLICE_BYTES, UnitCache, bundles, units
+from hearth.llm.units import SLICE_BYTES
 
 OVER = 4096
+#: Longer texts are counted in parts of about so many characters.
+SEGMENT_CHARS = 1 << 15
+#: A single space between ASCII, Latin, Cyrillic, kana, Han or Hangul letters or digits: characters that no
+#: normalisation joins to a space, and never the mark that stands for one.
+_PLAIN = "0-9A-Za-zÀ-ÖØ-öø-ʯЀ-ҁҊ-ԯぁ-ゖァ-ヺ一-鿿가-힣"
+_SAFE_CUT = re.compile(f"(?<=[{_PLAIN}]) (?=[{_PLAIN}])")
 
 
 def cuts_at_spaces(spec: dict) -> bool:
@@ -38,8 +46,9 @@ def cuts_at_spaces(spec: dict) -> bool:
 
 
 @functools.lru_cache(maxsize=4)
-def _counter(path: str) -> tuple[UnitCache, UnitCache, bool]:
-    """Caches of token counts of a text's first unit and of later ones; whether texts may be cut."""
+def _counter(path: str) -> tuple[Callable[[list[str]], list[int]], str, bool]:
+    """What counts the tokens of a list of texts; what stands before a later segment for the space
+    it was cut at; whether texts may be cut."""
     if path.endswith(".model"):
         import sentencepiece
 
@@ -48,31 +57,9 @@ def _counter(path: str) -> tuple[UnitCache, UnitCache, bool]:
         def count(texts: list[str]) -> list[int]:
             return [len(x) for x in sp.encode(texts, num_threads=1)]
 
-        # A later unit gets from the library the prefix that stands for its space; no entry may go on past a space.
+        # A later segment gets from the library the prefix that stands for its space; no entry may go on past a space.
         inner = any("▁" in sp.id_to_piece(i).lstrip("▁") for i in range(sp.get_piece_size()))
-        safe = not inner and count(["a b", " a"]) == [sum(count(["a", "b"])), count(["▁a"])[0]]
-        starts = np.array([sp.id_to_piece(i).startswith("▁") for i in range(sp.get_piece_size())])
-
-        def bundled(texts: list[str]) -> list[int]:
-            """As ``count``; units without white space or the mark itself are joined by spaces,
-            and each begins at the next piece with the mark."""
-            plain = ["▁" not in t and t.split() == [t] for t in texts]
-            out = [0] * len(texts)
-            odd = [i for i, p in enumerate(plain) if not p]
-            for i, n in zip(odd, count([texts[i] for i in odd])):
-                out[i] = n
-            even = [i for i, p in enumerate(plain) if p]
-            joined = [texts[i] for i in even]
-            ranges = bundles(joined)
-            for (lo, hi), ids in zip(ranges, sp.encode([" ".join(joined[lo:hi]) for lo, hi in ranges], num_threads=1)):
-                at = np.flatnonzero(starts[ids])
-                assert len(at) == hi - lo
-                for i, n in zip(even[lo:hi], np.diff(np.append(at, len(ids))).tolist()):
-                    out[i] = n
-            return out
-
-        cache = UnitCache(bundled if safe else count)
-        return cache, cache, safe
+        return count, "", not inner and count(["a b", " a"]) == [sum(count(["a", "b"])), count(["▁a"])[0]]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -81,14 +68,24 @@ def _counter(path: str) -> tuple[UnitCache, UnitCache, bool]:
     tok.no_padding()
     with open(path, encoding="utf-8") as f:
         safe = cuts_at_spaces(json.load(f))
+    return lambda texts: [len(e) for e in tok.encode_batch_fast(texts, add_special_tokens=False)], " ", safe
 
-    def of(prefix: str):
-        return lambda texts: [len(e) for e in tok.encode_batch_fast([prefix + t for t in texts], add_special_tokens=False)]
 
-    return UnitCache(of("")), UnitCache(of(" ")), safe
+def segments(text: str, limit: int) -> list[str]:
+    """The text, or if it is longer than ``limit`` characters its parts of about that length, cut at
+    single spaces between plain letters or digits.  A text without such places stays whole."""
+    out, lo = [], 0
+    while len(text) - lo > limit:
+        cut = _SAFE_CUT.search(text, lo + limit - 1)
+        if not cut:
+            break
+        out.append(text[lo:cut.start()])
+        lo = cut.end()
+    return [*out, text[lo:]]
 
 
-def token_counts(docs: DataFrame, tokenizer: str, limit: int = OVER, key: str = "doc_id", text: str = "text") -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer: str, limit: int = OVER, segment_chars: int = SEGMENT_CHARS, key: str = "doc_id",
+                 text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for each row, in any order.
 
     ``tokenizer`` is a file of the tokenizers (.json) or sentencepiece (.model) library on
@@ -97,16 +94,15 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = OVER, key: str =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, later, safe = _counter(tokenizer)
+        count, space, safe = _counter(tokenizer)
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
-                cut = [units(t or "") if safe else [t or ""] for t in part.column(1).to_pylist()]
-                first = head.holding({u[0] for u in cut})
-                counts = [first[u[0]] for u in cut]
-                if any(len(u) > 1 for u in cut):
-                    known = later.holding(set().union(*(u[1:] for u in cut)))
-                    counts = [n + sum(map(known.__getitem__, u[1:])) for n, u in zip(counts, cut)]
-                yield pa.record_batch({"doc_id": part.column(0), "n_bytes": part.column(2), "n_tokens": pa.array(counts, pa.int64())})
+                cut = [segments(t or "", segment_chars) if safe else [t or ""] for t in part.column(1).to_pylist()]
+                # short and long segments in one call: the slice bounds their bytes
+                counts = np.array(count([(space if i else "") + s for c in cut for i, s in enumerate(c)]), np.int64)
+                ends = np.cumsum([len(c) for c in cut])
+                total = np.add.reduceat(counts, np.concatenate([[0], ends[:-1]]))
+                yield pa.record_batch({"doc_id": part.column(0), "n_bytes": part.column(2), "n_tokens": pa.array(total)})
 
     return (narrow(docs, key, text).withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
             .mapInArrow(tidied(run), "doc_id long, n_bytes long, n_tokens long")

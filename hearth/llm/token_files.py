@@ -10,8 +10,11 @@ A shard is a range of keys in ascending order, in two files:
   ``at`` the position of each record's first id.
 
 A lookup hashes the key to its slot, compares the fingerprint and reads one stretch of
-the payload.  Tasks write to a name of their own and rename, so a repeated attempt leaves
-the same files.
+the payload.  An attempt of a task writes to a name of its own and returns that name once both
+files are whole, so a lost or doubled attempt leaves files that no list names, and nothing
+that is listed is ever renamed or deleted.
+
+Texts become ids before anything is shuffled: a row is two or four bytes a token when it moves.
 """
 
 from __future__ import annotations
@@ -19,9 +22,11 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
+import unicodedata
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -89,10 +94,29 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def _place(files: fs.FileSystem, made: str, final: str) -> None:
-    if files.get_file_info(final).type != fs.FileType.NotFound:
-        files.delete_file(final)
-    files.move(made, final)
+#: ASCII and Latin letters up to U+017F but the one whose lower case is two characters: all of them are
+#: letters to any version of Unicode, and lower case changes them one by one.
+_LATIN = "a-zß-öø-įıĳ-ž"
+_PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7eÀ-ÖØ-öø-įı-ž]*")
+
+
+def plain_matches(spec: dict) -> re.Pattern | None:
+    """The splitting pattern of a tokenizers file for lower-cased text of ``_PLAIN`` characters, if that
+    is all that the file does to it before its model: composing, single spaces, lower case, and
+    matches that are encoded each on its own."""
+    steps = (spec.get("normalizer") or {}).get("normalizers") or []
+    first, *rest = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    regular = first.get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed" and all(
+        r["type"] == "ByteLevel" and not r.get("use_regex") and not r.get("add_prefix_space") for r in rest)
+    if not regular or [n["type"] for n in steps] != ["NFC", "Replace", "Lowercase"] \
+            or (steps[1]["pattern"].get("Regex"), steps[1]["content"]) != (r"\s+", " "):
+        return None
+    pattern = first["pattern"].get("Regex") or ""
+    if re.search(r"\\", re.sub(r"\[[^\]]*\]", "", pattern)) or re.search(r"\\(?!p\{[LN]\}|s)", pattern):
+        return None                                         # other classes, or classes outside of brackets
+    for name, members in ((r"\p{L}", _LATIN), (r"\p{N}", "0-9"), (r"\s", r"\t\n\r\x20")):
+        pattern = pattern.replace(name, members)
+    return re.compile(pattern)
 
 
 @functools.lru_cache(maxsize=2)
@@ -131,71 +155,104 @@ def _ids(path: str) -> tuple[UnitCache, np.dtype]:
         known = dict(zip(even, out)) | dict(zip(odd, one_by_one(list(odd))))
         return [known[t] for t in texts]
 
-    return UnitCache(joined), kind
+    matches = plain_matches(spec)
+    if not matches:
+        return UnitCache(joined), kind
+    parts = UnitCache(joined)
 
+    def by_parts(texts: list[str]) -> list[bytes]:
+        """Units of plain characters by their matches, of which there are far fewer; the others as they are."""
+        cut = [matches.findall(t.lower()) if _PLAIN.fullmatch(t) and not any(w in t for w in words) else None for t in texts]
+        known = parts.holding({m for c in cut if c for m in c})
+        other = iter(joined([t for t, c in zip(texts, cut) if c is None]))
+        return [next(other) if c is None else b"".join(map(known.__getitem__, c)) for c in cut]
 
-def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int, scratch: Scratch,
-                 key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Writes the shards of all rows under ``folder`` and returns their list:
-    ``shard, docs, ids, lowest, highest``, one row each.
+    return UnitCache(by_parts), kind
 
-    Rows are in ascending order of key (null first), rows of one key in that of their
-    texts.  Null and empty texts are the end id alone.  An empty table has no shard.
-    """
-    rows = narrow(docs, key, text).select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("doc_id"), "text")
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """``doc_id, ids`` of each row of ``docs(doc_id, text)``: the raw ids with the end id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, kind = _ids(tokenizer)
-        shard, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
-        files, at = _open(folder)
-        keys, sizes, out, end = [], [], None, np.array([end_id], kind).tobytes()
+        end = np.array([end_id], kind).tobytes()
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
                 cut = [units(t or "") for t in part.column(1).to_pylist()]
                 known = cache.holding(set().union(*cut))
-                raw = [b"".join(map(known.__getitem__, u)) + end for u in cut]
-                if out is None:
-                    files.create_dir(at, recursive=True)
-                    out = files.open_output_stream(f"{at}/_{attempt}.ids")
-                out.write(b"".join(raw))
-                keys.append(part.column(0).to_numpy())
-                sizes.append(np.array([len(x) // kind.itemsize for x in raw], np.int64))
+                yield pa.record_batch({"doc_id": part.column(0), "ids": pa.array(
+                    [b"".join(map(known.__getitem__, u)) + end for u in cut], pa.binary())})
+
+    def forget() -> None:
+        _ids(tokenizer)[0].clear()
+
+    return docs.mapInArrow(tidied(run, forget), "doc_id long, ids binary")
+
+
+def write_shard(batches: Iterator[pa.RecordBatch], folder: str, shard: int, kind: np.dtype) -> Iterator[pa.RecordBatch]:
+    """Writes the rows ``doc_id, ids``, in order of key, as one shard, and then gives its line of the list."""
+    name, out = f"shard-{shard}-{uuid.uuid4().hex}", None
+    keys, sizes = [], []
+    for batch in batches:
         if out is None:
-            return
-        out.close()
-        every, size = np.concatenate(keys), np.concatenate(sizes)
-        unique, first, many = np.unique(every, return_index=True, return_counts=True)
-        mph = PerfectHash.build(unique)
-        slot = np.argsort(mph.slots(unique))
-        arrays = {**{f"bits{i}": b for i, b in enumerate(mph.bits)}, "prints": fingerprints(unique[slot]),
-                  "first": first[slot].astype(np.int64), "many": many[slot].astype(np.int64),
-                  "at": np.concatenate([[0], np.cumsum(size)]).astype(np.int64)}
-        head = {"width": kind.itemsize, "arrays": [[n, a.dtype.str, len(a)] for n, a in arrays.items()]}
-        with files.open_output_stream(f"{at}/_{attempt}.idx") as index:
-            index.write(json.dumps(head).encode() + b"\n" + b"".join(a.tobytes() for a in arrays.values()))
-        for suffix in ("ids", "idx"):
-            _place(files, f"{at}/_{attempt}.{suffix}", f"{at}/shard-{shard}.{suffix}")
-        yield pa.record_batch({"shard": [shard], "docs": [len(every)], "ids": [int(size.sum())],
-                               "lowest": [int(every[0])], "highest": [int(every[-1])]})
-
-    spread = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return scratch.write(spread.mapInArrow(tidied(write), "shard long, docs long, ids long, lowest long, highest long")).df
+            files, at = _open(folder)
+            files.create_dir(at, recursive=True)
+            out = files.open_output_stream(f"{at}/{name}.ids")
+        ids = batch.column(1).cast(pa.binary())
+        ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+        out.write(ids.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])))
+        keys.append(batch.column(0).to_numpy())
+        sizes.append(np.diff(ends).astype(np.int64) // kind.itemsize)
+    if out is None:
+        return
+    out.close()
+    every, size = np.concatenate(keys), np.concatenate(sizes)
+    unique, first, many = np.unique(every, return_index=True, return_counts=True)
+    mph = PerfectHash.build(unique)
+    slot = np.argsort(mph.slots(unique))
+    arrays = {**{f"bits{i}": b for i, b in enumerate(mph.bits)}, "prints": fingerprints(unique[slot]),
+              "first": first[slot].astype(np.int64), "many": many[slot].astype(np.int64),
+              "at": np.concatenate([[0], np.cumsum(size)]).astype(np.int64)}
+    head = {"width": kind.itemsize, "arrays": [[n, a.dtype.str, len(a)] for n, a in arrays.items()]}
+    with files.open_output_stream(f"{at}/{name}.idx") as index:
+        index.write(json.dumps(head).encode() + b"\n" + b"".join(a.tobytes() for a in arrays.values()))
+    yield pa.record_batch({"shard": [shard], "name": [name], "docs": [len(every)], "ids": [int(size.sum())],
+                           "lowest": [int(every[0])], "highest": [int(every[-1])]})
+
+
+def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int, scratch: Scratch,
+                 key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Writes the shards of all rows under ``folder`` and returns their list:
+    ``shard, name, docs, ids, lowest, highest``, one row each.
+
+    Rows are in ascending order of key (null first), rows of one key in that of their
+    raw ids.  Null and empty texts are the end id alone.  An empty table has no shard.
+    """
+    rows = narrow(docs, key, text).select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("doc_id"), "text")
+    # written, as the ranges of keys are drawn from the same rows before they are dealt out
+    encoded = scratch.write(encode(rows, tokenizer, end_id))
+    kind = _ids(tokenizer)[1]
+    run: Callable = lambda batches: write_shard(batches, folder, TaskContext.get().partitionId(), kind)
+    spread = encoded.df.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    listed = scratch.write(spread.mapInArrow(tidied(run), "shard long, name string, docs long, ids long, lowest long, highest long")).df
+    encoded.drop()
+    return listed
 
 
 class Shard:
     """One shard, opened for lookups."""
 
-    def __init__(self, folder: str, number: int) -> None:
+    def __init__(self, folder: str, name: str) -> None:
         self.files, at = _open(folder)
-        raw = self.files.open_input_stream(f"{at}/shard-{number}.idx").read()
+        raw = self.files.open_input_stream(f"{at}/{name}.idx").read()
         line, _, body = raw.partition(b"\n")
         head, pos, self.arrays = json.loads(line), 0, {}
-        for name, kind, n in head["arrays"]:
-            self.arrays[name] = np.frombuffer(body, kind, n, pos)
+        for array, kind, n in head["arrays"]:
+            self.arrays[array] = np.frombuffer(body, kind, n, pos)
             pos += np.dtype(kind).itemsize * n
         self.kind = np.dtype(f"<u{head['width']}")
         self.mph = PerfectHash([a for n, a in self.arrays.items() if n.startswith("bits")])
-        self.payload = self.files.open_input_file(f"{at}/shard-{number}.ids")
+        self.payload = self.files.open_input_file(f"{at}/{name}.ids")
 
     def records(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position in ``keys``, record) for each record of the keys the shard holds."""
@@ -225,7 +282,7 @@ def read_documents(keys: DataFrame, folder: str, shards: DataFrame, ids: bool =
     all records before.  A task handles the keys of whole shards."""
     listed = sorted(shards.collect(), key=lambda r: r.shard)      # one row a shard
     highest = np.array([r.highest for r in listed], np.int64)
-    number = [r.shard for r in listed]
+    number, name = [r.shard for r in listed], {r.shard: r.name for r in listed}
     before = dict(zip(number, np.concatenate([[0], np.cumsum([r.ids for r in listed])]).tolist()))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +297,7 @@ def read_documents(keys: DataFrame, folder: str, shards: DataFrame, ids: bool =
             where, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for n in np.unique(where).tolist():
                 if n not in opened:
-                    opened = {n: Shard(folder, n)}
+                    opened = {n: Shard(folder, name[n])}
                 own = key[where == n]
                 pos, rec = opened[n].records(own)
                 start = opened[n].arrays["at"]

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from typing import Any
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 #: Units a worker keeps, in each of two generations.
 CACHE_UNITS = 400_000
 #: Bytes of text treated together.
@@ -26,8 +27,9 @@ JOIN_CHARS = 1 << 13
 
 def units(text: str) -> list[str]:
     """The units of a text without the spaces between them; [""] for an empty text."""
-    # All white space is single spaces and line ends between visible characters: the usual case.
-    if len(text.split()) == text.count(" ") + text.count("\n") + 1:
+    # Spaces and line ends alone, one at a time and between visible characters: the usual case.  Any other
+    # white space could stand for a gap that a surplus space then hides from the count.
+    if len(text.split()) == text.count(" ") + text.count("\n") + 1 and not any(c in text for c in _OTHER_SPACE):
         return text.split(" ")
     return _CUT.split(text)
 

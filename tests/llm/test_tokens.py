@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,7 +15,7 @@ from hypothesis import strategies as st
 from hearth.llm import byte_bpe, token_files
 from hearth.llm.common import Scratch
 from hearth.llm.queries import END_ID, tokenizer_path, tokenizer_pattern
-from hearth.llm.token_counts import _counter, token_counts
+from hearth.llm.token_counts import _counter, segments, token_counts
 from hearth.llm.units import UnitCache, units
 from tests.llm.conftest import odd_rows
 
@@ -22,26 +24,64 @@ STRANGE = ["  a b ", "a  b", "a \n b", "​x  y\t z ", " ", "", "a b ", "don't
            "\x1c a \x1c", "一二三 四五 😀😀 a", "12345 678  9", "▁a ▁ b", "ΑΣ ΑΣ.", "é ́x", "<|startoftext|> <|endoftext|><|endoftext|> q"]
 
 
-def counted(tokenizer, texts):
-    head, later, safe = _counter(tokenizer)
-    out = []
-    for t in texts:
-        u = units(t) if safe else [t]
-        known = later.holding(set(u[1:]))
-        out.append(head.holding({u[0]})[u[0]] + sum(known[x] for x in u[1:]))
-    return out
+def counted(tokenizer, texts, limit=1 << 15):
+    count, space, safe = _counter(tokenizer)
+    assert safe
+    return [sum(count([(space if i else "") + s for i, s in enumerate(segments(t, limit))])) for t in texts]
+
+
+def library(tokenizer):
+    """texts -> ids, by the library itself."""
+    if tokenizer.endswith(".model"):
+        import sentencepiece
+        return lambda texts: sentencepiece.SentencePieceProcessor(model_file=tokenizer).encode(texts)
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer)
+    return lambda texts: [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("name", ["piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_counts_of_strange_texts(name):
+@pytest.mark.parametrize("limit", [1, 4, 1 << 15])
+def test_counts_of_strange_texts(name, limit):
     path = tokenizer_path(name)
-    if name.endswith(".model"):
-        import sentencepiece
-        want = [len(x) for x in sentencepiece.SentencePieceProcessor(model_file=path).encode(STRANGE)]
-    else:
-        from tokenizers import Tokenizer
-        want = [len(e) for e in Tokenizer.from_file(path).encode_batch(STRANGE, add_special_tokens=False)]
-    assert counted(path, STRANGE) == want
+    assert counted(path, STRANGE, limit) == [len(x) for x in library(path)(STRANGE)]
+
+
+#: White space of several kinds, marks that libraries treat alone, letters of several scripts, characters that compose or change with lower case.
+ODD_CHARS = list("ab1.,'s \t\n\r\x0b\x1c\x85\xa0\u2003\u200b\u3000▁éÉßİıſŉ漢ыكﹰ\u0301ΑΣ😀<|>_-")
+
+
+def odd_strings(seed, n):
+    rng = np.random.default_rng(seed)
+    spaced = ["".join(rng.choice(ODD_CHARS, rng.integers(0, 30))) for _ in range(n // 2)]
+    return spaced + ["".join(rng.choice([" ", "  ", "\t", " \n", "\r", "\x85", "a", "b,", "it's", "▁", "漢", "É"], rng.integers(0, 12))) for _ in range(n // 2)]
+
+
+@pytest.mark.parametrize("name", ["piece_bpe_32k.model", "word_bpe_49k.json"])
+def test_counts_of_random_texts_in_short_segments(name):
+    texts, path = odd_strings(1, 20_000), tokenizer_path(name)
+    count, space, _ = _counter(path)
+    cut = [segments(t, 3) for t in texts]
+    got = iter(count([(space if i else "") + s for c in cut for i, s in enumerate(c)]))
+    assert [sum(next(got) for _ in c) for c in cut] == [len(x) for x in library(path)(texts)]
+
+
+def test_ids_of_random_texts():
+    """Operator 8's cache of units and of their matches."""
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = odd_strings(2, 20_000) + ["L'État, c'EST moi!", "x<|endoftext|>y <|startoftext|>", "<|", "|>", "''s 'S n't"]
+    cache, kind = token_files._ids(path)
+    cut = [units(t) for t in texts]
+    known = cache.holding(set().union(*cut))
+    assert [np.frombuffer(b"".join(map(known.__getitem__, u)), kind).tolist() for u in cut] == library(path)(texts)
+
+
+def test_segments_keep_the_text():
+    text = " ".join(f"w{i}" for i in range(5_000))
+    for limit in (1, 10, 10_000, 10**6):
+        cut = segments(text, limit)
+        assert " ".join(cut) == text and all(len(c) < limit + 8 for c in cut[:-1])
+    assert segments("x" * 100, 10) == ["x" * 100] and segments("", 10) == [""] and segments("a ▁ b", 1) == ["a ▁ b"]
 
 
 def test_count_rows(odd, empty):
@@ -85,6 +125,9 @@ def test_bpe_rows_round_trip(odd, empty, tiktoken_model):
     want = [(k, tiktoken_model.encode_ordinary(t or ""), (t or "").encode()) for k, t in odd_rows()]
     assert sorted([(r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in got], key=str) == sorted(want, key=str)
     assert byte_bpe.digests(empty, ranks, pattern).collect() == []
+    hashes = [(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in byte_bpe.digests(odd, ranks, pattern).collect()]
+    assert sorted(hashes, key=str) == sorted(((k, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                                               hashlib.sha256(data).hexdigest()) for k, ids, data in want), key=str)
     spans = byte_bpe.encode(odd, ranks, pattern, offsets=True).where("doc_id = 8").first()
     assert (spans.starts, spans.ends) == ([0, 3], [3, 9])
 
@@ -117,8 +160,8 @@ def test_token_files_round_trip(spark, odd, empty):
     from tokenizers import Tokenizer
     path = tokenizer_path("word_bpe_49k.json")
     tok, n, want = Tokenizer.from_file(path), 0, []
-    for k, t in sorted(odd_rows() + [(20, s) for s in STRANGE], key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
-        ids = tok.encode(t or "", add_special_tokens=False).ids + [END_ID]
+    rows = [(k, tok.encode(t or "", add_special_tokens=False).ids + [END_ID]) for k, t in odd_rows() + [(20, s) for s in STRANGE]]
+    for k, ids in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, np.array(r[1], "<u2").tobytes())):
         want.append((k, n, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         n += len(ids)
     docs = odd.select("doc_id", "text").union(spark.createDataFrame([(20, s) for s in STRANGE], "doc_id long, text string"))
@@ -137,3 +180,25 @@ def test_keyed_access(spark, odd):
     from tokenizers import Tokenizer
     assert np.frombuffer(next(r for r in got if r.doc_id == 8).ids, "<u4").tolist() == \
         Tokenizer.from_file(path).encode("two words", add_special_tokens=False).ids + [END_ID]
+
+
+def test_a_lost_attempt_leaves_no_listed_file(tmp_path):
+    """An attempt that ends before its list line, after either file, doesn't touch what another one committed."""
+    kind, folder = np.dtype("<u2"), f"file://{tmp_path}"
+    rows = [pa.record_batch({"doc_id": pa.array([i, i + 1]), "ids": pa.array([np.array([i, 2], kind).tobytes(), np.array([2], kind).tobytes()], pa.binary())})
+            for i in (0, 10)]
+
+    def dies():
+        yield rows[0]
+        raise RuntimeError("lost executor")
+
+    (done,) = [b.to_pylist()[0] for b in token_files.write_shard(iter(rows), folder, 4, kind)]
+    with pytest.raises(RuntimeError):
+        list(token_files.write_shard(dies(), folder, 4, kind))
+    (again,) = [b.to_pylist()[0] for b in token_files.write_shard(iter(rows), folder, 4, kind)]
+    assert done["name"] != again["name"] and done | again == again | {"name": again["name"]}
+    for line in (done, again):
+        shard = token_files.Shard(folder, line["name"])
+        pos, rec = shard.records(np.array([10, 99, 1], np.int64))
+        found = {int(p): ids.tolist() for some, data in shard.read(rec) for p, ids in zip(pos[some], data)}
+        assert found == {0: [10, 2], 2: [2]}
