@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hearth.llm import byte_bpe
 from hearth.llm.common import Scratch, documents
@@ -45,8 +44,7 @@ def byte_bpe_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token ids (little-endian unsigned 32-bit) of each document, with digests of them and of
     what they decode to."""
     ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.encode(docs, ranks, tokenizer_pattern(), decoded=True).select(
-        "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return byte_bpe.encode(docs, ranks, tokenizer_pattern(), hashes=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
