@@ -1,7 +1,9 @@
 """Base learners, out-of-fold stacking, ridge meta-learner, scoring.
 
-* Base learners are Spark ML tree ensembles (distributed training) at the tuned
-  booster settings; tree count and depth are parameters for other sizes.
+* ``train_boosted`` has the tuned boosters in full (``plans/boosting.py``): the learners
+  and the fits of all their folds grow in the same passes over one binned table.
+* ``train_stacked`` has Spark ML tree ensembles (distributed training) at the settings
+  that those have a counterpart for; tree count and depth are parameters for other sizes.
 * The feature joins run once: the training table is written with keys, folds,
   label and vector only, and every fit reads that table.
 * Out-of-fold meta-features: for each fold, the three learners are fitted on
@@ -27,12 +29,13 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.constants import (N_FOLDS, NUMERIC_FEATURES, RANDOM_STATE, RIDGE_ALPHAS,
+from hearth.constants import (CATEGORICAL_FEATURES, N_FOLDS, NUMERIC_FEATURES, RANDOM_STATE, RIDGE_ALPHAS,
                               TARGET, TUNED_PARAMS)
 from hearth.operators import encode as enc
 from hearth.operators.joins import cut_lineage
 from hearth.operators.split import fold_assign
 from hearth.operators.stats import ListingStats, fit_listing_stats, listing_features
+from hearth.plans import boosting
 
 
 # M4 --------------------------------------------------------------------------
@@ -238,3 +241,32 @@ def train_stacked(df: DataFrame, keys: Sequence[str], split: str = "split", tree
     ridge = fit_ridge(meta, xs, alphas=alphas)
     base = dict(zip(learners, fit_all([(est, train) for est in learners.values()], len(learners))))
     return StackedModel(stats, encoder, base, ridge), meta
+
+
+@dataclass
+class BoostedStack:
+    """Statistics, boosted learners and the ridge over their predictions."""
+    stats: ListingStats
+    boosted: boosting.Boosted
+    ridge: Ridge
+
+    def score(self, requests: DataFrame) -> DataFrame:
+        """Raw request rows -> features -> predictions of the learners -> ridge prediction."""
+        return self.ridge.predict(self.boosted.predict(listing_features(requests, self.stats)))
+
+
+def train_boosted(df: DataFrame, keys: Sequence[str], split: str = "split", learners: dict | None = None,
+                  folds: int = N_FOLDS, alphas: Sequence[float] = RIDGE_ALPHAS, fold_seed: int = RANDOM_STATE + 1,
+                  **bins) -> tuple[BoostedStack, DataFrame]:
+    """Whole training run on the train split with the boosted learners (default: the tuned ones); returns
+    the model and the OOF table (keys, ``fold, cv_fold``, the label, a prediction a learner)."""
+    learners = learners or boosting.tuned_learners()
+    train_raw = df.where(F.col(split) == "train")
+    stats = fit_listing_stats(train_raw)
+    train = cut_lineage(fold_assign(listing_features(train_raw, stats), keys, folds, fold_seed).select(
+        *keys, "fold", TARGET, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES))
+    boosted, done, models = boosting.fit(train, learners, keys, fold="fold", folds=range(folds), **bins)
+    names = {n: f"pred_{n}" for n in learners}
+    meta = fold_assign(boosting.out_of_fold(done, models, names).withColumnRenamed("label", TARGET), keys, folds, fold_seed + 1, name="cv_fold")
+    meta = cut_lineage(meta)
+    return BoostedStack(stats, boosted, fit_ridge(meta, list(names.values()), alphas=alphas)), meta

@@ -97,25 +97,51 @@ def save_stacked(model, path: str) -> None:
          .write.mode("overwrite").text(os.path.join(path, "meta"))
 
 
+def save_boosted(model, path: str) -> None:
+    """A ``BoostedStack``: statistics and importances as parquet, learners, ridge and scalars as
+    one JSON document."""
+    s, spark = model.stats, model.stats.loc.sparkSession
+    for name in ("loc", "loc_type", "furn", "typ", "area_hist"):
+        getattr(s, name).write.mode("overwrite").parquet(os.path.join(path, "stats", name))
+    model.boosted.importances(spark).write.mode("overwrite").parquet(os.path.join(path, "importances"))
+    r = model.ridge
+    meta = {"ridge": {"alpha": r.alpha, "intercept": r.intercept, "coef": r.coef, "xs": r.xs}, "global_mean": s.global_mean, "cols": s.cols,
+            "boosted": json.loads(model.boosted.to_json())}
+    spark.createDataFrame([(json.dumps(meta),)], "meta STRING").coalesce(1).write.mode("overwrite").text(os.path.join(path, "meta"))
+
+
+def load_boosted(spark: SparkSession, path: str):
+    from hearth.plans.boosting import Boosted
+    from hearth.plans.stacking import BoostedStack, Ridge
+    meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()["value"])
+    r = meta["ridge"]
+    return BoostedStack(_load_stats(spark, path, meta), Boosted.from_json(json.dumps(meta["boosted"])),
+                        Ridge(r["alpha"], r["intercept"], r["coef"], r["xs"]))
+
+
+def _load_stats(spark: SparkSession, path: str, meta: dict):
+    from hearth.operators.joins import bounded
+    from hearth.operators.stats import ListingStats
+    t = {n: spark.read.parquet(os.path.join(path, "stats", n)) for n in ("loc", "loc_type", "furn", "typ", "area_hist")}
+    return ListingStats(bounded(t["loc"]), bounded(t["loc_type"]), bounded(t["furn"]), bounded(t["typ"]),
+                        t["area_hist"], meta["global_mean"], meta["cols"])
+
+
 def save_stacked_versions(model, root: str, stamp: str) -> tuple[str, str]:
     """The bundle under ``root/<stamp>`` and again under ``root/latest``."""
+    save = save_boosted if hasattr(model, "boosted") else save_stacked
     stamped, latest = os.path.join(root, stamp), os.path.join(root, "latest")
-    save_stacked(model, stamped)
-    save_stacked(model, latest)
+    save(model, stamped)
+    save(model, latest)
     return stamped, latest
 
 
 def load_stacked(spark: SparkSession, path: str):
-    from hearth.operators.joins import bounded
-    from hearth.operators.stats import ListingStats
     from hearth.plans.stacking import Encoder, Ridge, StackedModel
     meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()["value"])
     kinds = {"GBTRegressionModel": GBTRegressionModel, "RandomForestRegressionModel": RandomForestRegressionModel}
     base = {n: kinds[k].load(os.path.join(path, "base", n)) for n, k in meta["base"].items()}
-    t = {n: spark.read.parquet(os.path.join(path, "stats", n))
-         for n in ("loc", "loc_type", "furn", "typ", "area_hist")}
-    stats = ListingStats(bounded(t["loc"]), bounded(t["loc_type"]), bounded(t["furn"]), bounded(t["typ"]),
-                         t["area_hist"], meta["global_mean"], meta["cols"])
+    stats = _load_stats(spark, path, meta)
     r = meta["ridge"]
     return StackedModel(stats, Encoder(PipelineModel.load(os.path.join(path, "encoder")), meta["numeric"]),
                         base, Ridge(r["alpha"], r["intercept"], r["coef"], r["xs"]))
