@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearth.constants import DRIFT_THRESHOLD, FEATURE_RANGES, FORBIDDEN_COLUMNS
@@ -113,7 +113,7 @@ def audit_report(checks: Sequence[DataFrame]) -> DataFrame:
 def psi(base: DataFrame, current: DataFrame, cols: Sequence[str], eps: float = 1e-4) -> DataFrame:
     """Q13 option: population stability index per column over the baseline's
     quartile bins: sum((cur - base) * ln(cur / base)) of bin shares, shares
-    floored at ``eps``.  Cut points are exact baseline quartiles; the cut table
+    floored at ``eps``.  NULL values are a bin of their own.  Cut points are exact baseline quartiles; the cut table
     has one row per column (fixed size), so it is broadcast."""
     from hearth.operators.profile import melt
     from hearth.operators.ranks import quantiles
@@ -121,10 +121,9 @@ def psi(base: DataFrame, current: DataFrame, cols: Sequence[str], eps: float = 1
 
     def shares(df: DataFrame, side: str) -> DataFrame:
         b = melt(df, cols).join(F.broadcast(cuts), "column").select(
-            "column", (F.lit(1) + (F.col("value") > F.col("c1")).cast("int") + (F.col("value") > F.col("c2")).cast("int")
-                       + (F.col("value") > F.col("c3")).cast("int")).alias("bin"))
+            "column", F.coalesce(F.lit(1) + (F.col("value") > F.col("c1")).cast("int") + (F.col("value") > F.col("c2")).cast("int")
+                                 + (F.col("value") > F.col("c3")).cast("int"), F.lit(0)).alias("bin"))
         c = b.groupBy("column", "bin").agg(F.count("*").alias("_n"))
-        from pyspark.sql import Window
         # over the <= 4 bin rows of each column, not over data rows
         return c.select("column", "bin", (F.col("_n") / F.sum("_n").over(Window.partitionBy("column"))).alias(side))
 

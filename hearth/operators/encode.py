@@ -1,5 +1,5 @@
 """E1 one-hot (fit on train, sorted categories, first dropped, unknown -> zeros)
-and E2 smoothed target encoding (plain and out-of-fold).
+and E2 smoothed target encoding (plain, out-of-fold and ordered).
 
 The vocabulary is a small fitted table (distinct values per column); the
 encoded form is either sparse long rows ``(row..., encoded_column)`` (SQL
@@ -15,8 +15,9 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, Ve
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.constants import CATEGORICAL_FEATURES, TARGET_SMOOTHING
-from hearth.operators.joins import bounded, join_small
+from hearth.constants import CATEGORICAL_FEATURES, RANDOM_STATE, TARGET_SMOOTHING
+from hearth.functions.hashing import bucket60
+from hearth.operators.joins import bounded, cut_lineage, join_small
 from hearth.operators.ranks import value_ranks
 
 
@@ -123,7 +124,6 @@ def target_encode_oof(df: DataFrame, fold: str = "fold", cols: Sequence[str] = C
     out = join_small(df, prior_t, fold, "left")
     by = melt_categories(df, cols, [fold, target]).groupBy("column", "value", fold).agg(
         F.count(target).alias("_fold_n"), F.sum(target).alias("_fold_s"))
-    from pyspark.sql import Window
     # one row per (column, value, fold): at most k rows per window partition
     per_value = Window.partitionBy("column", "value")
     oof = bounded(by.select(
@@ -141,6 +141,55 @@ def target_encode_oof(df: DataFrame, fold: str = "fold", cols: Sequence[str] = C
     return out.drop("_oof_prior")
 
 
+def target_encode_ordered(df: DataFrame, keys: Sequence[str], cols: Sequence[str] = CATEGORICAL_FEATURES, target: str = "Rent",
+                          smoothing: float = TARGET_SMOOTHING, seed: int = RANDOM_STATE, start: float = 0.0,
+                          slices: int | None = None, suffix: str = "_ots") -> DataFrame:
+    """Ordered target statistics: each row's encoding uses only the rows before it in the order of a
+    key hash (then the key), so no row sees its own target:
+
+        (sum of the value's targets before + smoothing * mean of all targets before) / (their number + smoothing)
+
+    with ``start`` as the mean before any target is known.  NULL is a value; NULL targets count for nothing.
+
+    Rows are dealt to ranges of the hash, written with the range's number.  A row's sums are those within its range (windows
+    over (range, value), which a hot value can't outgrow) plus those of all earlier ranges, which come from one
+    pre-aggregated table with a row for each (range, column, value)."""
+    n, total = F.count(F.col(target)), F.sum(F.col(target).cast("double"))
+    ordered = df.withColumn("_h", bucket60(keys, seed))
+    ordered = ordered.repartitionByRange(slices, "_h", *keys) if slices else ordered.repartitionByRange("_h", *keys)
+    ordered = cut_lineage(ordered.withColumn("_slice", F.spark_partition_id()))
+    by_slice = melt_categories(ordered, cols, ["_slice", target]).groupBy("_slice", "column", "value").agg(n.alias("_n"), total.alias("_s"))
+    whole = ordered.groupBy("_slice").agg(n.alias("_n"), total.alias("_s"))
+
+    def before(table: DataFrame, *by: str) -> DataFrame:
+        """What earlier ranges hold of a value: as many rows as ranges in each window."""
+        earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        return table.select("_slice", *by, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_bn"),
+                            F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_bs"))
+
+    # a value that a range lacks needs no row for it
+    fitted = cut_lineage(before(by_slice, "column", "value"))
+    out = ordered.repartition("_slice")
+    order = [F.col("_h"), *[F.col(k) for k in keys]]
+
+    def within(*by: str) -> tuple:
+        w = Window.partitionBy("_slice", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.count(target).over(w), F.coalesce(F.sum(F.col(target).cast("double")).over(w), F.lit(0.0))
+
+    for i, c in enumerate([None, *cols]):
+        own_n, own_s = within(*([c] if c else []))
+        out = out.withColumns({f"_n{i}": own_n, f"_s{i}": own_s})
+    out = out.join(F.broadcast(before(whole.withColumn("_one", F.lit(1)), "_one").drop("_one")), "_slice")      # a row a range
+    known = F.col("_n0") + F.col("_bn")
+    out = out.withColumn("_prior", F.when(known > 0, (F.col("_s0") + F.col("_bs")) / known).otherwise(F.lit(float(start)))).drop("_bn", "_bs")
+    for i, c in enumerate(cols, 1):
+        t = fitted.where(F.col("column") == c).select(F.col("_slice").alias("_fs"), F.col("value").alias("_fv"), "_bn", "_bs")
+        out = join_small(out, t, (F.col("_slice") == F.col("_fs")) & F.col(c).cast("string").eqNullSafe(F.col("_fv")))
+        enc = (F.col(f"_s{i}") + F.col("_bs") + F.lit(float(smoothing)) * F.col("_prior")) / (F.col(f"_n{i}") + F.col("_bn") + F.lit(float(smoothing)))
+        out = out.withColumn(f"{c}{suffix}", enc).drop("_fs", "_fv", "_bn", "_bs")
+    return out.drop("_h", "_slice", "_prior", *[f"_{x}{i}" for x in "ns" for i in range(len(cols) + 1)])
+
+
 def _prior_by_fold(folds: DataFrame, tot: DataFrame, fold: str) -> DataFrame:
     """Out-of-fold prior per fold: (total - fold) sum / count.  ``tot`` is a
     one-row aggregate attached by a broadcast equi-join on a constant."""

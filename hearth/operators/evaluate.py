@@ -15,17 +15,23 @@ from hearth.constants import ACCEPTED_RANGES, CORR_MIN, PERFORMANCE_TARGETS, R2_
 from hearth.functions.features import safe_corr
 
 
+METRICS = ["n", "mae", "rmse", "r2", "mape", "corr", "missing"]
+
+
 def metric_aggs(target: str = "Rent", prediction: str = "prediction") -> list:
-    y, p = F.col(target).cast("double"), F.col(prediction).cast("double")
+    """All figures over the rows where target and prediction are known; ``missing`` counts the others."""
+    known = F.col(target).isNotNull() & F.col(prediction).isNotNull()
+    y, p = (F.when(known, F.col(c).cast("double")) for c in (target, prediction))
     e = p - y
-    sst = F.var_pop(y) * F.count("*")
+    sst = F.var_pop(y) * F.count(y)
     return [
-        F.count("*").alias("n"),
+        F.count(y).alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.lit(1.0) - F.try_divide(F.sum(e * e), F.when(F.max(y) > F.min(y), sst))).alias("r2"),
         (F.avg(F.abs(F.try_divide(e, y))) * 100).alias("mape"),
         safe_corr(p, y).alias("corr"),
+        F.count_if(~known).alias("missing"),
     ]
 
 
@@ -38,7 +44,7 @@ def metrics(df: DataFrame, preds: Sequence[str], target: str = "Rent",
 
 def _stacked_metrics(grouped: GroupedData, preds: Sequence[str], target: str, keys: Sequence[str]) -> DataFrame:
     """One wide aggregate for all models, laid out as a row per model."""
-    names = ["n", "mae", "rmse", "r2", "mape", "corr"]
+    names = METRICS
     wide = grouped.agg(*[a.alias(f"{p}__{n}") for p in preds for n, a in zip(names, metric_aggs(target, p))])
     return wide.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(p).alias("model"), *[F.col(f"{p}__{n}").alias(n) for n in names]) for p in preds])))
@@ -48,7 +54,7 @@ def segment_metrics(df: DataFrame, preds: Sequence[str], segments: Sequence[str]
                     target: str = "Rent", split: str = "split") -> DataFrame:
     """Q3: metrics per segment value for each segment column (long form), from one
     grouping-sets aggregate."""
-    names = ["n", "mae", "rmse", "r2", "mape", "corr"]
+    names = METRICS
     wide = df.groupingSets([[split, s] for s in segments], split, *segments).agg(
         F.grouping_id().alias("_gid"), *[a.alias(f"{p}__{n}") for p in preds for n, a in zip(names, metric_aggs(target, p))])
     kind, value = F.lit(None).cast("string"), F.lit(None).cast("string")

@@ -647,6 +647,24 @@ def grow(packed: Packed, models: list[Model], after_tree: Callable[[int, dict[in
     return out
 
 
+def root_splits(packed: Packed, models: list[Model]) -> DataFrame:
+    """``held_out, feature, split_at, gain, left_rows, right_rows``: each model's best first split by each
+    feature, if one is allowed (a row for each model and feature, from one pass)."""
+    scale, spark = _start(packed, models), packed.blocks.sparkSession
+    bases, b = np.array([m.base for m in models]), packed.binner
+    state = replace(packed, blocks=_with_predictions(replace(packed, models=0), lambda _, codes: np.repeat(bases[:, None], codes.shape[1], axis=1), len(models)),
+                    models=len(models))
+    grown = {i: _Grown(Tree().arrays(), np.zeros(1, np.int64), 1, m.held_out, 1.0, 0) for i, m in enumerate(models)}
+    found = level_splits(state, grown, {i: m.params for i, m in enumerate(models)}, {i: _units(b) >= 0 for i in grown}, scale)
+    rows = []
+    for i, by_feature in found.items():
+        for f, (best,) in by_feature.items():
+            if np.isfinite(best["gain"]):
+                at = repr(float(b.cuts[f][best["bin"]])) if f < b.first_category else b.values[f - b.first_category][best["bin"]]
+                rows.append((models[i].held_out, b.features[f], at, float(best["gain"]), int(best["left_n"]), int(best["total_n"] - best["left_n"])))
+    return spark.createDataFrame(rows, "held_out INT, feature STRING, split_at STRING, gain DOUBLE, left_rows LONG, right_rows LONG")
+
+
 # Scoring ----------------------------------------------------------------------
 @dataclass
 class Boosted:

@@ -14,12 +14,13 @@ import itertools
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.constants import (ALL_FEATURES, CATEGORICAL_FEATURES as CATEGORICAL, FEATURE_RANGES,
-                              NUMERIC_FEATURES, PREDICTION_RANGE, ROUND, TARGET, VALIDATION_RULES)
+                              N_FOLDS, NUMERIC_FEATURES, PREDICTION_RANGE, ROUND, TARGET, VALIDATION_RULES)
 from hearth.functions import features as fx
 from hearth.operators import audit as au
 from hearth.operators import clean, project, sets
@@ -31,7 +32,7 @@ from hearth.operators import stats as st
 from hearth.operators.joins import cut_lineage
 from hearth.operators.split import hash_split
 from hearth.operators.stats import fit_listing_stats, listing_features as add_listing_features
-from hearth.plans import stacking
+from hearth.plans import boosting, stacking
 from hearth.session import checkpoint_dir
 from hearth.sources import sinks
 from hearth.sources.tables import LISTING_KEY, listings, read_csv_table, read_table
@@ -553,7 +554,7 @@ def q_metrics_overall(spark, sf_dir):
     """Q1 + Q2 + Q4: every stand-in model x split in one aggregate."""
     m = ev.metrics(scored(spark, sf_dir), BASE_MODELS + [ENSEMBLE])
     m = ev.meets_floors(m)
-    return m.select("model", "split", "n", *[r(c).alias(c) for c in METRIC_COLS], "r2_ok", "corr_ok")
+    return m.select("model", "split", "n", "missing", *[r(c).alias(c) for c in METRIC_COLS], "r2_ok", "corr_ok")
 
 
 def segments(spark, sf_dir):
@@ -747,55 +748,49 @@ def q_ridge_sums(spark, sf_dir):
 @query("ridge_fit")
 def q_ridge_fit(spark, sf_dir):
     """M7 + M6: alpha by CV MAE, coefficients on all train rows (stand-in meta).
-    Long form: (section, name, value, chosen) for cv scores and coefficients."""
+    Long form: (section, name, value, chosen) for cv scores and coefficients; rents are
+    rounded to 3 places."""
     rd_ = stacking.fit_ridge(stand_in_meta(spark, sf_dir), META_XS)
-    rows = [("cv_mae", f"alpha={a}", float(m), float(a) == rd_.alpha) for a, m in sorted(rd_.cv_mae.items())]
-    rows += [("coef", "intercept", rd_.intercept, True)]
-    rows += [("coef", x, float(w), True) for x, w in zip(rd_.xs, rd_.coef)]
+    rows = [("cv_mae", f"alpha={a}", round(float(m), 3), float(a) == rd_.alpha) for a, m in sorted(rd_.cv_mae.items())]
+    rows += [("coef", "intercept", round(rd_.intercept, 3), True)]
+    rows += [("coef", x, round(float(w), ROUND), True) for x, w in zip(rd_.xs, rd_.coef)]
     return spark.createDataFrame(rows, "section STRING, name STRING, value DOUBLE, chosen BOOLEAN")
 
 
-#: The training queries fit fewer and shallower trees than the tuned settings, which
-#: remain the defaults of ``stacking.base_learners``.
-QUERY_TREES, QUERY_DEPTH = 10, 5
+#: The training queries grow fewer trees than the tuned settings, which remain the defaults of
+#: ``boosting.tuned_learners``; all other tuned values hold.
+QUERY_TREES = 10
+
+
+def _learners(depth: int | None = None) -> dict:
+    return boosting.tuned_learners(trees=QUERY_TREES, max_depth=depth)
 
 
 def _stacked(spark, sf_dir):
-    return stacking.train_stacked(split_listings(spark, sf_dir, materialise=True), LISTING_KEY,
-                                  trees=QUERY_TREES, max_depth=QUERY_DEPTH)
+    return stacking.train_boosted(split_listings(spark, sf_dir, materialise=True), LISTING_KEY, learners=_learners())
 
 
 @query("oof_stack")
 def q_oof_stack(spark, sf_dir):
-    """M5: out-of-fold predictions of the three Spark ML learners (train rows), with
-    QUERY_TREES trees of QUERY_DEPTH."""
-    learners = stacking.base_learners(QUERY_TREES, QUERY_DEPTH)
-    df = split_listings(spark, sf_dir, materialise=True)
-    tr_raw = df.where("split = 'train'")
-    s = st.fit_listing_stats(tr_raw)
-    tr = st.listing_features(tr_raw, s)
-    encoder = stacking.fit_encoder(tr)
-    tr = sp.fold_assign(encoder.transform(tr), LISTING_KEY, seed=FOLD_SEED)
-    tr = cut_lineage(tr.select(*LISTING_KEY, "fold", "Rent", "features"))
-    meta = stacking.oof_meta_features(tr, learners)
-    return meta.select(*LISTING_KEY, "fold", "Rent", *[e.getPredictionCol() for e in learners.values()])
+    """M5: out-of-fold predictions of the three boosted learners (train rows), with QUERY_TREES trees;
+    all folds of all learners grow in the same passes."""
+    _, meta = _stacked(spark, sf_dir)
+    return meta.select(*LISTING_KEY, "fold", TARGET, *[f"pred_{n}" for n in _learners()])
 
 
 @query("stacked_metrics")
 def q_stacked_metrics(spark, sf_dir):
-    """M9 + Q1: base learners (QUERY_TREES trees of QUERY_DEPTH) and the stacked ridge
-    on val/test rows."""
-    model, _ = _stacked(spark, sf_dir)
-    df = split_listings(spark, sf_dir, materialise=True).where("split != 'train'")
-    out = model.score(df)
-    preds = [*[e for e in model.ridge.xs], "prediction"]
-    return ev.metrics(out, preds)
+    """M9 + Q1: boosted learners (QUERY_TREES trees) and the stacked ridge on val/test rows."""
+    df = split_listings(spark, sf_dir, materialise=True)
+    model, _ = stacking.train_boosted(df, LISTING_KEY, learners=_learners())
+    out = model.score(df.where("split != 'train'"))
+    return ev.metrics(out, [*model.ridge.xs, "prediction"])
 
 
 @query("batch_score")
 def q_batch_score(spark, sf_dir):
     """All raw request rows (customers) scored end to end by a model with QUERY_TREES
-    trees of QUERY_DEPTH; types and furnishings it doesn't know are allowed."""
+    trees; types and furnishings it doesn't know are allowed."""
     model, _ = _stacked(spark, sf_dir)
     req = customer_requests(spark, sf_dir).select(
         "c_custkey", F.col("location").alias("Location"),
@@ -807,30 +802,50 @@ def q_batch_score(spark, sf_dir):
                       (F.col("prediction") / 12).alias("monthly_prediction"))
 
 
-#: Grid of the search query: learner -> Spark ML parameter -> values.
-GRID = {"gbt_deep": {"maxDepth": [3, 5], "stepSize": [0.05, 0.1]}, "gbt_shallow": {"maxDepth": [3, 5]},
-        "forest": {"maxDepth": [3, 5]}}
+#: Grid of the search query: settings of each learner that are tried, on top of the tuned ones.
+GRID = {"depthwise": {"max_depth": [3, 5], "learning_rate": [0.05, 0.3]}, "leafwise": {"max_depth": [5], "num_leaves": [8, 24]},
+        "symmetric": {"max_depth": [3, 5]}}
+RUNGS = (2, 5)
 
 
 @query("grid_search")
-def q_grid_search(spark, sf_dir, grid=GRID):
-    """M8: every learner's parameter grid (one with QUERY_TREES trees) fitted on train and
-    scored on val (MAE)."""
-    df = split_listings(spark, sf_dir, materialise=True)
-    tr_raw = df.where("split = 'train'")
-    s = st.fit_listing_stats(tr_raw)
-    encoder = stacking.fit_encoder(st.listing_features(tr_raw, s))
-    both = encoder.transform(st.listing_features(df.where("split in ('train', 'val')"), s))
-    both = cut_lineage(both.select("split", "Rent", "features"))
-    tr, va = both.where("split = 'train'"), both.where("split = 'val'")
-    rows = []
-    for name, est in stacking.base_learners(QUERY_TREES, QUERY_DEPTH).items():
-        tried = [dict(zip(grid[name], values)) for values in itertools.product(*grid[name].values())]
-        maps = [{est.getParam(p): v for p, v in t.items()} for t in tried]
-        for i, m in est.fitMultiple(tr, maps):
-            mae = m.transform(va).agg(F.avg(F.abs(F.col(est.getPredictionCol()) - F.col("Rent")))).first()[0]
-            rows.append((name, ", ".join(f"{p}={v}" for p, v in tried[i].items()), float(mae)))
-    return spark.createDataFrame(rows, "learner STRING, parameters STRING, val_mae DOUBLE")
+def q_grid_search(spark, sf_dir, grid=GRID, rungs=RUNGS):
+    """M8: every learner's grid (QUERY_TREES trees) grown together on one binned table; after each
+    number of trees in RUNGS the better half by MAE on the val split goes on."""
+    df = featured_listings(spark, sf_dir).where("split in ('train', 'val')")
+    df = cut_lineage(df.select(*LISTING_KEY, TARGET, *ALL_FEATURES, F.when(F.col("split") == "val", boosting.VALIDATION).otherwise(0).alias("fold")))
+    tuned, candidates = _learners(), {}
+    for learner, settings in grid.items():
+        for values in itertools.product(*settings.values()):
+            tried = dict(zip(settings, values))
+            candidates[f"{learner}: {', '.join(f'{k}={v}' for k, v in tried.items())}"] = replace(tuned[learner], **tried)
+    binner = boosting.fit_binner(df.where(F.col("fold") == 0))
+    found = boosting.halving_search(boosting.pack(df, binner, LISTING_KEY), candidates, rungs)
+    rows = [(*r["name"].split(": ", 1), r["trees"], float(r["val_mae"]), r["rank"]) for r in found]
+    return spark.createDataFrame(rows, "learner STRING, parameters STRING, trees INT, val_mae DOUBLE, rank INT")
+
+
+@query("root_splits")
+def q_root_splits(spark, sf_dir):
+    """M4 + M5: the best first split by each of five columns, with the tuned penalties, of the model of all
+    train rows (held_out -1) and of each fold's; the gain as what it takes off the root mean square."""
+    tr = split_listings(spark, sf_dir).where("split = 'train'")
+    tr = cut_lineage(sp.fold_assign(tr, LISTING_KEY, seed=FOLD_SEED).select(*LISTING_KEY, "fold", TARGET, "Beds", "Baths", *CATEGORICAL))
+    params = _learners()["depthwise"]
+    models = [boosting.Model("m", params, k) for k in (None, *range(N_FOLDS))]
+    binner = boosting.fit_binner(tr, ["Beds", "Baths"])
+    out = boosting.root_splits(boosting.pack(tr, binner, LISTING_KEY), models)
+    return out.select(F.coalesce("held_out", F.lit(-1)).alias("held_out"), "feature", "split_at", r(F.sqrt(2 * F.col("gain") / (F.col("left_rows") + F.col("right_rows")))).alias("rms_gain"),
+                      "left_rows", "right_rows")
+
+
+@query("target_encode_ordered")
+def q_target_encode_ordered(spark, sf_dir):
+    """E2 ordered: statistics of the train rows before each one, along a hash of its key."""
+    tr = split_listings(spark, sf_dir).where("split = 'train'")
+    out = enc.target_encode_ordered(tr, LISTING_KEY, seed=FOLD_SEED)
+    # running sums of floats in another order: three places
+    return out.select(*LISTING_KEY, *[r(f"{c}_ots", 3).alias(f"{c}_ots") for c in CATEGORICAL])
 
 
 @query("run_metadata")

@@ -434,7 +434,7 @@ LONG_SQL = ",\nlong AS (" + union(
 
 
 def metric_sql(p: str = "prediction", y: str = "Rent") -> str:
-    return (f"count(*) AS n, {rd(f'avg(abs({p} - {y}))', 'mae')}, "
+    return (f"count(*) AS n, count(*) FILTER (WHERE {p} IS NULL OR {y} IS NULL) AS missing, {rd(f'avg(abs({p} - {y}))', 'mae')}, "
             f"{rd(f'sqrt(avg(({p} - {y}) * ({p} - {y})))', 'rmse')}, "
             f"{rd(f'CASE WHEN max({y}) > min({y}) THEN 1 - sum(({p} - {y}) * ({p} - {y})) / (var_pop({y}) * count(*)) END', 'r2')}, "
             f"{rd(f'avg(abs(({p} - {y}) / {y})) * 100', 'mape')}, "
@@ -608,3 +608,76 @@ pairs AS (SELECT coalesce(b.c, t.c) AS c, greatest(coalesce(b.share, 0), 1e-4) A
           FROM (SELECT * FROM shares WHERE split = 'train') b
           FULL JOIN (SELECT * FROM shares WHERE split = 'test') t ON b.c = t.c AND b.bin = t.bin)
 SELECT c AS "column", """ + rd("sum((ts - bs) * ln(ts / bs))", "psi") + " FROM pairs GROUP BY c"
+
+
+# M4, M5: gradients of the squared error around the mean of the rows a model is trained on; L1 and
+# L2 penalties of 1, at least 15 rows a side, 0.1 off each gain.
+def penalised(total: str, n: str) -> str:
+    return f"power(greatest(abs({total}) - 1.0, 0), 2) / ({n} + 1.0)"
+
+
+ORACLE["root_splits"] = f"""{BASE},
+trf AS (SELECT *, CAST({HFOLD} % 5 AS INTEGER) AS fold FROM tr),
+held AS (SELECT CAST(NULL AS INTEGER) AS held_out UNION ALL SELECT CAST(range AS INTEGER) FROM range(5)),
+own AS (SELECT held_out, Rent, Beds, Baths, Location, Type, Furnishing FROM trf JOIN held ON held_out IS NULL OR fold <> held_out),
+base AS (SELECT held_out, avg(Rent) AS b, count(*) AS n FROM own GROUP BY held_out),
+g AS (SELECT o.*, b.b - o.Rent AS g FROM own o JOIN base b ON b.held_out IS NOT DISTINCT FROM o.held_out),
+cell AS ({' UNION ALL '.join([f"SELECT held_out, '{c}' AS feature, CAST({c} AS DOUBLE) AS x, NULL AS v, count(*) AS n, sum(g) AS s FROM g GROUP BY held_out, {c}" for c in ('Beds', 'Baths')]
+                             + [f"SELECT held_out, '{c}', NULL, {c}, count(*), sum(g) FROM g GROUP BY held_out, {c}" for c in CATS])}),
+tot AS (SELECT held_out, feature, sum(n) AS tn, sum(s) AS ts FROM cell GROUP BY held_out, feature),
+vocab AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, min({c}) AS first FROM tr" for c in CATS)}),
+cand AS (
+  SELECT a.held_out, a.feature, a.x, NULL AS v, sum(b.n) AS ln, sum(b.s) AS ls FROM cell a
+  JOIN cell b ON b.held_out IS NOT DISTINCT FROM a.held_out AND b.feature = a.feature AND b.x <= a.x GROUP BY a.held_out, a.feature, a.x
+  UNION ALL
+  SELECT c.held_out, c.feature, NULL, c.v, t.tn - c.n, t.ts - c.s FROM cell c JOIN vocab USING (feature)
+  JOIN tot t ON t.held_out IS NOT DISTINCT FROM c.held_out AND t.feature = c.feature WHERE c.v <> first),
+scored AS (
+  SELECT c.*, tn, ({penalised('ls', 'ln')} + {penalised('(ts - ls)', '(tn - ln)')} - {penalised('ts', 'tn')}) / 2 - 0.1 AS gain
+  FROM cand c JOIN tot t ON t.held_out IS NOT DISTINCT FROM c.held_out AND t.feature = c.feature WHERE ln >= 15 AND tn - ln >= 15)
+SELECT coalesce(held_out, -1) AS held_out, feature, coalesce(v, CAST(x AS VARCHAR)) AS split_at, {rd('sqrt(2 * gain / tn)', 'rms_gain')},
+       CAST(ln AS BIGINT) AS left_rows, CAST(tn - ln AS BIGINT) AS right_rows
+FROM scored QUALIFY row_number() OVER (PARTITION BY held_out, feature ORDER BY gain DESC, x, v) = 1"""
+
+H60FOLD = sql_bucket32(LISTING_KEY, 43, 15)
+
+
+def ordered_sql(c: str) -> str:
+    before = f"OVER (PARTITION BY {c} ORDER BY h, {', '.join(LISTING_KEY)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"round((coalesce(sum(Rent) {before}, 0) + 10.0 * prior) / (count(Rent) {before} + 10.0), 3) AS {c}_ots"
+
+
+ORACLE["target_encode_ordered"] = f"""{BASE},
+o AS (SELECT *, {H60FOLD} AS h FROM tr),
+p AS (SELECT *, coalesce(avg(Rent) OVER (ORDER BY h, {', '.join(LISTING_KEY)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS prior FROM o)
+SELECT {', '.join(LISTING_KEY)}, {', '.join(ordered_sql(c) for c in CATS)} FROM p"""
+
+
+# M6, M7: a 3 x 3 system for each (rows left in, alpha), by Cramer's rule on centred sums.
+def ridge_sql() -> str:
+    """All train rows (held 9) and those outside each of five folds."""
+    y, pairs = "Rent", [(i, j) for i in range(3) for j in range(i, 3)]
+    sums = [f"count(*) * covar_pop({XS[i]}, {XS[j]}) AS s{i}{j}" for i, j in pairs] + [f"count(*) * covar_pop({XS[i]}, {y}) AS t{i}" for i in range(3)]
+
+    def det(m: list[list[str]]) -> str:
+        (a, b, c), (d, e, f), (g, h, i) = m
+        return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+    matrix = [[f"(s{min(i, j)}{max(i, j)}{' + a' if i == j else ''})" for j in range(3)] for i in range(3)]
+    swapped = [[[f"t{i}" if j == k else matrix[i][j] for j in range(3)] for i in range(3)] for k in range(3)]
+    return f"""{SC},
+m AS (SELECT {', '.join([*XS, y])}, CAST({sql_bucket32(LISTING_KEY, 44)} % 5 AS INTEGER) AS cv FROM scored WHERE split = 'train'),
+held AS (SELECT CAST(range AS INTEGER) AS held FROM range(5) UNION ALL SELECT 9),
+s AS (SELECT held, avg({y}) AS my, {', '.join(f'avg({x}) AS m{i}' for i, x in enumerate(XS))}, {', '.join(sums)} FROM m JOIN held ON cv <> held GROUP BY held),
+w AS (SELECT held, a, my, m0, m1, m2, {', '.join(f'{det(swapped[k])} / {det(matrix)} AS w{k}' for k in range(3))}
+      FROM s, (SELECT unnest([0.1, 1.0, 10.0, 100.0])::DOUBLE AS a)),
+f AS (SELECT *, my - w0 * m0 - w1 * m1 - w2 * m2 AS b FROM w),
+e AS (SELECT a, cv, avg(abs(b + {' + '.join(f'w{i} * {x}' for i, x in enumerate(XS))} - {y})) AS mae FROM m JOIN f ON held = cv GROUP BY a, cv),
+c AS (SELECT a, avg(mae) AS mae FROM e GROUP BY a),
+best AS (SELECT a FROM c ORDER BY mae, a LIMIT 1)
+SELECT 'cv_mae' AS section, 'alpha=' || CAST(a AS VARCHAR) AS name, round(mae, 3) AS value, a = (SELECT a FROM best) AS chosen FROM c
+UNION ALL SELECT 'coef', 'intercept', round(b, 3), true FROM f JOIN best USING (a) WHERE held = 9
+{' '.join(f"UNION ALL SELECT 'coef', '{x}', round(w{i}, 6), true FROM f JOIN best USING (a) WHERE held = 9" for i, x in enumerate(XS))}"""
+
+
+ORACLE["ridge_fit"] = ridge_sql()

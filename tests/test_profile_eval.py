@@ -150,3 +150,26 @@ def test_shares_bounds_and_strata(spark):
     assert got == {"train": (14, True), "val": (2, False), "test": (4, True), "odd": (1, None)}
     strata = {r.stratum: (r.rows, r.train_share, r.val_share, r.test_share) for r in pf.stratum_shares(df).collect()}
     assert strata["s"] == (16, 14 / 16, 2 / 16, 0.0) and strata["t"] == (5, 0.0, 0.0, 0.8)
+
+
+def test_metrics_cover_rows_where_both_are_known(spark):
+    from hearth.operators.evaluate import metrics, segment_metrics
+    rows = [("test", "a", 10.0, 12.0), ("test", "a", 20.0, 19.0), ("test", "a", 40.0, 37.0)]
+    odd = [("test", "a", 500.0, None), ("test", "a", None, 3.0), ("test", "a", None, None)]
+    frame = lambda x: spark.createDataFrame(x, "split STRING, Type STRING, Rent DOUBLE, p DOUBLE")
+    whole, holes = (metrics(frame(x), ["p"]).first().asDict() for x in (rows, rows + odd))
+    assert whole["missing"] == 0 and holes["missing"] == 3 and holes["n"] == 3
+    assert all(abs(holes[k] - whole[k]) < 1e-12 for k in ("mae", "rmse", "r2", "mape", "corr"))
+    assert abs(segment_metrics(frame(rows + odd), ["p"], ["Type"]).first().r2 - whole["r2"]) < 1e-12
+    none = metrics(frame(odd), ["p"]).first()
+    assert (none.n, none.missing, none.mae, none.r2, none.corr) == (0, 3, None, None, None)
+
+
+def test_psi_of_equal_tables_with_nulls_is_zero(spark):
+    from hearth.operators.audit import psi
+    rows = [(float(i) if i % 10 else None, float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE")
+    assert {r["column"]: round(r["psi"], 9) for r in psi(df, df, ["a", "b"]).collect()} == {"a": 0.0, "b": 0.0}
+    shifted = spark.createDataFrame([(None if i % 2 else a, b) for i, (a, b) in enumerate(rows)], "a DOUBLE, b DOUBLE")
+    got = {r["column"]: r["psi"] for r in psi(df, shifted, ["a", "b"]).collect()}
+    assert got["a"] > 0.5 and abs(got["b"]) < 1e-9

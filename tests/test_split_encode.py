@@ -97,3 +97,30 @@ def test_target_encoding_without_targets(spark):
     assert prior is None and table.count() == 0
     rows = spark.createDataFrame([("a", "b", "c")], "Location STRING, Type STRING, Furnishing STRING")
     assert enc.apply_target_encoding(rows, table, prior).first().Location_te is None
+
+
+def test_ordered_target_statistics_use_earlier_rows_only(spark):
+    from hearth.functions.hashing import bucket60
+    from hearth.operators.encode import target_encode_ordered
+    rows = [(i, "hot" if i % 3 else f"v{i % 5}", None if i % 11 == 0 else "x", None if i % 13 == 0 else float(i * i % 101)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k INT, a STRING, b STRING, Rent DOUBLE")
+    order = [r.k for r in df.select("k", bucket60(["k"], 5).alias("h")).orderBy("h", "k").collect()]
+    by_key, seen, want = {r[0]: r for r in rows}, [], {}
+    for k in order:
+        _, a, b, y = by_key[k]
+        prior = sum(s[2] for s in seen) / len(seen) if seen else 7.0
+        stat = lambda own: (sum(own) + 4.0 * prior) / (len(own) + 4.0)
+        want[k] = stat([s[2] for s in seen if s[0] == a]), stat([s[2] for s in seen if s[1] == b])
+        if y is not None:
+            seen.append((a, b, y))
+    for slices in (1, 6):
+        out = target_encode_ordered(df, ["k"], ["a", "b"], smoothing=4.0, seed=5, start=7.0, slices=slices).collect()
+        assert len(out) == 300 and out[0].asDict().keys() == {"k", "a", "b", "Rent", "a_ots", "b_ots"}
+        for r in out:
+            assert abs(r.a_ots - want[r.k][0]) < 1e-9 and abs(r.b_ots - want[r.k][1]) < 1e-9
+    # a row's own target changes nothing for it
+    last = order[150]
+    changed = df.withColumn("Rent", F.when(F.col("k") == last, F.lit(1e9)).otherwise(F.col("Rent")))
+    again = {r.k: r for r in target_encode_ordered(changed, ["k"], ["a", "b"], smoothing=4.0, seed=5, start=7.0).collect()}
+    assert abs(again[last].a_ots - want[last][0]) < 1e-9
+    assert all(abs(again[k].a_ots - want[k][0]) < 1e-9 for k in order[:150]) and any(again[k].a_ots > 1e6 for k in order[151:])
