@@ -23,7 +23,6 @@ import functools
 import json
 import os
 import re
-import unicodedata
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -35,8 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearth.llm.byte_bpe import byte_chars
 from hearth.llm.common import byte_slices, narrow, tidied, Scratch
-from hearth.llm.units import SLICE_BYTES, UnitCache, bundles, units
+from hearth.llm.units import SLICE_BYTES, UnitCache, units
 from hearth.llm.wordhash import mix
 
 _U = np.uint64
@@ -44,6 +44,8 @@ _U = np.uint64
 NULL_KEY = -(1 << 63)
 LEVEL_LOAD = 2.0
 READ_BYTES = 8 << 20
+#: Matches whose ids a worker keeps, in each of two generations.
+KEPT_MATCHES = 250_000
 
 
 class PerfectHash:
@@ -106,9 +108,9 @@ def plain_matches(spec: dict) -> re.Pattern | None:
     matches that are encoded each on its own."""
     steps = (spec.get("normalizer") or {}).get("normalizers") or []
     first, *rest = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-    regular = first.get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed" and all(
-        r["type"] == "ByteLevel" and not r.get("use_regex") and not r.get("add_prefix_space") for r in rest)
-    if not regular or [n["type"] for n in steps] != ["NFC", "Replace", "Lowercase"] \
+    regular = first.get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed" and len(rest) == 1 and \
+        rest[0]["type"] == "ByteLevel" and not rest[0].get("use_regex") and not rest[0].get("add_prefix_space")
+    if not regular or spec["model"]["type"] != "BPE" or [n["type"] for n in steps] != ["NFC", "Replace", "Lowercase"] \
             or (steps[1]["pattern"].get("Regex"), steps[1]["content"]) != (r"\s+", " "):
         return None
     pattern = first["pattern"].get("Regex") or ""
@@ -119,74 +121,69 @@ def plain_matches(spec: dict) -> re.Pattern | None:
     return re.compile(pattern)
 
 
+class Encoder:
+    """Raw ids of whole texts by a tokenizers file that drops white space.
+
+    Texts of plain characters are cut into the matches of the file's own pattern, and its model is asked for
+    each new match once; the others go by units to the library as a whole."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        from hearth.llm.token_counts import cuts_at_spaces
+
+        self.tok = Tokenizer.from_file(path)
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.kind = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
+        self.words = [t["content"] for t in spec.get("added_tokens") or ()]
+        self.matches = plain_matches(spec)
+        self.cuts = cuts_at_spaces(spec) and (spec["pre_tokenizer"].get("pretokenizers") or [{}])[0].get("behavior") == "Removed"
+        self.units, self.parts = UnitCache(self._whole), UnitCache(self._modelled, KEPT_MATCHES)
+
+    def _raw(self, ids: list[list[int]]) -> list[bytes]:
+        flat = np.array([i for x in ids for i in x], self.kind).tobytes()
+        ends = np.cumsum([0, *map(len, ids)]) * self.kind.itemsize
+        return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return self._raw([e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _modelled(self, matches: list[str]) -> list[bytes]:
+        """Ids of matches, written by the usual byte table, from the model alone."""
+        chars, tokenize = byte_chars(), self.tok.model.tokenize
+        return self._raw([[t.id for t in tokenize(m if m.isascii() else "".join(chars[b] for b in m.encode()))] for m in matches])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [bool(self.matches) and not any(w in t for w in self.words) and _PLAIN.fullmatch(t) is not None for t in texts]
+        cut = [self.matches.findall(t.lower()) if p else units(t) if self.cuts else [t] for t, p in zip(texts, plain)]
+        known = self.parts.holding(set().union(*(c for c, p in zip(cut, plain) if p)))
+        other = self.units.holding(set().union(*(c for c, p in zip(cut, plain) if not p)))
+        return [b"".join(map((known if p else other).__getitem__, c)) for c, p in zip(cut, plain)]
+
+
 @functools.lru_cache(maxsize=2)
-def _ids(path: str) -> tuple[UnitCache, np.dtype]:
-    """Cache unit -> raw ids, for a tokenizer that drops white space."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    from hearth.llm.token_counts import cuts_at_spaces
-
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    kind = np.dtype("<u2" if tok.get_vocab_size() <= 1 << 16 else "<u4")
-    special = [t for t in spec.get("added_tokens") or () if t["special"] and not t.get("normalized")]
-
-    def one_by_one(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, kind).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    if not special or not cuts_at_spaces(spec) or (spec["pre_tokenizer"].get("pretokenizers") or [{}])[0].get("behavior") != "Removed":
-        return UnitCache(one_by_one), kind
-    mark, mark_id, words = special[-1]["content"], special[-1]["id"], [t["content"] for t in spec["added_tokens"]]
-
-    def joined(texts: list[str]) -> list[bytes]:
-        """Units in one text, with a special token between them, which the library cuts out first."""
-        odd = {t for t in texts if any(w in t for w in words)}
-        even = [t for t in texts if t not in odd]
-        ranges, out = bundles(even), []
-        for e in tok.encode_batch_fast([mark.join(even[lo:hi]) for lo, hi in ranges], add_special_tokens=False):
-            ids = np.array(e.ids, kind)
-            cut, raw, size = np.flatnonzero(ids == mark_id).tolist(), ids.tobytes(), kind.itemsize
-            out += [raw[size * a:size * b] for a, b in zip([0, *(c + 1 for c in cut)], [*cut, len(ids)])]
-        assert len(out) == len(even)
-        known = dict(zip(even, out)) | dict(zip(odd, one_by_one(list(odd))))
-        return [known[t] for t in texts]
-
-    matches = plain_matches(spec)
-    if not matches:
-        return UnitCache(joined), kind
-    parts = UnitCache(joined)
-
-    def by_parts(texts: list[str]) -> list[bytes]:
-        """Units of plain characters by their matches, of which there are far fewer; the others as they are."""
-        cut = [matches.findall(t.lower()) if _PLAIN.fullmatch(t) and not any(w in t for w in words) else None for t in texts]
-        known = parts.holding({m for c in cut if c for m in c})
-        other = iter(joined([t for t, c in zip(texts, cut) if c is None]))
-        return [next(other) if c is None else b"".join(map(known.__getitem__, c)) for c in cut]
-
-    return UnitCache(by_parts), kind
-
-
-def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """``doc_id, ids`` of each row of ``docs(doc_id, text)``: the raw ids with the end id."""
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
+def encode(docs: DataFrame, tokenizer: str, end_id: int, bounds: np.ndarray) -> DataFrame:
+    """``shard, doc_id, ids`` of each row of ``docs(doc_id, text)``: how many of the ascending ``bounds`` are
+    below its key, and its raw ids with the end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, kind = _ids(tokenizer)
-        end = np.array([end_id], kind).tobytes()
+        made = encoder(tokenizer)
+        end = np.array([end_id], made.kind).tobytes()
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE_BYTES):
-                cut = [units(t or "") for t in part.column(1).to_pylist()]
-                known = cache.holding(set().union(*cut))
-                yield pa.record_batch({"doc_id": part.column(0), "ids": pa.array(
-                    [b"".join(map(known.__getitem__, u)) + end for u in cut], pa.binary())})
-
-    def forget() -> None:
-        _ids(tokenizer)[0].clear()
+                ids = [x + end for x in made.encode([t or "" for t in part.column(1).to_pylist()])]
+                yield pa.record_batch({"shard": pa.array(np.searchsorted(bounds, part.column(0).to_numpy()), pa.int32()),
+                                       "doc_id": part.column(0), "ids": pa.array(ids, pa.binary())})
 
-    return docs.mapInArrow(tidied(run, forget), "doc_id long, ids binary")
+    return docs.mapInArrow(tidied(run, lambda: encoder(tokenizer).units.clear()), "shard int, doc_id long, ids binary")
 
 
 def write_shard(batches: Iterator[pa.RecordBatch], folder: str, shard: int, kind: np.dtype) -> Iterator[pa.RecordBatch]:
@@ -229,14 +226,14 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int, scra
     raw ids.  Null and empty texts are the end id alone.  An empty table has no shard.
     """
     rows = narrow(docs, key, text).select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("doc_id"), "text")
-    # written, as the ranges of keys are drawn from the same rows before they are dealt out
-    encoded = scratch.write(encode(rows, tokenizer, end_id))
-    kind = _ids(tokenizer)[1]
+    # the ranges come from the keys alone, so that texts are read and encoded once
+    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count)] or [1.0]).alias("cuts")).first()["cuts"]
+    bounds, kind = np.unique(np.array(cuts or [], np.int64)), encoder(tokenizer).kind
     run: Callable = lambda batches: write_shard(batches, folder, TaskContext.get().partitionId(), kind)
-    spread = encoded.df.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    listed = scratch.write(spread.mapInArrow(tidied(run), "shard long, name string, docs long, ids long, lowest long, highest long")).df
-    encoded.drop()
-    return listed
+    spread = encode(rows, tokenizer, end_id, bounds).repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("doc_id", "ids")
+    return scratch.write(spread.drop("shard").mapInArrow(
+        tidied(run), "shard long, name string, docs long, ids long, lowest long, highest long")).df
 
 
 class Shard:

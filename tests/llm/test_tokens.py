@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -70,10 +71,23 @@ def test_ids_of_random_texts():
     """Operator 8's cache of units and of their matches."""
     path = tokenizer_path("word_bpe_49k.json")
     texts = odd_strings(2, 20_000) + ["L'État, c'EST moi!", "x<|endoftext|>y <|startoftext|>", "<|", "|>", "''s 'S n't"]
-    cache, kind = token_files._ids(path)
-    cut = [units(t) for t in texts]
-    known = cache.holding(set().union(*cut))
-    assert [np.frombuffer(b"".join(map(known.__getitem__, u)), kind).tolist() for u in cut] == library(path)(texts)
+    made = token_files.Encoder(path)
+    assert made.matches and [np.frombuffer(x, made.kind).tolist() for x in made.encode(texts)] == library(path)(texts)
+    made.matches = None
+    assert [np.frombuffer(x, made.kind).tolist() for x in made.encode(texts)] == library(path)(texts)
+    latin = ["".join(map(chr, np.random.default_rng(i).choice([*range(32, 127), *range(192, 384)], 60))) for i in range(5_000)]
+    assert [np.frombuffer(x, made.kind).tolist() for x in token_files.Encoder(path).encode(latin)] == library(path)(latin)
+
+
+def test_pattern_of_other_files_is_left_to_the_library():
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        assert token_files.plain_matches(json.load(f)) is None
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    assert token_files.plain_matches(spec)
+    for pattern in (r"\p{L}+", r"[\p{Lu}]+", r"[\w]+"):
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": pattern}
+        assert token_files.plain_matches(spec) is None
 
 
 def test_segments_keep_the_text():
