@@ -59,6 +59,7 @@ class Written:
 
 
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+TRACEBACK_CONF = "spark.sql.execution.pyspark.udf.simplifiedTraceback.enabled"
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -68,6 +69,9 @@ def reach_workers(spark: SparkSession) -> None:
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     # Rows reach Python in batches by bytes; texts are long, so these are kept small.
     spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    # It is part of the environment of map functions' workers but not of those of grouped ones, so an executor
+    # that runs both would keep two sets of workers, each with its own caches.
+    spark.conf.set(TRACEBACK_CONF, "false")
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:

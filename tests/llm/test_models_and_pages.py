@@ -8,8 +8,10 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -219,6 +221,154 @@ def test_names_of_wrappers_without_marks(spark, wrap):
     assert main_text.main_text(pages).first().text == "\n\n".join(b.strip() for b in blocks)
 
 
+INSIDE = [
+    ('<section id="social"><h2>Social policy</h2><p>It has a history.</p></section>', "Social policy\n\nIt has a history."),
+    ('<div id="search-engines"><p>How engines search.</p></div>', "How engines search."),
+    ('<div class="share-price-table"><table><tr><td>12</td><td>13</td></tr></table></div>', "12\n\n13"),
+    ('<p>Press the <button>Start</button> button.</p>', "Press the Start button."),
+    ('<div class="ad-slot"><p>buy it now</p></div><div class="comment-list"><p>so bad</p></div><div class="sponsored">by us</div>', ""),
+    ('<section class="comments">' + "<p>many words of readers</p>" * 200 + "</section>", "")]
+
+
+@pytest.mark.parametrize("part, text", INSIDE)
+def test_names_inside_marked_text_weigh(spark, part, text):
+    """Subjects stay, adverts and comments go, and what goes doesn't part the text around it."""
+    rows = [(1, "u", f"<body><nav>menu</nav><article><h1>Top</h1><p>First words.</p>{part}<p>Last words.</p></article><footer>end</footer></body>")]
+    got = main_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).first().text
+    assert got == "\n\n".join(x for x in ("Top", "First words.", text, "Last words.") if x)
+
+
+def test_deep_pages_take_linear_time():
+    import time
+    weight = main_text.weights({})
+    for opening in ("<div>", '<div class="related menu-x">', "<article>", "<ul><li>"):
+        page = opening * 50_000 + "some words" + "</p></div>" * 60_000
+        began = time.process_time()
+        assert main_text.extract(page, weight) in ("some words", "")
+        main_text.wrappers(page)
+        list(main_text._counts(iter([pa.record_batch({"html": [page]})])))
+        assert time.process_time() - began < 15            # a walk over all open containers at each event takes minutes
+
+
+def against(names):
+    return any(n[0] in ".-" and (n[1:] in main_text.STRONG_NAMES | main_text.WEAK_NAMES or n[1:].startswith("comment")) for n in names)
+
+
+def state(stack, page_marks=True):
+    """Whether the innermost of (tag, names) lies in marked text, and in a dropped element."""
+    marked = [page_marks and any(t in main_text.TEXT_MARKS and not any(against(x) for _, x in stack[:j + 1]) for j, (t, _) in enumerate(stack[:i]))
+              for i in range(len(stack) + 1)]
+    return marked[-1], any(t in main_text.DROPPED or (t == "header" and not marked[i]) for i, (t, _) in enumerate(stack))
+
+
+def has_marks(page):
+    """Whether words stand in a mark that isn't dropped."""
+    stack = []
+    for m in re.finditer(r"<(/?)(\w+)([^>]*)>|([^<]+)", page):
+        if m[4]:
+            if m[4].split() and any(t in main_text.TEXT_MARKS and not state(stack[:i + 1])[1] for i, (t, _) in enumerate(stack)) and not state(stack)[1]:
+                return True
+        elif m[1]:
+            stack.pop()
+        else:
+            stack.append((m[2], main_text.names_of(m[2], m[3])))
+    return False
+
+
+class Plain:
+    """Scores of a page's words and tags, each from a walk over all open containers, on well-formed pages."""
+
+    def __init__(self, page, weight):
+        self.scores, self.kept, stack, self.page_marks = [], [], [], has_marks(page)
+        for m in re.finditer(r"<(/?)(\w+)([^>]*)>|([^<]+)", page):
+            if m[4]:
+                inside, dropped = state([x[:2] for x in stack], self.page_marks)
+                w, within = self.around(stack, weight, inside)
+                w += main_text.WORD
+                if m[4].split():
+                    keep = w > 0 and not dropped
+                    self.scores.append(0.0 if within and not keep else w * len(m[4].split()))
+                    self.kept.append(m[4].split() if keep else [])
+                continue
+            if m[1]:
+                stack.pop()
+            else:
+                stack.append((m[2], main_text.names_of(m[2], m[3])))
+            inside, dropped = state(stack, self.page_marks)
+            w, within = self.around(stack, weight, inside)
+            self.scores.append(0.0 if within and (w + main_text.WORD <= 0 or dropped) else w + main_text.TAG)
+            self.kept.append([])
+
+    def around(self, stack, weight, inside):
+        total, seen, within = 0.0, set(), False
+        for i, (_, names) in enumerate(stack):
+            own = [n for n in names if n not in main_text.TEXT_MARKS or state(stack[:i + 1], self.page_marks)[0]]
+            total = min(total + sum(float(weight[main_text.cell(n)]) for n in own if n not in seen), main_text.CLIP)
+            seen |= set(own)
+            within |= total >= main_text.WITHIN
+        return total if inside or not self.page_marks else min(total, 0.0) - 2 * main_text.WORD, within
+
+    def words(self):
+        """Words of the best region, over all regions; the first and shortest of equal ones."""
+        sums = np.concatenate([[0.0], np.cumsum(self.scores)])
+        best = max(((sums[j] - sums[i], -i, -j) for i in range(len(self.scores)) for j in range(i + 1, len(sums))), default=(0, 0, 0))
+        return [w for part in self.kept[-best[1]:-best[2]] for w in part] if best[0] > 1e-9 else []
+
+
+def test_scan_and_weights_equal_a_plain_version():
+    rng = np.random.default_rng(4)
+    kinds = ["div", "section", "nav", "article", "aside", "header", "footer"]
+    names = ["", ' class="ad"', ' class="search"', ' id="comment-list"', ' class="content"', ' class="x y-menu"', ' class="post"']
+
+    def part(depth):
+        inner = "".join(part(depth - 1) if depth and rng.random() < 0.6 else " ".join(["w%d" % rng.integers(99)] * rng.integers(1, 9)) + " "
+                        for _ in range(rng.integers(1, 4)))
+        tag = rng.choice(kinds, p=[0.35, 0.2, 0.1, 0.1, 0.1, 0.05, 0.1])
+        return f"<{tag}{rng.choice(names)}>{inner}</{tag}>"
+
+    pages = ["".join(part(3) for _ in range(rng.integers(1, 5))) for _ in range(150)]
+    # weights: words under each name, by a stack of names for each word
+    counts = {}
+    for page in pages:
+        if main_text.wrappers(page)[0]:
+            continue
+        own, stack, page_marks = Counter(), [], has_marks(page)
+        assert main_text.wrappers(page)[1] == page_marks
+        for m in re.finditer(r"<(/?)(\w+)([^>]*)>|([^<]+)", page):
+            if m[4]:
+                marked, dropped = state(stack, page_marks)
+                inside = marked and not dropped
+                if marked and any(against(x) for _, x in stack):
+                    continue
+                own_names = lambda i: [n for n in stack[i][1] if n not in main_text.TEXT_MARKS or state(stack[:i + 1], page_marks)[0]]
+                for n in {n for i in range(len(stack)) for n in own_names(i)} | {""}:
+                    own[n, int(inside)] += len(m[4].split())
+            elif m[1]:
+                stack.pop()
+            else:
+                stack.append((m[2], main_text.names_of(m[2], m[3])))
+        if own["", 1]:
+            for (n, inside), k in own.items():
+                if n:
+                    counts.setdefault(main_text.cell(n), [0, 0])[inside] += k
+    plain = [p for p in pages if not main_text.wrappers(p)[0]]
+    (batch,) = main_text._counts(iter([pa.record_batch({"html": plain})]))
+    got = {r["cell"]: [r["outside"], r["inside"]] for r in batch.to_pylist()}
+    assert got == {c: n for c, n in counts.items() if any(n)} and len(plain) > 50
+    weight = main_text.weights({c: tuple(n) for c, n in counts.items()})
+    for page in plain:
+        scan = main_text._Scan(weight, frozenset(), has_marks(page))
+        scan.walk(page)
+        want = Plain(page, weight)
+        assert np.allclose(scan.scores, want.scores)
+        region = main_text.best_region(scan.scores)
+        assert (region is None) == (want.words() == []) or not main_text.extract(page, weight)
+        if region:
+            sums = np.concatenate([[0.0], np.cumsum(want.scores)])
+            most = max(sums[j] - sums[:j].min() for j in range(1, len(sums)))
+            assert np.isclose(sum(scan.scores[region[0]:region[1] + 1]), most)
+
+
 def test_odd_pages(spark):
     rows = [(1, "a", None), (2, "b", ""), (3, None, "<p>no closing"), (None, "d", "<script>x"), (5, "e", "plain words alone &amp more"),
             (5, "e", "plain words alone &amp more"), (6, "f", "<" * 5000), (7, "g", "<div" + ' a="' * 3000), (8, "h", "<p>" * 20_000 + "x"),
