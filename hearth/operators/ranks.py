@@ -20,8 +20,9 @@ distinct value knows whether it covers the target ranks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearth.constants import BROADCAST_MAX_ROWS
@@ -113,3 +114,76 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
     out = out.select(*gk, "n", *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
     return out if keys else out.drop(_ALL)
 
+
+# Stored rank index ------------------------------------------------------------
+#: Distinct values of a block of the index.
+BLOCK_VALUES = 64
+
+
+@dataclass
+class RankIndex:
+    """Ranks of a reference table, written once and looked up by any batch.
+
+    ``values(_g, _v, _below)``: each distinct value and the rows below it.  ``tops(_g, _n, _starts)``: a
+    group's rows and the first value of each of its blocks.  ``blocks(_g, _block, _vs, _after)``: the values of
+    a block in order and the rows up to and with each.  A value that the reference holds is found by
+    equality; another one finds its block among the starts and its place in the block, both as-of: the largest
+    value below it.  Neither ranks the batch nor shuffles its distinct values.
+
+    Tables whose counted rows fit the bound carry a broadcast hint, so a lookup leaves the batch where it is;
+    beyond it the joins shuffle on (group, value) and (group, block), which a hot group can't fill alone."""
+
+    values: DataFrame
+    tops: DataFrame
+    blocks: DataFrame
+
+    def lookup(self, df: DataFrame, group: str, value: str, below: str = "below", n: str = "n") -> DataFrame:
+        """``df`` with the reference rows of its group below its value, and all of them; both NULL for a
+        group that the reference lacks, ``below`` NULL for a NULL value."""
+        x = F.col(value).cast("double")
+        out = df.join(self.tops, F.col(group) == F.col("_g"), "left").drop("_g")
+        out = out.join(self.values, (F.col(group) == F.col("_g")) & (x == F.col("_v")), "left").drop("_g", "_v")
+        block = F.size(F.filter("_starts", lambda s: s < x)) - 1
+        # known values look up no block
+        out = out.withColumn("_at", F.when(F.col("_below").isNull() & F.col("_starts").isNotNull() & x.isNotNull(), block)).drop("_starts")
+        out = out.join(self.blocks, (F.col(group) == F.col("_g")) & (F.col("_at") == F.col("_block")), "left").drop("_g", "_block")
+        place = F.size(F.filter("_vs", lambda v: v < x))
+        found = F.when(F.col("_at") < 0, F.lit(0).cast("bigint")).otherwise(F.col("_after")[place - 1])
+        return out.withColumns({below: F.coalesce("_below", found), n: F.col("_n")}).drop("_below", "_at", "_vs", "_after", "_n")
+
+    def write(self, path: str) -> None:
+        for name in ("values", "tops", "blocks"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str, max_rows: int = BROADCAST_MAX_ROWS) -> "RankIndex":
+        return cls(*(hinted(spark.read.parquet(f"{path}/{name}"), max_rows) for name in ("values", "tops", "blocks")))
+
+
+def hinted(table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A written table with a broadcast hint if its counted rows allow it; rows that hold blocks count for
+    their values."""
+    each = BLOCK_VALUES if "_vs" in table.columns else 1
+    return F.broadcast(table) if table.count() * each <= max_rows else table
+
+
+def rank_index(hist: DataFrame, group: str = "_loc", value: str = "_area", weight: str = "cnt",
+               max_rows: int = BROADCAST_MAX_ROWS) -> RankIndex:
+    """Index of ``hist(group, value, weight)``, whose (group, value) pairs are distinct.  Histograms of up to
+    ``max_rows`` rows are counted up in one window a group; larger ones by ``value_ranks``, in ranges."""
+    hist = cut_lineage(hist.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(
+        F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"), F.col(weight).cast("bigint").alias("_w")))
+    if hist.count() <= max_rows:
+        whole, upto = Window.partitionBy("_g"), Window.partitionBy("_g").orderBy("_v")
+        ranks = hist.select("_g", "_v", (F.sum("_w").over(upto) - F.col("_w")).alias("_below"), "_w",
+                            F.sum("_w").over(whole).alias("_n"), (F.row_number().over(upto) - 1).alias("_pos"))
+    else:
+        places = value_ranks(hist, ["_g"], "_v").select("_g", "_v", F.col("below").alias("_pos"))
+        ranks = (value_ranks(hist, ["_g"], "_v", "_w").withColumnsRenamed({"below": "_below", "cnt": "_w", "n": "_n"})
+                 .join(places, ["_g", "_v"]))
+    ranks = cut_lineage(ranks.withColumn("_block", F.floor(F.col("_pos") / BLOCK_VALUES).cast("int")))
+    rows = F.array_sort(F.collect_list(F.struct("_v", (F.col("_below") + F.col("_w")).alias("_after"))))     # BLOCK_VALUES of them
+    blocks = cut_lineage(ranks.groupBy("_g", "_block").agg(rows.alias("_rows"), F.max("_n").alias("_n")).select(
+        "_g", "_block", F.col("_rows._v").alias("_vs"), F.col("_rows._after").alias("_after"), "_n"))
+    tops = cut_lineage(blocks.groupBy("_g").agg(F.max("_n").alias("_n"), F.array_sort(F.collect_list(F.col("_vs")[0])).alias("_starts")))
+    return RankIndex(hinted(ranks.select("_g", "_v", "_below"), max_rows), hinted(tops, max_rows), hinted(blocks.drop("_n"), max_rows))

@@ -1,12 +1,11 @@
 """M2 SPLIT -> CALCULATE -> APPLY: group statistics fitted on training rows and
 applied to any split or request batch (A1, A2, A6, A7, A8, J1-J3, W1, F7, F9-F12).
 
-``fit_listing_stats`` runs ONE grouping-sets aggregate for the five target
-means (location, location x type, furnishing, type, global) and the location
-area moments, plus the per-location area histogram used for ranks.  The
-fitted tables are materialised and size-checked; ``apply_listing_stats`` only
-ever sees those tables, never training rows, so val/test/request targets
-cannot leak into features.
+``fit_listing_stats`` runs ONE aggregate over the training rows, from which the five target
+means (location, location x type, furnishing, type, global), the location area moments
+and the per-location rank index of areas are rolled up.  The fitted tables are written and
+size-checked; ``apply_listing_stats`` only ever sees those tables, never training rows, so
+val/test/request targets cannot leak into features.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ from pyspark.sql import functions as F
 from hearth.constants import (BROADCAST_MAX_ROWS, COMPARISON_LABELS, DEGENERATE_PREMIUM, UNKNOWN_RANK,
                               UNKNOWN_REGION_MEAN)
 from hearth.functions.features import ratio
-from hearth.operators.joins import cut_lineage, join_small, materialise
-from hearth.operators.ranks import quantiles, value_ranks
+from hearth.operators.joins import cut_lineage, join_small
+from hearth.operators.ranks import RankIndex, hinted, quantiles, rank_index
 
 
 @dataclass
@@ -30,70 +29,50 @@ class ListingStats:
     loc_type: DataFrame     # loc, type, lt_mean_rent
     furn: DataFrame         # furn, furn_mean_rent
     typ: DataFrame          # type, type_mean_rent
-    area_hist: DataFrame    # loc, area, cnt  (train histogram of areas per location)
+    areas: RankIndex        # ranks of the training areas per location
     global_mean: float | None
     cols: dict
-    source: DataFrame | None = None     # the cached aggregate that the tables are cut from
-
-    def unpersist(self) -> None:
-        if self.source is not None:
-            self.source.unpersist()
 
 
 def fit_listing_stats(train: DataFrame, loc: str = "Location", typ: str = "Type",
                       furn: str = "Furnishing", area: str = "Area_in_sqft",
                       target: str = "Rent", max_rows: int = BROADCAST_MAX_ROWS) -> ListingStats:
-    """ONE pass over the training rows: grouping sets give the five target-mean
-    levels, the location area moments and the (location, area) histogram."""
-    g = (train.groupingSets([[loc, typ], [loc], [furn], [typ], [], [loc, area]], loc, typ, furn, area)
-         .agg(F.grouping_id().alias("_gid"), F.count("*").alias("_n"),
-              F.avg(target).alias("_mean_rent"), F.avg(area).alias("_mean_area"),
-              F.stddev_samp(area).alias("_std_area")))
-    g, _ = materialise(g)
+    """ONE pass over the training rows: counts and sums of the target by (location, type, furnishing) and
+    by (location, area).  The five target-mean levels, the area moments and the rank index are all rolled
+    up from that table, which is written (it has a row for each combination, not for each listing)."""
+    g = cut_lineage(train.groupingSets([[loc, typ, furn], [loc, area]], loc, typ, furn, area).agg(
+        F.grouping_id().alias("_gid"), F.count("*").alias("_n"), F.count(target).alias("_k"), F.sum(F.col(target).cast("double")).alias("_s")))
     # grouping_id bits follow (loc, typ, furn, area) = (8, 4, 2, 1); 1 = aggregated away.
-    levels = {r["_gid"]: (r["_n_rows"], r["_g_mean"])
-              for r in g.groupBy("_gid").agg(F.count("*").alias("_n_rows"),
-                                             F.first("_mean_rent").alias("_g_mean")).collect()}
-
-    def fitted(gid: int, *cols) -> DataFrame:
-        t = g.filter(F.col("_gid") == gid).select(*cols)
-        return F.broadcast(t) if levels.get(gid, (0, None))[0] <= max_rows else t
-
-    loc_t = fitted(7, F.col(loc).alias("_loc"), F.col("_n").alias("loc_n"),
-                   F.col("_mean_area").alias("loc_mean_area"), F.col("_std_area").alias("loc_std_area"),
-                   F.col("_mean_rent").alias("loc_mean_rent"))
-    lt_t = fitted(3, F.col(loc).alias("_loc"), F.col(typ).alias("_typ"),
-                  F.col("_mean_rent").alias("lt_mean_rent"))
-    furn_t = fitted(13, F.col(furn).alias("_furn"), F.col("_mean_rent").alias("furn_mean_rent"))
-    typ_t = fitted(11, F.col(typ).alias("_typ"), F.col("_mean_rent").alias("type_mean_rent"))
-    hist = g.filter((F.col("_gid") == 6) & F.col(area).isNotNull()).select(
-        F.col(loc).alias("_loc"), F.col(area).alias("_area"), F.col("_n").alias("cnt"))
-    glob = levels.get(15, (0, None))[1]
-    return ListingStats(loc_t, lt_t, furn_t, typ_t, hist, glob,
-                        dict(loc=loc, typ=typ, furn=furn, area=area, target=target), g)
-
-
-def area_rank_share(df: DataFrame, stats: ListingStats,
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """W1 against the fitted histogram: share of training rows of the same
-    location with a strictly smaller area; UNKNOWN_RANK for unseen locations,
-    0 for a NULL area in a known one (no area compares smaller).
-
-    Probe values enter the rank computation with weight 0, so no theta join
-    and no per-location window over raw rows is needed."""
+    by_type = g.where("_gid = 1").select(F.col(loc).alias("_loc"), F.col(typ).alias("_typ"), F.col(furn).alias("_furn"), "_k", "_s")
+    by_area = g.where("_gid = 6").select(F.col(loc).alias("_loc"), F.col(area).alias("_area"), F.col(area).cast("double").alias("_a"), "_n", "_k", "_s")
+    mean = F.try_divide(F.sum("_s"), F.sum("_k"))
+    total = by_type.agg(mean.alias("m")).first()["m"]
+    w = F.when(F.col("_a").isNotNull(), F.col("_n"))
+    areas, sums = F.sum(w), F.sum(w * F.col("_a"))
+    spread = F.greatest(F.sum(w * F.col("_a") * F.col("_a")) - sums * sums / areas, F.lit(0.0))
+    std = F.when(areas > 1, F.when(F.max("_a") > F.min("_a"), F.sqrt(spread / (areas - 1))).otherwise(F.lit(0.0)))
+
+    def fitted(t: DataFrame) -> DataFrame:
+        return hinted(cut_lineage(t), max_rows)
+
+    loc_t = fitted(by_area.groupBy("_loc").agg(
+        F.sum("_n").alias("loc_n"), F.try_divide(sums, areas).alias("loc_mean_area"), std.alias("loc_std_area"), mean.alias("loc_mean_rent")))
+    return ListingStats(
+        loc_t, fitted(by_type.groupBy("_loc", "_typ").agg(mean.alias("lt_mean_rent"))),
+        fitted(by_type.groupBy("_furn").agg(mean.alias("furn_mean_rent"))), fitted(by_type.groupBy("_typ").agg(mean.alias("type_mean_rent"))),
+        rank_index(by_area.withColumnRenamed("_n", "cnt"), max_rows=max_rows), total, dict(loc=loc, typ=typ, furn=furn, area=area, target=target))
+
+
+def area_rank_share(df: DataFrame, stats: ListingStats) -> DataFrame:
+    """W1 against the stored rank index: share of training rows of the same location with a strictly
+    smaller area; UNKNOWN_RANK for unseen locations, 0 for a NULL area in a known one (no area
+    compares smaller)."""
     c = stats.cols
-    probes = (df.select(F.col(c["loc"]).alias("_loc"), F.col(c["area"]).alias("_area"))
-              .distinct().withColumn("cnt", F.lit(0).cast("bigint")))
-    ranked = value_ranks(stats.area_hist.unionByName(probes), ["_loc"], "_area", weight="cnt")
-    ranked = ranked.groupBy("_loc", "_area").agg(F.max("below").alias("_below"),
-                                                 F.max("n").alias("_rn"))
-    out = join_small(df, ranked, (F.col(c["loc"]) == F.col("_loc"))
-                     & (F.col(c["area"]) == F.col("_area")), "left", max_rows)
-    out = out.drop("_loc", "_area")
+    out = stats.areas.lookup(df, c["loc"], c["area"], "_rows_below", "_rn")
     out = out.join(stats.loc.select("_loc", "loc_n"), F.col(c["loc"]) == F.col("_loc"), "left")
-    share = (F.when(F.col("_rn") > 0, F.col("_below") / F.col("_rn"))
-             .when(F.col("loc_n").isNotNull() & F.col(c["area"]).isNull(), F.lit(0.0)).otherwise(F.lit(UNKNOWN_RANK)))
-    return out.withColumn("property_rank_in_location", share).drop("_loc", "loc_n", "_below", "_rn")
+    share = (F.when(F.col("loc_n").isNotNull() & F.col(c["area"]).isNull(), F.lit(0.0))
+             .when(F.col("_rn") > 0, F.col("_rows_below") / F.col("_rn")).otherwise(F.lit(UNKNOWN_RANK)))
+    return out.withColumn("property_rank_in_location", share).drop("_loc", "loc_n", "_rows_below", "_rn")
 
 
 def premium(mean: Column, global_mean: float | None, unknown: float) -> Column:
@@ -103,13 +82,12 @@ def premium(mean: Column, global_mean: float | None, unknown: float) -> Column:
 
 
 def apply_listing_stats(df: DataFrame, stats: ListingStats,
-                        unknown_premium: float = DEGENERATE_PREMIUM,
-                        max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        unknown_premium: float = DEGENERATE_PREMIUM) -> DataFrame:
     """Adds property_rank_in_location, area_deviation_from_location and the three
     premiums with the fallback chain (location x type -> location -> unknown)."""
     c = stats.cols
     loc, typ, furn, area = F.col(c["loc"]), F.col(c["typ"]), F.col(c["furn"]), F.col(c["area"])
-    out = area_rank_share(df, stats, max_rows)
+    out = area_rank_share(df, stats)
     # Fitted tables carry their size-checked broadcast decision from fit time.
     out = out.join(stats.loc, loc == F.col("_loc"), "left").drop("_loc")
     out = out.join(stats.loc_type, (loc == F.col("_loc")) & (typ == F.col("_typ")),

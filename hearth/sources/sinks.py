@@ -77,6 +77,9 @@ def append_json(df: DataFrame, path: str) -> None:
 
 
 # S5 --------------------------------------------------------------------------
+STATS_TABLES = ("loc", "loc_type", "furn", "typ")
+
+
 def save_stacked(model, path: str) -> None:
     """Encoder and base models as Spark ML directories, statistics and feature
     importances as parquet, ridge + scalars as one JSON document."""
@@ -84,8 +87,7 @@ def save_stacked(model, path: str) -> None:
     for name, m in model.base.items():
         m.write().overwrite().save(os.path.join(path, "base", name))
     s = model.stats
-    for name in ("loc", "loc_type", "furn", "typ", "area_hist"):
-        getattr(s, name).write.mode("overwrite").parquet(os.path.join(path, "stats", name))
+    _save_stats(s, path)
     meta = {"ridge": {"alpha": model.ridge.alpha, "intercept": model.ridge.intercept,
                       "coef": model.ridge.coef, "xs": model.ridge.xs},
             "global_mean": s.global_mean, "cols": s.cols, "numeric": model.encoder.numeric,
@@ -101,8 +103,7 @@ def save_boosted(model, path: str) -> None:
     """A ``BoostedStack``: statistics and importances as parquet, learners, ridge and scalars as
     one JSON document."""
     s, spark = model.stats, model.stats.loc.sparkSession
-    for name in ("loc", "loc_type", "furn", "typ", "area_hist"):
-        getattr(s, name).write.mode("overwrite").parquet(os.path.join(path, "stats", name))
+    _save_stats(s, path)
     model.boosted.importances(spark).write.mode("overwrite").parquet(os.path.join(path, "importances"))
     r = model.ridge
     meta = {"ridge": {"alpha": r.alpha, "intercept": r.intercept, "coef": r.coef, "xs": r.xs}, "global_mean": s.global_mean, "cols": s.cols,
@@ -119,12 +120,17 @@ def load_boosted(spark: SparkSession, path: str):
                         Ridge(r["alpha"], r["intercept"], r["coef"], r["xs"]))
 
 
+def _save_stats(stats, path: str) -> None:
+    for name in STATS_TABLES:
+        getattr(stats, name).write.mode("overwrite").parquet(os.path.join(path, "stats", name))
+    stats.areas.write(os.path.join(path, "stats", "areas"))
+
+
 def _load_stats(spark: SparkSession, path: str, meta: dict):
-    from hearth.operators.joins import bounded
+    from hearth.operators.ranks import RankIndex, hinted
     from hearth.operators.stats import ListingStats
-    t = {n: spark.read.parquet(os.path.join(path, "stats", n)) for n in ("loc", "loc_type", "furn", "typ", "area_hist")}
-    return ListingStats(bounded(t["loc"]), bounded(t["loc_type"]), bounded(t["furn"]), bounded(t["typ"]),
-                        t["area_hist"], meta["global_mean"], meta["cols"])
+    tables = [hinted(spark.read.parquet(os.path.join(path, "stats", n))) for n in STATS_TABLES]
+    return ListingStats(*tables, RankIndex.read(spark, os.path.join(path, "stats", "areas")), meta["global_mean"], meta["cols"])
 
 
 def save_stacked_versions(model, root: str, stamp: str) -> tuple[str, str]:

@@ -77,3 +77,26 @@ def test_null_group_is_a_group(spark, slices):
     assert got == [("-", 1.0, 0, 3), ("-", 2.0, 1, 3), ("-", 3.0, 2, 3), ("a", 2.0, 0, 1)]
     q = {r.g: r.m for r in quantiles(df, ["g"], "v", [0.5], ["m"], slices=slices).collect()}
     assert q == {None: 2.0, "a": 2.0}
+
+
+@pytest.mark.parametrize("max_rows", [2_000_000, 0])
+def test_rank_index_as_of_lookup(spark, tmp_path, max_rows, monkeypatch):
+    """Known and unknown values, below, between and above all; groups of one block and of many; a stored index."""
+    from hearth.operators import ranks
+    monkeypatch.setattr(ranks, "BLOCK_VALUES", 7)
+    df, groups, vals = _data(spark)
+    hist = df.groupBy("g", "v").agg(F.count("*").alias("cnt")).union(spark.createDataFrame([(None, 1.0, 3), ("a", None, 4)], "g STRING, v DOUBLE, cnt BIGINT"))
+    index = ranks.rank_index(hist, "g", "v", max_rows=max_rows)
+    probes = sorted({float(x) + d for x in list(vals[:200]) + [vals.min(), vals.max()] for d in (-0.5, 0.0, 0.25)})
+    batch = [(i, g, v) for i, (g, v) in enumerate([(g, v) for g in ("hot", "a", "b", "c", "new", None) for v in probes + [None]])]
+    rows = spark.createDataFrame(batch, "i INT, g STRING, v DOUBLE").repartition(5)
+    index.write(str(tmp_path / "index"))
+    for stored in (index, ranks.RankIndex.read(spark, str(tmp_path / "index"), max_rows)):
+        got = stored.lookup(rows, "g", "v").collect()
+        assert len(got) == len(batch) and set(got[0].asDict()) == {"i", "g", "v", "below", "n"}
+        for r in got:
+            x = vals[groups == r.g]
+            assert r.n == (len(x) or None) and r.below == (int((x < r.v).sum()) if len(x) and r.v is not None else None), r
+    if max_rows:
+        plan = index.lookup(rows, "g", "v")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(g" not in plan

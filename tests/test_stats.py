@@ -112,5 +112,3 @@ def test_rank_of_unknown_area_and_location(spark, listing_rows):
                                 "i INT, Location STRING, Area_in_sqft DOUBLE")
     got = {r.i: r.property_rank_in_location for r in area_rank_share(req, s).collect()}
     assert got == {1: 0.0, 2: 0.5, 3: 0.25, 4: 0.5, 5: 0.5}
-    s.unpersist()
-    assert not s.source.is_cached
