@@ -165,5 +165,26 @@ def prediction_log(scored: DataFrame, features: Sequence[str], prediction: str =
                          F.col(prediction).alias("prediction"), *features)
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").parquet(path)
+RUN, BATCH = "log_run", "log_batch"
+
+
+def append_log(log: DataFrame, path: str, run: str, batch: int = 0) -> None:
+    """Adds a batch of rows under the name of its run and its number.  A batch that is written again, by a
+    repeated job or a stream that starts over, replaces itself: its folder changes hands once the new
+    files are whole, and other batches stay as they are."""
+    (log.withColumns({RUN: F.lit(run), BATCH: F.lit(batch)}).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(RUN, BATCH).parquet(path))
+
+
+def read_log(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """The rows of all runs, or of one (the folders of the others aren't read)."""
+    log = spark.read.parquet(path)
+    return (log if run is None else log.where(F.col(RUN).cast("string") == run)).drop(RUN, BATCH)
+
+
+def log_stream(scored: DataFrame, path: str, run: str, checkpoint: str, **trigger) -> None:
+    """Takes in a stream of log rows to its end (``availableNow``, unless ``trigger`` says otherwise): each
+    micro-batch is one batch of the log, so one that is run again after a failure isn't added twice."""
+    query = (scored.writeStream.foreachBatch(lambda batch, number: append_log(batch, path, run, number))
+             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+    query.awaitTermination()

@@ -162,3 +162,27 @@ def test_entry_contract(spark):
     assert df.count() > 0 and "property_rank_in_location" in df.columns
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
+
+
+def test_log_holds_each_batch_once(spark, sf_dir, tmp_path):
+    """Repeated batches replace themselves, other runs and batches stay; a stream that starts over adds nothing."""
+    from hearth.sources.sinks import append_log, log_stream, prediction_log, read_log
+    from hearth.sources.tables import read_table
+    rows = lambda lo, hi: prediction_log(spark.range(lo, hi).select((F.col("id") * 1.5).alias("prediction"), F.col("id").alias("Beds")), ["Beds"])
+    path = str(tmp_path / "log")
+    for run, batch, lo, hi in (("a", 0, 0, 10), ("a", 1, 10, 25), ("b", 0, 100, 104), ("a", 1, 10, 25), ("a", 0, 0, 10), ("b", 0, 100, 104)):
+        append_log(rows(lo, hi), path, run, batch)
+    assert sorted(r.Beds for r in read_log(spark, path).collect()) == [*range(25), *range(100, 104)]
+    assert sorted(r.Beds for r in read_log(spark, path, "b").collect()) == [*range(100, 104)]
+    assert read_log(spark, path).columns == ["timestamp", "prediction", "Beds"]
+    append_log(rows(50, 53), path, "a", 1)                              # the batch's new content
+    assert sorted(r.Beds for r in read_log(spark, path, "a").collect()) == [*range(10), *range(50, 53)]
+    # one stream, run again from the start after its checkpoint is lost, and once more without new files
+    events = read_table(spark, sf_dir, "events").repartition(3)
+    events.write.parquet(str(tmp_path / "in"))
+    stream = lambda: (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+                      .select(F.current_timestamp().alias("timestamp"), F.col("value").alias("prediction"), "event_id" if "event_id" in events.columns else "event_type"))
+    for checkpoint in ("one", "two", "two"):
+        log_stream(stream(), str(tmp_path / "streamed"), "s", str(tmp_path / checkpoint))
+    got, want = (sorted(r[0] for r in df.collect()) for df in (read_log(spark, str(tmp_path / "streamed"), "s").select("prediction"), events.select("value")))
+    assert got == want
