@@ -131,14 +131,34 @@ def feature_target_corr(df: DataFrame, features: Sequence[str], target: str = "R
 
 def pairwise_corr(df: DataFrame, features: Sequence[str],
                   bound: float = MULTICOLLINEARITY_MAX) -> DataFrame:
-    """All feature pairs (a < b in list order) from one wide aggregate, each over
-    the rows where both are known."""
+    """All feature pairs (a < b in list order), each over the rows where both are known, from two aggregates.
+
+    The first has each column's known rows, mean and range.  The second sums the columns, shifted by their
+    means, and their products once for all pairs of columns without NULLs; pairs with one that has some are summed
+    over their own rows.  A pair with a constant column has no correlation."""
+    x = {c: F.col(c).cast("double") for c in features}
+    head = df.agg(F.count("*").alias("n"), *[f(x[c]).alias(f"{c}__{n}") for c in features
+                                             for n, f in (("k", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))]).first()
+    whole = [c for c in features if head[f"{c}__k"] == head["n"]]
+    shifted = {c: x[c] - F.lit(head[f"{c}__m"]) for c in whole}
+    sums = [F.sum(shifted[c]).alias(f"s_{c}") for c in whole]
+    sums += [F.sum(shifted[a] * shifted[b]).alias(f"s_{a}__{b}") for i, a in enumerate(whole) for b in whole[i:]]
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    wide = df.agg(*[safe_corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))).alias(f"c{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    out = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)])))
+    odd = [(a, b) for a, b in pairs if a not in shifted or b not in shifted]
+    sums += [safe_corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))).alias(f"c_{a}__{b}") for a, b in odd]
+    n = F.lit(float(head["n"]))
+
+    def moment(a: str, b: str):
+        return F.col(f"s_{a}__{b}") - F.col(f"s_{a}") * F.col(f"s_{b}") / n
+
+    def corr(a: str, b: str):
+        if (a, b) in odd:
+            return F.col(f"c_{a}__{b}")
+        varies = all(head[f"{c}__lo"] is not None and head[f"{c}__lo"] < head[f"{c}__hi"] for c in (a, b))
+        return moment(a, b) / F.sqrt(moment(a, a) * moment(b, b)) if varies else F.lit(None).cast("double")
+
+    out = df.agg(*sums).select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), corr(a, b).alias("corr")) for a, b in pairs])))
     return out.withColumn("above_bound", F.abs("corr") >= bound)
 
 

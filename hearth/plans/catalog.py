@@ -36,7 +36,7 @@ from hearth.plans import boosting, stacking
 from hearth.session import checkpoint_dir
 from hearth.sources import sinks
 from hearth.sources.tables import LISTING_KEY, listings, read_csv_table, read_table
-from hearth.streaming import hourly
+from hearth.streaming import hourly, scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -71,7 +71,7 @@ def featured_listings(spark: SparkSession, sf_dir: str, materialise: bool = Fals
     ``materialise`` writes the feature table once (reliable checkpoint) for
     queries that make several passes over it, instead of recomputing the
     scan, joins and feature joins for every pass."""
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, materialise=True)       # read to fit and again to apply
     stats = fit_listing_stats(df.filter(F.col("split") == "train"))
     out = add_listing_features(df, stats)
     return cut_lineage(out) if materialise else out
@@ -403,7 +403,7 @@ def q_feature_target_corr(spark, sf_dir):
 
 @query("pairwise_corr")
 def q_pairwise_corr(spark, sf_dir):
-    out = pf.pairwise_corr(train_features(spark, sf_dir), NUMERIC_FEATURES)
+    out = pf.pairwise_corr(train_features(spark, sf_dir, materialise=True), NUMERIC_FEATURES)
     return out.select("feature_a", "feature_b", r("corr").alias("corr"), "above_bound")
 
 
@@ -792,14 +792,33 @@ def q_batch_score(spark, sf_dir):
     """All raw request rows (customers) scored end to end by a model with QUERY_TREES
     trees; types and furnishings it doesn't know are allowed."""
     model, _ = _stacked(spark, sf_dir)
-    req = customer_requests(spark, sf_dir).select(
+    out = model.score(model_requests(customer_requests(spark, sf_dir)))
+    return out.select("c_custkey", "Location", "Type", "Furnishing", "prediction",
+                      (F.col("prediction") / 12).alias("monthly_prediction"))
+
+
+def model_requests(requests):
+    """Request rows in the model's columns."""
+    return requests.select(
         "c_custkey", F.col("location").alias("Location"),
         F.when(F.col("has_gym"), "STANDARD POLISHED TIN").otherwise("OTHER").alias("Type"),
         F.when(F.col("has_pool"), "F").otherwise("O").alias("Furnishing"),
         F.col("bedrooms").alias("Beds"), F.col("bathrooms").alias("Baths"), F.col("size").alias("Area_in_sqft"))
-    out = model.score(req)
-    return out.select("c_custkey", "Location", "Type", "Furnishing", "prediction",
-                      (F.col("prediction") / 12).alias("monthly_prediction"))
+
+
+@query("score_stream")
+def q_score_stream(spark, sf_dir):
+    """M10 + S5 + S7: the requests of ``batch_score`` as a stream of files, scored by a saved bundle
+    and logged once each."""
+    model, _ = _stacked(spark, sf_dir)
+    root, work = scratch_path(spark, "bundles"), scratch_path(spark, "stream")
+    sinks.save_stacked_versions(model, root, "20250101_000000")
+    requests = model_requests(customer_requests(spark, sf_dir))
+    requests.write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{work}/in").schema).parquet(f"{work}/in")
+    scoring.score_stream(stream, root, f"{work}/log", "requests", f"{work}/state", ["c_custkey", "Location", "Type", "Furnishing"])
+    return sinks.read_log(spark, f"{work}/log", "requests").select(
+        "c_custkey", "Location", "Type", "Furnishing", "prediction", (F.col("prediction") / 12).alias("monthly_prediction"))
 
 
 #: Grid of the search query: settings of each learner that are tried, on top of the tuned ones.

@@ -134,14 +134,22 @@ def _load_stats(spark: SparkSession, path: str, meta: dict):
 
 
 def save_stacked_versions(model, root: str, stamp: str) -> tuple[str, str]:
-    """The bundle under ``root/<stamp>`` and again under ``root/latest``."""
+    """The bundle under ``root/<stamp>`` and again under ``root/latest``; ``root/stamp`` then names the
+    stamp, for readers that take the bundle from its own folder."""
     save = save_boosted if hasattr(model, "boosted") else save_stacked
     stamped, latest = os.path.join(root, stamp), os.path.join(root, "latest")
     save(model, stamped)
     save(model, latest)
+    spark = model.stats.loc.sparkSession
+    spark.createDataFrame([(stamp,)], "stamp STRING").coalesce(1).write.mode("append").text(os.path.join(root, "stamp"))
     return stamped, latest
 
 
+def latest_stamp(spark: SparkSession, root: str) -> str:
+    """The stamp of the newest bundle (stamps sort by time; a line is added for each bundle)."""
+    return spark.read.text(os.path.join(root, "stamp")).agg(F.max("value")).first()[0]
+
+
 def load_stacked(spark: SparkSession, path: str):
     from hearth.plans.stacking import Encoder, Ridge, StackedModel
     meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()["value"])

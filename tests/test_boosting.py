@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from dataclasses import replace
 
@@ -245,3 +246,26 @@ def test_stack_of_tuned_learners_learns_a_known_signal(spark):
     _, latest = save_stacked_versions(model, tempfile.mkdtemp(prefix="hearth-model-"), "20250101_000000")
     again = load_boosted(spark, latest).score(test).select("k", "prediction").orderBy("k").toPandas()
     assert np.allclose(scored.prediction, again.prediction)
+    # as a stream: equal row for row; a newer bundle takes over at the next batch; a repeated batch replaces itself
+    from hearth.sources.sinks import read_log
+    from hearth.streaming.scoring import score_stream
+    root, work = os.path.dirname(latest), tempfile.mkdtemp(prefix="hearth-stream-")
+    inputs = test.drop("Rent", "split")
+    schema = inputs.schema
+    part = lambda i: inputs.where(F.col("k") % 2 == i).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    run = lambda state: score_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in"), root, f"{work}/log", "s",
+                                     f"{work}/{state}", ["k", "Area_in_sqft"])
+    logged = lambda: {r.k: r.prediction for r in read_log(spark, f"{work}/log").collect()}
+    part(0)
+    run("state")
+    want = dict(zip(scored.k, scored.prediction))
+    first = logged()
+    assert set(first) == {k for k in want if k % 2 == 0} and all(np.isclose(first[k], want[k]) for k in first)
+    other = replace(model, ridge=replace(model.ridge, intercept=model.ridge.intercept + 1e6))
+    save_stacked_versions(other, root, "20250102_000000")
+    part(1)
+    run("state")
+    assert read_log(spark, f"{work}/log").count() == len(want)
+    assert all(np.isclose(v, want[k] + (1e6 if k % 2 else 0)) for k, v in logged().items())
+    run("lost")                                                          # from the start, by the newer bundle
+    assert read_log(spark, f"{work}/log").count() == len(want) and all(np.isclose(v, want[k] + 1e6) for k, v in logged().items())
