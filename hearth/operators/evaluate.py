@@ -20,9 +20,9 @@ METRICS = ["n", "mae", "rmse", "r2", "mape", "corr", "missing"]
 
 def metric_aggs(target: str = "Rent", prediction: str = "prediction") -> list:
     """All figures over the rows where target and prediction are known; ``missing`` counts the others."""
-    known = F.col(target).isNotNull() & F.col(prediction).isNotNull()
-    y, p = (F.when(known, F.col(c).cast("double")) for c in (target, prediction))
-    e = p - y
+    y, p = F.col(target).cast("double"), F.col(prediction).cast("double")
+    known, e = p.isNotNull() & y.isNotNull(), p - y
+    y, p = F.when(known, y), F.when(known, p)
     sst = F.var_pop(y) * F.count(y)
     return [
         F.count(y).alias("n"),

@@ -168,22 +168,29 @@ def hinted(table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
 
 
 def rank_index(hist: DataFrame, group: str = "_loc", value: str = "_area", weight: str = "cnt",
-               max_rows: int = BROADCAST_MAX_ROWS) -> RankIndex:
-    """Index of ``hist(group, value, weight)``, whose (group, value) pairs are distinct.  Histograms of up to
-    ``max_rows`` rows are counted up in one window a group; larger ones by ``value_ranks``, in ranges."""
-    hist = cut_lineage(hist.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(
-        F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"), F.col(weight).cast("bigint").alias("_w")))
-    if hist.count() <= max_rows:
+               max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> RankIndex:
+    """Index of ``hist(group, value, weight)``, whose (group, value) pairs are distinct; ``rows``: how many, if
+    they are counted already.  Histograms of up to ``max_rows`` rows are counted up in one window a group, and
+    their tables, no larger than they are, carry broadcast hints; larger ones go by ``value_ranks``, in
+    ranges, and their tables are written and counted."""
+    hist = hist.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(
+        F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"), F.col(weight).cast("bigint").alias("_w"))
+    if rows is None:
+        hist = cut_lineage(hist)
+        rows = hist.count()
+    if rows <= max_rows:
+        keep = hint = F.broadcast
         whole, upto = Window.partitionBy("_g"), Window.partitionBy("_g").orderBy("_v")
         ranks = hist.select("_g", "_v", (F.sum("_w").over(upto) - F.col("_w")).alias("_below"), "_w",
                             F.sum("_w").over(whole).alias("_n"), (F.row_number().over(upto) - 1).alias("_pos"))
     else:
+        keep, hint = lambda t: hinted(cut_lineage(t), max_rows), lambda t: hinted(t, max_rows)
         places = value_ranks(hist, ["_g"], "_v").select("_g", "_v", F.col("below").alias("_pos"))
-        ranks = (value_ranks(hist, ["_g"], "_v", "_w").withColumnsRenamed({"below": "_below", "cnt": "_w", "n": "_n"})
-                 .join(places, ["_g", "_v"]))
-    ranks = cut_lineage(ranks.withColumn("_block", F.floor(F.col("_pos") / BLOCK_VALUES).cast("int")))
-    rows = F.array_sort(F.collect_list(F.struct("_v", (F.col("_below") + F.col("_w")).alias("_after"))))     # BLOCK_VALUES of them
-    blocks = cut_lineage(ranks.groupBy("_g", "_block").agg(rows.alias("_rows"), F.max("_n").alias("_n")).select(
-        "_g", "_block", F.col("_rows._v").alias("_vs"), F.col("_rows._after").alias("_after"), "_n"))
-    tops = cut_lineage(blocks.groupBy("_g").agg(F.max("_n").alias("_n"), F.array_sort(F.collect_list(F.col("_vs")[0])).alias("_starts")))
-    return RankIndex(hinted(ranks.select("_g", "_v", "_below"), max_rows), hinted(tops, max_rows), hinted(blocks.drop("_n"), max_rows))
+        ranks = cut_lineage(value_ranks(hist, ["_g"], "_v", "_w").withColumnsRenamed({"below": "_below", "cnt": "_w", "n": "_n"})
+                            .join(places, ["_g", "_v"]))
+    ranks = ranks.withColumn("_block", F.floor(F.col("_pos") / BLOCK_VALUES).cast("int"))
+    each = F.array_sort(F.collect_list(F.struct("_v", (F.col("_below") + F.col("_w")).alias("_after"))))     # BLOCK_VALUES of them
+    blocks = ranks.groupBy("_g", "_block").agg(each.alias("_rows"), F.max("_n").alias("_n")).select(
+        "_g", "_block", F.col("_rows._v").alias("_vs"), F.col("_rows._after").alias("_after"), "_n")
+    tops = blocks.groupBy("_g").agg(F.max("_n").alias("_n"), F.array_sort(F.collect_list(F.col("_vs")[0])).alias("_starts"))
+    return RankIndex(hint(ranks.select("_g", "_v", "_below")), keep(tops), keep(blocks.drop("_n")))

@@ -52,15 +52,18 @@ def fit_listing_stats(train: DataFrame, loc: str = "Location", typ: str = "Type"
     spread = F.greatest(F.sum(w * F.col("_a") * F.col("_a")) - sums * sums / areas, F.lit(0.0))
     std = F.when(areas > 1, F.when(F.max("_a") > F.min("_a"), F.sqrt(spread / (areas - 1))).otherwise(F.lit(0.0)))
 
+    rows = g.count()
+
     def fitted(t: DataFrame) -> DataFrame:
-        return hinted(cut_lineage(t), max_rows)
+        """A table rolled up from ``g``, so no larger: broadcast from there if that is within the bound."""
+        return F.broadcast(t) if rows <= max_rows else hinted(cut_lineage(t), max_rows)
 
     loc_t = fitted(by_area.groupBy("_loc").agg(
         F.sum("_n").alias("loc_n"), F.try_divide(sums, areas).alias("loc_mean_area"), std.alias("loc_std_area"), mean.alias("loc_mean_rent")))
     return ListingStats(
         loc_t, fitted(by_type.groupBy("_loc", "_typ").agg(mean.alias("lt_mean_rent"))),
         fitted(by_type.groupBy("_furn").agg(mean.alias("furn_mean_rent"))), fitted(by_type.groupBy("_typ").agg(mean.alias("type_mean_rent"))),
-        rank_index(by_area.withColumnRenamed("_n", "cnt"), max_rows=max_rows), total, dict(loc=loc, typ=typ, furn=furn, area=area, target=target))
+        rank_index(by_area.withColumnRenamed("_n", "cnt"), max_rows=max_rows, rows=rows), total, dict(loc=loc, typ=typ, furn=furn, area=area, target=target))
 
 
 def area_rank_share(df: DataFrame, stats: ListingStats) -> DataFrame:

@@ -757,13 +757,13 @@ def q_ridge_fit(spark, sf_dir):
     return spark.createDataFrame(rows, "section STRING, name STRING, value DOUBLE, chosen BOOLEAN")
 
 
-#: The training queries grow fewer trees than the tuned settings, which remain the defaults of
-#: ``boosting.tuned_learners``; all other tuned values hold.
-QUERY_TREES = 10
+#: The training queries grow fewer and shallower trees than the tuned settings, which remain the
+#: defaults of ``boosting.tuned_learners``; all other tuned values hold.
+QUERY_TREES, QUERY_DEPTH = 10, 5
 
 
-def _learners(depth: int | None = None) -> dict:
-    return boosting.tuned_learners(trees=QUERY_TREES, max_depth=depth)
+def _learners() -> dict:
+    return boosting.tuned_learners(trees=QUERY_TREES, max_depth=QUERY_DEPTH)
 
 
 def _stacked(spark, sf_dir):
@@ -772,15 +772,15 @@ def _stacked(spark, sf_dir):
 
 @query("oof_stack")
 def q_oof_stack(spark, sf_dir):
-    """M5: out-of-fold predictions of the three boosted learners (train rows), with QUERY_TREES trees;
-    all folds of all learners grow in the same passes."""
+    """M5: out-of-fold predictions of the three boosted learners (train rows), with QUERY_TREES trees
+    of QUERY_DEPTH; all folds of all learners grow in the same passes."""
     _, meta = _stacked(spark, sf_dir)
     return meta.select(*LISTING_KEY, "fold", TARGET, *[f"pred_{n}" for n in _learners()])
 
 
 @query("stacked_metrics")
 def q_stacked_metrics(spark, sf_dir):
-    """M9 + Q1: boosted learners (QUERY_TREES trees) and the stacked ridge on val/test rows."""
+    """M9 + Q1: boosted learners (QUERY_TREES trees of QUERY_DEPTH) and the stacked ridge on val/test rows."""
     df = split_listings(spark, sf_dir, materialise=True)
     model, _ = stacking.train_boosted(df, LISTING_KEY, learners=_learners())
     out = model.score(df.where("split != 'train'"))
@@ -790,7 +790,7 @@ def q_stacked_metrics(spark, sf_dir):
 @query("batch_score")
 def q_batch_score(spark, sf_dir):
     """All raw request rows (customers) scored end to end by a model with QUERY_TREES
-    trees; types and furnishings it doesn't know are allowed."""
+    trees of QUERY_DEPTH; types and furnishings it doesn't know are allowed."""
     model, _ = _stacked(spark, sf_dir)
     out = model.score(model_requests(customer_requests(spark, sf_dir)))
     return out.select("c_custkey", "Location", "Type", "Furnishing", "prediction",
