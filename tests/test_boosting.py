@@ -270,3 +270,19 @@ def test_stack_of_tuned_learners_learns_a_known_signal(spark):
     assert all(np.isclose(v, want[k] + (1e6 if k % 2 else 0)) for k, v in logged().items())
     run("lost")                                                          # from the start, by the newer bundle
     assert read_log(spark, f"{work}/log").count() == len(want) and all(np.isclose(v, want[k] + 1e6) for k, v in logged().items())
+
+
+def test_a_run_keeps_its_table_on_disk_in_small_blocks(spark):
+    df = spark.range(34_000).select("id", (F.col("id") % 50).cast("double").alias("x1"), (F.col("id") % 7).cast("double").alias("Rent"))
+    held = lambda: {i.id(): (i.memSize(), i.diskSize()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    before, during = held(), []
+
+    def after(trees, found):
+        during.extend(size for i, size in held().items() if i not in before)
+        return set()
+
+    models = [bo.Model(f"m{i}", bo.Params(trees=2, max_depth=2)) for i in range(18)]
+    done = bo.grow(bo.pack(df, bo.fit_binner(df, ["x1"], []), ["id"], fold=None), models, after, [2])
+    assert any(disk for _, disk in during) and not any(memory for memory, _ in during)
+    sizes = done.blocks.agg(F.sum("n").alias("n"), F.max(F.length("preds")).alias("most")).first()
+    assert sizes["n"] == 34_000 and sizes["most"] < 1 << 20
