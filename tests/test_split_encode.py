@@ -124,3 +124,15 @@ def test_ordered_target_statistics_use_earlier_rows_only(spark):
     again = {r.k: r for r in target_encode_ordered(changed, ["k"], ["a", "b"], smoothing=4.0, seed=5, start=7.0).collect()}
     assert abs(again[last].a_ots - want[last][0]) < 1e-9
     assert all(abs(again[k].a_ots - want[k][0]) < 1e-9 for k in order[:150]) and any(again[k].a_ots > 1e6 for k in order[151:])
+
+
+def test_ranges_of_ordered_statistics_grow_in_number_not_in_size(spark, monkeypatch):
+    from hearth.operators import encode
+    monkeypatch.setattr(encode, "RANGE_ROWS", 50, raising=False)
+    tables, cut = [], encode.cut_lineage
+    monkeypatch.setattr(encode, "cut_lineage", lambda df: tables.append(cut(df)) or tables[-1])
+    df = spark.range(2000).select("id", F.lit("hot").alias("a"), (F.col("id") % 9).cast("double").alias("Rent"))
+    assert encode.target_encode_ordered(df, ["id"], ["a"]).where("a_ots is not null").count() == 2000
+    dealt = next(t for t in tables if "_slice" in t.columns and "_h" in t.columns)
+    sizes = [r["count"] for r in dealt.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) >= 30 and max(sizes) < 200
