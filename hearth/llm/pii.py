@@ -18,12 +18,13 @@ Term tables are broadcast in blocks of counted size; all counts pre-aggregate.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hearth.llm.common import BROADCAST_ROWS, free_name, narrow, reach_workers, tidied, Scratch, Written
 from hearth.llm.ngram_join import ngram_components
@@ -263,15 +264,19 @@ SPANS = "array<struct<kind:string,start:long,end:long>>"
 _SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _marked(docs: DataFrame, terms: DataFrame, remove_at: float, block_rows: int) -> DataFrame:
-    """``docs`` (a key of any type, ``text``) and ``found``: spans of the terms in the text.  With
-    several blocks, each but the last is written, so that one is held at a time."""
-    scratch, before, shared = Scratch(docs.sparkSession), None, None
+def _marked(docs: DataFrame, terms: DataFrame, remove_at: float, block_rows: int,
+            finish: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """What ``finish`` gives for batches of ``docs`` (a key of any type, ``text``) and ``found``: spans of the
+    terms in the text.  With several blocks, each but the last is written, so that one is held at a time.
+
+    The last block is marked in the function that finishes: one after the other, each task would need two
+    Python workers at once, which live on and keep the caches of later steps twice."""
+    scratch, before, shared, last = Scratch(docs.sparkSession), None, None, None
     marked = docs.withColumn("found", F.lit(None).cast(SPANS))
     out = marked.schema
     for block in _blocks(terms, block_rows):
-        if shared:
-            written = scratch.write(marked)
+        if last:
+            written = scratch.write(marked.mapInArrow(tidied(last), out))
             shared.destroy()
             if before:
                 before.drop()
@@ -290,8 +295,12 @@ def _marked(docs: DataFrame, terms: DataFrame, remove_at: float, block_rows: int
                             words, d, word[own], shared.value.degree[place[own]], remove_at)]
                 yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, _SPAN_TYPE)], names=out.names)
 
-        marked = marked.mapInArrow(tidied(mark), out)
-    return marked
+        last = mark
+
+    def run(batches: Iterator[pa.RecordBatch], last=last) -> Iterator[pa.RecordBatch]:
+        yield from finish(last(batches) if last else batches)
+
+    return marked.mapInArrow(tidied(run), schema)
 
 
 def _all_spans(text: str | None, found: list[dict] | None) -> list[tuple[str, int, int]]:
@@ -311,7 +320,6 @@ def find_personal_data(docs: DataFrame, texts: bool = True, least: int = LEAST,
     keys are kept; copies of a text count once in the statistics.
     """
     docs = narrow(docs, key, text)
-    marked = _marked(docs, revealing_terms(docs.select("text"), least, generalise_at, block_rows), remove_at, block_rows)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,7 +333,8 @@ def find_personal_data(docs: DataFrame, texts: bool = True, least: int = LEAST,
             yield pa.record_batch({"doc_id": batch.column(0), "spans": pa.array(spans, _SPAN_TYPE)} | (
                 {"text": pa.array(clean, pa.string())} if texts else {}))
 
-    return marked.mapInArrow(tidied(finish), f"doc_id long, spans {SPANS}" + ", text string" * texts)
+    return _marked(docs, revealing_terms(docs.select("text"), least, generalise_at, block_rows), remove_at, block_rows,
+                   finish, f"doc_id long, spans {SPANS}" + ", text string" * texts)
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -354,7 +363,6 @@ def sanitise(docs: DataFrame, block_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def _keyed(docs: DataFrame, row: str, block_rows: int) -> DataFrame:
     """Sanitised texts beside an untouched column."""
-    marked = _marked(docs, revealing_terms(docs.select("text"), block_rows=block_rows), REMOVE_AT, block_rows)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,4 +373,4 @@ def _keyed(docs: DataFrame, row: str, block_rows: int) -> DataFrame:
                 out.append(t if not own else _replaced(t, own))
             yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], names=[row, "text"])
 
-    return marked.mapInArrow(tidied(clean), docs.schema)
+    return _marked(docs, revealing_terms(docs.select("text"), block_rows=block_rows), REMOVE_AT, block_rows, clean, docs.schema)

@@ -93,6 +93,12 @@ def test_terms_of_a_fixed_line(spark):
     assert all(got[20 + i][1] == ["email"] for i in range(6)) and all(got[40 + i][1] == [] for i in range(60))
 
 
+def test_marking_and_replacing_share_a_worker(spark):
+    docs = spark.createDataFrame(private_rows(), "doc_id long, text string")
+    for out in (pii.sanitise(docs), pii.find_personal_data(docs), pii.find_personal_data(docs, block_rows=2)):
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_digests_and_sanitised_tables(spark, odd, empty):
     got = {(r.doc_id, r.n_email): r for r in pii.digests(spark.createDataFrame(private_rows(), "doc_id long, text string")).collect()}
     for key, text in private_rows():
