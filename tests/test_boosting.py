@@ -286,3 +286,55 @@ def test_a_run_keeps_its_table_on_disk_in_small_blocks(spark):
     assert any(disk for _, disk in during) and not any(memory for memory, _ in during)
     sizes = done.blocks.agg(F.sum("n").alias("n"), F.max(F.length("preds")).alias("most")).first()
     assert sizes["n"] == 34_000 and sizes["most"] < 1 << 20
+
+
+def test_of_two_sisters_the_one_with_fewer_rows_is_summed(table, monkeypatch):
+    """And gradients are all that a pass reads; what a run returns is in no written predictions."""
+    _, binner, packed, rows, codes = table
+    passes, level_splits = [], bo.level_splits
+
+    def seen(gradients, order, binner, grown, *rest):
+        passes.append({i: (len(g.now), g.slots) for i, g in grown.items()})
+        return level_splits(gradients, order, binner, grown, *rest)
+
+    monkeypatch.setattr(bo, "level_splits", seen)
+    models = [bo.Model(n, replace(CASES[n], trees=2)) for n in ("depth", "leaf", "leaf_many", "symmetric")]
+    done = bo.grow(packed, models)
+    below = [x for p in passes for x in p.values() if x != (1, 1)]
+    assert len(below) > 20 and all(2 * summed <= open_ for open_, summed in below)
+    assert done.blocks.agg(F.max(F.length("preds"))).first()[0] == 0
+
+
+def test_large_gradients_chunks_and_cuts_give_the_same_trees(table, monkeypatch):
+    """Sums of gradients and rows that don't fit one integer, many chunks a task, features in groups of several
+    sizes and trees deeper than the levels by place."""
+    _, _, packed, _, _ = table
+    cases = [replace(CASES["depth"], trees=3, max_depth=8, min_child_weight=2), replace(CASES["leaf"], trees=3, num_leaves=40), replace(CASES["symmetric"], trees=3)]
+    grown = lambda: (m := [bo.Model(str(i), p) for i, p in enumerate(cases)], predictions(bo.grow(packed, m)))
+    models, want = grown()
+    for name, value in (("CHUNK_ROWS", 100), ("JOINT_CELLS", 30), ("TOP_LEVELS", 2), ("CUT_TREES", 1)):
+        monkeypatch.setattr(bo, name, value)
+    again, got = grown()
+    assert [m.trees for m in again] == [m.trees for m in models] and np.array_equal(got, want)
+
+
+def test_sums_of_any_size_are_exact():
+    rng = np.random.default_rng(5)
+    n, widths = 3000, [7, 40, 3]
+    codes = np.stack([rng.integers(0, w, n) for w in widths]).astype("u1")
+    use = rng.random(n) < 0.8
+    for reach in (3, 2**30, 2**50):
+        gradient = np.where(use, rng.integers(-reach, reach, n), 0)
+        for slots, arrays in ((1, bo.Tree().arrays()), (2, (np.array([1, -1, -1]), np.array([20, 0, 0]), np.array([1, 0, 0]), np.zeros(3)))):
+            grown = bo._Grown(arrays, np.array([0] if slots == 1 else [-1, 0, 1]), slots, *np.zeros((3, slots), int))
+            sums = bo._Sums({4: grown}, [4], widths, 3)
+            sums.add(codes, gradient[None], use[None])
+            node = np.zeros(n, int) if slots == 1 else (codes[1] > 20).astype(int)
+            start = 0
+            for f, w in enumerate(widths):
+                for table, values in ((sums.sums[4], gradient.tolist()), (sums.counts[4], use.tolist())):
+                    want = [[0] * w for _ in range(slots)]
+                    for at, code, v in zip(node.tolist(), codes[f].tolist(), values):
+                        want[at][code] += v
+                    assert table[:, start:start + w].tolist() == want
+                start += w
