@@ -338,3 +338,12 @@ def test_sums_of_any_size_are_exact():
                         want[at][code] += v
                     assert table[:, start:start + w].tolist() == want
                 start += w
+
+
+def test_a_search_leaves_no_table_of_all_rows(spark, sf_dir):
+    from hearth.operators import joins
+    from hearth.plans.catalog import q_grid_search
+    before = set(joins._TABLES)
+    assert q_grid_search(spark, sf_dir, {"symmetric": {"max_depth": [2, 3]}}, (2,)).count() == 2
+    left = [spark.read.parquet(t) for t in joins._TABLES if t not in before]
+    assert left and not any({"l_orderkey", "codes"} & set(t.columns) for t in left)
